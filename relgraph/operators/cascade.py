@@ -39,6 +39,7 @@ from relgraph.plans.spec import (
     RelationSpec,
 )
 from relgraph.plans.staging import Staging
+from relgraph.sources.tables import literal_rows
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:
@@ -62,7 +63,7 @@ class CascadeResult:
 
     def _empty(self, columns: str) -> DataFrame:
         spark = next(iter(self.tables.values())).sparkSession
-        return spark.createDataFrame([], columns)
+        return literal_rows(spark, columns, [])
 
     @property
     def deleted(self) -> DataFrame:

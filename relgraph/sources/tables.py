@@ -58,3 +58,24 @@ def write_tables(
         paths[name] = f"{base.rstrip('/')}/{name}"
         df.write.format(fmt).mode(mode).save(paths[name])
     return paths
+
+
+def literal_rows(spark: SparkSession, schema: str, rows: Iterable[tuple]) -> DataFrame:
+    """A small frame of literal ints and strings, such as a class registry.
+
+    It is a local relation of known size, so Spark may broadcast it.
+    """
+    def text(value) -> str:
+        if value is None:
+            return "null"
+        if isinstance(value, str):
+            return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+        return str(value)
+
+    fields = [field.split() for field in schema.split(",")]
+    values = ", ".join("(" + ", ".join(text(v) for v in row) + ")" for row in rows)
+    names = ", ".join(name for name, _ in fields)
+    casts = [f"cast({name} as {kind}) as {name}" for name, kind in fields]
+    if not values:
+        return spark.range(0).selectExpr(*[f"cast(null as {kind}) as {name}" for name, kind in fields])
+    return spark.sql(f"select {', '.join(casts)} from values {values} as t({names})")

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from relgraph.operators import cascade, cleanup, deletion
-from relgraph.plans.spec import AGGREGATION, ASSOCIATION, COMPOSITION, Reference, RelationSpec
+from relgraph.plans.spec import AGGREGATION, ASSOCIATION, COMPOSITION, Link, Reference, RelationSpec
+from relgraph.sources.tables import literal_rows
 from relgraph.workload.tables import (
     EVENT_CLASSES,
     TREE_PARENT_SQL,
@@ -275,7 +276,7 @@ def bridge_cleanup(spark, folder):
     }
     spec = RelationSpec(
         keys={"payload": "id", "owner": "id"},
-        links=[deletion_link("bridge", "owner", "l_orderkey", "payload", "l_partkey")],
+        links=[Link("bridge", "owner", "l_orderkey", "payload", "l_partkey", ASSOCIATION)],
     )
     first, second = cleanup.cleanup_bridge(
         tables, spec, "payload", ("parameter", "payload_id"), "owner", ("bridge", "l_orderkey")
@@ -283,18 +284,12 @@ def bridge_cleanup(spark, folder):
     return first.deleted.unionByName(second.deleted).select(F.col("table").alias("tbl"), "id")
 
 
-def deletion_link(name, owner, owner_column, member, member_column):
-    from relgraph.plans.spec import Link
-
-    return Link(name, owner, owner_column, member, member_column, ASSOCIATION)
-
-
 def extension_objects(spark, folder):
     """Objects of the extension that owns the view and purchase classes."""
-    classes = spark.createDataFrame(
-        [(c, 7 if t in ("view", "purchase") else 8) for t, c in EVENT_CLASSES.items()], "id int, ade_id int"
+    classes = literal_rows(
+        spark, "id int, ade_id int", [(c, 7 if t in ("view", "purchase") else 8) for t, c in EVENT_CLASSES.items()]
     )
-    extensions = spark.createDataFrame([(7, "ext-a"), (8, "ext-b")], "id int, adeid string")
+    extensions = literal_rows(spark, "id int, adeid string", [(7, "ext-a"), (8, "ext-b")])
     return deletion.extension_objects(event_objects(spark, folder), classes, extensions, "ext-a")
 
 
