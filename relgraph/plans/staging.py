@@ -12,7 +12,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -46,8 +46,16 @@ class Staging:
         needs no further job.  A re-run task may count twice: use it only to
         tell zero from non-zero.
         """
+        kept, rows, _ = self.keep_counting(df, F.lit(False), label)
+        return kept, rows
+
+    def keep_counting(self, df: DataFrame, condition: Column, label: str = "step") -> tuple[DataFrame, int, int]:
+        """Like :meth:`keep`, with the number of rows that meet a condition."""
         self._count += 1
         path = f"{self.folder}/{self._count:04d}-{label}"
         seen = Observation()
-        df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path), int(seen.get["rows"])
+        counted = df.observe(
+            seen, F.count(F.lit(1)).alias("rows"), F.coalesce(F.count_if(condition), F.lit(0)).alias("met")
+        )
+        counted.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path), int(seen.get["rows"]), int(seen.get["met"])
