@@ -3,8 +3,8 @@
 ``shred`` takes one frame per class (column ``id``, attribute columns, property
 columns) and returns one frame per table.  A property column holds a key, an
 array of keys, a struct, or an array of structs.  Nested structs become rows of
-their own; they keep a field ``id`` if they have one and get a dense key in
-(owner, position) order otherwise.
+their own; they keep a field ``id`` if they have one and get a dense key
+otherwise.
 """
 
 from __future__ import annotations
@@ -130,7 +130,7 @@ def split_inheritance(df: DataFrame, levels: Mapping[str, Sequence[str]], key: s
 
 
 def surface_rows(
-    df: DataFrame, column: str, key: str = ID, after: int = 0
+    df: DataFrame, column: str, key: str = ID, after: int = 0, ordered: bool = False
 ) -> tuple[DataFrame, DataFrame, int]:
     """(owner_id -> root_id pairs, surface rows, number of roots) of a column
     with an array of surfaces.
@@ -140,7 +140,7 @@ def surface_rows(
     """
     stage = Staging(df.sparkSession)
     owned = df.where(F.size(column) > 0).select(F.col(key).alias(OWNER), F.col(column).alias("_surfaces"))
-    roots, n = stage.keep(surrogate_keys(owned, [OWNER], after, "root_id"), "roots")
+    roots, n = stage.keep(surrogate_keys(owned, [OWNER] if ordered else [], after, "root_id"), "roots")
     rows = roots.select("root_id", F.posexplode("_surfaces").alias(POSITION, "geometry")).where(
         F.col("geometry").isNotNull()
     )
@@ -148,7 +148,7 @@ def surface_rows(
 
 
 def template_rows(
-    df: DataFrame, column: str, key: str = ID, after: int = 0
+    df: DataFrame, column: str, key: str = ID, after: int = 0, ordered: bool = False
 ) -> tuple[DataFrame, DataFrame, int]:
     """(owner_id -> template key pairs, templates, their number) of a column.
 
@@ -157,15 +157,17 @@ def template_rows(
     stage = Staging(df.sparkSession)
     used = df.where(F.col(column).isNotNull()).select(F.col(key).alias(OWNER), F.col(column).alias("relative_other_geom"))
     distinct = used.select("relative_other_geom").distinct()
-    templates, n = stage.keep(surrogate_keys(distinct, ["relative_other_geom"], after), "templates")
+    order = ["relative_other_geom"] if ordered else []
+    templates, n = stage.keep(surrogate_keys(distinct, order, after), "templates")
     pairs = used.join(templates, "relative_other_geom").select(OWNER, F.col(ID).alias(TARGET))
     return pairs, templates, n
 
 
 class _Shred:
-    def __init__(self, model: ClassModel, frames: Mapping[str, DataFrame]):
+    def __init__(self, model: ClassModel, frames: Mapping[str, DataFrame], ordered_keys: bool):
         self.model = model
         self.frames = frames
+        self.ordered_keys = ordered_keys
         self.stage = Staging(next(iter(frames.values())).sparkSession)
         self.objects: dict[str, list[DataFrame]] = {}
         self.columns: dict[str, dict[str, list[str]]] = {}
@@ -214,14 +216,20 @@ class _Shred:
             for p in cls.properties:
                 if p.name not in df.columns:
                     continue
+                data_type = df.schema[p.name].dataType
                 if self.model.folds(p):
-                    made = fold_struct(p.name, self.model[p.target], df.schema[p.name].dataType)
+                    made = fold_struct(p.name, self.model[p.target], data_type)
                     self.store(name, here, df.select(*made).columns)
                     row += made
-                else:
-                    found = self.targets(cls, p, df)
-                    if found is not None:
-                        self.pairs.setdefault((cls.name, p.name), []).append(found)
+                    continue
+                where = self.model.storage(cls.name, p)
+                if where.way == C.OWN_KEY and (given := _given_key(p.name, data_type)) is not None:
+                    # the row says what it refers to: a column, no join
+                    self.store(name, here, where.columns)
+                    row.append(given.alias(where.columns[0]))
+                found = self.targets(cls, p, df)
+                if found is not None:
+                    self.pairs.setdefault((cls.name, p.name), []).append(found)
         flat = df.select(*row)
         for a, here in geometry:
             before = flat.columns
@@ -232,14 +240,15 @@ class _Shred:
     def targets(self, cls: ClassType, prop: Property, df: DataFrame) -> DataFrame | None:
         """(owner_id, target_id) of one property; nested targets are taken too.
 
-        Children that get their key here carry the owner's key with them, which
-        needs no join; nothing is returned for them.
+        Nothing is returned where the key is stored already: with the owner, or
+        with children that carry the owner's key, which needs no join.
         """
+        where = self.model.storage(cls.name, prop)
         data_type = df.schema[prop.name].dataType
         array = isinstance(data_type, T.ArrayType)
         element = data_type.elementType if array else data_type
         if not isinstance(element, T.StructType):
-            return key_pairs(df, prop.name)
+            return None if where.way == C.OWN_KEY and not array else key_pairs(df, prop.name)
         if array:
             rows = explode_children(df, prop.name)
         else:
@@ -247,19 +256,23 @@ class _Shred:
                 F.col(ID).alias(OWNER), F.lit(0).alias(POSITION), F.col(prop.name).alias("value")
             )
         rows = rows.select(OWNER, POSITION, "value.*")
+        carried = where.columns if where.way == C.CHILD_KEY else ()
         if ID in element.names:
-            rows, _ = self.stage.keep(rows, prop.name)
             # the same object may be nested in several owners
             values = [F.first(c, ignorenulls=True).alias(c) for c in element.names if c != ID]
-            found = rows.groupBy(ID).agg(*values) if values else rows.select(ID).distinct()
-            self.take(prop.target, found)
+            values += [F.min(OWNER).alias(c) for c in carried]
+            if carried or (where.way == C.OWN_KEY and not array):
+                self.take(prop.target, _first_of_each(rows, values), carried)
+                return None
+            rows, _ = self.stage.keep(rows, prop.name)
+            self.take(prop.target, _first_of_each(rows, values))
             return rows.select(OWNER, F.col(ID).alias(TARGET))
         space, last = self.used_keys(prop.target)
-        rows, n = self.stage.keep(surrogate_keys(rows, [OWNER, POSITION], last), prop.name)
+        order = [OWNER, POSITION] if self.ordered_keys else []
+        rows, n = self.stage.keep(surrogate_keys(rows, order, last), prop.name)
         self.last_key[space] = last + n
-        where = self.model.storage(cls.name, prop)
-        if where.way == C.CHILD_KEY:
-            self.take(prop.target, rows.withColumnRenamed(OWNER, where.columns[0]), where.columns)
+        if carried:
+            self.take(prop.target, rows.withColumnRenamed(OWNER, carried[0]), carried)
             return None
         self.take(prop.target, rows)
         return rows.select(OWNER, F.col(ID).alias(TARGET))
@@ -271,7 +284,7 @@ class _Shred:
         if attribute.kind == C.IMPLICIT:
             lod = f"lod{attribute.name[3]}_implicit"
             last = self.last_key.get(TEMPLATES, 0)
-            pairs, rows, n = template_rows(df.withColumn("_t", F.col(source)["template"]), "_t", after=last)
+            pairs, rows, n = template_rows(df.withColumn("_t", F.col(source)["template"]), "_t", after=last, ordered=self.ordered_keys)
             self.last_key[TEMPLATES] = last + n
             self.extra.setdefault(TEMPLATES, []).append(rows)
             return own_key(df, pairs, f"{lod}_rep_id").select(
@@ -285,7 +298,7 @@ class _Shred:
             surfaces, column = F.col(source)["surfaces"], f"{name}_brep_id"
             kept = [F.col(source)["points"].alias(f"{name}_other_geom")]
         last = self.last_key.get(SURFACES, 0)
-        pairs, rows, n = surface_rows(df.withColumn("_s", surfaces), "_s", after=last)
+        pairs, rows, n = surface_rows(df.withColumn("_s", surfaces), "_s", after=last, ordered=self.ordered_keys)
         self.last_key[SURFACES] = last + n
         self.extra.setdefault(SURFACES, []).append(rows)
         return own_key(df, pairs, column).select(*others, column, *kept)
@@ -324,10 +337,27 @@ class _Shred:
         return tables
 
 
+def _given_key(column: str, data_type: T.DataType) -> Column | None:
+    """The key a single-valued property column holds, if it holds one."""
+    if isinstance(data_type, T.StructType):
+        return F.col(column)[ID] if ID in data_type.names else None
+    return None if isinstance(data_type, T.ArrayType) else F.col(column)
+
+
+def _first_of_each(rows: DataFrame, values: list[Column]) -> DataFrame:
+    rows = rows.where(F.col(ID).isNotNull())
+    return rows.groupBy(ID).agg(*values) if values else rows.select(ID).distinct()
+
+
 def _union_by_name(parts: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
-def shred(frames: Mapping[str, DataFrame], model: ClassModel) -> dict[str, DataFrame]:
-    """Tables of nested class frames, as the model stores them."""
-    return _Shred(model, frames).finish()
+def shred(frames: Mapping[str, DataFrame], model: ClassModel, ordered_keys: bool = False) -> dict[str, DataFrame]:
+    """Tables of nested class frames, as the model stores them.
+
+    New keys follow the order of the input splits, which needs no shuffle.
+    ``ordered_keys`` sorts by owner and position instead, so that a repeated
+    run gives the same keys.
+    """
+    return _Shred(model, frames, ordered_keys).finish()

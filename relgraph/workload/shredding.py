@@ -33,7 +33,7 @@ def _documents(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _document_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    return S.shred({"AbstractDocument": _documents(spark, folder)}, DOCUMENT_MODEL)
+    return S.shred({"AbstractDocument": _documents(spark, folder)}, DOCUMENT_MODEL, ordered_keys=True)
 
 
 def shred_document_lines(spark, folder):
@@ -250,7 +250,7 @@ def shred_choice(spark, folder):
     orders = table(spark, folder, "orders").select(
         F.col("o_orderkey").alias("id"), F.when(is_note, text).alias("note"), F.when(~is_note, text).alias("rank")
     )
-    tables = S.shred({"Order": orders}, model)
+    tables = S.shred({"Order": orders}, model, ordered_keys=True)
     return tables["order"]
 
 
@@ -362,7 +362,7 @@ def _geometry_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
             F.concat(F.lit("1 0 0 "), F.col("c_nationkey")).alias("transformation"),
         ).alias("lod2Model"),
     )
-    return S.shred({"Site": sites}, model)
+    return S.shred({"Site": sites}, model, ordered_keys=True)
 
 
 def shred_geometry(spark, folder):

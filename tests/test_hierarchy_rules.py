@@ -1,0 +1,122 @@
+"""Hierarchies, link kinds, keys and reference queries on literal rows."""
+
+import random
+
+import pytest
+from conftest import values
+
+from relgraph.operators import hierarchy as H
+from relgraph.operators import references as K
+from relgraph.plans.spec import Link, Reference, RelationSpec
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_roots_and_flags_on_random_forests_with_cycles(rows, seed):
+    r = random.Random(seed)
+    up = {i: r.choice([None, r.randrange(40), r.randrange(40), 999]) for i in range(40)}
+    flag = {i: r.random() < 0.15 for i in up}
+    tree = rows("id bigint, parent_id bigint, f boolean", [(i, p, flag[i]) for i, p in up.items()])
+
+    def root(i, stop=None):
+        seen = set()
+        while i not in seen:
+            seen.add(i)
+            p = up[i]
+            if (stop is not None and i <= stop) or p is None or p == i or p not in up:
+                return i
+            i = p
+        return None
+
+    def above(i):
+        seen, i = set(), up.get(i)
+        while i is not None and i in up and i not in seen:
+            seen.add(i)
+            i = up[i] if up[i] != i else None
+        return seen
+
+    for stop in (None, 3):
+        got = dict(values(H.resolve_root(tree, stop=stop)))
+        assert got == {i: root(i, stop) for i in up}
+    flags = dict(values(H.ancestor_flag(tree, "f")))
+    # a row that is its own parent has no proper ancestor
+    want = {i: any(flag[a] for a in above(i)) if up[i] != i else False for i in up}
+    assert flags == want
+
+
+def test_long_chain_needs_few_rounds(spark):
+    chain = spark.range(3000).selectExpr("id", "case when id > 0 then id - 1 end as parent_id")
+    roots = H.resolve_root(chain)
+    assert roots.where("root = 0").count() == 3000
+
+
+def test_descendants_exclude_roots_unless_nested(rows):
+    tree = rows("id bigint, parent_id bigint", [(1, None), (2, 1), (3, 2), (4, None), (5, 4), (6, 6)])
+    ids = rows("id bigint", [(1,), (2,), (6,)])
+    assert values(H.descendants(tree, ids)) == [(2,), (3,)]
+
+
+def test_link_kinds_any_case_and_default(rows):
+    facts = rows(
+        "child_id int, parent_id int, is_composite int, join_table_or_column_name string",
+        [(1, 2, 1, "X_ID"), (1, 3, 0, "x_id")],
+    )
+    links = rows("child_class int, parent_class int, join_name string", [(1, 2, "x_Id"), (1, 3, "X_ID"), (1, 3, "y"), (None, 3, "x_id")])
+    assert values(H.classify_links(links, facts)) == [
+        (1, 2, "x_Id", "COMPOSITION"),
+        (1, 3, "X_ID", "AGGREGATION"),
+        (1, 3, "y", "ASSOCIATION"),
+        (None, 3, "x_id", "ASSOCIATION"),
+    ]
+
+
+def test_existing_keys_are_refused(rows):
+    old = rows("id bigint", [(1,), (2,)])
+    H.assert_new_keys(rows("id bigint", [(3,), (None,)]), old)
+    with pytest.raises(ValueError, match="already in use: 2"):
+        H.assert_new_keys(rows("id bigint", [(2,), (3,)]), old)
+
+
+def test_surrogate_keys_are_dense_without_an_order(spark):
+    df = spark.range(1000).repartition(7)
+    keys = sorted(r[0] for r in H.surrogate_keys(df, after=H.highest_key(df), name="k").select("k").collect())
+    assert keys == list(range(1000, 2000))
+
+
+def test_reference_reports(rows):
+    tables = {
+        "t": rows("id bigint, up bigint", [(1, None), (2, 1), (3, 3)]),
+        "u": rows("id bigint, t_id bigint", [(7, 1), (8, None), (9, 2)]),
+        "l": rows("t_id bigint, u_id bigint", [(1, 7), (1, 7), (3, 9)]),
+    }
+    spec = RelationSpec(
+        {"t": "id", "u": "id"},
+        [Reference("t", "up", "t"), Reference("u", "t_id", "t")],
+        [Link("l", "t", "t_id", "u", "u_id")],
+    )
+    ids = rows("id bigint", [(1,), (3,), (None,)])
+    got = [tuple(r) for r in K.referencing_rows(tables, spec, "t", ids).collect()]
+    assert got == [
+        ("l", "t_id", False, 7, 1),
+        ("l", "t_id", False, 7, 1),
+        ("l", "t_id", False, 9, 3),
+        ("t", "up", True, 2, 1),
+        ("t", "up", True, 3, 3),
+        ("u", "t_id", False, 7, 1),
+    ]
+    counts = [tuple(r) for r in K.referencing_counts(tables, spec, "t", ids).collect()]
+    assert counts == [("l", "t_id", False, 3), ("t", "up", True, 2), ("u", "t_id", False, 1)]
+    assert values(K.expand_link(tables["l"], "t_id", "u_id", ids)) == [(1, 7), (3, 9)]
+
+
+def test_referenced_rows_groups_columns_and_drops_shared_keys(rows):
+    df = rows("id bigint, a_id bigint, b_id bigint, c_id bigint", [(1, 5, 5, 6), (2, 5, 7, None), (3, None, None, None)])
+    refs = {"a_id": "x", "b_id": "x", "c_id": "y", "id": "y"}
+    assert values(K.referenced_rows(df, refs)) == [(1, "x", "5", "a_id,b_id"), (2, "x", "5", "a_id"), (2, "x", "7", "b_id")]
+    with pytest.raises(ValueError):
+        K.referenced_rows(df, {"id": "y"})
+
+
+def test_shared_key_pairs(rows):
+    child, parent = rows("id bigint", [(1,), (2,)]), rows("id bigint", [(1,), (3,)])
+    assert values(K.shared_key(child, parent)) == [(1, True), (2, False)]
+    assert values(K.missing_parent(child, parent)) == [(2,)]
