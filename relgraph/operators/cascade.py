@@ -37,6 +37,7 @@ from relgraph.plans.spec import (
     Link,
     Reference,
     RelationSpec,
+    reachable,
 )
 from relgraph.plans.staging import Staging
 from relgraph.sources.tables import literal_rows
@@ -276,44 +277,69 @@ class _Cascade:
             referrers.append((rows, column))
         return delete_unreferenced(free, referrers)
 
-    def advance(self, table: str, news: Mapping[str, DataFrame], seeds: list[DataFrame]) -> bool:
-        """Delete what ``news`` and ``seeds`` imply in one table; True if any."""
-        forced = seeds + self.forced(table, news)
-        tested = self.candidates(table, news)
-        if tested:
-            found, n = self.stage.keep(key_union(tested), f"{table}-candidates")
-            if n:
-                forced.append(self.unowned(table, found))
-        if not forced:
-            return False
-        keys = key_union(forced)
-        known = self.gone(table)
-        if known is not None:
-            keys = without_keys(keys, ID, known)
-        kept, n = self.stage.keep(keys, f"{table}-deleted")
-        if n:
-            self.parts.setdefault(table, []).append(kept)
-        return n > 0
+    def keep(self, sets: dict[str, DataFrame], label: str) -> dict[str, DataFrame]:
+        """Write the key sets of one wave, one job per key type; empty sets drop out."""
+        by_type: dict[str, dict[str, DataFrame]] = {}
+        for table, keys in sets.items():
+            by_type.setdefault(keys.schema[ID].dataType.simpleString(), {})[table] = keys
+        kept = {}
+        for group in by_type.values():
+            for table, (frame, n) in self.stage.keep_keys(group, label).items():
+                if n:
+                    kept[table] = frame
+        return kept
+
+    def advance(self, news: Mapping[str, Mapping[str, DataFrame]], seeds: Mapping[str, DataFrame]) -> list[str]:
+        """Act in several tables at once on their news (table -> source -> new
+        keys) and seeds; returns the tables that lost further rows."""
+        lost = {t: c for t in news if (c := self.candidates(t, news[t]))}
+        tested = self.keep({t: key_union(c) for t, c in lost.items()}, "candidates") if lost else {}
+        doomed = {}
+        for table in news:
+            forced = self.forced(table, news[table])
+            if table in seeds:
+                forced.append(seeds[table])
+            if table in tested:
+                forced.append(self.unowned(table, tested[table]))
+            if forced:
+                keys, known = key_union(forced), self.gone(table)
+                doomed[table] = keys if known is None else without_keys(keys, ID, known)
+        kept = self.keep(doomed, "deleted") if doomed else {}
+        for table, keys in kept.items():
+            self.parts.setdefault(table, []).append(keys)
+        return list(kept)
 
     def run(self, roots: Mapping[str, DataFrame]) -> None:
-        """Work through the tables, causes first; within a group of mutually
-        dependent tables, until no table has news it has not yet acted on."""
+        """Go through the tables in waves, causes first.
+
+        A table waits while a table outside its own group that can still reach
+        it has work to do.  Tables of one wave share their jobs; a group of
+        mutually dependent tables repeats until it has no news left.
+        """
         effects = self.spec.effects()
-        seeds = {t: [with_keys(self.rows(t), ID, key_set(ids))] for t, ids in roots.items()}
+        group_of = {t: tuple(g) for g in self.spec.order() for t in g}
+        reach = reachable(effects)
+        seeds = {t: with_keys(self.rows(t), ID, key_set(ids)) for t, ids in roots.items()}
         taken: dict[tuple[str, str], int] = {}
-        for group in self.spec.order():
-            waiting = [t for t in group if t in seeds]
-            waiting += [t for t in group if t not in seeds and any(t in effects[s] for s in self.parts)]
-            while waiting:
-                table = waiting.pop(0)
-                news = {}
+        waiting = set(seeds)
+        while waiting:
+            wave = sorted(
+                t
+                for t in waiting
+                if not any(t in reach[p] for p in waiting if group_of[p] != group_of[t])
+            )
+            news: dict[str, dict[str, DataFrame]] = {}
+            for table in wave:
+                news[table] = {}
                 for source, parts in self.parts.items():
                     start = taken.get((source, table), 0)
                     if table in effects[source] and start < len(parts):
-                        news[source] = _union(parts[start:])
+                        news[table][source] = _union(parts[start:])
                         taken[source, table] = len(parts)
-                if self.advance(table, news, seeds.pop(table, [])):
-                    waiting += [t for t in group if t in effects[table] and t not in waiting]
+            changed = self.advance(news, {t: seeds.pop(t) for t in wave if t in seeds})
+            waiting.difference_update(wave)
+            for table in changed:
+                waiting |= effects[table]
 
 
 def cascade_delete(

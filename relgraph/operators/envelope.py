@@ -22,7 +22,7 @@ from relgraph.functions.boxes import (
     merge_box,
     place,
 )
-from relgraph.operators.deletion import ID, key_set, with_keys, without_keys
+from relgraph.operators.deletion import ID, key_set, with_keys
 from relgraph.plans.spec import dependency_groups
 from relgraph.plans.staging import Staging
 
@@ -74,12 +74,18 @@ def template_boxes(
     geometry: str = "implicit_geometry",
     key: str = ID,
 ) -> DataFrame:
-    """(id, box) per template: its own geometry and its surfaces, once each."""
+    """(id, box) per template: its own geometry and its surfaces, once each.
+
+    The boxes are written, because every level of detail places them again, and
+    so that Spark knows their size: when they are small enough to broadcast,
+    the objects that use them are not shuffled at all.
+    """
     roots = root_boxes(surfaces, geometry).select(F.col(ID).alias("_root"), F.col(BOX).alias("_surface"))
     joined = templates.select(F.col(key).alias(ID), box_of_points(own).alias("_own"), F.col(brep).alias("_root")).join(
         roots, "_root", "left"
     )
-    return joined.select(ID, merge_box("_own", "_surface").alias(BOX)).where(F.col(BOX).isNotNull())
+    boxes = joined.select(ID, merge_box("_own", "_surface").alias(BOX)).where(F.col(BOX).isNotNull())
+    return Staging(templates.sparkSession).keep(boxes, "template-boxes")[0]
 
 
 def implicit_contribution(
@@ -165,12 +171,17 @@ def roll_up(
     for group in dependency_groups(below):
         inner = [p for p in parts if p.parent in group and p.child in group]
         for table in group:
+            below_it = [
+                _contribution(tables, keys, part, boxes[part.child])
+                for part in parts
+                if part.parent == table and part.child not in group and part.child in boxes
+            ]
             own = [geometry[table]] if table in geometry else []
-            for part in parts:
-                if part.parent == table and part.child not in group and part.child in boxes:
-                    own.append(_contribution(tables, keys, part, boxes[part.child]))
-            if own:
-                boxes[table] = combine(*own)
+            if len(below_it) == 1 and not own:
+                # one contribution has one box per parent already
+                boxes[table] = below_it[0]
+            elif below_it or own:
+                boxes[table] = combine(*below_it, *own)
         if inner:
             boxes.update(_relax(tables, keys, inner, {t: boxes[t] for t in group if t in boxes}, stage))
         else:
@@ -229,25 +240,21 @@ def roll_up_tree(tree: DataFrame, boxes: DataFrame, key: str = ID, parent: str =
     stage = Staging(tree.sparkSession)
     steps = tree.select(F.col(key).alias(ID), F.col(parent).alias("up")).where(F.col("up").isNotNull())
     steps, left = stage.keep(steps.where(F.col(ID) != F.col("up")), "steps")
-    current, _ = stage.keep(combine(boxes), "boxes")
+    log = [stage.keep(combine(boxes), "boxes")[0]]
     while left:
-        lifted = (
-            steps.join(current, ID)
-            .groupBy(F.col("up").alias(ID))
-            .agg(merge_agg(BOX).alias("_up"))
-        )
-        grown = lifted.join(current, ID, "left").select(
+        current = combine(*log)
+        lifted = steps.join(current, ID).groupBy(F.col("up").alias(ID)).agg(merge_agg(BOX).alias("_up"))
+        both = lifted.join(current, ID, "left").select(
             ID, merge_box(BOX, "_up").alias("_new"), F.col(BOX).alias("_old")
         )
-        grown, n = stage.keep(
-            grown.where(~F.col("_new").eqNullSafe(F.col("_old"))).select(ID, F.col("_new").alias(BOX)), "grown"
-        )
+        grown = both.where(~F.col("_new").eqNullSafe(F.col("_old"))).select(ID, F.col("_new").alias(BOX))
+        grown, n = stage.keep(grown, "grown")
         if not n:
             break
-        current, _ = stage.keep(without_keys(current, ID, grown).unionByName(grown), "boxes")
+        log.append(grown)
         onward = steps.select(F.col(ID).alias("up"), F.col("up").alias("_next"))
         steps, left = stage.keep(steps.join(onward, "up").select(ID, F.col("_next").alias("up")), "steps")
-    return current
+    return combine(*log)
 
 
 def collection_envelope(

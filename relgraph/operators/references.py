@@ -38,15 +38,16 @@ def _referring(tables: Mapping[str, DataFrame], spec: RelationSpec, table: str,
 
 
 def referencing_rows(
-    tables: Mapping[str, DataFrame], spec: RelationSpec, table: str, ids: DataFrame
+    tables: Mapping[str, DataFrame], spec: RelationSpec, table: str, ids: DataFrame, ordered: bool = True
 ) -> DataFrame:
     """(table, column, is_self, row_key, target_key) of every row that points at
     one of the given keys of ``table``, ordered by table and column.
 
     The row keys are part of the sort, so one large table does not end up in
-    one sort task.
+    one sort task.  ``ordered=False`` saves the sort of a bulk report.
     """
-    return _referring(tables, spec, table, ids).orderBy("table", "column", "target_key", "row_key")
+    found = _referring(tables, spec, table, ids)
+    return found.orderBy("table", "column", "target_key", "row_key") if ordered else found
 
 
 def referencing_counts(
@@ -72,26 +73,26 @@ def referenced_rows(df: DataFrame, references: Mapping[str, str], key: str = ID)
     by_table: dict[str, list[str]] = {}
     for column, target in references.items():
         by_table.setdefault(target, []).append(column)
-    found = [
-        F.transform(_targets(columns), _entry(target, columns))
+    entries = [
+        _entry(target, columns, place)
         for target, columns in sorted(by_table.items())
         if key.lower() not in [c.lower() for c in columns]
+        for place in range(len(columns))
     ]
-    if not found:
+    if not entries:
         raise ValueError("no foreign key left after leaving out the shared key")
-    return df.select(F.col(key).alias(ID), F.inline(F.flatten(F.array(*found))))
-
-
-def _targets(columns: list[str]) -> Column:
-    return F.array_distinct(F.array_compact(F.array(*[F.col(c).cast("string") for c in columns])))
-
-
-def _entry(target: str, columns: list[str]):
-    def entry(value: Column) -> Column:
-        names = F.concat_ws(",", *[F.when(F.col(c).cast("string") == value, c) for c in columns])
-        return F.struct(F.lit(target).alias("ref_table"), value.alias("target_key"), names.alias("fk_columns"))
-
-    return entry
+    return df.select(F.col(key).alias(ID), F.inline(F.array(*entries))).where(F.col("ref_table").isNotNull())
+
+
+def _entry(target: str, columns: list[str], place: int) -> Column:
+    """The target of one column, unless it is null or an earlier column has it."""
+    value = F.col(columns[place]).cast("string")
+    names = F.concat_ws(",", *[F.when(F.col(c).cast("string") == value, c) for c in columns[place:]])
+    first = value.isNotNull()
+    for c in columns[:place]:
+        first = first & ~F.col(c).cast("string").eqNullSafe(value)
+    entry = F.struct(F.lit(target).alias("ref_table"), value.alias("target_key"), names.alias("fk_columns"))
+    return F.when(first, entry)
 
 
 def shared_key(child: DataFrame, parent: DataFrame, key: str = ID) -> DataFrame:

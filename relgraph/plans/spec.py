@@ -183,8 +183,8 @@ class RelationSpec:
         return replace(self, references=tuple(refs))
 
 
-def dependency_groups(effects: Mapping[str, set[str]]) -> list[list[str]]:
-    """Strongly connected groups of a small table graph in topological order."""
+def reachable(effects: Mapping[str, set[str]]) -> dict[str, set[str]]:
+    """All tables behind each table of a small table graph."""
     reach = {t: set(effects[t]) for t in effects}
     changed = True
     while changed:
@@ -193,6 +193,12 @@ def dependency_groups(effects: Mapping[str, set[str]]) -> list[list[str]]:
             grown = reach[t].union(*(reach[s] for s in reach[t])) if reach[t] else reach[t]
             if grown != reach[t]:
                 reach[t], changed = grown, True
+    return reach
+
+
+def dependency_groups(effects: Mapping[str, set[str]]) -> list[list[str]]:
+    """Strongly connected groups of a small table graph in topological order."""
+    reach = reachable(effects)
     groups: list[list[str]] = []
     for t in sorted(reach):
         if not any(t in g for g in groups):

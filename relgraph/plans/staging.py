@@ -11,6 +11,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -59,3 +61,27 @@ class Staging:
         )
         counted.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path), int(seen.get["rows"]), int(seen.get["met"])
+
+    def keep_keys(self, sets: Mapping[str, DataFrame], label: str = "keys") -> dict[str, tuple[DataFrame, int]]:
+        """Write several one-column key sets of one type in one job.
+
+        They share one table partitioned by name, so reading one back touches
+        only its own files.  Returns name -> (frame, row count).
+        """
+        names = sorted(sets)
+        column = sets[names[0]].columns[0]
+        self._count += 1
+        path = f"{self.folder}/{self._count:04d}-{label}"
+        seen = Observation()
+        parts = [sets[n].select(column, F.lit(n).alias("_set")) for n in names]
+        counts = [F.count_if(F.col("_set") == n).alias(f"n{i}") for i, n in enumerate(names)]
+        union = reduce(DataFrame.unionByName, parts)
+        union.observe(seen, *counts).write.partitionBy("_set").parquet(path)
+        kept = {}
+        for i, n in enumerate(names):
+            rows = int(seen.get[f"n{i}"] or 0)
+            # an empty set has no folder of its own
+            folder = f"{path}/_set={n}" if rows else path
+            frame = self.spark.read.schema(sets[n].schema).parquet(folder)
+            kept[n] = (frame if rows else frame.limit(0), rows)
+        return kept

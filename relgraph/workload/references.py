@@ -41,10 +41,9 @@ def referenced_rows(spark, folder):
         "l_orderkey as id", "l_partkey", "l_suppkey",
         "case when l_linenumber > 3 then l_partkey when l_linenumber > 1 then l_suppkey end as spare_id",
     )
-    found = K.referenced_rows(
+    return K.referenced_rows(
         rows, {"id": "orders", "l_partkey": "part", "l_suppkey": "supplier", "spare_id": "part"}
     )
-    return found.groupBy("id", "ref_table", "target_key", "fk_columns").agg(F.count(F.lit(1)).alias("refs"))
 
 
 def shared_key(spark, folder):
@@ -86,7 +85,7 @@ ORACLES = {
         e as (select id, 'part' as ref_table, p as k, case when x = p then 'l_partkey,spare_id' else 'l_partkey' end as c from r
               union all select id, 'part', x, 'spare_id' from r where x is not null and x <> p
               union all select id, 'supplier', s, 'l_suppkey' from r)
-        select id, ref_table, k::varchar as target_key, c as fk_columns, count(*) as refs from e group by all""",
+        select id, ref_table, k::varchar as target_key, c as fk_columns from e""",
     "shared_key": """
         select event_id as id, event_type in ('click', 'view') as has_parent from events where value > 10""",
     "missing_parent": """

@@ -54,3 +54,8 @@ def differences(df, con, sql: str) -> list[str]:
     elif not want:
         out.append("both empty: the query tests nothing")
     return out
+
+
+def plan_of(df) -> str:
+    """Physical plan; after an action of ``df``, the one that ran."""
+    return df._jdf.queryExecution().executedPlan().toString()

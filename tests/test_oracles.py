@@ -1,4 +1,4 @@
-"""Every registered query against its SQL."""
+"""Every registered query: its plan, and its rows against its SQL."""
 
 import os
 
@@ -10,6 +10,9 @@ import __spark_entry__ as entry_module
 FOLDER = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01")
 QUERIES = entry_module.queries()
 SQL = entry_module.oracle_sql()
+NOT_IN_A_PLAN = [
+    "CartesianProduct", "NestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroups", "InPandas"
+]
 
 
 @pytest.fixture(scope="module")
@@ -23,7 +26,10 @@ def test_every_query_has_sql():
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
-    assert oracle.differences(QUERIES[name](spark, FOLDER), con, SQL[name]) == []
+    df = QUERIES[name](spark, FOLDER)
+    plan = oracle.plan_of(df)
+    assert [word for word in NOT_IN_A_PLAN if word in plan] == []
+    assert oracle.differences(df, con, SQL[name]) == []
 
 
 def test_entry(spark):
