@@ -16,6 +16,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
 from relgraph.operators.deletion import (
     ID,
@@ -157,16 +158,23 @@ class _Cascade:
     def __init__(self, tables: Mapping[str, DataFrame], spec: RelationSpec):
         self.tables = tables
         self.spec = spec
-        self.parts: dict[str, list[DataFrame]] = {}
+        self.step = 0
+        self.last_step: dict[str, int] = {}
         self.stage = Staging(next(iter(tables.values())).sparkSession)
 
     def rows(self, table: str, *columns: str) -> DataFrame:
         key = self.spec.keys[table]
         return self.tables[table].select(F.col(key).alias(ID), *[F.col(c) for c in columns if c != key])
 
-    def gone(self, table: str) -> DataFrame | None:
-        parts = self.parts.get(table)
-        return _union(parts) if parts else None
+    def key_type(self, table: str) -> DataType:
+        return self.tables[table].schema[self.spec.keys[table]].dataType
+
+    def gone(self, table: str, after: int = 0) -> DataFrame | None:
+        """Keys deleted in one table, in the steps after ``after``."""
+        if self.last_step.get(table, 0) <= after:
+            return None
+        kind = self.key_type(table)
+        return self.stage.keys(table, ID, kind, f"deleted-{kind.simpleString()}", after)
 
     def forced(self, table: str, news: Mapping[str, DataFrame]) -> list[DataFrame]:
         """Keys of ``table`` that the new deletes elsewhere remove outright."""
@@ -277,37 +285,42 @@ class _Cascade:
             referrers.append((rows, column))
         return delete_unreferenced(free, referrers)
 
-    def keep(self, sets: dict[str, DataFrame], label: str) -> dict[str, DataFrame]:
-        """Write the key sets of one wave, one job per key type; empty sets drop out."""
+    def keep(self, sets: dict[str, DataFrame], label: str) -> list[str]:
+        """Write the key sets of one wave, one job per key type; the tables
+        whose set is not empty."""
         by_type: dict[str, dict[str, DataFrame]] = {}
         for table, keys in sets.items():
-            by_type.setdefault(keys.schema[ID].dataType.simpleString(), {})[table] = keys
-        kept = {}
-        for group in by_type.values():
-            for table, (frame, n) in self.stage.keep_keys(group, label).items():
-                if n:
-                    kept[table] = frame
-        return kept
+            kind = self.key_type(table)
+            by_type.setdefault(kind.simpleString(), {})[table] = keys.select(F.col(ID).cast(kind).alias(ID))
+        counts: dict[str, int] = {}
+        for kind, group in by_type.items():
+            counts.update(self.stage.append_keys(self.step, group, f"{label}-{kind}"))
+        return [table for table, n in counts.items() if n]
+
+    def lost_an_owner(self, table: str) -> DataFrame:
+        """The candidates of the current step."""
+        kind = self.key_type(table)
+        return self.stage.keys(table, ID, kind, f"candidates-{kind.simpleString()}", self.step - 1)
 
     def advance(self, news: Mapping[str, Mapping[str, DataFrame]], seeds: Mapping[str, DataFrame]) -> list[str]:
         """Act in several tables at once on their news (table -> source -> new
         keys) and seeds; returns the tables that lost further rows."""
+        self.step += 1
         lost = {t: c for t in news if (c := self.candidates(t, news[t]))}
-        tested = self.keep({t: key_union(c) for t, c in lost.items()}, "candidates") if lost else {}
+        tested = self.keep({t: key_union(c) for t, c in lost.items()}, "candidates") if lost else []
         doomed = {}
         for table in news:
             forced = self.forced(table, news[table])
             if table in seeds:
                 forced.append(seeds[table])
             if table in tested:
-                forced.append(self.unowned(table, tested[table]))
+                forced.append(self.unowned(table, self.lost_an_owner(table)))
             if forced:
                 keys, known = key_union(forced), self.gone(table)
                 doomed[table] = keys if known is None else without_keys(keys, ID, known)
-        kept = self.keep(doomed, "deleted") if doomed else {}
-        for table, keys in kept.items():
-            self.parts.setdefault(table, []).append(keys)
-        return list(kept)
+        changed = self.keep(doomed, "deleted") if doomed else []
+        self.last_step.update(dict.fromkeys(changed, self.step))
+        return changed
 
     def run(self, roots: Mapping[str, DataFrame]) -> None:
         """Go through the tables in waves, causes first.
@@ -331,11 +344,12 @@ class _Cascade:
             news: dict[str, dict[str, DataFrame]] = {}
             for table in wave:
                 news[table] = {}
-                for source, parts in self.parts.items():
-                    start = taken.get((source, table), 0)
-                    if table in effects[source] and start < len(parts):
-                        news[table][source] = _union(parts[start:])
-                        taken[source, table] = len(parts)
+                for source in self.last_step:
+                    if table in effects[source]:
+                        fresh = self.gone(source, taken.get((source, table), 0))
+                        if fresh is not None:
+                            news[table][source] = fresh
+                            taken[source, table] = self.last_step[source]
             changed = self.advance(news, {t: seeds.pop(t) for t in wave if t in seeds})
             waiting.difference_update(wave)
             for table in changed:
@@ -349,7 +363,7 @@ def cascade_delete(
     depends on them.  Null ids and ids without a row delete nothing."""
     run = _Cascade(tables, spec)
     run.run(roots)
-    return CascadeResult(spec, tables, {t: run.gone(t) for t in run.parts})
+    return CascadeResult(spec, tables, {t: run.gone(t) for t in run.last_step})
 
 
 def part_closure(df: DataFrame, roots: DataFrame, fk: str, key: str = ID) -> DataFrame:

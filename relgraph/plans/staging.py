@@ -16,6 +16,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, LongType, StringType, StructField, StructType
 
 
 def checkpoint_folder(spark: SparkSession) -> str:
@@ -62,26 +63,26 @@ class Staging:
         counted.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path), int(seen.get["rows"]), int(seen.get["met"])
 
-    def keep_keys(self, sets: Mapping[str, DataFrame], label: str = "keys") -> dict[str, tuple[DataFrame, int]]:
-        """Write several one-column key sets of one type in one job.
+    def append_keys(self, step: int, sets: Mapping[str, DataFrame], label: str = "keys") -> dict[str, int]:
+        """Add one step to several named key sets of one type, in one job.
 
-        They share one table partitioned by name, so reading one back touches
-        only its own files.  Returns name -> (frame, row count).
+        The sets share a table that is partitioned by step and name, so reading
+        a set, or its last steps, is one pruned scan however many steps there
+        are.  Returns the rows added per name.
         """
         names = sorted(sets)
         column = sets[names[0]].columns[0]
-        self._count += 1
-        path = f"{self.folder}/{self._count:04d}-{label}"
         seen = Observation()
         parts = [sets[n].select(column, F.lit(n).alias("_set")) for n in names]
         counts = [F.count_if(F.col("_set") == n).alias(f"n{i}") for i, n in enumerate(names)]
-        union = reduce(DataFrame.unionByName, parts)
-        union.observe(seen, *counts).write.partitionBy("_set").parquet(path)
-        kept = {}
-        for i, n in enumerate(names):
-            rows = int(seen.get[f"n{i}"] or 0)
-            # an empty set has no folder of its own
-            folder = f"{path}/_set={n}" if rows else path
-            frame = self.spark.read.schema(sets[n].schema).parquet(folder)
-            kept[n] = (frame if rows else frame.limit(0), rows)
-        return kept
+        union = reduce(DataFrame.unionByName, parts).observe(seen, *counts)
+        union.write.partitionBy("_set").parquet(f"{self.folder}/{label}/_step={step}")
+        return {n: int(seen.get[f"n{i}"] or 0) for i, n in enumerate(names)}
+
+    def keys(self, name: str, column: str, key_type: DataType, label: str = "keys", after: int = 0) -> DataFrame:
+        """One key set of :meth:`append_keys`, from the steps after ``after``."""
+        schema = StructType(
+            [StructField(column, key_type), StructField("_step", LongType()), StructField("_set", StringType())]
+        )
+        rows = self.spark.read.schema(schema).parquet(f"{self.folder}/{label}")
+        return rows.where((F.col("_set") == name) & (F.col("_step") > after)).select(column)

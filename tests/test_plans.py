@@ -140,3 +140,16 @@ def test_staging_uses_the_folder_of_the_session(spark):
     assert stage.keep(kept.where("id > 9"))[1] == 0
     assert stage.keep_counting(kept, F.col("id") > 2)[1:] == (5, 2)
     assert stage.keep_counting(kept.limit(0), F.col("id") > 2)[1:] == (0, 0)
+
+
+def test_many_steps_of_a_key_set_are_one_scan(spark):
+    stage = Staging(spark)
+    for step in range(1, 6):
+        sets = {"a": spark.range(step).toDF("id"), "b": spark.range(0).toDF("id")}
+        assert stage.append_keys(step, sets) == {"a": step, "b": 0}
+    kind = spark.range(1).schema["id"].dataType
+    assert stage.keys("a", "id", kind).count() == 15
+    assert stage.keys("a", "id", kind, after=3).count() == 9
+    assert stage.keys("b", "id", kind).count() == 0
+    plan = plan_of(stage.keys("a", "id", kind, after=3))
+    assert plan.count("FileScan") == 1 and "PartitionFilters: [isnotnull" in plan
