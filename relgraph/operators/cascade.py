@@ -20,12 +20,11 @@ from pyspark.sql.types import DataType
 
 from relgraph.operators.deletion import (
     ID,
-    delete_unreferenced,
-    dispatch_subclasses,
     key_set,
     key_union,
     select_by_lineage,
     set_null,
+    unreferenced_of,
     with_keys,
     without_keys,
 )
@@ -38,6 +37,7 @@ from relgraph.plans.spec import (
     Link,
     Reference,
     RelationSpec,
+    SharedKey,
     reachable,
 )
 from relgraph.plans.staging import Staging
@@ -196,20 +196,28 @@ class _Cascade:
         for source, refs in self._holders(table, COMPOSITION).items():
             if source in news:
                 out.append(self._held(source, refs, news[source]))
+        risen = [
+            news[k.sub] for k in spec.shared_keys if k.base == table and not k.hook and k.sub in news
+        ]
+        if risen:
+            # most of these came down from this table: when none is left, it is not scanned
+            known, ids = self.gone(table), _union(risen)
+            ids = ids if known is None else without_keys(ids, ID, known)
+            out.append(with_keys(self.rows(table), ID, ids))
         for shared in spec.shared_keys:
-            if shared.base == table and not shared.hook and shared.sub in news:
-                out.append(with_keys(self.rows(table), ID, news[shared.sub]))
             if shared.sub == table and shared.base in news:
                 ids = news[shared.base]
                 if not shared.hook and shared.class_ids:
-                    objects = self.tables[spec.class_table or shared.base]
-                    key = spec.keys[spec.class_table or shared.base]
-                    ids = dispatch_subclasses(
-                        objects, ids, dict.fromkeys(shared.class_ids, table), spec.class_column, key
-                    ).select(ID)
+                    ids = self._of_classes(ids, shared)
                 out.append(with_keys(self.rows(table), ID, ids))
         return out
 
+    def _of_classes(self, ids: DataFrame, shared: SharedKey) -> DataFrame:
+        """The ids whose object class the base table routes to the sub table."""
+        name = self.spec.class_table or shared.base
+        objects = self.rows(name, self.spec.class_column)
+        return with_keys(objects.where(F.col(self.spec.class_column).isin(*shared.class_ids)), ID, ids).select(ID)
+
     def _holders(self, target: str, kind: str) -> dict[str, list[Reference]]:
         """Owning foreign keys to one target, per table; mixed kinds aggregate."""
         groups: dict[str, list[Reference]] = {}
@@ -283,7 +291,7 @@ class _Cascade:
             if gone is not None:
                 rows = without_keys(with_keys(rows, column, candidates), owner, gone)
             referrers.append((rows, column))
-        return delete_unreferenced(free, referrers)
+        return unreferenced_of(free, referrers)
 
     def keep(self, sets: dict[str, DataFrame], label: str) -> list[str]:
         """Write the key sets of one wave, one job per key type; the tables

@@ -93,13 +93,19 @@ def delete_unreferenced(
     decides.
     """
     keys = key_set(candidates)
-    referrers = list(referrers)
     if kind == ASSOCIATION:
         return keys.limit(0)
-    if kind == COMPOSITION or not referrers:
+    return keys if kind == COMPOSITION else unreferenced_of(keys, list(referrers))
+
+
+def unreferenced_of(keys: DataFrame, referrers: Sequence[tuple[DataFrame, str]]) -> DataFrame:
+    """Those of some distinct keys that no referrer contains."""
+    if not referrers:
         return keys
-    used = key_union([with_keys(key_set(df, column), ID, keys) for df, column in referrers])
-    return without_keys(keys, ID, used)
+    # a small key set is joined below the aggregation, as a broadcast; with a
+    # large one the referring keys are distinct before they are shuffled
+    used = [with_keys(key_set(df, column), ID, keys) for df, column in referrers]
+    return without_keys(keys, ID, key_union(used))
 
 
 def owners_all_null(df: DataFrame, candidates: DataFrame, owner_columns: Sequence[str], key: str = ID) -> DataFrame:

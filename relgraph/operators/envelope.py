@@ -154,12 +154,14 @@ def roll_up(
     keys: Mapping[str, str],
     geometry: Mapping[str, DataFrame],
     parts: Sequence[Part],
+    keep: bool = False,
 ) -> dict[str, DataFrame]:
     """(id, box) per table, each box around the object and all below it.
 
     ``geometry`` holds the own contributions of the tables that have some.
     Tables are taken bottom-up, one aggregation each; boxes that several
-    parents need are written once.  Tables that contain each other, or
+    parents need are written once, and with ``keep`` those of every table, for
+    callers that use several levels.  Tables that contain each other, or
     themselves, are relaxed in rounds until no box grows.
     """
     parts = list(dict.fromkeys(parts))
@@ -186,7 +188,7 @@ def roll_up(
             boxes.update(_relax(tables, keys, inner, {t: boxes[t] for t in group if t in boxes}, stage))
         else:
             table = group[0]
-            if table in boxes and sum(p.child == table for p in parts) > 1:
+            if table in boxes and (keep or sum(p.child == table for p in parts) > 1):
                 boxes[table], _ = stage.keep(boxes[table], f"{table}-boxes")
     return boxes
 
@@ -202,7 +204,10 @@ def _contribution(tables, keys, part: Part, child_boxes: DataFrame) -> DataFrame
 
 
 def _relax(tables, keys, parts: Sequence[Part], boxes: dict[str, DataFrame], stage: Staging) -> dict[str, DataFrame]:
-    """Push grown boxes one level up per round; only grown boxes travel on."""
+    """Push grown boxes one level up per round; only grown boxes travel on.
+
+    Rounds are levels of nesting, of which feature models have few.
+    """
     log: dict[str, list[DataFrame]] = {}
     grown: dict[str, DataFrame] = {}
     for table, frame in boxes.items():

@@ -259,13 +259,11 @@ class _Shred:
         carried = where.columns if where.way == C.CHILD_KEY else ()
         if ID in element.names:
             # the same object may be nested in several owners
-            values = [F.first(c, ignorenulls=True).alias(c) for c in element.names if c != ID]
-            values += [F.min(OWNER).alias(c) for c in carried]
             if carried or (where.way == C.OWN_KEY and not array):
-                self.take(prop.target, _first_of_each(rows, values), carried)
+                self.take(prop.target, _one_of_each(rows, carried), carried)
                 return None
             rows, _ = self.stage.keep(rows, prop.name)
-            self.take(prop.target, _first_of_each(rows, values))
+            self.take(prop.target, _one_of_each(rows, ()))
             return rows.select(OWNER, F.col(ID).alias(TARGET))
         space, last = self.used_keys(prop.target)
         order = [OWNER, POSITION] if self.ordered_keys else []
@@ -344,9 +342,18 @@ def _given_key(column: str, data_type: T.DataType) -> Column | None:
     return None if isinstance(data_type, T.ArrayType) else F.col(column)
 
 
-def _first_of_each(rows: DataFrame, values: list[Column]) -> DataFrame:
+def _one_of_each(rows: DataFrame, carried: Sequence[str]) -> DataFrame:
+    """One whole row per id, the same one in every run, and its smallest owner."""
     rows = rows.where(F.col(ID).isNotNull())
-    return rows.groupBy(ID).agg(*values) if values else rows.select(ID).distinct()
+    fields = [c for c in rows.columns if c not in (ID, OWNER, POSITION)]
+    owners = [F.min(OWNER).alias(c) for c in carried]
+    if not fields:
+        return rows.groupBy(ID).agg(*owners) if owners else rows.select(ID).distinct()
+    if any("map<" in rows.schema[c].dataType.simpleString() for c in fields):
+        picked = F.first(F.struct(*fields))
+    else:
+        picked = F.max(F.struct(*fields))
+    return rows.groupBy(ID).agg(picked.alias("_row"), *owners).select(ID, "_row.*", *carried)
 
 
 def _union_by_name(parts: Sequence[DataFrame]) -> DataFrame:

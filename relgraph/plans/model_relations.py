@@ -22,13 +22,13 @@ from relgraph.plans.spec import (
 SURFACES, TEMPLATES = "surface_geometry", "implicit_geometry"
 
 
-def _kind(model: ClassModel, prop: Property) -> str:
+def relation_kind(model: ClassModel, prop: Property) -> str:
     """Objects without an identity of their own always belong to their owner."""
     return COMPOSITION if model[prop.target].value else prop.kind
 
 
 def _property(model: ClassModel, owner: str, prop: Property) -> list[Reference | Link]:
-    where, kind = model.storage(owner, prop), _kind(model, prop)
+    where, kind = model.storage(owner, prop), relation_kind(model, prop)
     here, there = model.table(owner), model.table(prop.target)
     if where.way == C.OWN_KEY:
         return [Reference(here, where.columns[0], there, kind, "target", on_delete("1:1", kind))]

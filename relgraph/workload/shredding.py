@@ -6,8 +6,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relgraph.functions.boxes import point
+from relgraph.functions.boxes import point, sides
 from relgraph.operators import shred as S
+from relgraph.operators.object_boxes import object_boxes
 from relgraph.plans import classes as C
 from relgraph.plans.classes import Attribute, ClassModel, ClassType, Property
 from relgraph.plans.spec import AGGREGATION, COMPOSITION
@@ -332,20 +333,22 @@ def shred_join(spark, folder):
 # --- geometry --------------------------------------------------------------
 
 
+SITE_MODEL = ClassModel(
+    [
+        ClassType(
+            "Site",
+            (
+                Attribute("shell", C.SURFACE),
+                Attribute("route", C.LINE),
+                Attribute("shape", C.HYBRID),
+                Attribute("lod2Model", C.IMPLICIT),
+            ),
+        )
+    ]
+)
+
+
 def _geometry_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    model = ClassModel(
-        [
-            ClassType(
-                "Site",
-                (
-                    Attribute("shell", C.SURFACE),
-                    Attribute("route", C.LINE),
-                    Attribute("shape", C.HYBRID),
-                    Attribute("lod2Model", C.IMPLICIT),
-                ),
-            )
-        ]
-    )
     p = point("c_custkey", "c_nationkey", "c_acctbal")
     q = point("c_nationkey", F.lit(1), F.lit(2))
     sites = table(spark, folder, "customer").select(
@@ -359,10 +362,10 @@ def _geometry_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
         F.struct(
             F.when(F.col("c_nationkey") > 3, F.array(q)).alias("template"),
             q.alias("ref_point"),
-            F.concat(F.lit("1 0 0 "), F.col("c_nationkey")).alias("transformation"),
+            F.concat(F.lit("1 0 0 "), F.col("c_nationkey"), F.lit(" 0 1 0 0 0 0 1 0")).alias("transformation"),
         ).alias("lod2Model"),
     )
-    return S.shred({"Site": sites}, model, ordered_keys=True)
+    return S.shred({"Site": sites}, SITE_MODEL, ordered_keys=True)
 
 
 def shred_geometry(spark, folder):
@@ -390,6 +393,12 @@ def shred_templates(spark, folder):
     return rows.select("id", F.col("relative_other_geom")[0]["x"].alias("x"))
 
 
+def shred_object_boxes(spark, folder):
+    """Envelopes of the sites from everything their tables hold."""
+    boxes = object_boxes(_geometry_tables(spark, folder), SITE_MODEL)["site"]
+    return boxes.select("id", *sides())
+
+
 QUERIES = {
     f.__name__: f
     for f in [
@@ -413,6 +422,7 @@ QUERIES = {
         shred_geometry,
         shred_surfaces,
         shred_templates,
+        shred_object_boxes,
     ]
 }
 
@@ -487,7 +497,7 @@ ORACLES = {
         with {_ROOTS}
         select c.c_custkey as id, sh.root as shell_id, 2 as route_points, c_acctbal as route_z, hy.root as shape_brep_id,
                case when c_acctbal <= 0 then c_acctbal end as shape_z, tp.rep as lod2_implicit_rep_id,
-               c.c_nationkey::double as ref_x, '1 0 0 ' || c.c_nationkey as lod2_implicit_transformation
+               c.c_nationkey::double as ref_x, '1 0 0 ' || c.c_nationkey || ' 0 1 0 0 0 0 1 0' as lod2_implicit_transformation
         from customer c left join sh on sh.c_custkey = c.c_custkey left join hy on hy.c_custkey = c.c_custkey
         left join tp on tp.c_nationkey = c.c_nationkey""",
     "shred_surfaces": f"""
@@ -495,5 +505,12 @@ ORACLES = {
         select root as root_id, 0 as position, 2 as points, c_custkey::double as x from sh
         union all select root, 1, 1, c_nationkey::double from sh join customer using (c_custkey)
         union all select root, 0, 1, c_custkey::double from hy""",
+    "shred_object_boxes": """
+        with g as (
+            select c_custkey as id, c_custkey::double as x, c_nationkey::double as y, c_acctbal as z from customer
+            union all select c_custkey, c_nationkey, 1, 2 from customer
+            union all select c_custkey, 3 * c_nationkey, 2, 4 from customer where c_nationkey > 3)
+        select id, min(x) as xmin, min(y) as ymin, min(z) as zmin, max(x) as xmax, max(y) as ymax, max(z) as zmax
+        from g group by id""",
     "shred_templates": f"with {_ROOTS} select rep as id, c_nationkey::double as x from tp",
 }

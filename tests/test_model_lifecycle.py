@@ -3,7 +3,7 @@
 from conftest import values
 
 from relgraph.operators.cascade import cascade_delete
-from relgraph.operators.envelope import Part, roll_up, root_boxes
+from relgraph.operators.object_boxes import object_boxes
 from relgraph.operators.shred import shred
 from relgraph.plans import classes as C
 from relgraph.plans.classes import Attribute, ClassModel, ClassType, Property
@@ -78,13 +78,30 @@ def test_shredded_rows_are_deleted_and_rolled_up(spark):
     assert values(result.survivors("plant"), "id", "site_tree_id", "garden_plant_id") == [(101, None, 50), (102, 2, None)]
     assert values(result.blocked) == []
 
-    shells = root_boxes(tables["surface_geometry"])
-    from relgraph.operators.envelope import parent_key_contribution
+    boxes = object_boxes(tables, MODEL)
+    cube = ["id", "box.xmin", "box.zmax"]
+    assert values(boxes["house"].selectExpr(*cube)) == [(10, 0.0, 8.0), (11, 7.0, 8.0), (20, 4.0, 9.0)]
+    assert values(boxes["site"].selectExpr(*cube)) == [(1, 0.0, 8.0), (2, 2.0, 9.0)]
+    assert values(boxes["garden"].selectExpr(*cube)) == [(50, 1.0, 1.0)]
 
-    own = {"house": parent_key_contribution(tables["house"], "shell_id", shells)}
-    parts = [Part("house", "house", "house_parent_id"), Part("site", "house", "site_house_id")]
-    boxes = roll_up(tables, {"house": "id", "site": "id"}, own, parts)
-    assert values(boxes["site"].selectExpr("id", "box.xmin", "box.xmax")) == [(1, 0.0, 8.0), (2, 4.0, 9.0)]
+
+def test_boxes_meet_over_inheritance_and_skip_root_and_stored_boxes(spark):
+    model = ClassModel([
+        ClassType("Thing", (Attribute("trace", C.LINE),), class_id=1),
+        ClassType("House", (Attribute("path", C.LINE), Attribute("boundedBy", C.LINE)), base="Thing", class_id=2),
+        ClassType("Town", (), (Property("house", "House", kind=COMPOSITION), Property("near", "House"))),
+    ])
+    line = f"cast(array(named_struct('x', {{0}}, 'y', {{0}}, 'z', {{0}})) as array<{POINT}>)"
+    house = spark.sql(
+        f"select 5L as id, {line.format(1)} as trace, {line.format(3)} as path, {line.format(99)} as boundedBy"
+    )
+    town = spark.sql("select 1L as id, array(5L) as house, array(6L) as near")
+    tables = shred({"House": house, "Town": town}, model)
+    cube = ["id", "box.xmin", "box.xmax"]
+    boxes = object_boxes(tables, model)
+    assert values(boxes["thing"].selectExpr(*cube)) == [(5, 1.0, 3.0)]
+    assert values(boxes["town"].selectExpr(*cube)) == [(1, 1.0, 3.0)]
+    assert values(object_boxes(tables, model, root="Thing", keep=True)["town"].selectExpr(*cube)) == [(1, 3.0, 3.0)]
 
 
 def test_class_ids_of_shared_keys():
