@@ -14,6 +14,9 @@ RUNTIME_SETTINGS = {
     # operator above it one more exchange.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Hash instead of sorting both sides where every partition of a key set is
+    # known to be small.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
 }
 
 
