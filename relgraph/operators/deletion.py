@@ -194,17 +194,17 @@ def extension_objects(
     objects: DataFrame,
     classes: DataFrame,
     extensions: DataFrame,
-    extension_id: str,
+    extension: str,
     class_column: str = "objectclass_id",
     key: str = ID,
 ) -> DataFrame:
     """(id, class) of all objects whose class belongs to one extension.
 
-    ``classes(id, ade_id)`` and ``extensions(id, adeid)`` are class registries
-    of a few hundred rows; ``objects`` is scanned once.
+    ``classes(id, extension_id)`` and ``extensions(id, name)`` are class
+    registries of a few hundred rows; ``objects`` is scanned once.
     """
-    picked = extensions.where(F.col("adeid") == F.lit(extension_id)).select(F.col("id").alias("_ext"))
-    owned = classes.select(F.col("id").alias("_class"), F.col("ade_id").alias("_ext")).join(picked, "_ext")
+    picked = extensions.where(F.col("name") == F.lit(extension)).select(F.col("id").alias("_ext"))
+    owned = classes.select(F.col("id").alias("_class"), F.col("extension_id").alias("_ext")).join(picked, "_ext")
     return (
         objects.select(F.col(key).alias(ID), F.col(class_column).alias("objectclass_id"))
         .join(owned.select(F.col("_class").alias("objectclass_id")), "objectclass_id", "left_semi")

@@ -287,9 +287,9 @@ def bridge_cleanup(spark, folder):
 def extension_objects(spark, folder):
     """Objects of the extension that owns the view and purchase classes."""
     classes = literal_rows(
-        spark, "id int, ade_id int", [(c, 7 if t in ("view", "purchase") else 8) for t, c in EVENT_CLASSES.items()]
+        spark, "id int, extension_id int", [(c, 7 if t in ("view", "purchase") else 8) for t, c in EVENT_CLASSES.items()]
     )
-    extensions = literal_rows(spark, "id int, adeid string", [(7, "ext-a"), (8, "ext-b")])
+    extensions = literal_rows(spark, "id int, name string", [(7, "ext-a"), (8, "ext-b")])
     return deletion.extension_objects(event_objects(spark, folder), classes, extensions, "ext-a")
 
 
