@@ -138,7 +138,7 @@ _TWO_OWNERS = """
 def _two_owner_parts(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "part").select(
         F.col("p_partkey").alias("id"),
-        F.expr("case when p_size > 40 then null else p_size div 2 end").alias("a_id"),
+        F.expr("case when p_size > 40 then null else cast(p_size div 2 as int) end").alias("a_id"),
         F.expr("case when p_retailprice > 950 then null else p_size % 5 end").alias("b_id"),
     )
 
