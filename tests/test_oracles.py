@@ -8,8 +8,8 @@ import pytest
 import __spark_entry__ as entry_module
 
 FOLDER = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01")
-QUERIES = entry_module.queries()
-SQL = entry_module.oracle_sql()
+QUERIES = {name: entry_module.queries()[name] for name in entry_module.CORE_QUERIES}
+SQL = {name: sql for name, sql in entry_module.oracle_sql().items() if name in QUERIES}
 NOT_IN_A_PLAN = [
     "CartesianProduct", "NestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroups", "InPandas"
 ]
