@@ -4,11 +4,48 @@ whole table and reduces the operator's output to the columns agreed on."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from relgraph.llm.benchmark_search import find_benchmark, words_hit
+from relgraph.llm.license_scan import scan_licenses
+from relgraph.llm.personal_data import BASE_KINDS, count_of, find_personal_data, joined_spans
 from relgraph.llm.quality_rules import apply_quality_rules
 from relgraph.llm.scan import read_documents
 
 
+def op3_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found = scan_licenses(read_documents(spark, folder), keep=["doc_id"])
+    words = F.transform("places", lambda p: p["word"])
+    base = F.transform("places", lambda p: p["label"])
+    both = F.concat(base, F.transform("blocks", lambda b: b["label"]))
+    best = F.coalesce(F.array_max(F.transform("blocks", lambda b: b["containment"])), F.lit(0.0))
+
+    def joined(labels):
+        return F.array_join(F.array_sort(F.array_distinct(labels)), ",")
+
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("places").cast("bigint").alias("n_base"),
+        F.array_min(words).alias("first_word"),
+        F.array_max(words).alias("last_word"),
+        joined(base).alias("base_labels"),
+        joined(both).alias("labels"),
+        F.when(F.size("places") > 0, 1.0).otherwise(best).alias("score"),
+    )
+
+
+def op6_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    found = find_personal_data(read_documents(spark, folder), keep=["doc_id"])
+    base = F.filter("spans", lambda s: s["kind"].isin(*BASE_KINDS))
+    return found.select(
+        "doc_id",
+        *[count_of(kind).alias(f"n_{kind}") for kind in BASE_KINDS],
+        F.sha2(joined_spans(base), 256).alias("base_sha256"),
+        joined_spans(F.col("spans")).alias("spans"),
+    )
+
+
 def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return apply_quality_rules(read_documents(spark, folder), keep=["doc_id"]).select(
         "doc_id",
@@ -24,7 +61,23 @@ def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op10_benchmark(spark: SparkSession, folder: str) -> DataFrame:
+    documents, benchmark = read_documents(spark, folder), read_documents(spark, folder, "benchmark")
+    hit = words_hit("runs")
+    return find_benchmark(documents, benchmark, keep=["doc_id"]).select(
+        "doc_id",
+        "n_words",
+        hit.alias("n_hit"),
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (hit > 0).alias("contaminated"),
+    )
+
+
 QUERIES = {
+    "op3_license_scan": op3_license_scan,
+    "op6_personal_data": op6_personal_data,
     "op9_quality_rules": op9_quality_rules,
+    "op10_benchmark": op10_benchmark,
 }
 ORACLES: dict[str, str] = {}
