@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from relgraph.llm.benchmark_search import find_benchmark, words_hit
 from relgraph.llm.license_scan import scan_licenses
+from relgraph.llm.packing import pack_documents
 from relgraph.llm.personal_data import BASE_KINDS, count_of, find_personal_data, joined_spans
 from relgraph.llm.quality_rules import apply_quality_rules
 from relgraph.llm.scan import read_documents
@@ -46,6 +47,12 @@ def op6_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return pack_documents(read_documents(spark, folder), keep=["doc_id"]).select(
+        "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"
+    )
+
+
 def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return apply_quality_rules(read_documents(spark, folder), keep=["doc_id"]).select(
         "doc_id",
@@ -77,6 +84,7 @@ def op10_benchmark(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op3_license_scan": op3_license_scan,
     "op6_personal_data": op6_personal_data,
+    "op8_packing": op8_packing,
     "op9_quality_rules": op9_quality_rules,
     "op10_benchmark": op10_benchmark,
 }
