@@ -8,12 +8,18 @@ from pyspark.sql import functions as F
 
 from relgraph.llm.benchmark_search import find_benchmark, words_hit
 from relgraph.llm.license_scan import scan_licenses
+from relgraph.llm.near_dups import fingerprint_hex, near_duplicate_groups
 from relgraph.llm.packing import pack_documents
 from relgraph.llm.personal_data import BASE_KINDS, count_of, find_personal_data, joined_spans
 from relgraph.llm.quality_rules import apply_quality_rules
 from relgraph.llm.scan import read_documents
 
 
+def op1_near_dups(spark: SparkSession, folder: str) -> DataFrame:
+    groups = near_duplicate_groups(read_documents(spark, folder), keep=["doc_id"])
+    return groups.select("doc_id", fingerprint_hex(F.col("fingerprint")).alias("fingerprint"), "component_id")
+
+
 def op3_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     found = scan_licenses(read_documents(spark, folder), keep=["doc_id"])
     words = F.transform("places", lambda p: p["word"])
@@ -82,6 +88,7 @@ def op10_benchmark(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_near_dups": op1_near_dups,
     "op3_license_scan": op3_license_scan,
     "op6_personal_data": op6_personal_data,
     "op8_packing": op8_packing,
