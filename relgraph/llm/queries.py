@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from relgraph.llm.benchmark_search import find_benchmark, words_hit
+from relgraph.llm.language_crf import identify_languages, train, training_sample
 from relgraph.llm.license_scan import scan_licenses
 from relgraph.llm.near_dups import fingerprint_hex, near_duplicate_groups
 from relgraph.llm.packing import pack_documents
@@ -42,6 +43,15 @@ def op3_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_language(spark: SparkSession, folder: str) -> DataFrame:
+    documents = read_documents(spark, folder)
+    third = "crc32(cast(doc_id as string)) % 3"
+    model = train(training_sample(documents, f"{third} <> 1", "doc_id", "text", "lang"))
+    return identify_languages(documents, model, keep=["doc_id"]).select(
+        "doc_id", F.expr(f"coalesce({third} = 1, false)").alias("held_out"), "lang_pred", "score"
+    )
+
+
 def op6_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     found = find_personal_data(read_documents(spark, folder), keep=["doc_id"])
     base = F.filter("spans", lambda s: s["kind"].isin(*BASE_KINDS))
@@ -90,6 +100,7 @@ def op10_benchmark(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_near_dups": op1_near_dups,
     "op3_license_scan": op3_license_scan,
+    "op4_language": op4_language,
     "op6_personal_data": op6_personal_data,
     "op8_packing": op8_packing,
     "op9_quality_rules": op9_quality_rules,
