@@ -12,6 +12,7 @@ from relgraph.llm.license_scan import scan_licenses
 from relgraph.llm.near_dups import fingerprint_hex, near_duplicate_groups
 from relgraph.llm.packing import pack_documents
 from relgraph.llm.personal_data import BASE_KINDS, count_of, find_personal_data, joined_spans
+from relgraph.llm.quality_model import classify_quality
 from relgraph.llm.quality_rules import apply_quality_rules
 from relgraph.llm.scan import read_documents
 
@@ -52,6 +53,13 @@ def op4_language(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
+    documents, labels = read_documents(spark, folder), read_documents(spark, folder, "labels")
+    return classify_quality(documents, labels, keep=["doc_id"]).select(
+        "doc_id", "text_log_odds", "host_rate", "path_rate", "p_bad", "rejected"
+    )
+
+
 def op6_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     found = find_personal_data(read_documents(spark, folder), keep=["doc_id"])
     base = F.filter("spans", lambda s: s["kind"].isin(*BASE_KINDS))
@@ -101,6 +109,7 @@ QUERIES = {
     "op1_near_dups": op1_near_dups,
     "op3_license_scan": op3_license_scan,
     "op4_language": op4_language,
+    "op5_quality": op5_quality,
     "op6_personal_data": op6_personal_data,
     "op8_packing": op8_packing,
     "op9_quality_rules": op9_quality_rules,

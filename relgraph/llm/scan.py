@@ -70,7 +70,7 @@ def scan_texts(
     """
     new = StructType.fromDDL(fields)
     carried = kept_columns(docs, new.names, keep)
-    source = docs.select(*[docs[f"`{c}`"] for c in carried], docs[f"`{text_col}`"].alias("__text"))
+    source = docs.select(*[docs[f"`{c}`"] for c in carried], docs[f"`{text_col}`"].alias("__scan_text"))
     schema = StructType([docs.schema[c] for c in carried] + list(new))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
