@@ -15,6 +15,7 @@ from relgraph.llm.personal_data import BASE_KINDS, count_of, find_personal_data,
 from relgraph.llm.quality_model import classify_quality
 from relgraph.llm.quality_rules import apply_quality_rules
 from relgraph.llm.scan import read_documents
+from relgraph.llm.secret_scan import scan_secrets
 
 
 def op1_near_dups(spark: SparkSession, folder: str) -> DataFrame:
@@ -71,6 +72,20 @@ def op6_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op7_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    found = scan_secrets(read_documents(spark, folder), keep=["doc_id"])
+    secrets = F.filter("findings", lambda f: f["is_secret"])
+    return found.select(
+        "doc_id",
+        F.size("findings").cast("bigint").alias("n_candidates"),
+        F.size(secrets).cast("bigint").alias("n_secrets"),
+        F.sha2(F.array_join(F.transform(secrets, lambda f: f["value"]), ","), 256).alias("secrets_sha256"),
+        F.array_max(F.transform("findings", lambda f: f["score"])).alias("top_score"),
+        F.length("redacted").cast("bigint").alias("redacted_chars"),
+        F.sha2("redacted", 256).alias("redacted_sha256"),
+    )
+
+
 def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack_documents(read_documents(spark, folder), keep=["doc_id"]).select(
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"
@@ -111,6 +126,7 @@ QUERIES = {
     "op4_language": op4_language,
     "op5_quality": op5_quality,
     "op6_personal_data": op6_personal_data,
+    "op7_secrets": op7_secrets,
     "op8_packing": op8_packing,
     "op9_quality_rules": op9_quality_rules,
     "op10_benchmark": op10_benchmark,

@@ -1,0 +1,81 @@
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from relgraph.llm.queries import op7_secrets
+from relgraph.llm.secret_scan import CANDIDATE, FEATURES, features_of, labelled_findings, scan_secrets, train_forest
+from relgraph.plans.staging import Staging
+
+FOLDER = "/root/testdata/sf0.1"
+
+
+def test_planted_secrets_are_found_and_others_left_alone(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    found = scan_secrets(docs, keep=["doc_id"]).collect()
+    assert len(found) == len(texts)
+    secret, hits = re.compile(r"\b(?:AKIA[0-9A-Z]{16}|[0-9a-f]{40}|[0-9A-F]{40}|(?<=password=)[0-9a-f]{18})\b"), 0
+    for r in found:
+        values = [f.value for f in r.findings]
+        assert values == re.findall(CANDIDATE, texts[r.doc_id])
+        want = secret.findall(texts[r.doc_id])
+        hits += len(want)
+        assert [f.value for f in r.findings if f.is_secret] == want
+        clean = secret.sub("[SECRET]", texts[r.doc_id])
+        assert r.redacted == clean
+    assert hits > 100
+
+
+def test_only_sql_on_the_main_path(spark):
+    df = op7_secrets(spark, "/root/testdata/sf0.001")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Exchange" not in plan
+    assert df.count() == spark.read.parquet("/root/testdata/sf0.001/documents.parquet").count()
+
+
+def test_features(rows):
+    df = rows("v string, b string, a string, p string", [("AKIAthe1234ooXYZ", 'my token = "', '" and so', "tests/x.env")])
+    c = features_of(F.col("v"), F.col("b"), F.col("a"), F.col("p"), ["the"])
+    (r,) = df.select(*[x.alias(n) for n, x in c.items()]).collect()
+    got = r.asDict()
+    assert set(got) == set(FEATURES)
+    assert (got["length"], got["digits"], got["upper"], got["lower"]) == (16, 4 / 16, 7 / 16, 5 / 16)
+    assert (got["dictionary"], got["doubles"], got["kind_changes"]) == (pytest.approx(3 / 16), 1 / 16, 3 / 16)
+    assert [got[n] for n in ("name_before", "assigned", "quoted", "word_after", "example_path", "setting_path")] == [1, 1, 1, 0, 1, 1]
+
+
+def test_the_expression_equals_the_model(spark):
+    from pyspark.ml.classification import RandomForestClassifier
+    from pyspark.ml.feature import VectorAssembler
+
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    known = labelled_findings(docs, "text", F.col("source"), ["the"], CANDIDATE, 500, Staging(spark))
+    forest = train_forest(known, trees=5, depth=4)
+    vectors = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(known)
+    model = RandomForestClassifier(numTrees=5, maxDepth=4, seed=7, featureSubsetStrategy="sqrt").fit(vectors)
+    out = vectors.withColumn("own", forest.score(F.col)).select("features", "own").limit(200).collect()
+    assert len(out) == 200 and all(r.own == pytest.approx(float(model.predictProbability(r.features)[1])) for r in out)
+
+
+def test_given_labels_decide(rows):
+    docs = rows("doc_id bigint, text string, source string", [(1, "checksum deadbeefdeadbeef0123 ok", "a"), (2, "key abcdefgh12345678ABCD ok", "a")])
+    given = [("cafebabecafebabe%04d" % i, "checksum ", " ok", "a", 0.0) for i in range(40)]
+    given += [("Qwertzuiop1234%02dABCDE" % i, "key ", " ok", "a", 1.0) for i in range(40)]
+    got = scan_secrets(docs, labelled=rows("value string, before string, after string, path string, label double", given)).collect()
+    assert [[f.is_secret for f in r.findings] for r in sorted(got)] == [[False], [True]]
+
+
+def test_odd_rows(odd_docs, rows):
+    many = " ".join(f"x{i:020d}" for i in range(20_000))
+    docs = odd_docs.withColumn("REDACTED", F.lit(1)).unionByName(
+        rows("doc_id bigint, text string", [(90, many), (91, 'password="' + "a1" * 5000 + '"'), (92, "a1" * 8)]), allowMissingColumns=True
+    )
+    got = scan_secrets(docs).collect()
+    assert len(got) == docs.count()
+    for r in got:
+        assert (r.redacted is None) == (r.text is None)
+        assert [f.value for f in r.findings] == re.findall(CANDIDATE, r.text or "") and [f.n for f in r.findings] == list(range(len(r.findings)))
+        if not any(f.is_secret for f in r.findings):
+            assert r.redacted == r.text
+    assert scan_secrets(rows("doc_id bigint, text string, source string", [])).collect() == []
