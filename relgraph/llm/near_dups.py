@@ -22,6 +22,7 @@ pairs of blocks being searched, so no task needs a whole hot bucket.
 from __future__ import annotations
 
 import math
+import zlib
 from collections.abc import Callable, Iterator, Sequence
 from itertools import combinations, islice
 
@@ -31,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from relgraph.llm.components import connected_components
-from relgraph.llm.scan import kept_columns, scan_texts, spaced_words
+from relgraph.llm.scan import columns_of, kept_columns, scan_texts, spaced_words
 from relgraph.plans.staging import Staging
 
 SHINGLE = 4
@@ -101,12 +102,13 @@ def segment_bits(segments: int) -> list[tuple[int, int]]:
     return [(a, b - a) for a, b in zip(edges, edges[1:], strict=False)]
 
 
-def chain_keys(fp: Column, max_distance: int, segments: int, chain: int) -> list[Column]:
-    """One bigint per start and set of equal segments; the number of the pair is in the key."""
+def chain_keys(fp: Column, salt: Column, max_distance: int, segments: int, chain: int) -> list[Column]:
+    """One bigint per start and set of equal segments; the salt and the number of the pair are in the key."""
     bits, keys = segment_bits(segments), []
+    sets = equal_segments(max_distance, segments, chain)
     for start in range(segments):
-        for places in equal_segments(max_distance, segments, chain):
-            key: Column = F.lit(len(keys)).cast("bigint")
+        for places in sets:
+            key: Column = salt.cast("bigint") * (segments * len(sets)) + len(keys)
             for place in places:
                 low, width = bits[(start + place) % segments]
                 part = F.shiftrightunsigned(fp, low).bitwiseAND(F.lit((1 << width) - 1).cast("bigint"))
@@ -162,10 +164,11 @@ def link_fingerprints(
     chain: int = CHAIN,
     block: int = BLOCK,
 ) -> DataFrame:
-    """(a, b) links that connect exactly what lies within ``max_distance`` of each other.
+    """(salt, a, b) links that connect exactly what lies within ``max_distance`` of each other.
 
-    ``fingerprints`` has a column ``fingerprint`` of different values.  All
-    pairs within the distance are connected, directly or through others.
+    ``fingerprints`` has ``fingerprint`` and ``salt`` (0 to 255), of different
+    values; only fingerprints of one salt are compared.  All pairs within the
+    distance are connected, directly or through others.
     """
     if not 1 <= chain <= segments or max_distance >= segments:
         raise ValueError("needs 1 <= chain <= segments and max_distance < segments")
@@ -176,11 +179,11 @@ def link_fingerprints(
         for s in range(segments)
         for places in equal_segments(max_distance, segments, chain)
     )
-    if key_bits + math.log2(segments * sets) > 62 or len({b for _, b in segment_bits(segments)}) > 1:
+    if key_bits + math.log2(256 * segments * sets) > 62 or len({b for _, b in segment_bits(segments)}) > 1:
         raise ValueError("segments must be equal and keys fit 62 bits")
 
     def keyed(df: DataFrame) -> DataFrame:
-        keys = chain_keys(F.col("fingerprint"), max_distance, segments, chain)
+        keys = chain_keys(F.col("fingerprint"), F.col("salt"), max_distance, segments, chain)
         return df.select("fingerprint", F.explode(F.array(*keys)).alias("key"))
 
     keys = keyed(fingerprints)
@@ -209,12 +212,16 @@ def link_fingerprints(
             edge = np.flatnonzero((rows[1, 1:] != rows[1, :-1]) | (rows[2, 1:] != rows[2, :-1])) + 1
             begin, end = np.concatenate([[0], edge]), np.concatenate([edge, [rows.shape[1]]])
             found: list[tuple[int, int]] = []
+            salts: list[int] = []
             for b in np.flatnonzero(end - begin > 1):
                 one = rows[:, begin[b] : end[b]]
-                start = (int(one[1, 0]) >> key_bits) // sets
-                found += bucket_links(one[0].view(np.uint64), masks[start])
+                salt, number = divmod(int(one[1, 0]) >> key_bits, segments * sets)
+                own = bucket_links(one[0].view(np.uint64), masks[number // sets])
+                found += own
+                salts += [salt] * len(own)
             pairs = np.array(found, np.uint64).reshape(-1, 2).view(np.int64)
-            return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+            columns = [pa.array(salts, pa.int32()), pa.array(pairs[:, 0]), pa.array(pairs[:, 1])]
+            return pa.RecordBatch.from_arrays(columns, names=["salt", "a", "b"])
 
         for batch in batches:
             if not batch.num_rows:
@@ -235,7 +242,7 @@ def link_fingerprints(
             yield links(np.concatenate(held, axis=1))
 
     dealt = keys.select("fingerprint", "key", "cell").repartition("key", "cell").sortWithinPartitions("key", "cell")
-    return dealt.mapInArrow(search, "a bigint, b bigint")
+    return dealt.mapInArrow(search, "salt int, a bigint, b bigint")
 
 
 def near_duplicate_groups(
@@ -262,7 +269,7 @@ def near_duplicate_groups(
     marked, _ = staging.keep(add_fingerprints(docs, text_col, carried, shingle), "fingerprints")
     nodes = marked.groupBy("fingerprint").agg(F.min(f"`{id_col}`").alias("__least"))
     nodes, _ = staging.keep(nodes, "nodes")
-    links = link_fingerprints(nodes.select("fingerprint"), staging, max_distance, segments, chain, block)
+    links = link_fingerprints(nodes.select("fingerprint", F.lit(0).alias("salt")), staging, max_distance, segments, chain, block)
     roots = connected_components(links, staging)
     linked = nodes.join(roots, F.col("fingerprint") == F.col("node")).select("fingerprint", "root", "__least")
     linked, _ = staging.keep(linked, "linked")
@@ -277,3 +284,112 @@ def near_duplicate_groups(
 def fingerprint_hex(fp: Column) -> Column:
     """16 lower-case hexadecimal digits."""
     return F.lpad(F.lower(F.hex(fp)), 16, "0")
+
+
+# ---- groups by similarity ---------------------------------------------------------------------------------------
+
+
+def word_set_fingerprint(words: set[bytes], seed: int) -> int:
+    """SimHash of a set of words, as a signed 64-bit number."""
+    import xxhash
+
+    if not words:
+        return 0
+    digests = b"".join([xxhash.xxh64_digest(w, seed) for w in words])
+    count = np.zeros(64, np.int64)
+    raw = np.frombuffer(digests, np.uint8).reshape(-1, 8)
+    for at in range(0, len(raw), SHINGLES_AT_ONCE):
+        count += np.add.reduce(np.unpackbits(raw[at : at + SHINGLES_AT_ONCE], axis=1), axis=0, dtype=np.int32)
+    return int.from_bytes(np.packbits(2 * count > len(words)).tobytes(), "big", signed=True)
+
+
+def sketch(words: list[bytes], shingle: int, size: int) -> bytes:
+    """The ``size`` smallest different hashes of the word shingles, sorted."""
+    width = min(shingle, len(words))
+    if not width:
+        return b""
+    hashes = {zlib.crc32(b" ".join(s)) for s in zip(*[words[i:] for i in range(width)], strict=False)}
+    return np.sort(np.fromiter(hashes, np.uint32, len(hashes)))[:size].astype("<u4").tobytes()
+
+
+def sketch_similarity(one: bytes, other: bytes, size: int) -> float:
+    """Jaccard similarity of two shingle sets; exact if both fit the sketch."""
+    a, b = np.frombuffer(one, "<u4"), np.frombuffer(other, "<u4")
+    union = np.union1d(a, b)[:size]
+    both = np.intersect1d(a, b, assume_unique=True)
+    return float(np.isin(union, both).sum() / len(union)) if len(union) else 1.0
+
+
+def mark_representatives(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    keep: Sequence[str] | None = None,
+    shingle: int = 5,
+    similarity: float = 0.8,
+    seeds: int = 4,
+    max_distance: int = MAX_DISTANCE,
+    sketch_size: int = 256,
+) -> DataFrame:
+    """Append ``representative``: true for one document of each group of near-duplicates.
+
+    Documents are near-duplicates if their sets of word shingles have at least
+    the given Jaccard similarity; groups are what such links connect.  64 bits
+    over shingles cannot tell 0.8 within few differing bits, as one changed
+    word changes ``shingle`` shingles.  So candidates are documents whose
+    *word sets* have near fingerprints under one of several hash seeds (found
+    by :func:`link_fingerprints`), and each candidate link is verified on the
+    shingles: exactly up to ``sketch_size`` different shingles, else by a
+    bottom-k estimate.  The smallest id is kept, nulls last; of repeated rows
+    one.  Texts without words are copies of each other.
+    """
+    carried = kept_columns(docs, ["representative"], keep)
+    staging = Staging(docs.sparkSession)
+
+    def make() -> Callable:
+        import xxhash
+
+        def one(text: bytes | None) -> tuple:
+            words = spaced_words((text or b"").lower())
+            own = set(words)
+            key = xxhash.xxh64_intdigest(b" ".join(words)) - 2**63
+            return key, [word_set_fingerprint(own, s) for s in range(seeds)], sketch(words, shingle, sketch_size)
+
+        return lambda texts: columns_of([one(t) for t in texts], 3)
+
+    numbered = docs.withColumn("__row", F.monotonically_increasing_id())
+    fields = "__key bigint, __fps array<bigint>, __sketch binary"
+    marked, _ = staging.keep(scan_texts(numbered, fields, make, text_col, [*carried, "__row"]), "marked")
+    place = F.struct(F.col(f"`{id_col}`").isNull().alias("no_id"), F.col(f"`{id_col}`").alias("id"), F.col("__row").alias("row"))
+    nodes = marked.groupBy("__key").agg(
+        F.min(place).alias("keeper"), F.first("__fps").alias("fps"), F.first("__sketch").alias("sketch")
+    )
+    nodes, _ = staging.keep(nodes, "nodes")
+    prints = nodes.select("__key", F.posexplode("fps").alias("salt", "fingerprint"))
+    owners = prints.groupBy("salt", "fingerprint").agg(F.min("__key").alias("owner"))
+    owners, _ = staging.keep(owners, "owners")
+    links = link_fingerprints(owners.select("fingerprint", "salt"), staging, max_distance)
+    links, _ = staging.keep(links.distinct(), "candidates")
+    left, right = (owners.select("salt", F.col("fingerprint").alias(c), F.col("owner").alias(f"o{c}")) for c in "ab")
+    pairs = links.join(left, ["salt", "a"]).join(right, ["salt", "b"]).select(F.col("oa").alias("a"), F.col("ob").alias("b"))
+    same = prints.join(owners, ["salt", "fingerprint"]).where("__key <> owner").select(F.col("__key").alias("a"), F.col("owner").alias("b"))
+    pairs = pairs.union(same).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct()
+    pairs, _ = staging.keep(pairs, "pairs")
+    for c in "ab":
+        pairs = pairs.join(nodes.select(F.col("__key").alias(c), F.col("sketch").alias(f"s{c}")), c)
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            both = zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)
+            good = [sketch_similarity(x, y, sketch_size) >= similarity for x, y in both]
+            yield batch.select([0, 1]).filter(pa.array(good, pa.bool_()))
+
+    verified = pairs.select("a", "b", "sa", "sb").mapInArrow(verify, "a bigint, b bigint")
+    roots = connected_components(verified, staging)
+    named = nodes.select("__key", "keeper").join(roots, F.col("__key") == F.col("node"), "left")
+    kept = named.groupBy(F.coalesce("root", "__key")).agg(F.min("keeper").alias("keeper")).select(
+        F.col("keeper.row").alias("__row"), F.lit(True).alias("__kept")
+    )
+    return marked.join(kept, "__row", "left").select(
+        *[F.col(f"`{c}`") for c in carried], F.coalesce("__kept", F.lit(False)).alias("representative")
+    )

@@ -6,7 +6,9 @@ import pytest
 import xxhash
 
 from relgraph.llm.components import connected_components
-from relgraph.llm.near_dups import bucket_links, budgets, chain_masks, equal_segments, link_fingerprints, near_duplicate_groups
+from relgraph.llm.near_dups import (
+    bucket_links, budgets, chain_masks, equal_segments, link_fingerprints, mark_representatives, near_duplicate_groups, sketch, sketch_similarity,
+)
 from relgraph.llm.queries import op1_near_dups
 from relgraph.plans.staging import Staging
 
@@ -93,9 +95,11 @@ def test_links_connect_what_brute_force_connects(spark, rows, block):
     fps |= cloud(draw, 3000, spread=16)
     fps = sorted(fps)
     signed = [f - 2**64 if f >= 2**63 else f for f in fps]
-    df = rows("fingerprint bigint", [(f,) for f in signed])
+    df = rows("fingerprint bigint, salt int", [(f, k) for f in signed for k in (0, 3)])
     staging = Staging(spark)
-    got = {r.node: r.root for r in connected_components(link_fingerprints(df, staging, block=block), staging).collect()}
+    links, _ = staging.keep(link_fingerprints(df, staging, block=block))
+    assert {r.salt for r in links.select("salt").distinct().collect()} == {0, 3}
+    got = {r.node: r.root for r in connected_components(links.where("salt = 3"), staging).collect()}
     want = components(fps)
     group = {}
     for f, root in zip(signed, want, strict=True):
@@ -131,3 +135,37 @@ def test_odd_rows(odd_docs, rows):
         least = min((r.doc_id for r in own if r.doc_id is not None), default=None)
         assert {r.component_id for r in own} == {least}
     assert near_duplicate_groups(rows("doc_id bigint, text string", [])).collect() == []
+
+
+def test_representatives(rows):
+    draw = random.Random(6)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    data, groups = [], {}
+    for g in range(60):
+        words = draw.choices(vocabulary, k=draw.choice([8, 60, 300, 900]))
+        for copy in range(g % 4 + 1):
+            own = list(words)
+            if len(own) > 50:
+                for at in draw.sample(range(len(own)), len(own) // 200 + (copy > 0)):
+                    own[at] = draw.choice(vocabulary)
+            i = len(data)
+            data.append((i, " ".join(own), "x"))
+            groups[i] = g
+    data += [(None, data[0][1], None), (data[1][0], data[1][1], None), (900, None, None), (901, "", None), (902, " ", None)]
+    got = mark_representatives(rows("doc_id bigint, text string, REPRESENTATIVE string", data)).collect()
+    assert len(got) == len(data)
+    kept = [r.doc_id for r in got if r.representative]
+    assert sorted(kept) == sorted({min(i for i, x in groups.items() if x == g) for g in groups.values()} | {900})
+
+
+def test_unlike_documents_stay_and_sketches_estimate(rows, odd_docs):
+    draw = random.Random(8)
+    shared = " ".join(f"p{i}" for i in range(60))
+    data = [(i, shared + " " + " ".join(draw.choices([f"v{k}" for k in range(500)], k=40))) for i in range(30)]
+    got = mark_representatives(rows("doc_id bigint, text string", data)).collect()
+    assert all(r.representative for r in got)
+    one = [f"w{i}".encode() for i in range(2000)]
+    assert abs(sketch_similarity(sketch(one, 5, 256), sketch(one[200:], 5, 256), 256) - 0.9) < 0.07
+    odd = mark_representatives(odd_docs).collect()
+    assert len(odd) == odd_docs.count() and sum(r.representative for r in odd) == len({tuple((r.text or "").lower().split()) if (r.text or "").isascii() else r.text for r in odd})
+    assert mark_representatives(rows("doc_id bigint, text string", [])).collect() == []
