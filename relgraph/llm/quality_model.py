@@ -37,7 +37,7 @@ from relgraph.plans.staging import Staging
 #: Labelled documents learned from, good and bad each (in expectation); bounds the broadcast below too.
 SAMPLE_EACH = 15_000
 #: Bad documents that a feature must occur in, and standard deviations of the interval whose lower end counts.
-SUPPORT, CAUTION = 5, 4.0
+SUPPORT, CAUTION = 4, 2.5
 #: Weakest log odds that are kept, most features of a model, and features that make a document's evidence.
 LEAST_EVIDENCE, MAX_FEATURES, STRONGEST = 1.0, 100_000, 4
 BEGINNING = 5
