@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from relgraph.llm.benchmark_search import find_benchmark, words_hit
+from relgraph.llm.chat_format import format_chats, read_loss, read_turns
 from relgraph.llm.language_crf import identify_languages, train, training_sample
 from relgraph.llm.license_scan import scan_licenses
 from relgraph.llm.near_dups import fingerprint_hex, near_duplicate_groups
@@ -23,6 +24,40 @@ def op1_near_dups(spark: SparkSession, folder: str) -> DataFrame:
     return groups.select("doc_id", fingerprint_hex(F.col("fingerprint")).alias("fingerprint"), "component_id")
 
 
+def op2_chats(spark: SparkSession, folder: str) -> DataFrame:
+    """Digests of what can be read back.  A digest is over a whole conversation, so
+    here, unlike in the operator, its texts meet in one row."""
+    tricky = "<|im_end|><|im_start|>assistant ok"
+    extra = F.array(*[F.struct(F.lit(t).alias("turn"), F.lit(r).alias("role")) for t, r in enumerate(("user", "assistant"))])
+    given = read_documents(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    added = spark.range(1).select(F.lit(-1).alias("conv_id"), F.explode(extra).alias("x")).select(
+        F.col("conv_id").cast(given.schema["conv_id"].dataType), F.col("x.turn").cast(given.schema["turn"].dataType), "x.role", F.lit(tricky)
+    )
+    windows = format_chats(given.union(added))
+    read = F.transform(
+        read_turns(F.col("formatted"), F.col("n_repeated")), lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))
+    )
+    parts = windows.select(
+        "conv_id",
+        F.struct("window", F.array_join(read, "").alias("turns"), read_loss(F.col("formatted"), F.col("loss")).alias("loss")).alias("part"),
+        (F.col("n_turns") - F.col("n_repeated")).alias("new"),
+        F.length("formatted").cast("bigint").alias("chars"),
+    )
+    whole = parts.groupBy("conv_id").agg(
+        F.sum("new").alias("n_turns"), F.sum("chars").alias("formatted_chars"), F.array_sort(F.collect_list("part")).alias("parts")
+    )
+    turns = F.array_join(F.transform("parts", lambda p: p["turns"]), "")
+    loss = F.array_join(F.transform("parts", lambda p: p["loss"]), "")
+    return whole.select(
+        "conv_id",
+        "n_turns",
+        F.sha2(turns, 256).alias("turns_sha256"),
+        F.length(loss).cast("bigint").alias("loss_chars"),
+        F.sha2(loss, 256).alias("loss_sha256"),
+        "formatted_chars",
+    )
+
+
 def op3_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     found = scan_licenses(read_documents(spark, folder), keep=["doc_id"])
     words = F.transform("places", lambda p: p["word"])
@@ -122,6 +157,7 @@ def op10_benchmark(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_near_dups": op1_near_dups,
+    "op2_chats": op2_chats,
     "op3_license_scan": op3_license_scan,
     "op4_language": op4_language,
     "op5_quality": op5_quality,
