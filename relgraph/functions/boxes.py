@@ -99,10 +99,15 @@ def matrix(text: Column | str) -> Column:
     Fewer than 12 numbers are an error, as is text that is not a number.
     """
     text = _column(text)
-    numbers = F.transform(F.split(F.trim(text), " +"), lambda v: v.cast("double"))
-    checked = F.when(
-        F.size(numbers) < 12, F.raise_error(F.concat(F.lit("Malformed transformation matrix: "), text))
-    ).otherwise(numbers)
+    parts = F.split(F.trim(text), " +")
+    numbers = F.transform(parts, lambda v: v.try_cast("double"))
+    found = F.size(F.filter(numbers, lambda v: v.isNotNull())).cast("string")
+    problem = F.concat(
+        F.lit("a placement needs at least 12 numbers and nothing else, but has "),
+        found, F.lit(" among "), F.size(parts).cast("string"), F.lit(" parts: "), text,
+    )
+    wrong = (F.size(parts) < 12) | F.exists(numbers, lambda v: v.isNull())
+    checked = F.when(wrong, F.raise_error(problem)).otherwise(numbers)
     return F.when(text.isNull(), F.array(*[F.lit(float(v)) for v in IDENTITY])).otherwise(checked)
 
 

@@ -14,9 +14,9 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType
+from pyspark.sql.types import DataType, IntegralType
 
 from relgraph.operators.deletion import (
     ID,
@@ -67,11 +67,18 @@ class CascadeResult:
         spark = next(iter(self.tables.values())).sparkSession
         return literal_rows(spark, columns, [])
 
+    def _key(self, table: str, column: str = ID) -> Column:
+        """A key of ``table`` for a frame over several tables: text if their key types differ."""
+        types = {self.tables[t].schema[k].dataType for t, k in self.spec.keys.items() if t in self.tables}
+        whole = all(isinstance(t, IntegralType) for t in types)
+        return F.col(column).cast("string") if len(types) > 1 and not whole else F.col(column)
+
     @property
     def deleted(self) -> DataFrame:
-        """(table, id) of every removed row with a key."""
+        """(table, id) of every removed row with a key; ids are text if key types differ."""
         frames = [
-            ids.select(F.lit(name).alias("table"), ID) for name, ids in sorted(self.deleted_by_table.items())
+            ids.select(F.lit(name).alias("table"), self._key(name).alias(ID))
+            for name, ids in sorted(self.deleted_by_table.items())
         ]
         return _union(frames) if frames else self._empty("table string, id bigint")
 
@@ -85,7 +92,7 @@ class CascadeResult:
         rows = with_keys(rows, "_fk", self._gone(ref.target)).select(ID)
         own = self._gone(ref.table)
         rows = without_keys(rows, ID, own) if own is not None else rows
-        return rows.select(F.lit(ref.table).alias("table"), ID, F.lit(ref.column).alias("column"))
+        return rows.select(F.lit(ref.table).alias("table"), self._key(ref.table).alias(ID), F.lit(ref.column).alias("column"))
 
     @property
     def detached(self) -> DataFrame:
@@ -131,8 +138,8 @@ class CascadeResult:
                 frames.append(
                     removed.select(
                         F.lit(link.table).alias("link"),
-                        F.col(link.owner_column).alias("id1"),
-                        F.col(link.member_column).alias("id2"),
+                        self._key(link.owner, link.owner_column).alias("id1"),
+                        self._key(link.member, link.member_column).alias("id2"),
                     )
                 )
         return _union(frames) if frames else self._empty("link string, id1 bigint, id2 bigint")
@@ -328,8 +335,25 @@ class _Cascade:
                 doomed[table] = keys if known is None else without_keys(keys, ID, known)
         changed = self.keep(doomed, "deleted") if doomed else []
         self.last_step.update(dict.fromkeys(changed, self.step))
+        for table in changed:
+            for ref in self.spec.references:
+                if ref.table == table and ref.is_self and ref.owned == "row" and ref.kind == COMPOSITION:
+                    self.close(table, ref.column)
         return changed
 
+    def close(self, table: str, parent: str) -> None:
+        """Delete all parts below the deleted rows of a table that contains
+        itself, on every level: pointers double, so the rounds are logarithmic."""
+        from relgraph.operators.hierarchy import ancestor_flag  # which needs this module
+
+        gone = self.gone(table)
+        marked = gone.select(F.col(ID), F.lit(True).alias("_gone"))
+        tree = self.rows(table, parent).where(F.col(ID).isNotNull()).distinct()
+        flags = ancestor_flag(tree.join(marked, ID, "left"), "_gone", key=ID, parent=parent)
+        self.step += 1
+        if self.keep({table: without_keys(flags.where("flagged").select(ID), ID, gone)}, "deleted"):
+            self.last_step[table] = self.step
+
     def run(self, roots: Mapping[str, DataFrame]) -> None:
         """Go through the tables in waves, causes first.
 

@@ -157,11 +157,25 @@ def conflicting_keys(batch: DataFrame, existing: DataFrame, key: str = ID) -> Da
     return with_keys(key_set(batch, key), ID, existing.select(F.col(key).alias(ID)))
 
 
+class KeysInUse(ValueError):
+    """Raised by :func:`assert_new_keys`; ``conflicts`` is the frame of all keys in conflict."""
+
+    def __init__(self, message: str, conflicts: DataFrame):
+        super().__init__(message)
+        self.conflicts = conflicts
+
+
 def assert_new_keys(batch: DataFrame, existing: DataFrame, key: str = ID, named: int = 10) -> None:
-    """Refuse a batch with existing keys; the error names the first few."""
-    found = [row[ID] for row in conflicting_keys(batch, existing, key).orderBy(ID).limit(named).collect()]
-    if found:
-        raise ValueError(f"keys already in use: {', '.join(map(str, found))}")
+    """Refuse a batch with existing keys.
+
+    The error says how many there are, names the first few and carries them all.
+    """
+    conflicts = conflicting_keys(batch, existing, key)
+    total = conflicts.count()
+    if total:
+        first = [row[ID] for row in conflicts.orderBy(ID).limit(named).collect()]
+        shown = f"first {len(first)} of {total}: " if total > len(first) else ""
+        raise KeysInUse(f"{total} keys already in use: {shown}{', '.join(map(str, first))}", conflicts)
 
 
 _ROW_BITS = 33

@@ -25,6 +25,9 @@ class Reference:
     ``owned="row"``     the target owns the rows that point at it (1:N children)
     ``owned="target"``  the row owns the target it points at (shared or private
                         part, such as a geometry or a template)
+
+    ``multi_owner`` says that several owners may share a row; a :class:`RelationSpec`
+    settles None: shared if the table has two or more owning columns.
     """
 
     table: str
@@ -33,7 +36,7 @@ class Reference:
     kind: str = ASSOCIATION
     owned: str = "row"
     on_delete: str | None = None
-    multi_owner: bool = False
+    multi_owner: bool | None = None
 
     def __post_init__(self):
         if self.kind not in KINDS:
@@ -104,6 +107,17 @@ class RelationSpec:
         for shared in self.shared_keys:
             if not {shared.sub, shared.base} <= known:
                 raise ValueError(f"shared key {shared} names a table without a key")
+        owning: dict[str, set[str]] = {}
+        for ref in self.references:
+            if ref.owned == "row" and ref.kind != ASSOCIATION and not ref.is_self and ref.multi_owner is not False:
+                owning.setdefault(ref.table, set()).add(ref.column)
+        settled = tuple(
+            ref
+            if ref.multi_owner is not None
+            else replace(ref, multi_owner=len(owning.get(ref.table, ())) > 1 and ref.column in owning[ref.table])
+            for ref in self.references
+        )
+        object.__setattr__(self, "references", settled)
         owners: dict[str, set[str]] = {}
         for ref in self.references:
             if ref.owned == "row" and ref.multi_owner:
@@ -171,15 +185,17 @@ class RelationSpec:
         return dependency_groups(self.effects())
 
     def with_multi_owner(self, columns: Mapping[str, Iterable[str]]) -> "RelationSpec":
-        """A copy in which the given owner columns are marked as shared.
+        """A copy in which exactly the given owner columns of a table are shared.
 
-        One owner column alone is not shared, so such a table stays unmarked.
+        Tables that are not named keep what they have.  One owner column alone
+        is not shared, so such a table stays unmarked.
         """
         refs = []
         for ref in self.references:
-            shared = [c.lower() for c in columns.get(ref.table, ())]
-            marked = ref.owned == "row" and len(shared) > 1 and ref.column.lower() in shared
-            refs.append(replace(ref, multi_owner=ref.multi_owner or marked))
+            if ref.owned == "row" and ref.table in columns:
+                shared = [c.lower() for c in columns[ref.table]]
+                ref = replace(ref, multi_owner=len(shared) > 1 and ref.column.lower() in shared)
+            refs.append(ref)
         return replace(self, references=tuple(refs))
 
 

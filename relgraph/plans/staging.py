@@ -16,7 +16,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import DataType, StructField, StructType
 
 
 def checkpoint_folder(spark: SparkSession) -> str:
@@ -41,6 +41,13 @@ class Staging:
         self.spark = spark
         self.folder = f"{checkpoint_folder(spark)}/relgraph-{uuid.uuid4().hex}"
         self._count = 0
+        self._written: dict[tuple[str, str], list[int]] = {}
+
+    def remove(self) -> None:
+        """Delete what this call has written; frames that still read it fail afterwards."""
+        hadoop = self.spark._jvm.org.apache.hadoop.fs
+        path = hadoop.Path(self.folder)
+        path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
     def keep(self, df: DataFrame, label: str = "step") -> tuple[DataFrame, int]:
         """Write ``df`` and return (frame over the written table, row count).
@@ -66,9 +73,9 @@ class Staging:
     def append_keys(self, step: int, sets: Mapping[str, DataFrame], label: str = "keys") -> dict[str, int]:
         """Add one step to several named key sets of one type, in one job.
 
-        The sets share a table that is partitioned by step and name, so reading
-        a set, or its last steps, is one pruned scan however many steps there
-        are.  Returns the rows added per name.
+        The sets share a table that is partitioned by step and name.  What was
+        written is noted, so reading a set, or its last steps, opens exactly
+        its folders and lists no others.  Returns the rows added per name.
         """
         names = sorted(sets)
         column = sets[names[0]].columns[0]
@@ -77,12 +84,20 @@ class Staging:
         counts = [F.count_if(F.col("_set") == n).alias(f"n{i}") for i, n in enumerate(names)]
         union = reduce(DataFrame.unionByName, parts).observe(seen, *counts)
         union.write.partitionBy("_set").parquet(f"{self.folder}/{label}/_step={step}")
-        return {n: int(seen.get[f"n{i}"] or 0) for i, n in enumerate(names)}
+        counts = {n: int(seen.get[f"n{i}"] or 0) for i, n in enumerate(names)}
+        for name, n in counts.items():
+            if n:
+                self._written.setdefault((label, name), []).append(step)
+        return counts
+
+    def key_paths(self, name: str, label: str = "keys", after: int = 0) -> list[str]:
+        """Folders of one key set, of the steps after ``after``."""
+        return [f"{self.folder}/{label}/_step={s}/_set={name}" for s in self._written.get((label, name), []) if s > after]
 
     def keys(self, name: str, column: str, key_type: DataType, label: str = "keys", after: int = 0) -> DataFrame:
         """One key set of :meth:`append_keys`, from the steps after ``after``."""
-        schema = StructType(
-            [StructField(column, key_type), StructField("_step", LongType()), StructField("_set", StringType())]
-        )
-        rows = self.spark.read.schema(schema).parquet(f"{self.folder}/{label}")
-        return rows.where((F.col("_set") == name) & (F.col("_step") > after)).select(column)
+        schema = StructType([StructField(column, key_type)])
+        paths = self.key_paths(name, label, after)
+        if not paths:
+            return self.spark.range(0).select(F.col("id").cast(key_type).alias(column))
+        return self.spark.read.schema(schema).parquet(*paths)

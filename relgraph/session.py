@@ -7,7 +7,6 @@ from pyspark.sql import SparkSession
 #: Runtime settings that may be changed on a live session.  All of them are
 #: adaptive: nothing here fixes a partition count or a join strategy.
 RUNTIME_SETTINGS = {
-    "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # Split the hot side of a shuffled join even when the split costs the
@@ -36,6 +35,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
+        .config("spark.sql.session.timeZone", "UTC")
     )
     for key, value in RUNTIME_SETTINGS.items():
         builder = builder.config(key, value)

@@ -256,3 +256,55 @@ def test_spec_is_checked():
         RelationSpec({"a": "id", "l": "id"}, links=[Link("l", "a", "x", "a", "y")])
     with pytest.raises(ValueError):
         Reference("a", "x", "b", kind="FRIEND")
+
+
+def test_two_owners_share_unless_told_otherwise(rows):
+    tables = {
+        "a": rows("id bigint", [(1,)]),
+        "b": rows("id bigint", [(2,)]),
+        "c": rows("id bigint, a_id bigint, b_id bigint", [(9, 1, 2), (8, 1, None)]),
+    }
+    keys = dict.fromkeys(tables, "id")
+
+    def deleted(*roots, **flags):
+        spec = RelationSpec(
+            keys, [Reference("c", "a_id", "a", AGGREGATION, **flags), Reference("c", "b_id", "b", AGGREGATION, **flags)]
+        )
+        result = cascade.cascade_delete(tables, spec, {t: ids(rows, tables[t].first().id) for t in roots})
+        return [i for t, i in values(result.deleted) if t == "c"]
+
+    assert deleted("a") == [8] and sorted(deleted("a", "b")) == [8, 9]
+    assert sorted(deleted("a", multi_owner=False)) == [8, 9]
+
+
+def test_keys_of_different_types_meet_as_text(rows):
+    tables = {
+        "p": rows("id string", [("x",), ("y",)]),
+        "c": rows("id bigint, p_id string", [(1, "x"), (2, "y")]),
+        "m": rows("id bigint", [(5,)]),
+        "l": rows("p_id string, m_id bigint", [("x", 5), ("y", 5)]),
+    }
+    spec = RelationSpec(
+        {"p": "id", "c": "id", "m": "id"}, [Reference("c", "p_id", "p", COMPOSITION)], [Link("l", "p", "p_id", "m", "m_id", AGGREGATION)]
+    )
+    result = cascade.cascade_delete(tables, spec, {"p": rows("id string", [("x",)])})
+    assert values(result.deleted) == [("c", "1"), ("p", "x")]
+    assert values(result.unlinked) == [("l", "x", "5")]
+    assert values(result.blocked) == [] and result.deleted.schema["id"].dataType.simpleString() == "string"
+
+
+def test_a_long_chain_takes_few_steps(rows, monkeypatch):
+    from relgraph.plans.staging import Staging
+
+    steps, opened = [], []
+    for name in ("keep_counting", "append_keys"):
+        monkeypatch.setattr(Staging, name, lambda self, *a, f=getattr(Staging, name), **b: (steps.append(1), f(self, *a, **b))[1])
+    paths = Staging.key_paths
+    monkeypatch.setattr(Staging, "key_paths", lambda self, *a, **b: opened.append(paths(self, *a, **b)) or opened[-1])
+    n = 1000
+    tree = rows("id bigint, up bigint", [(i, i - 1 if i else None) for i in range(n)] + [(2000, 2001), (2001, 2000), (3000, 3000)])
+    got = values(cascade.part_closure(tree, ids(rows, 3, 2000, 3000), "up"))
+    assert sorted(i for (i,) in got) == [*range(3, n), 2000, 2001, 3000]
+    assert len(steps) <= 16
+    # every read opens only folders that hold its own set
+    assert opened and all("_set=part" in p for found in opened for p in found) and max(map(len, opened)) <= 3

@@ -62,8 +62,18 @@ def test_four_corners_differ_from_eight_about_x_only(spark):
 
 
 @pytest.mark.parametrize("matrix", ["1 0 0 5 0 1 0 6 0 0 1", "1 0 0 x 0 1 0 6 0 0 1 7"])
-def test_malformed_matrix_is_an_error(spark, matrix):
-    with pytest.raises(Exception, match="Malformed transformation matrix|CAST_INVALID_INPUT"):
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_malformed_matrix_is_an_error(spark, matrix, ansi):
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        malformed_matrix(spark, matrix)
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+
+
+def malformed_matrix(spark, matrix):
+    with pytest.raises(Exception, match="at least 12 numbers"):
         placed(spark, matrix)
 
 

@@ -72,8 +72,12 @@ def test_link_kinds_any_case_and_default(rows):
 def test_existing_keys_are_refused(rows):
     old = rows("id bigint", [(1,), (2,)])
     H.assert_new_keys(rows("id bigint", [(3,), (None,)]), old)
-    with pytest.raises(ValueError, match="already in use: 2"):
+    with pytest.raises(ValueError, match="1 keys already in use: 2$"):
         H.assert_new_keys(rows("id bigint", [(2,), (3,)]), old)
+    many = rows("id bigint", [(i,) for i in range(100, 125)])
+    with pytest.raises(H.KeysInUse, match="^25 keys already in use: first 10 of 25: 100, 101") as caught:
+        H.assert_new_keys(many, many)
+    assert caught.value.conflicts.count() == 25
 
 
 def test_surrogate_keys_are_dense_without_an_order(spark):
