@@ -113,7 +113,7 @@ def shrunk_log_odds(bad: Column, total: Column, rate: float) -> Column:
     low = (p + z2 / (2 * total) - CAUTION * F.sqrt(p * (1 - p) / total + z2 / (4 * total * total))) / (1 + z2 / total)
     low = F.greatest(F.lit(1e-6), F.least(F.lit(1 - 1e-6), low))
     ratio = F.log(low / (1 - low)) - math.log(rate / (1 - rate))
-    return F.when(total > 0, ratio).otherwise(0.0)
+    return F.when(total > 0, F.round(ratio, 6)).otherwise(0.0)  # sums may differ in their last digits
 
 
 def copy_key(text: bytes | None) -> int:
@@ -175,7 +175,10 @@ def learn_quality(
     chosen = texts.join(F.broadcast(sample), "__id").select("__text", "__low", "__toxic", "__bad", "__weight")
     keyed = scan_texts(chosen, "__copy bigint", lambda: lambda ts: [[copy_key(t) for t in ts]], "__text")
     keyed = keyed.withColumn("__half", F.pmod(F.xxhash64("__copy", F.lit("half")), F.lit(2)).cast("int"))
-    chosen, _ = staging.keep(keyed.dropDuplicates(["__copy", "__low", "__toxic"]).drop("__copy"), "labelled")
+    one = F.min_by(F.struct("__text", "__bad", "__weight", "__half"), F.xxhash64("__text"))  # the same in every run
+    single = keyed.groupBy("__copy", "__low", "__toxic").agg(one.alias("r"))
+    single = single.select("r.__text", "__low", "__toxic", "r.__bad", "r.__weight", "r.__half")
+    chosen, _ = staging.keep(single, "labelled")
     names = [f"{kind}{half}" for half in (0, 1) for kind in ("n", "low", "toxic")]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
