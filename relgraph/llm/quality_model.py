@@ -301,7 +301,8 @@ def classify_quality(
     host_rate = (F.col("__hbad") + k_host * mean) / (F.col("__hn") + k_host)
     k_path = prior_weight(both, "__n", "__bad", host_rate)
 
-    both = both.withColumnsRenamed({"__host": "__h", "__path": "__p"})
+    # written, so that its size is known: texts are only shuffled if there are very many sites
+    both, _ = staging.keep(both.withColumnsRenamed({"__host": "__h", "__path": "__p"}), "sites")
     joined = marked.join(
         both, F.col("__host").eqNullSafe(F.col("__h")) & F.col("__path").eqNullSafe(F.col("__p"))
     )
