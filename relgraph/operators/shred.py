@@ -65,16 +65,42 @@ def link_table(forward: Sequence[DataFrame], backward: Sequence[DataFrame], colu
 
 def attach_key(df: DataFrame, pairs: DataFrame, column: str) -> DataFrame:
     """``df`` with the owner of each row as a foreign key; the smallest owner
-    if, against the model, a row has several."""
-    owners = pairs.groupBy(F.col(TARGET).alias(ID)).agg(F.min(OWNER).alias("_owner"))
-    known = [F.col(column)] if column in df.columns else []
-    return df.join(owners, ID, "left").withColumn(column, F.coalesce(*known, "_owner")).drop("_owner")
+    if, against the model, a row has several (see :func:`lost_keys`)."""
+    owners = pairs.groupBy(F.col(TARGET).alias(ID)).agg(F.min(OWNER).alias("_key"))
+    return _with_key(df, owners, column)
 
 
 def own_key(df: DataFrame, pairs: DataFrame, column: str) -> DataFrame:
-    """``df`` with the target of each row as a foreign key."""
-    targets = pairs.groupBy(F.col(OWNER).alias(ID)).agg(F.min(TARGET).alias(column))
-    return df.join(targets, ID, "left")
+    """``df`` with the target of each row as a foreign key; the smallest if,
+    against the model, a row has several."""
+    targets = pairs.groupBy(F.col(OWNER).alias(ID)).agg(F.min(TARGET).alias("_key"))
+    return _with_key(df, targets, column)
+
+
+def _with_key(df: DataFrame, keys: DataFrame, column: str) -> DataFrame:
+    known = [F.col(column)] if column in df.columns else []
+    return df.join(keys, ID, "left").withColumn(column, F.coalesce(*known, "_key")).drop("_key")
+
+
+def lost_keys(pairs: DataFrame, table: str, column: str, of: str) -> DataFrame:
+    """Violations: the keys that a single column cannot hold.
+
+    ``of`` is OWNER if each owner has one target, TARGET if each target has one
+    owner.  The smallest key is kept; one row per other key.
+    """
+    other = OWNER if of == TARGET else TARGET
+    pairs = pairs.select(F.col(of).alias(ID), F.col(other).alias("_key")).distinct()
+    kept = pairs.groupBy(ID).agg(F.min("_key").alias("_kept"))
+    return pairs.join(kept, ID).where("_key <> _kept").select(*_violation(table, column, F.col("_key")))
+
+
+def _violation(table: str, column: str, lost: Column) -> list[Column]:
+    return [
+        F.lit(table).alias("table"),
+        F.col(ID).cast("string").alias(ID),
+        F.lit(column).alias("column"),
+        lost.cast("string").alias("lost_key"),
+    ]
 
 
 def tree_keys(df: DataFrame, pairs: DataFrame, parent: str, root: str) -> DataFrame:
@@ -88,16 +114,32 @@ def tree_keys(df: DataFrame, pairs: DataFrame, parent: str, root: str) -> DataFr
     return linked.join(roots, ID, "left")
 
 
-def fold_struct(column: str, cls: ClassType, schema: T.StructType) -> list[Column]:
-    """Attributes of an inlined value type as ``<type>_<attribute>`` columns."""
-    prefix = cls.name.lower()
+def fold_struct(column: str, cls: ClassType, schema: T.StructType, prefix: str | None = None) -> list[Column]:
+    """Attributes of an inlined value type as ``<prefix>_<attribute>`` columns;
+    the prefix is the type's name unless another is given."""
+    prefix = prefix or cls.name.lower()
+    fields = _matched(schema.names, [a.name for a in cls.attributes], f"value {column} of type {cls.name}")
     return [
         c
         for a in cls.attributes
-        for c in attribute_columns(F.col(column)[a.name], a, schema[a.name].dataType, f"{prefix}_{a.name}")
+        if a.name in fields
+        for c in attribute_columns(F.col(column)[fields[a.name]], a, schema[fields[a.name]].dataType, f"{prefix}_{a.name}")
     ]
 
 
+def _matched(given: Sequence[str], known: Sequence[str], where: str) -> dict[str, str]:
+    """Known name -> given name, in any case; names that nothing knows are an error."""
+    by_name: dict[str, str] = {}
+    for name in given:
+        if name.lower() in by_name:
+            raise ValueError(f"{where} has {name!r} and {by_name[name.lower()]!r}, which differ in case only")
+        by_name[name.lower()] = name
+    unknown = sorted(set(by_name) - {k.lower() for k in known})
+    if unknown:
+        raise ValueError(f"{where} has columns the model does not know: {', '.join(by_name[u] for u in unknown)}")
+    return {k: by_name[k.lower()] for k in known if k.lower() in by_name}
+
+
 def attribute_columns(value: Column, attribute: Attribute, data_type: T.DataType, name: str) -> list[Column]:
     """Columns of one attribute that stays with its object."""
     if attribute.kind == C.SIMPLE:
@@ -174,16 +216,44 @@ class _Shred:
         self.pairs: dict[tuple[str, str], list[DataFrame]] = {}
         self.extra: dict[str, list[DataFrame]] = {}
         self.last_key: dict[str, int] = {}
-        for name, df in frames.items():
+        self.violations: list[DataFrame] = []
+        self.frames = {name: self.named(name, df) for name, df in frames.items()}
+        for name, df in self.frames.items():
             self.take(name, df)
 
+    def named(self, name: str, df: DataFrame, carried: Sequence[str] = ()) -> DataFrame:
+        """The frame of one class with the names of the model."""
+        lineage = self.model.lineage(name)
+        known = [ID, *carried, *[x.name for c in lineage for x in (*c.attributes, *c.properties)]]
+        found = _matched(df.columns, list(dict.fromkeys(known)), f"frame of class {name}")
+        return df.select(*[F.col(f"`{given}`").alias(k) for k, given in found.items()])
+
+    def nested_ids(self, name: str, df: DataFrame, space: str) -> list[DataFrame]:
+        """Ids of nested objects in one key space, on every level of a frame."""
+        out = []
+        for p in (p for c in self.model.lineage(name) for p in c.properties):
+            if p.name not in df.columns or self.model.folds(p):
+                continue
+            data_type = df.schema[p.name].dataType
+            array = isinstance(data_type, T.ArrayType)
+            if not isinstance(data_type.elementType if array else data_type, T.StructType):
+                continue
+            value = F.explode(p.name) if array else F.col(p.name)
+            inner = self.named(p.target, df.select(value.alias("_v")).where("_v is not null").select("_v.*"))
+            if ID in inner.columns and self.model.lineage(p.target)[0].name == space:
+                out.append(inner.select(ID))
+            out += self.nested_ids(p.target, inner, space)
+        return out
+
     def used_keys(self, name: str) -> tuple[str, int]:
         """Key space of a class, which all classes of its hierarchy share, and
         the highest key given out in it."""
         top = self.model.lineage(name)[0].name
         if top not in self.last_key:
-            given = [df for n, df in self.frames.items() if self.model.lineage(n)[0].name == top]
-            self.last_key[top] = max([highest_key(df) for df in given], default=0)
+            given = [df.select(ID) for n, df in self.frames.items() if self.model.lineage(n)[0].name == top]
+            for n, df in self.frames.items():
+                given += self.nested_ids(n, df, top)
+            self.last_key[top] = highest_key(reduce(DataFrame.union, given)) if given else 0
         return top, self.last_key[top]
 
     def store(self, name: str, table: str, columns: Sequence[str]) -> None:
@@ -218,7 +288,7 @@ class _Shred:
                     continue
                 data_type = df.schema[p.name].dataType
                 if self.model.folds(p):
-                    made = fold_struct(p.name, self.model[p.target], data_type)
+                    made = fold_struct(p.name, self.model[p.target], data_type, self.model.inline_prefix(cls.name, p))
                     self.store(name, here, df.select(*made).columns)
                     row += made
                     continue
@@ -256,25 +326,55 @@ class _Shred:
                 F.col(ID).alias(OWNER), F.lit(0).alias(POSITION), F.col(prop.name).alias("value")
             )
         rows = rows.select(OWNER, POSITION, "value.*")
+        inner = self.named(prop.target, rows.drop(OWNER, POSITION).limit(0)).columns
+        fields = _matched([c for c in rows.columns if c not in (OWNER, POSITION)], inner, prop.name)
+        rows = rows.select(OWNER, POSITION, *[F.col(f"`{given}`").alias(k) for k, given in fields.items()])
         carried = where.columns if where.way == C.CHILD_KEY else ()
-        if ID in element.names:
-            # the same object may be nested in several owners
-            if carried or (where.way == C.OWN_KEY and not array):
-                self.take(prop.target, _one_of_each(rows, carried), carried)
-                return None
-            rows, _ = self.stage.keep(rows, prop.name)
-            self.take(prop.target, _one_of_each(rows, ()))
-            return rows.select(OWNER, F.col(ID).alias(TARGET))
+        single = where.way == C.OWN_KEY and not array
+        if ID not in rows.columns:
+            return self.new_objects(prop, rows, carried)
+        # the same object may be nested in several owners, and some may have no id
+        rows, _, unnamed = self.stage.keep_counting(rows, F.col(ID).isNull(), prop.name)
+        named = rows.where(F.col(ID).isNotNull())
+        table = self.model.table(prop.target)
+        self.take(prop.target, self.one_of_each(named, carried, table), carried)
+        pairs = None if carried or single else named.select(OWNER, F.col(ID).alias(TARGET))
+        if unnamed:
+            fresh = self.new_objects(prop, rows.where(F.col(ID).isNull()).drop(ID), carried)
+            pairs = fresh if pairs is None else pairs.unionByName(fresh)
+        return pairs
+
+    def new_objects(self, prop: Property, rows: DataFrame, carried: Sequence[str]) -> DataFrame | None:
+        """Take nested rows without ids under new keys; their pairs, unless they carry the owner's key."""
         space, last = self.used_keys(prop.target)
         order = [OWNER, POSITION] if self.ordered_keys else []
         rows, n = self.stage.keep(surrogate_keys(rows, order, last), prop.name)
         self.last_key[space] = last + n
         if carried:
-            self.take(prop.target, rows.withColumnRenamed(OWNER, carried[0]), carried)
+            self.take(prop.target, rows.withColumnRenamed(OWNER, carried[0]).drop(POSITION), carried)
             return None
-        self.take(prop.target, rows)
+        self.take(prop.target, rows.drop(OWNER, POSITION))
         return rows.select(OWNER, F.col(ID).alias(TARGET))
 
+    def one_of_each(self, rows: DataFrame, carried: Sequence[str], table: str) -> DataFrame:
+        """One whole row per id and its smallest owner, the same in every run.
+
+        Other owners, where there can be one only, and other contents of an id
+        are violations.
+        """
+        fields = [c for c in rows.columns if c not in (ID, OWNER, POSITION)]
+        owners = [F.min(OWNER).alias(c) for c in carried]
+        for column in carried:
+            self.violations.append(lost_keys(rows.select(OWNER, F.col(ID).alias(TARGET)), table, column, TARGET))
+        if not fields:
+            return rows.groupBy(ID).agg(*owners) if owners else rows.select(ID).distinct()
+        whole = F.struct(*fields)
+        marked = rows.withColumn("_digest", F.sha2(F.to_json(whole), 256))
+        contents = marked.groupBy(ID).agg((F.min("_digest") != F.max("_digest")).alias("_differ"))
+        self.violations.append(contents.where("_differ").select(*_violation(table, "(content)", F.lit(None))))
+        one = marked.groupBy(ID).agg(F.min_by(whole, "_digest").alias("_row"), *owners)
+        return one.select(ID, "_row.*", *carried)
+
     def geometry(self, df: DataFrame, attribute: Attribute) -> DataFrame:
         """Replace a geometry column by the columns it is stored in."""
         source, name = f"_{attribute.name}", attribute.name.lower()
@@ -302,13 +402,13 @@ class _Shred:
         return own_key(df, pairs, column).select(*others, column, *kept)
 
     def finish(self) -> dict[str, DataFrame]:
-        model, merged = self.model, self.model.merged_tables()
+        model, merged = self.model, self.model.class_tables()
         by_table: dict[str, list[DataFrame]] = {}
         for name, parts in self.objects.items():
             rows = _union_by_name(parts)
             for table, frame in split_inheritance(rows, self.columns[name]).items():
                 if table in merged:
-                    frame = frame.withColumn(C.CLASS_COLUMN, F.lit(model[name].class_id))
+                    frame = frame.withColumn(C.CLASS_COLUMN, F.lit(model[name].class_id).cast("int"))
                 by_table.setdefault(table, []).append(frame)
         tables = {table: _union_by_name(parts) for table, parts in by_table.items()}
         links: dict[str, tuple[list[DataFrame], list[DataFrame], Storage]] = {}
@@ -322,6 +422,16 @@ class _Shred:
                 continue
             if where.table not in tables:
                 raise ValueError(f"{owner}.{prop_name} is stored in {where.table}, of which no rows were given")
+            if where.way == C.MEMBER_KEY:
+                # a member has one owner in its key; all pairs are in the link of the other side
+                back = next(p for p in model[prop.target].properties if p.name == prop.reverse)
+                other = model.storage(prop.target, back)
+                links.setdefault(other.table, ([], [], other))[1].append(pairs)
+            elif where.way != C.TREE_KEYS:
+                of = OWNER if where.way == C.OWN_KEY else TARGET
+                self.violations.append(lost_keys(pairs, where.table, where.columns[0], of))
+            else:
+                self.violations.append(lost_keys(pairs, where.table, where.columns[0], TARGET))
             if where.way == C.OWN_KEY:
                 tables[where.table] = own_key(tables[where.table], pairs, where.columns[0])
             elif where.way == C.TREE_KEYS:
@@ -342,29 +452,34 @@ def _given_key(column: str, data_type: T.DataType) -> Column | None:
     return None if isinstance(data_type, T.ArrayType) else F.col(column)
 
 
-def _one_of_each(rows: DataFrame, carried: Sequence[str]) -> DataFrame:
-    """One whole row per id, the same one in every run, and its smallest owner."""
-    rows = rows.where(F.col(ID).isNotNull())
-    fields = [c for c in rows.columns if c not in (ID, OWNER, POSITION)]
-    owners = [F.min(OWNER).alias(c) for c in carried]
-    if not fields:
-        return rows.groupBy(ID).agg(*owners) if owners else rows.select(ID).distinct()
-    if any("map<" in rows.schema[c].dataType.simpleString() for c in fields):
-        picked = F.first(F.struct(*fields))
-    else:
-        picked = F.max(F.struct(*fields))
-    return rows.groupBy(ID).agg(picked.alias("_row"), *owners).select(ID, "_row.*", *carried)
-
-
 def _union_by_name(parts: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
-def shred(frames: Mapping[str, DataFrame], model: ClassModel, ordered_keys: bool = False) -> dict[str, DataFrame]:
+class Tables(dict):
+    """Table name -> frame, and ``violations``: (table, id, column, lost_key) of
+    everything the model leaves no room for.
+
+    ``lost_key`` is an owner or target beyond the one that is stored; for
+    column ``(content)`` it is null, and the id was given with different
+    contents, of which one is stored.
+    """
+
+    violations: DataFrame
+
+
+def shred(frames: Mapping[str, DataFrame], model: ClassModel, ordered_keys: bool = False) -> Tables:
     """Tables of nested class frames, as the model stores them.
 
-    New keys follow the order of the input splits, which needs no shuffle.
+    Columns and fields match the model's names in any case; unknown ones are an
+    error.  New keys lie above all keys given in frames or nested records and
+    follow the order of the input splits, which needs no shuffle.
     ``ordered_keys`` sorts by owner and position instead, so that a repeated
     run gives the same keys.
     """
-    return _Shred(model, frames, ordered_keys).finish()
+    run = _Shred(model, frames, ordered_keys)
+    tables = Tables(run.finish())
+    spark = next(iter(frames.values())).sparkSession
+    none = spark.range(0).select(*_violation("", "", F.lit(None)))
+    tables.violations = reduce(DataFrame.unionByName, run.violations, none).distinct()
+    return tables

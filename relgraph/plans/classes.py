@@ -132,9 +132,17 @@ class ClassModel:
         return name.replace("Abstract", "").lower()
 
     def merged_tables(self) -> set[str]:
-        """Tables that hold several classes and so need a class column."""
+        """Tables that hold several classes."""
         return {self.table(n) for n in self.classes if self.merges(n)}
 
+    def class_tables(self) -> set[str]:
+        """Tables with a class column: those of several classes, and those whose
+        keys sub tables share, where the class says in which table a row goes on."""
+        parents = {
+            self.table(c.base) for c in self.classes.values() if c.base is not None and self.table(c.base) != self.table(c.name)
+        }
+        return self.merged_tables() | parents
+
     def folds(self, prop: Property) -> bool:
         """Whether the attributes of the target become columns of the owner."""
         target = self[prop.target]
@@ -147,8 +155,40 @@ class ClassModel:
                 return p
         return None
 
+    def _like(self, owner: str, prop: Property, way: str) -> list[tuple[str, Property]]:
+        """The other properties that are stored in the same way in the same table."""
+        here = self.table(owner)
+        return [
+            (c.name, p)
+            for c in self.classes.values()
+            for p in c.properties
+            if self.table(c.name) == here and (c.name, p.name) != (owner, prop.name) and self._storage(c.name, p).way == way
+        ]
+
+    def inline_prefix(self, owner: str, prop: Property) -> str:
+        """Start of the columns of an inlined value: its type, or the property if the type occurs again."""
+        again = any(p.target == prop.target and p.name != prop.name for _, p in self._like(owner, prop, INLINE))
+        return (prop.name if again else self[prop.target].name).lower()
+
     def storage(self, owner: str, prop: Property) -> Storage:
-        """Where one property of a class is stored."""
+        """Where one property of a class is stored.
+
+        Properties share a column or a link table only if they have one name
+        and one target: others get the class or the property into the name.
+        """
+        where, target = self._storage(owner, prop), self.table(prop.target)
+        if where.way == OWN_KEY:
+            for _, p in self._like(owner, prop, OWN_KEY):
+                if p.name.lower() == prop.name.lower() and self.table(p.target) != target:
+                    return Storage(OWN_KEY, where.table, (f"{owner}_{prop.name}_id".lower(),))
+        if where.way == LINK_TABLE:
+            for c, p in self._like(owner, prop, LINK_TABLE):
+                if self._storage(c, p).table == where.table and p.name != prop.name and p.name != prop.reverse:
+                    name = f"{where.table.split('_to_')[0]}_{prop.name}_to_{target}".lower()
+                    return Storage(LINK_TABLE, name, where.columns)
+        return where
+
+    def _storage(self, owner: str, prop: Property) -> Storage:
         here, there = self.table(owner), self.table(prop.target)
         if self.folds(prop):
             return Storage(INLINE, here)

@@ -49,7 +49,7 @@ def relation_spec(model: ClassModel) -> RelationSpec:
     keys = {model.table(c.name): "id" for c in model.classes.values()}
     references: list[Reference] = []
     links: dict[str, Link] = {}
-    shared: dict[tuple[str, str], set[int]] = {}
+    shared: dict[tuple[str, str], set[int | None]] = {}
     for c in model.classes.values():
         table = model.table(c.name)
         for p in c.properties:
@@ -73,9 +73,7 @@ def relation_spec(model: ClassModel) -> RelationSpec:
         for base, sub in zip(chain, chain[1:]):
             pair = model.table(sub.name), model.table(base.name)
             if pair[0] != pair[1]:
-                ids = shared.setdefault(pair, set())
-                if c.class_id is not None:
-                    ids.add(c.class_id)
+                shared.setdefault(pair, set()).add(c.class_id)
     owners: dict[str, list[str]] = {}
     for r in references:
         if r.owned == "row" and r.kind != ASSOCIATION and not r.is_self:
@@ -84,7 +82,8 @@ def relation_spec(model: ClassModel) -> RelationSpec:
         keys,
         tuple(dict.fromkeys(references)),
         tuple(links.values()),
-        tuple(SharedKey(sub, base, tuple(sorted(ids))) for (sub, base), ids in shared.items()),
+        # rows can only be told apart by class if every class has an id
+        tuple(SharedKey(sub, base, () if None in ids else tuple(sorted(ids))) for (sub, base), ids in shared.items()),
         class_column=C.CLASS_COLUMN,
     )
     return spec.with_multi_owner(owners)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from relgraph.operators import cascade, cleanup, deletion
-from relgraph.plans.spec import AGGREGATION, ASSOCIATION, COMPOSITION, Link, Reference, RelationSpec
+from relgraph.plans.spec import AGGREGATION, ASSOCIATION, CASCADE, COMPOSITION, Link, Reference, RelationSpec
 from relgraph.sources.tables import literal_rows
 from relgraph.workload.tables import (
     EVENT_CLASSES,
@@ -319,18 +319,51 @@ def cleanup_multi_referrer(spark, folder):
 
 
 def cleanup_cascade(spark, folder):
-    """Customers no event refers to, with all that depends on them."""
-    tables = trade_tables(spark, folder)
-    tables["events"] = table(spark, folder, "events")
-    trade = trade_spec()
+    """Customers no event refers to, and the sheets that only they hold."""
+    customers = table(spark, folder, "customer").select("c_custkey", F.expr("c_custkey div 2").alias("sheet"))
+    tables = {
+        "customer": customers,
+        "events": table(spark, folder, "events"),
+        "sheet": customers.select(F.col("sheet").alias("id")).distinct(),
+    }
     spec = RelationSpec(
-        keys={**trade.keys, "events": "event_id"},
+        keys={"customer": "c_custkey", "events": "event_id", "sheet": "id"},
         references=[
-            r for r in trade.references if r.table != "orders"
-        ] + [Reference("events", "user_id", "customer")],
+            Reference("events", "user_id", "customer"),
+            Reference("customer", "sheet", "sheet", AGGREGATION, owned="target"),
+        ],
     )
     result = cleanup.cleanup_unreferenced(tables, spec, "customer")
-    return result.survivors("customer").select("c_custkey", "c_name", "c_acctbal")
+    return result.deleted.select(F.col("table").alias("tbl"), "id")
+
+
+def key_policy_cascade(spark, folder):
+    """A key that owns nothing but whose policy is to delete: suppliers go with their nation."""
+    tables = {name: table(spark, folder, name) for name in ("nation", "supplier")}
+    spec = RelationSpec(
+        keys={"nation": "n_nationkey", "supplier": "s_suppkey"},
+        references=[Reference("supplier", "s_nationkey", "nation", ASSOCIATION, on_delete=CASCADE)],
+    )
+    gone = tables["nation"].where("n_nationkey < 10").select(F.col("n_nationkey").alias("id"))
+    result = cascade.cascade_delete(tables, spec, {"nation": gone})
+    return result.deleted.select(F.col("table").alias("tbl"), F.col("id").cast("bigint").alias("id"))
+
+
+def shared_owners_by_default(spark, folder):
+    """Two owning keys without a mark: a part goes when both owners are gone."""
+    tables = {
+        "item": _two_owner_parts(spark, folder),
+        "a": table(spark, folder, "nation").select(F.col("n_nationkey").alias("id")),
+        "b": table(spark, folder, "region").select(F.col("r_regionkey").alias("id")),
+    }
+    spec = RelationSpec(
+        keys=dict.fromkeys(tables, "id"),
+        references=[Reference("item", "a_id", "a", AGGREGATION), Reference("item", "b_id", "b", AGGREGATION)],
+    )
+    result = cascade.cascade_delete(
+        tables, spec, {"a": tables["a"].where("id < 15"), "b": tables["b"].where("id < 3")}
+    )
+    return result.deleted.where("table = 'item'").select("id")
 
 
 QUERIES = {
@@ -348,6 +381,8 @@ QUERIES = {
         unlinked_rows,
         multi_owner_null_filter,
         multi_owner_cascade,
+        shared_owners_by_default,
+        key_policy_cascade,
         owned_targets,
         owned_target_cascade,
         part_tree_delete,
@@ -466,7 +501,15 @@ ORACLES = {
         select o_orderkey as id from orders
         where not exists (select 1 from lineitem where l_orderkey = o_orderkey and l_returnflag = 'R')
           and not exists (select 1 from lineitem where l_orderkey = o_orderkey and l_quantity > 25)""",
+    "shared_owners_by_default": f"""
+        with t as ({_TWO_OWNERS})
+        select id from t where (a_id is null or a_id < 15) and (b_id is null or b_id < 3) and (a_id < 15 or b_id < 3)""",
+    "key_policy_cascade": """
+        select 'nation' as tbl, n_nationkey::bigint as id from nation where n_nationkey < 10
+        union all select 'supplier', s_suppkey from supplier where s_nationkey < 10""",
     "cleanup_cascade": """
-        select c_custkey, c_name, c_acctbal from customer
-        where exists (select 1 from events where user_id = c_custkey)""",
+        with c as (select c_custkey as id, c_custkey // 2 as sheet,
+                          not exists (select 1 from events where user_id = c_custkey) as gone from customer)
+        select 'customer' as tbl, id from c where gone
+        union all select 'sheet', sheet from c group by sheet having bool_and(gone)""",
 }

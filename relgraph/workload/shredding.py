@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 
 from relgraph.functions.boxes import point, sides
 from relgraph.operators import shred as S
+from relgraph.operators.cascade import cascade_delete
 from relgraph.operators.object_boxes import object_boxes
 from relgraph.plans import classes as C
 from relgraph.plans.classes import Attribute, ClassModel, ClassType, Property
+from relgraph.plans.model_relations import relation_spec
 from relgraph.plans.spec import AGGREGATION, COMPOSITION
 from relgraph.workload.tables import EVENT_CLASSES, part_tree, table
 
@@ -110,7 +112,7 @@ def shred_mn(spark, folder):
 
 
 def shred_mn_owned(spark, folder):
-    """The owning side becomes a key on the customers, the other the link."""
+    """The owning side becomes a key on the customers; the link has all pairs of both sides."""
     tables = S.shred(_serving(spark, folder), _mn_model(AGGREGATION))
     link = tables["supplier_serves_to_customer_servedby"]
     keys = tables["customer"]
@@ -155,9 +157,73 @@ def shred_foreign_link(spark, folder):
     return S.shred({"Order": orders}, model)["order_to_part"]
 
 
+def shred_two_foreign_links(spark, folder):
+    """Two properties that lead to one foreign class keep their own links."""
+    model = ClassModel(
+        [ClassType("Order", (), (Property("part", "Part"), Property("spare", "Part"))), ClassType("Part", foreign=True)]
+    )
+    orders = table(spark, folder, "lineitem").select(
+        F.col("l_orderkey").alias("id"), F.array("l_partkey").alias("part"), F.array("l_suppkey").alias("spare")
+    )
+    tables = S.shred({"Order": orders}, model)
+    return tables["order_part_to_part"].select(F.lit("part").alias("link"), "order_id", "part_id").unionByName(
+        tables["order_spare_to_part"].select(F.lit("spare").alias("link"), "order_id", "part_id")
+    )
+
+
+def shred_violations(spark, folder):
+    """Customers that, against the model, several suppliers list as their own."""
+    model = ClassModel(
+        [ClassType("Supplier", (), (Property("serves", "Customer", kind=COMPOSITION),)), ClassType("Customer")]
+    )
+    frames = _serving(spark, folder)
+    frames["Customer"] = frames["Customer"].select("id")
+    lost = S.shred(frames, model).violations
+    return lost.select(F.col("table").alias("tbl"), "id", F.col("column").alias("col"), "lost_key")
+
+
 # --- columns ---------------------------------------------------------------
 
 
+def shred_two_inlines(spark, folder):
+    """Two values of one type in one owner."""
+    account = ClassType("Account", (Attribute("amount", type="decimal"),), value=True)
+    properties = (Property("held", "Account", 1, 1, COMPOSITION), Property("due", "Account", 1, 1, COMPOSITION))
+    model = ClassModel([ClassType("Customer", (), properties), account])
+    customers = table(spark, folder, "customer").select(
+        F.col("c_custkey").alias("id"),
+        F.struct(F.col("c_acctbal").alias("amount")).alias("held"),
+        F.struct((-F.col("c_acctbal")).alias("AMOUNT")).alias("Due"),
+    )
+    return S.shred({"Customer": customers}, model)["customer"]
+
+
+def shred_mixed_ids(spark, folder):
+    """Customers nested with an id, with a null id and without one: keys are
+    unique, so every order finds its own again."""
+    model = ClassModel(
+        [
+            ClassType("Order", (), (Property("buyer", "Customer", 0, 1), Property("agent", "Customer", 0, 1))),
+            ClassType("Customer", (Attribute("name"),)),
+        ]
+    )
+    known = F.col("o_orderstatus") == "O"
+    name = F.when(known, F.concat(F.lit("c"), "o_custkey")).otherwise(F.concat(F.lit("x"), "o_orderkey"))
+    orders = table(spark, folder, "orders").select(
+        F.col("o_orderkey").alias("id"),
+        F.when(
+            F.col("o_orderstatus") != "P", F.struct(F.when(known, F.col("o_custkey")).alias("id"), name.alias("name"))
+        ).alias("buyer"),
+        F.struct(F.concat(F.lit("a"), "o_orderkey").alias("name")).alias("agent"),
+    )
+    tables = S.shred({"Order": orders}, model)
+    out = tables["order"]
+    for role in ("buyer", "agent"):
+        people = tables["customer"].select(F.col("id").alias(f"{role}_id"), F.col("name").alias(role))
+        out = out.join(people, f"{role}_id", "left")
+    return out.select("id", "buyer", "agent")
+
+
 def shred_inline(spark, folder):
     """A plain value type folds into its owner."""
     model = ClassModel(
@@ -300,6 +366,13 @@ def _event_model(**flags) -> ClassModel:
                 base="AbstractEvent",
                 class_id=c["purchase"],
             ),
+            ClassType("Signup", (), base="AbstractEvent", class_id=c["signup"]),
+            ClassType(
+                "Error",
+                (Attribute("amount", type="double"), Attribute("note")),
+                base="AbstractEvent",
+                class_id=c["error"],
+            ),
         ],
         **flags,
     )
@@ -317,6 +390,8 @@ def _event_frames(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
         "Click": rows.where("event_type = 'click'").select("id", "user", "amount"),
         "View": rows.where("event_type = 'view'").select("id", "user"),
         "Purchase": rows.where("event_type = 'purchase'").select("id", "user", "amount", "note"),
+        "Signup": rows.where("event_type = 'signup'").select("id", "user"),
+        "Error": rows.where("event_type = 'error'").select("id", "user", "amount", "note"),
     }
 
 
@@ -326,8 +401,64 @@ def shred_merge(spark, folder):
 
 
 def shred_join(spark, folder):
-    """A larger class has its own table with the same key."""
-    return S.shred(_event_frames(spark, folder), _event_model())["purchase"]
+    """A larger class has its own table with the same key; the class of a row
+    in the parent's table says where it goes on."""
+    tables = S.shred(_event_frames(spark, folder), _event_model())
+    parent = tables["event"].select("id", F.col("objectclass_id").alias("class_id"))
+    subs = [tables[t].select(F.lit(t).alias("tbl"), "id", "amount", "note") for t in ("purchase", "error")]
+    return parent.join(subs[0].unionByName(subs[1]), "id", "left").select("tbl", "id", "class_id", "amount", "note")
+
+
+def model_base_delete(spark, folder):
+    """From nested rows to a delete that starts in a concrete base of three levels."""
+    c = EVENT_CLASSES
+    model = ClassModel(
+        [
+            ClassType("Build", (Attribute("user", type="long"), Attribute("kind")), class_id=c["click"]),
+            ClassType("Tower", (Attribute("height", type="double"), Attribute("note")), base="Build", class_id=c["view"]),
+            ClassType("Spire", (Attribute("tip"), Attribute("top")), base="Tower", class_id=c["purchase"]),
+        ]
+    )
+    rows = table(spark, folder, "events").select(
+        F.col("event_id").alias("id"), F.col("user_id").alias("user"), F.col("event_type").alias("kind"),
+        F.col("value").alias("height"), F.col("props").alias("note"), F.col("props").alias("tip"), F.col("event_type").alias("top"),
+    )
+    tower = ["id", "user", "kind", "height", "note"]
+    frames = {
+        "Build": rows.where("kind = 'click'").select("id", "user", "kind"),
+        "Tower": rows.where("kind = 'view'").select(*tower),
+        "Spire": rows.where("kind = 'purchase'").select(*tower, "tip", "top"),
+    }
+    tables = S.shred(frames, model)
+    gone = tables["build"].where("user % 3 = 0").select("id")
+    result = cascade_delete(tables, relation_spec(model), {"build": gone})
+    return result.deleted.select(F.col("table").alias("tbl"), "id")
+
+
+def merged_same_name_delete(spark, folder):
+    """Two classes of one table, each with a property ``ref`` to a class of its own."""
+    model = ClassModel(
+        [
+            ClassType("AbstractX", abstract=True, class_id=1),
+            ClassType("A", (), (Property("ref", "P", 0, 1, COMPOSITION),), base="AbstractX", class_id=2),
+            ClassType("B", (), (Property("ref", "Q", 0, 1, COMPOSITION),), base="AbstractX", class_id=3),
+            ClassType("P", (Attribute("name"),)),
+            ClassType("Q", (Attribute("name"),)),
+        ]
+    )
+    nation, region = table(spark, folder, "nation"), table(spark, folder, "region")
+    frames = {
+        "A": nation.select(F.col("n_nationkey").cast("long").alias("id"), F.col("n_regionkey").cast("long").alias("ref")),
+        "B": table(spark, folder, "supplier").select(
+            (F.col("s_suppkey") + 1000).alias("id"), F.col("s_nationkey").cast("long").alias("ref")
+        ),
+        "P": region.select(F.col("r_regionkey").cast("long").alias("id"), F.col("r_name").alias("name")),
+        "Q": nation.select(F.col("n_nationkey").cast("long").alias("id"), F.col("n_name").alias("name")),
+    }
+    tables = S.shred(frames, model)
+    gone = tables["x"].where("id < 2").select("id")
+    result = cascade_delete(tables, relation_spec(model), {"x": gone})
+    return result.deleted.select(F.col("table").alias("tbl"), "id")
 
 
 # --- geometry --------------------------------------------------------------
@@ -411,7 +542,13 @@ QUERIES = {
         shred_mn_owned,
         shred_mn_self,
         shred_foreign_link,
+        shred_two_foreign_links,
+        shred_violations,
         shred_inline,
+        shred_two_inlines,
+        shred_mixed_ids,
+        model_base_delete,
+        merged_same_name_delete,
         shred_ref,
         shred_uom,
         shred_period,
@@ -459,7 +596,7 @@ ORACLES = {
     "shred_mn_owned": f"""
         with {_SERVING}
         select 'customer' as tbl, c_custkey as id1, (select min(sid) from s where s.cid = c_custkey) as id2 from customer
-        union all select distinct 'link', cid, sid from c""",
+        union all select 'link', cid, sid from (select cid, sid from c union select cid, sid from s)""",
     "shred_mn_self": """
         select p_partkey as part_replaces_id, unnest([p_size, p_size + 1]) as part_spareof_id from part
         union select p_partkey + 1, p_partkey from part""",
@@ -487,12 +624,39 @@ ORACLES = {
                case when value > 20 then null else (props->>'$.k')::bigint end as number, value as share,
                case when event_type = 'error' then true end as flag,
                '{"u":' || user_id || ',"t":"' || event_type || '"}' as rest, props as raw from events""",
+    "shred_two_foreign_links": """
+        select distinct 'part' as link, l_orderkey as order_id, l_partkey as part_id from lineitem
+        union all select distinct 'spare', l_orderkey, l_suppkey from lineitem""",
+    "shred_violations": f"""
+        with {_SERVING}, d as (select distinct sid, cid from s)
+        select 'customer' as tbl, cid::varchar as id, 'supplier_serves_id' as col, sid::varchar as lost_key
+        from (select *, min(sid) over (partition by cid) as kept from d) where sid <> kept""",
+    "shred_two_inlines": """
+        select c_custkey as id, c_acctbal as held_amount, -c_acctbal as due_amount from customer""",
+    "shred_mixed_ids": """
+        select o_orderkey as id, case o_orderstatus when 'O' then 'c' || o_custkey when 'P' then null
+               else 'x' || o_orderkey end as buyer, 'a' || o_orderkey as agent from orders""",
+    "model_base_delete": """
+        with e as (select event_id as id, event_type as kind from events where user_id % 3 = 0)
+        select 'build' as tbl, id from e where kind in ('click', 'view', 'purchase')
+        union all select 'tower', id from e where kind in ('view', 'purchase')
+        union all select 'spire', id from e where kind = 'purchase'""",
+    "merged_same_name_delete": """
+        select 'x' as tbl, n_nationkey::bigint as id from nation where n_nationkey < 2
+        union all select distinct 'p', n_regionkey::bigint from nation where n_nationkey < 2""",
     "shred_merge": """
         select event_id as id, user_id as user,
                case when event_type = 'click' then value end as amount,
-               case event_type when 'click' then 10001 when 'view' then 10002 else 10004 end as objectclass_id
-        from events where event_type in ('click', 'view', 'purchase')""",
-    "shred_join": "select event_id as id, value as amount, props as note from events where event_type = 'purchase'",
+               case event_type when 'click' then 10001 when 'view' then 10002 when 'signup' then 10003
+                    when 'purchase' then 10004 else 10005 end as objectclass_id
+        from events""",
+    "shred_join": """
+        select case when event_type in ('purchase', 'error') then event_type end as tbl, event_id as id,
+               case event_type when 'click' then 10001 when 'view' then 10002 when 'signup' then 10003
+                    when 'purchase' then 10004 else 10005 end as class_id,
+               case when event_type in ('purchase', 'error') then value end as amount,
+               case when event_type in ('purchase', 'error') then props end as note
+        from events""",
     "shred_geometry": f"""
         with {_ROOTS}
         select c.c_custkey as id, sh.root as shell_id, 2 as route_points, c_acctbal as route_z, hy.root as shape_brep_id,

@@ -171,4 +171,84 @@ def test_inheritance_with_three_levels(spark):
     tiny = spark.sql("select 2L as id, 'z' as a, 't' as t")
     t = shred({"Low": low, "Tiny": tiny}, model)
     assert values(t["thing"], "id", "a", "t", "objectclass_id") == [(1, "a", None, 3), (2, "z", "t", 4)]
-    assert values(t["mid"]) == [(1, "b", "c")] and values(t["low"]) == [(1, "d", "e")]
+    assert values(t["mid"]) == [(1, "b", "c", 3)] and values(t["low"]) == [(1, "d", "e")]
+
+
+@pytest.fixture
+def frame(spark):
+    return lambda schema, data: spark.createDataFrame(data, schema)
+
+
+def test_null_ids_and_ids_beside_generated_keys(frame):
+    model = ClassModel([
+        ClassType("Order", (), (Property("buyer", "Person", 0, 1), Property("agent", "Person", 0, 1), Property("line", "Line", kind=COMPOSITION))),
+        ClassType("Person", (Attribute("name"),)), ClassType("Line", (Attribute("text"),)),
+    ])
+    df = frame(
+        "id bigint, buyer struct<id:bigint,name:string>, agent struct<name:string>, line array<struct<ID:bigint,text:string>>",
+        [(7, (1, "ann"), ("bob",), [(5, "x"), (None, "y"), (None, "z")]), (8, (None, "cy"), None, None)],
+    )
+    t = shred({"Order": df}, model)
+    people = dict(values(t["person"], "name", "id"))
+    assert len(people) == 3 and len(set(people.values())) == 3 and people["ann"] == 1
+    assert values(t["order"], "id", "buyer_id", "agent_id") == [(7, 1, people["bob"]), (8, people["cy"], None)]
+    lines = {text: (i, owner) for i, text, owner in values(t["line"], "id", "text", "order_line_id")}
+    assert lines["x"] == (5, 7) and lines["y"][1] == lines["z"][1] == 7 and len({i for i, _ in lines.values()}) == 3
+    assert values(t.violations) == []
+
+
+def test_what_cannot_be_stored_is_reported(frame):
+    model = ClassModel([
+        ClassType("A", (), (Property("kid", "K", kind=COMPOSITION), Property("one", "K", 0, 1))), ClassType("K", (Attribute("n"),)),
+    ])
+    a = frame("id bigint, kid array<struct<id:bigint,n:string>>, one array<bigint>", [(1, [(5, "p")], [5, 6]), (2, [(5, "q"), (6, "r")], [6])])
+    t = shred({"A": a}, model)
+    assert values(t["a"], "id", "one_id") == [(1, 5), (2, 6)]
+    assert values(t["k"], "id", "a_kid_id") == [(5, 1), (6, 2)]
+    assert sorted(values(t.violations), key=str) == sorted(
+        [("a", "1", "one_id", "6"), ("k", "5", "a_kid_id", "2"), ("k", "5", "(content)", None)], key=str)
+    assert [values(shred({"A": a}, model)["k"]) for _ in range(3)] == [values(t["k"])] * 3
+
+
+def test_column_names_in_any_case_and_unknown_ones(frame):
+    model = ClassModel([ClassType("A", (Attribute("name"),))])
+    assert values(shred({"A": frame("ID bigint, Name string", [(1, "x")])}, model)["a"]) == [(1, "x")]
+    with pytest.raises(ValueError, match="does not know: extra"):
+        shred({"A": frame("id bigint, extra string", [(1, "x")])}, model)
+
+
+def test_a_key_given_and_nested_is_one_column(frame):
+    model = ClassModel([
+        ClassType("Top", (), (Property("a", "A", kind=COMPOSITION),)), ClassType("A", (), (Property("plan", "Plan", 0, 1),)), ClassType("Plan", (Attribute("t"),)),
+    ])
+    top = frame("id bigint, a array<struct<id:bigint,plan:struct<t:string>>>", [(1, [(10, ("n",))])])
+    t = shred({"Top": top, "A": frame("id bigint, plan bigint", [(11, 70)]), "Plan": frame("id bigint, t string", [(70, "given")])}, model)
+    assert sorted(t["a"].columns) == ["id", "plan_id", "top_a_id"]
+    assert values(t["a"], "id", "plan_id") == [(10, 71), (11, 70)]
+
+
+def test_random_models_share_no_column_between_targets():
+    import random
+
+    draw = random.Random(4)
+    for _ in range(60):
+        names = [f"C{i}" for i in range(8)]
+        types = []
+        for i, n in enumerate(names):
+            properties = {
+                f"p{draw.randrange(3)}": draw.choice(names) for _ in range(draw.randint(0, 2))
+            }
+            types.append(ClassType(n, (), tuple(Property(p, t, 0, draw.choice([1, None])) for p, t in properties.items()),
+                                   base=draw.choice([None, *names[:i]]) if i else None, abstract=draw.random() < 0.5, foreign=draw.random() < 0.2, class_id=i))
+        model = ClassModel(types)
+        seen = {}
+        for c in types:
+            for p in c.properties:
+                where = model.storage(c.name, p)
+                if where.way == C.OWN_KEY:
+                    key, target = (where.table, where.columns[0]), model.table(p.target)
+                elif where.way == C.LINK_TABLE:
+                    key, target = where.table, (model.table(p.target), p.name)
+                else:
+                    continue
+                assert seen.setdefault(key, target) == target
