@@ -167,6 +167,7 @@ class _Cascade:
         self.spec = spec
         self.step = 0
         self.last_step: dict[str, int] = {}
+        self.echoes: dict[str, set[str]] = {}
         self.stage = Staging(next(iter(tables.values())).sparkSession)
 
     def rows(self, table: str, *columns: str) -> DataFrame:
@@ -335,12 +336,31 @@ class _Cascade:
                 doomed[table] = keys if known is None else without_keys(keys, ID, known)
         changed = self.keep(doomed, "deleted") if doomed else []
         self.last_step.update(dict.fromkeys(changed, self.step))
+        self.echoes = {t: self.came_down(t, news[t]) for t in changed if t not in seeds and t not in tested}
         for table in changed:
             for ref in self.spec.references:
                 if ref.table == table and ref.is_self and ref.owned == "row" and ref.kind == COMPOSITION:
                     self.close(table, ref.column)
         return changed
 
+    def came_down(self, table: str, sources: Mapping[str, DataFrame]) -> set[str]:
+        """Base tables that need not hear of the new deletes of a sub table, as
+        all of these came down from there and nothing else leads back."""
+        spec = self.spec
+        bases = {k.base for k in spec.shared_keys if k.sub == table}
+        if not sources or not set(sources) <= bases or len(sources) > 1:
+            return set()
+        (base,) = sources
+        leads_back = any(
+            (r.owned == "row" and (r.target, r.table) == (table, base))
+            or (r.owned == "target" and (r.table, r.target) == (table, base))
+            for r in spec.references
+        ) or any((k.owner, k.member) == (table, base) for k in spec.links)
+        from_base = any(r.owned == "row" and (r.target, r.table) == (base, table) for r in spec.references) or any(
+            r.owned == "target" and (r.table, r.target) == (base, table) for r in spec.references
+        )
+        return set() if leads_back or from_base or any(k.member == table and k.owner == base for k in spec.links) else {base}
+
     def close(self, table: str, parent: str) -> None:
         """Delete all parts below the deleted rows of a table that contains
         itself, on every level: pointers double, so the rounds are logarithmic."""
@@ -385,7 +405,9 @@ class _Cascade:
             changed = self.advance(news, {t: seeds.pop(t) for t in wave if t in seeds})
             waiting.difference_update(wave)
             for table in changed:
-                waiting |= effects[table]
+                quiet = self.echoes.get(table, set())
+                waiting |= effects[table] - quiet
+                taken.update({(table, base): self.last_step[table] for base in quiet})
 
 
 def cascade_delete(

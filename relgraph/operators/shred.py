@@ -197,11 +197,16 @@ def template_rows(
     Equal templates are one row, however many objects use them.
     """
     stage = Staging(df.sparkSession)
-    used = df.where(F.col(column).isNotNull()).select(F.col(key).alias(OWNER), F.col(column).alias("relative_other_geom"))
-    distinct = used.select("relative_other_geom").distinct()
+    geometry = F.col(column)
+    used = df.where(geometry.isNotNull()).select(
+        F.col(key).alias(OWNER), geometry.alias("relative_other_geom"), F.sha2(F.to_json(F.struct(geometry)), 256).alias("_digest")
+    )
+    # whole geometries go no further than the first aggregation: equal ones meet by their digest
+    distinct = used.groupBy("_digest").agg(F.first("relative_other_geom").alias("relative_other_geom"))
     order = ["relative_other_geom"] if ordered else []
-    templates, n = stage.keep(surrogate_keys(distinct, order, after), "templates")
-    pairs = used.join(templates, "relative_other_geom").select(OWNER, F.col(ID).alias(TARGET))
+    numbered, n = stage.keep(surrogate_keys(distinct, order, after), "templates")
+    pairs = used.select(OWNER, "_digest").join(numbered.select("_digest", ID), "_digest").select(OWNER, F.col(ID).alias(TARGET))
+    templates = numbered.select("relative_other_geom", ID)
     return pairs, templates, n
 
 

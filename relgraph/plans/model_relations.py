@@ -34,7 +34,16 @@ def _property(model: ClassModel, owner: str, prop: Property) -> list[Reference |
         return [Reference(here, where.columns[0], there, kind, "target", on_delete("1:1", kind))]
     if where.way == C.LINK_TABLE:
         return [Link(where.table, here, where.columns[0], there, where.columns[1], kind)]
-    if where.way in (C.CHILD_KEY, C.TREE_KEYS, C.MEMBER_KEY):
+    if where.way == C.MEMBER_KEY:
+        # the key holds one owner of a member; the link of the other side holds all of them
+        back = next(p for p in model[prop.target].properties if p.name == prop.reverse)
+        link = model.storage(prop.target, back)
+        policy = on_delete("1:N", kind, model[prop.target].value)
+        return [
+            Reference(where.table, where.columns[0], here, kind, "row", policy),
+            Link(link.table, here, link.columns[1], there, link.columns[0], kind),
+        ]
+    if where.way in (C.CHILD_KEY, C.TREE_KEYS):
         policy = on_delete("1:N", kind, model[prop.target].value)
         return [Reference(where.table, column, here, kind, "row", policy) for column in where.columns]
     return []

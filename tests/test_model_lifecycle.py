@@ -112,3 +112,36 @@ def test_class_ids_of_shared_keys():
     ])
     shared = {(k.sub, k.base): k.class_ids for k in relation_spec(model).shared_keys}
     assert shared == {("mid", "base"): (2, 3), ("leaf", "mid"): (3,)}
+
+
+def test_a_member_with_a_second_owner_stays(spark):
+    model = ClassModel([
+        ClassType("Supplier", (), (Property("serves", "Customer", kind=AGGREGATION, reverse="servedBy"),)),
+        ClassType("Customer", (), (Property("servedBy", "Supplier", reverse="serves"),)),
+    ])
+    frames = {
+        "Supplier": spark.createDataFrame([(1, [7, 8]), (2, [7])], "id bigint, serves array<bigint>"),
+        "Customer": spark.createDataFrame([(7, None), (8, None)], "id bigint, servedBy array<bigint>"),
+    }
+    tables = shred(frames, model)
+    result = cascade_delete(tables, relation_spec(model), {"supplier": spark.createDataFrame([(1,)], "id bigint")})
+    assert values(result.deleted) == [("customer", 8), ("supplier", 1)]
+
+
+def test_deletes_that_came_down_do_not_echo(spark):
+    from relgraph.operators import cascade
+
+    model = ClassModel([
+        ClassType("Base", (Attribute("a"), Attribute("b")), class_id=1),
+        ClassType("Sub", (Attribute("c"), Attribute("d")), base="Base", class_id=2),
+        ClassType("Leaf", (Attribute("e"), Attribute("f")), base="Sub", class_id=3),
+    ])
+    row = "'a' as a, 'b' as b, 'c' as c, 'd' as d, 'e' as e, 'f' as f"
+    tables = shred({"Leaf": spark.sql(f"select id, {row} from range(5)"), "Base": spark.sql("select id + 10 as id, 'a' as a, 'b' as b from range(5)")}, model)
+    run = cascade._Cascade(tables, relation_spec(model))
+    run.run({"base": spark.createDataFrame([(1,), (11,)], "id bigint")})
+    assert {t: sorted(r.id for r in run.gone(t).collect()) for t in run.last_step} == {"base": [1, 11], "sub": [1], "leaf": [1]}
+    assert run.step == 3
+    run = cascade._Cascade(tables, relation_spec(model))
+    run.run({"leaf": spark.createDataFrame([(2,)], "id bigint")})
+    assert {t: [r.id for r in run.gone(t).collect()] for t in run.last_step} == {"base": [2], "sub": [2], "leaf": [2]}
