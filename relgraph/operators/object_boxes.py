@@ -23,6 +23,7 @@ from relgraph.operators.envelope import (
     parent_key_contribution,
     roll_up,
     root_boxes,
+    template_boxes,
 )
 from relgraph.plans import classes as C
 from relgraph.plans.classes import Attribute, ClassModel
@@ -30,8 +31,14 @@ from relgraph.plans.model_relations import SURFACES, TEMPLATES, relation_kind
 from relgraph.plans.spec import ASSOCIATION
 
 
+#: Columns of templates that have a surface tree.
+BREP, TEMPLATE_GEOMETRY = "relative_brep_id", "implicit_geometry"
+
+
 def object_space(model: ClassModel, name: str) -> str:
-    """The topmost table of a class: objects of its whole tree have their id there."""
+    """The topmost table of a class: objects of its whole tree, and their hooks, have their id there."""
+    if model[name].hook:
+        return object_space(model, model[name].base)
     return model.table(model.lineage(name)[0].name)
 
 
@@ -76,7 +83,13 @@ def own_boxes(tables: Mapping[str, DataFrame], model: ClassModel, root: str | No
     surfaces = root_boxes(tables[SURFACES]) if SURFACES in tables else None
     templates = None
     if TEMPLATES in tables:
-        templates = tables[TEMPLATES].select(ID, box_of_points("relative_other_geom").alias(BOX))
+        known = tables[TEMPLATES]
+        if BREP in known.columns and SURFACES in tables:
+            # templates of surfaces are in the surface table, under a root of their own
+            column = TEMPLATE_GEOMETRY if TEMPLATE_GEOMETRY in tables[SURFACES].columns else "geometry"
+            templates = template_boxes(known, tables[SURFACES], brep=BREP, geometry=column)
+        else:
+            templates = known.select(ID, box_of_points("relative_other_geom").alias(BOX))
     found: dict[str, list[DataFrame]] = {}
     for c in model.classes.values():
         if c.name == root:

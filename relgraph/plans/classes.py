@@ -62,7 +62,9 @@ class Property:
 @dataclass(frozen=True)
 class ClassType:
     """``value`` marks a plain value type, which has no identity of its own;
-    ``foreign`` a class that another model owns and stores."""
+    ``foreign`` a class that another model owns and stores.  A ``hook`` holds
+    further attributes of objects of its base, under their ids in a table of
+    its own; it adds to these objects and is no class of objects itself."""
 
     name: str
     attributes: tuple[Attribute, ...] = ()
@@ -72,6 +74,7 @@ class ClassType:
     foreign: bool = False
     value: bool = False
     class_id: int | None = None
+    hook: bool = False
 
 
 @dataclass(frozen=True)
@@ -97,6 +100,8 @@ class ClassModel:
         for c in self.classes.values():
             if c.base is not None and c.base not in self.classes:
                 raise ValueError(f"{c.name} extends unknown class {c.base}")
+            if c.hook and (c.base is None or self.classes[c.base].hook):
+                raise ValueError(f"hook {c.name} needs a base that is no hook")
             for p in c.properties:
                 if p.target not in self.classes:
                     raise ValueError(f"{c.name}.{p.name} leads to unknown class {p.target}")
@@ -105,19 +110,19 @@ class ClassModel:
         return self.classes[name]
 
     def lineage(self, name: str) -> list[ClassType]:
-        """The class and its ancestors, topmost first."""
+        """The class and its ancestors, topmost first; a hook stands alone."""
         chain = [self[name]]
-        while chain[0].base is not None:
+        while chain[0].base is not None and not chain[0].hook:
             chain.insert(0, self[chain[0].base])
         return chain
 
     def merges(self, name: str) -> bool:
         """Whether a class shares the table of its parent."""
         child = self[name]
-        if child.base is None:
+        if child.base is None or child.hook:
             return False
         parent = self[child.base]
-        siblings = sum(c.base == parent.name for c in self.classes.values())
+        siblings = sum(c.base == parent.name and not c.hook for c in self.classes.values())
         small = not child.abstract and len(child.attributes) + len(child.properties) <= 1
         if parent.foreign:
             return False
@@ -139,7 +144,9 @@ class ClassModel:
         """Tables with a class column: those of several classes, and those whose
         keys sub tables share, where the class says in which table a row goes on."""
         parents = {
-            self.table(c.base) for c in self.classes.values() if c.base is not None and self.table(c.base) != self.table(c.name)
+            self.table(c.base)
+            for c in self.classes.values()
+            if c.base is not None and not c.hook and self.table(c.base) != self.table(c.name)
         }
         return self.merged_tables() | parents
 

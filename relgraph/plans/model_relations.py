@@ -92,7 +92,8 @@ def relation_spec(model: ClassModel) -> RelationSpec:
         tuple(dict.fromkeys(references)),
         tuple(links.values()),
         # rows can only be told apart by class if every class has an id
-        tuple(SharedKey(sub, base, () if None in ids else tuple(sorted(ids))) for (sub, base), ids in shared.items()),
+        tuple(SharedKey(sub, base, () if None in ids else tuple(sorted(ids))) for (sub, base), ids in shared.items())
+        + tuple(SharedKey(model.table(c.name), model.table(c.base), hook=True) for c in model.classes.values() if c.hook),
         class_column=C.CLASS_COLUMN,
     )
     return spec.with_multi_owner(owners)

@@ -530,9 +530,68 @@ def shred_object_boxes(spark, folder):
     return boxes.select("id", *sides())
 
 
+def shred_brep_templates(spark, folder):
+    """Envelopes of sites that place templates made of surfaces."""
+    model = ClassModel([ClassType("Site", (Attribute("lod2Model", C.IMPLICIT),))])
+    customers, suppliers = table(spark, folder, "customer"), table(spark, folder, "supplier")
+    no_shape = F.array(point(F.lit(None), F.lit(None), F.lit(None)))
+    tables = {
+        "site": customers.select(
+            F.col("c_custkey").alias("id"),
+            F.col("c_nationkey").cast("long").alias("lod2_implicit_rep_id"),
+            point("c_nationkey", F.lit(0), F.lit(0)).alias("lod2_implicit_ref_point"),
+            F.lit(None).cast("string").alias("lod2_implicit_transformation"),
+        ),
+        "implicit_geometry": suppliers.select(F.col("s_nationkey").cast("long").alias("id")).distinct().select(
+            "id", F.when(F.lit(False), no_shape).alias("relative_other_geom"), (F.col("id") + 100).alias("relative_brep_id")
+        ),
+        "surface_geometry": suppliers.select(
+            (F.col("s_nationkey").cast("long") + 100).alias("root_id"),
+            F.when(F.lit(False), no_shape).alias("geometry"),
+            F.array(point("s_suppkey", "s_acctbal", F.lit(0))).alias("implicit_geometry"),
+        ),
+    }
+    return object_boxes(tables, model)["site"].select("id", *sides())
+
+
+def _hook_tables(spark: SparkSession, folder: str) -> tuple[ClassModel, dict[str, DataFrame]]:
+    """Customers with a point, and what another model adds to those with money."""
+    model = ClassModel(
+        [
+            ClassType("Customer", (Attribute("spot", C.LINE), Attribute("name")), class_id=1),
+            ClassType("Extra", (Attribute("reach", C.LINE), Attribute("note")), base="Customer", hook=True),
+        ]
+    )
+    rows = table(spark, folder, "customer")
+    frames = {
+        "Customer": rows.select(
+            F.col("c_custkey").alias("id"), F.array(point("c_custkey", F.lit(0), F.lit(0))).alias("spot"), F.col("c_name").alias("name")
+        ),
+        "Extra": rows.where("c_acctbal > 0").select(
+            F.col("c_custkey").alias("id"), F.array(point("c_nationkey", F.lit(1), "c_acctbal")).alias("reach"), F.col("c_name").alias("note")
+        ),
+    }
+    return model, S.shred(frames, model)
+
+
+def hook_model_delete(spark, folder):
+    model, tables = _hook_tables(spark, folder)
+    gone = tables["customer"].where("id % 3 = 0").select("id")
+    result = cascade_delete(tables, relation_spec(model), {"customer": gone})
+    return result.deleted.select(F.col("table").alias("tbl"), "id")
+
+
+def hook_model_boxes(spark, folder):
+    model, tables = _hook_tables(spark, folder)
+    return object_boxes(tables, model)["customer"].select("id", *sides())
+
+
 QUERIES = {
     f.__name__: f
     for f in [
+        shred_brep_templates,
+        hook_model_delete,
+        hook_model_boxes,
         shred_document_lines,
         shred_documents,
         shred_roundtrip,
@@ -676,5 +735,18 @@ ORACLES = {
             union all select c_custkey, 3 * c_nationkey, 2, 4 from customer where c_nationkey > 3)
         select id, min(x) as xmin, min(y) as ymin, min(z) as zmin, max(x) as xmax, max(y) as ymax, max(z) as zmax
         from g group by id""",
+    "shred_brep_templates": """
+        with t as (select s_nationkey as n, min(s_suppkey)::double as x1, max(s_suppkey)::double as x2,
+                          min(s_acctbal) as y1, max(s_acctbal) as y2 from supplier group by 1)
+        select c_custkey as id, x1 + n as xmin, y1 as ymin, 0::double as zmin, x2 + n as xmax, y2 as ymax, 0::double as zmax
+        from customer join t on n = c_nationkey""",
+    "hook_model_delete": """
+        select 'customer' as tbl, c_custkey as id from customer where c_custkey % 3 = 0
+        union all select 'extra', c_custkey from customer where c_custkey % 3 = 0 and c_acctbal > 0""",
+    "hook_model_boxes": """
+        with g as (select c_custkey as id, c_custkey::double as x, 0::double as y, 0::double as z from customer
+                   union all select c_custkey, c_nationkey, 1, c_acctbal from customer where c_acctbal > 0)
+        select id, min(x) as xmin, min(y) as ymin, min(z) as zmin, max(x) as xmax, max(y) as ymax, max(z) as zmax
+        from g group by id""",
     "shred_templates": f"with {_ROOTS} select rep as id, c_nationkey::double as x from tp",
 }
