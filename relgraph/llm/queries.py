@@ -167,4 +167,30 @@ QUERIES = {
     "op9_quality_rules": op9_quality_rules,
     "op10_benchmark": op10_benchmark,
 }
-ORACLES: dict[str, str] = {}
+#: The same rows in SQL, where SQL can say them.
+ORACLES = {
+    "op10_benchmark": """
+        with lists as (
+            select 'd' as side, row_number() over () as rid, doc_id as id, text from documents
+            union all select 'b', row_number() over (), item_id, text from benchmark),
+        words as (
+            select side, rid, id, coalesce(regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), []) as w from lists),
+        items as (select id, w, least(10, len(w)) as k from words where side = 'b' and len(w) > 0),
+        windows as (
+            select distinct id, k, array_to_string(w[i : i + k - 1], ' ') as p
+            from (select *, unnest(range(1, len(w) - k + 2)) as i from items)),
+        places as (
+            select rid, k, i, array_to_string(w[i : i + k - 1], ' ') as p
+            from (select rid, w, k, unnest(range(1, len(w) - k + 2)) as i
+                  from words, (select distinct k from items) where side = 'd' and len(w) >= k)),
+        hits as (select rid, i, places.k, id from places join windows on places.k = windows.k and places.p = windows.p),
+        hit_words as (select rid, count(distinct place) as n_hit from (select rid, unnest(range(i, i + k)) as place from hits) group by rid),
+        hit_items as (
+            select rid, count(*) as n_items, string_agg(item, ',' order by item) as items
+            from (select distinct rid, id::varchar as item from hits where id is not null) group by rid)
+        select id as doc_id, len(w) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+               sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+        from words left join hit_words using (rid) left join hit_items using (rid) where side = 'd'""",
+}

@@ -69,3 +69,12 @@ def test_passes_nulls_and_repeats(rows, odd_docs, per_pass):
     assert [(r.n_words, r.hit, r["items"]) for r in got] == want
     assert find_benchmark(odd_docs.where("doc_id < -1"), bench).collect() == []
     assert all(r["items"] == [] for r in find_benchmark(odd_docs, bench.where("item_id = 99")).collect())
+
+
+def test_query_against_its_sql(spark):
+    import oracle
+
+    from relgraph.llm.queries import ORACLES
+
+    folder = "/root/testdata/sf0.01"
+    assert oracle.differences(op10_benchmark(spark, folder), oracle.connect(folder), ORACLES["op10_benchmark"]) == []
