@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from relgraph.llm.components import connected_components
-from relgraph.llm.scan import columns_of, kept_columns, scan_texts, spaced_words
+from relgraph.llm.scan import columns_of, kept_columns, scan_texts, sliced, spaced_words
 from relgraph.plans.staging import Staging
 
 SHINGLE = 4
@@ -288,19 +288,14 @@ def fingerprint_hex(fp: Column) -> Column:
 
 # ---- groups by similarity ---------------------------------------------------------------------------------------
 
-
-def word_set_fingerprint(words: set[bytes], seed: int) -> int:
-    """SimHash of a set of words, as a signed 64-bit number."""
-    import xxhash
-
-    if not words:
-        return 0
-    digests = b"".join([xxhash.xxh64_digest(w, seed) for w in words])
-    count = np.zeros(64, np.int64)
-    raw = np.frombuffer(digests, np.uint8).reshape(-1, 8)
-    for at in range(0, len(raw), SHINGLES_AT_ONCE):
-        count += np.add.reduce(np.unpackbits(raw[at : at + SHINGLES_AT_ONCE], axis=1), axis=0, dtype=np.int32)
-    return int.from_bytes(np.packbits(2 * count > len(words)).tobytes(), "big", signed=True)
+#: Shingles that a sample shows in very many texts come last in the order of the prefixes; at most this many are known.
+COMMON_SHINGLES = 20_000
+#: Buckets up to this size give all their pairs; larger ones are linked in rounds of verified stars.
+SMALL_BUCKET = 64
+STARS = 2
+#: Bits of the parities that bound how much two sets differ before the sets themselves are read.
+PARITY_BITS = 2048
+_FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
 
 def sketch(words: list[bytes], shingle: int, size: int) -> bytes:
@@ -320,6 +315,112 @@ def sketch_similarity(one: bytes, other: bytes, size: int) -> float:
     return float(np.isin(union, both).sum() / len(union)) if len(union) else 1.0
 
 
+def shingle_set(words: list[bytes], shingle: int) -> np.ndarray:
+    """The different 64-bit hashes of all word shingles, sorted; a shorter text is one shingle."""
+    import xxhash
+
+    width = min(shingle, len(words))
+    if not width:
+        return np.zeros(0, np.uint64)
+    each = np.fromiter((xxhash.xxh64_intdigest(w) for w in words), np.uint64, len(words))
+    total = np.zeros(len(words) - width + 1, np.uint64)
+    for i in range(width):
+        part = each[i : i + len(total)] * _FACTORS[i % len(_FACTORS)]
+        total = (total ^ part ^ (part >> np.uint64(29))) * _FACTORS[(i + 1) % len(_FACTORS)]
+    return np.unique(total ^ (total >> np.uint64(32)))
+
+
+def set_similarity(one: np.ndarray, other: np.ndarray) -> float:
+    """Jaccard similarity of two sets of hashes."""
+    both = len(np.intersect1d(one, other, assume_unique=True))
+    return both / (len(one) + len(other) - both) if len(one) + len(other) else 1.0
+
+
+def prefix_of(hashes: np.ndarray, common: np.ndarray, similarity: float) -> np.ndarray:
+    """The first shingles in a fixed order, of which two sets of the similarity share at least one.
+
+    Both sets hold ``similarity`` of the larger one, so one of the first
+    ``n - ceil(similarity * n) + 1`` must be common whatever the order is; that
+    common shingles come last only keeps the buckets small.
+    """
+    count = len(hashes) - max(1, math.ceil(similarity * len(hashes) - 1e-9)) + 1
+    late = np.searchsorted(common, hashes)
+    late = common[np.minimum(late, len(common) - 1)] == hashes if len(common) else np.zeros(len(hashes), bool)
+    return np.concatenate([hashes[~late], hashes[late]])[:count] if len(hashes) else hashes
+
+
+def parities(hashes: np.ndarray) -> bytes:
+    """For each of PARITY_BITS classes of hashes, whether the set holds an odd number of them.
+
+    Two sets differ in at least as many hashes as their parities do.
+    """
+    odd = np.bincount((hashes % np.uint64(PARITY_BITS)).astype(np.int64), minlength=PARITY_BITS) % 2
+    return np.packbits(odd.astype(bool)).tobytes()
+
+
+def may_be_similar(size: Column, pos: Column, size2: Column, pos2: Column, similarity: float) -> Column:
+    """Whether the sizes and places of the first common shingle leave room for the similarity."""
+    room = F.least(size - pos, size2 - pos2)
+    return (F.least(size, size2) >= similarity * F.greatest(size, size2) - 1e-6) & (
+        room * (1 + similarity) >= similarity * (size + size2) - 1e-6
+    )
+
+
+def bucket_pairs(
+    batches: Iterator[pa.RecordBatch], similarity: float, small: int
+) -> Iterator[pa.RecordBatch]:
+    """Pairs of small buckets, as (h null, a, b); members of large ones as they come.
+
+    Rows are (h, key, size, pos), sorted by h.  No more than a batch and one
+    small bucket are held.
+    """
+    names = ["h", "a", "b", "size", "pos"]
+    at, held, large = None, [np.zeros((4, 0), np.int64)], False
+
+    def close(rows: np.ndarray) -> list[np.ndarray]:
+        i, j = np.triu_indices(rows.shape[1], 1)
+        a, b = rows[:, i], rows[:, j]
+        room = np.minimum(a[2] - a[3], b[2] - b[3])
+        good = np.minimum(a[2], b[2]) >= similarity * np.maximum(a[2], b[2]) - 1e-6
+        good &= room * (1 + similarity) >= similarity * (a[2] + b[2]) - 1e-6
+        return [np.stack([np.minimum(a[1], b[1]), np.maximum(a[1], b[1])])[:, good & (a[1] != b[1])]]
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        rows = np.stack([c.to_numpy(zero_copy_only=False) for c in batch.columns]).astype(np.int64)
+        same = rows[0, 1:] == rows[0, :-1]
+        ends = np.arange(rows.shape[1]) % max(1, rows.shape[1] - 1) == 0  # a bucket may go on in the next batch
+        rows = rows[:, np.append(same, False) | np.append(False, same) | ends]
+        edge = np.flatnonzero(rows[0, 1:] != rows[0, :-1]) + 1
+        pairs, members = [np.zeros((2, 0), np.int64)], [np.zeros((4, 0), np.int64)]
+        for part in np.split(rows, edge, axis=1):
+            if part[0, 0] != at:
+                if not large and (whole := np.concatenate(held, axis=1)).shape[1] > 1:
+                    pairs += close(whole)
+                at, held, large = part[0, 0], [], False
+            if large:
+                members.append(part)
+                continue
+            held.append(part)
+            if sum(h.shape[1] for h in held) > small:
+                members += held
+                held, large = [], True
+        yield from _rows_of(pairs, members, names)
+    if not large and (whole := np.concatenate(held, axis=1)).shape[1] > 1:
+        yield from _rows_of(close(whole), [np.zeros((4, 0), np.int64)], names)
+
+
+def _rows_of(pairs: list[np.ndarray], members: list[np.ndarray], names: list[str]) -> Iterator[pa.RecordBatch]:
+    two, four = np.unique(np.concatenate(pairs, axis=1), axis=1), np.concatenate(members, axis=1)
+    none = pa.nulls(two.shape[1], pa.int64())
+    if two.shape[1]:
+        yield pa.RecordBatch.from_arrays([none, pa.array(two[0]), pa.array(two[1]), none, none], names=names)
+    if four.shape[1]:
+        none = pa.nulls(four.shape[1], pa.int64())
+        yield pa.RecordBatch.from_arrays([pa.array(four[0]), pa.array(four[1]), none, pa.array(four[2]), pa.array(four[3])], names=names)
+
+
 def mark_representatives(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -327,66 +428,119 @@ def mark_representatives(
     keep: Sequence[str] | None = None,
     shingle: int = 5,
     similarity: float = 0.8,
-    seeds: int = 4,
-    max_distance: int = MAX_DISTANCE,
-    sketch_size: int = 256,
+    small: int = SMALL_BUCKET,
 ) -> DataFrame:
     """Append ``representative``: true for one document of each group of near-duplicates.
 
     Documents are near-duplicates if their sets of word shingles have at least
-    the given Jaccard similarity; groups are what such links connect.  64 bits
-    over shingles cannot tell 0.8 within few differing bits, as one changed
-    word changes ``shingle`` shingles.  So candidates are documents whose
-    *word sets* have near fingerprints under one of several hash seeds (found
-    by :func:`link_fingerprints`), and each candidate link is verified on the
-    shingles: exactly up to ``sketch_size`` different shingles, else by a
-    bottom-k estimate.  The smallest id is kept, nulls last; of repeated rows
-    one.  Texts without words are copies of each other.
+    the given Jaccard similarity; groups are what such links connect.
+    Candidates share one of the first shingles of a fixed order
+    (:func:`prefix_of`), which no pair of the similarity fails to do; those
+    whose :func:`parities` do not rule it out are verified on the full sets of shingles.  Buckets of more than ``small``
+    texts are linked by stars: the members are verified against one, those that
+    fail against the next, and at last whatever is still unconnected against
+    all; only verified links connect.  The smallest id is kept, nulls last; of
+    repeated rows one.  Texts without words are copies of each other.
     """
     carried = kept_columns(docs, ["representative"], keep)
     staging = Staging(docs.sparkSession)
 
+    def sets() -> Callable:
+        def one(text: bytes | None) -> tuple:
+            return (shingle_set(spaced_words((text or b"").lower()), shingle).tobytes(),)
+
+        return lambda texts: columns_of([one(t) for t in texts], 1)
+
+    sample = docs.where(F.pmod(F.xxhash64(f"`{text_col}`"), F.lit(SAMPLE)) == 0).select(f"`{text_col}`").distinct()
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate([np.zeros(0, np.int64), *[np.frombuffer(s, np.int64) for s in batch.column(0).to_pylist()]]))], names=["h"]
+            )
+
+    seen = scan_texts(sample, "__set binary", sets, text_col, []).mapInArrow(counted, "h bigint")
+    # Which shingles are common is an estimate; that all pairs share one of a prefix is not.
+    seen = seen.groupBy("h").count().where("count > 2").orderBy(F.desc("count"), "h").limit(COMMON_SHINGLES)
+    common = np.sort(np.array([r["h"] for r in seen.collect()], np.int64).view(np.uint64))
+
     def make() -> Callable:
         import xxhash
 
         def one(text: bytes | None) -> tuple:
             words = spaced_words((text or b"").lower())
-            own = set(words)
             key = xxhash.xxh64_intdigest(b" ".join(words)) - 2**63
-            return key, [word_set_fingerprint(own, s) for s in range(seeds)], sketch(words, shingle, sketch_size)
+            own = shingle_set(words, shingle)
+            return key, len(own), parities(own), prefix_of(own, common, similarity).view(np.int64)
 
-        return lambda texts: columns_of([one(t) for t in texts], 3)
+        return lambda texts: columns_of([one(t) for t in texts], 4)
 
     numbered = docs.withColumn("__row", F.monotonically_increasing_id())
-    fields = "__key bigint, __fps array<bigint>, __sketch binary"
-    marked, _ = staging.keep(scan_texts(numbered, fields, make, text_col, [*carried, "__row"]), "marked")
+    fields = "__key bigint, __size bigint, __parity binary, __prefix array<bigint>"
+    held = [*carried, "__row", *[text_col] * (text_col not in carried)]
+    marked, _ = staging.keep(scan_texts(numbered, fields, make, text_col, held), "marked")
     place = F.struct(F.col(f"`{id_col}`").isNull().alias("no_id"), F.col(f"`{id_col}`").alias("id"), F.col("__row").alias("row"))
-    nodes = marked.groupBy("__key").agg(
-        F.min(place).alias("keeper"), F.first("__fps").alias("fps"), F.first("__sketch").alias("sketch")
-    )
+    nodes = marked.groupBy("__key").agg(F.min(place).alias("keeper"), F.first("__size").alias("size"), F.first("__parity").alias("parity"))
     nodes, _ = staging.keep(nodes, "nodes")
-    prints = nodes.select("__key", F.posexplode("fps").alias("salt", "fingerprint"))
-    owners = prints.groupBy("salt", "fingerprint").agg(F.min("__key").alias("owner"))
-    owners, _ = staging.keep(owners, "owners")
-    links = link_fingerprints(owners.select("fingerprint", "salt"), staging, max_distance)
-    links, _ = staging.keep(links.distinct(), "candidates")
-    left, right = (owners.select("salt", F.col("fingerprint").alias(c), F.col("owner").alias(f"o{c}")) for c in "ab")
-    pairs = links.join(left, ["salt", "a"]).join(right, ["salt", "b"]).select(F.col("oa").alias("a"), F.col("ob").alias("b"))
-    same = prints.join(owners, ["salt", "fingerprint"]).where("__key <> owner").select(F.col("__key").alias("a"), F.col("owner").alias("b"))
-    pairs = pairs.union(same).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct()
-    pairs, _ = staging.keep(pairs, "pairs")
-    for c in "ab":
-        pairs = pairs.join(nodes.select(F.col("__key").alias(c), F.col("sketch").alias(f"s{c}")), c)
-
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            both = zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)
-            good = [sketch_similarity(x, y, sketch_size) >= similarity for x, y in both]
-            yield batch.select([0, 1]).filter(pa.array(good, pa.bool_()))
-
-    verified = pairs.select("a", "b", "sa", "sb").mapInArrow(verify, "a bigint, b bigint")
-    roots = connected_components(verified, staging)
-    named = nodes.select("__key", "keeper").join(roots, F.col("__key") == F.col("node"), "left")
+    prefixes = marked.join(nodes.select(F.col("keeper.row").alias("__row")), "__row", "left_semi")
+    prefixes = prefixes.select(F.col("__key").alias("key"), F.col("__size").alias("size"), F.posexplode("__prefix").alias("pos", "h"))
+    dealt = prefixes.select("h", "key", "size", F.col("pos").cast("bigint")).repartition("h").sortWithinPartitions("h")
+    found = dealt.mapInArrow(lambda b: bucket_pairs(b, similarity, small), "h bigint, a bigint, b bigint, size bigint, pos bigint")
+    found, _ = staging.keep(found, "buckets")
+
+    def verified(pairs: DataFrame, label: str) -> DataFrame:
+        pairs, _ = staging.keep(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), f"{label}-pairs")
+        for c in "ab":
+            pairs = pairs.join(nodes.select(F.col("__key").alias(c), F.struct("size", "parity").alias(f"p{c}")), c)
+        pairs = pairs.select("a", "b", (F.col("pa.size") + F.col("pb.size")).alias("sizes"), "pa.parity", F.col("pb.parity").alias("other"))
+
+        def bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                one, two = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint64).reshape(-1, PARITY_BITS // 64) for i in (3, 4))
+                differ = np.bitwise_count(one ^ two).sum(axis=1, dtype=np.int64)
+                most = batch.column(2).to_numpy() * (1 - similarity) / (1 + similarity) + 1e-6
+                yield batch.select([0, 1]).filter(pa.array(differ <= most))
+
+        pairs, _ = staging.keep(pairs.mapInArrow(bounded, "a bigint, b bigint"), f"{label}-bounded")
+        ends = pairs.select(F.col("a").alias("__key")).union(pairs.select(F.col("b").alias("__key"))).distinct()
+        rows = nodes.join(ends, "__key").select(F.col("keeper.row").alias("__row"))
+        chosen = marked.select("__row", "__key", f"`{text_col}`").join(rows, "__row", "left_semi")
+        full, _ = staging.keep(scan_texts(chosen, "__set binary", sets, text_col, ["__key"]), f"{label}-sets")
+        for c in "ab":
+            pairs = pairs.join(full.select(F.col("__key").alias(c), F.col("__set").alias(f"s{c}")), c)
+
+        def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for whole in batches:
+                for batch in sliced(whole):
+                    both = zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)
+                    good = [set_similarity(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)) >= similarity for x, y in both]
+                    yield batch.select([0, 1]).filter(pa.array(good, pa.bool_()))
+
+        good, _ = staging.keep(pairs.select("a", "b", "sa", "sb").mapInArrow(compare, "a bigint, b bigint"), f"{label}-links")
+        return good
+
+    links = verified(found.where("h is null").select("a", "b"), "small")
+    members = found.where("h is not null").select("h", F.col("a").alias("key"), "size", "pos")
+    roots = connected_components(links, staging)
+    for turn in range(STARS + 1):
+        placed = members.join(roots, F.col("key") == F.col("node"), "left").select("h", "key", "size", "pos", F.coalesce("root", "key").alias("root"))
+        placed, _ = staging.keep(placed, "placed")
+        first = F.min(F.struct(F.xxhash64("key", F.lit(turn)).alias("order"), "root"))["root"].alias("main")
+        main = placed.groupBy("h").agg(first, F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
+        main, any_open = staging.keep(main.select("h", "main"), "open")
+        if not any_open:
+            break
+        rest = placed.join(main, "h")
+        if turn < STARS:  # one of what is not with the rest of the bucket, and at first any
+            center = rest if turn == 0 else rest.where("root <> main")
+            center = center.groupBy("h").agg(F.min(F.struct(F.xxhash64("key", F.lit(turn)).alias("order"), "key", "size", "pos", "root")).alias("c"))
+        else:
+            center = rest.where("root <> main").select("h", F.struct("key", "size", "pos", "root").alias("c"))
+        tried = placed.join(center, "h").where("root <> c.root")
+        tried = tried.where(may_be_similar(F.col("size"), F.col("pos"), F.col("c.size"), F.col("c.pos"), similarity))
+        links = links.union(verified(tried.select(F.col("key").alias("a"), F.col("c.key").alias("b")), f"star{turn}"))
+        roots = connected_components(links, staging)
+    named = nodes.join(roots, F.col("__key") == F.col("node"), "left")
     kept = named.groupBy(F.coalesce("root", "__key")).agg(F.min("keeper").alias("keeper")).select(
         F.col("keeper.row").alias("__row"), F.lit(True).alias("__kept")
     )

@@ -169,3 +169,34 @@ def test_unlike_documents_stay_and_sketches_estimate(rows, odd_docs):
     odd = mark_representatives(odd_docs).collect()
     assert len(odd) == odd_docs.count() and sum(r.representative for r in odd) == len({tuple((r.text or "").lower().split()) if (r.text or "").isascii() else r.text for r in odd})
     assert mark_representatives(rows("doc_id bigint, text string", [])).collect() == []
+
+
+def jaccard(one, other):
+    a, b = ({tuple(t.split()[i : i + 5]) for i in range(max(1, len(t.split()) - 4))} for t in (one, other))
+    return len(a & b) / len(a | b)
+
+
+def kept_by_brute_force(texts, limit=0.8):
+    group = list(range(len(texts)))
+    for i, one in enumerate(texts):
+        for j in range(i):
+            if group[i] != group[j] and jaccard(one, texts[j]) >= limit:
+                low, high = sorted((group[i], group[j]))
+                group = [low if g == high else g for g in group]
+    return sorted(set(group))
+
+
+@pytest.mark.parametrize("small", [2, 64])
+def test_representatives_equal_brute_force_where_word_sets_agree(rows, small):
+    draw, texts = random.Random(12), []
+    for g in range(12):
+        words = [f"g{g}w{i}" for i in range(60)]
+        for _ in range(3):  # the same words in another order: one word set, nothing in common
+            texts.append(" ".join(draw.sample(words, 60)))
+        texts.append(" ".join(words))
+        texts.append(" ".join([*words[5:], *words[:5]]))
+    common = [f"c{i}" for i in range(70)]
+    texts += [" ".join([*common, *[f"x{i}y{k}" for k in range(draw.choice([4, 12, 30]))]]) for i in range(40)]
+    draw.shuffle(texts)
+    got = mark_representatives(rows("doc_id bigint, text string", list(enumerate(texts))), small=small).collect()
+    assert sorted(r.doc_id for r in got if r.representative) == kept_by_brute_force(texts)
