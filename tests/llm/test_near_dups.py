@@ -200,3 +200,23 @@ def test_representatives_equal_brute_force_where_word_sets_agree(rows, small):
     draw.shuffle(texts)
     got = mark_representatives(rows("doc_id bigint, text string", list(enumerate(texts))), small=small).collect()
     assert sorted(r.doc_id for r in got if r.representative) == kept_by_brute_force(texts)
+
+
+def test_no_pair_near_the_limit_is_missed(rows):
+    draw, texts = random.Random(13), []
+    vocabulary = [f"w{i}" for i in range(5000)]
+    for _ in range(120):
+        words = draw.choices(vocabulary, k=draw.randint(100, 1000))
+        n = len(words)
+        at, k = draw.randrange(n // 2), round(n * draw.choice([0.05, 0.08, 0.09, 0.16, 0.18, 0.2]))
+        other = draw.choice([
+            [*words[:at], *draw.choices(vocabulary, k=k), *words[at + k :]],
+            [*words[:at], *draw.choices(vocabulary, k=k), *words[at:]],
+            words[:-k],
+        ])
+        texts += [" ".join(words), " ".join(other)]
+    near = [jaccard(*texts[i : i + 2]) for i in range(0, len(texts), 2)]
+    assert sum(0.8 <= x < 0.86 for x in near) > 20 and sum(x < 0.8 for x in near) > 10
+    got = mark_representatives(rows("doc_id bigint, text string", list(enumerate(texts)))).collect()
+    want = sorted([*range(0, len(texts), 2), *[2 * i + 1 for i, x in enumerate(near) if x < 0.8]])
+    assert sorted(r.doc_id for r in got if r.representative) == want
