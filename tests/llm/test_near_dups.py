@@ -220,3 +220,13 @@ def test_no_pair_near_the_limit_is_missed(rows):
     got = mark_representatives(rows("doc_id bigint, text string", list(enumerate(texts)))).collect()
     want = sorted([*range(0, len(texts), 2), *[2 * i + 1 for i, x in enumerate(near) if x < 0.8]])
     assert sorted(r.doc_id for r in got if r.representative) == want
+
+
+def test_long_texts_are_decided_exactly(rows):
+    words, texts = [f"w{i}" for i in range(2004)], []
+    for g in range(40):  # 2000 shingles, of which one side lacks 399 to 401 at the end
+        own = [f"{g}{w}" for w in words]
+        texts += [" ".join(own), " ".join(own[: -(399 + g % 3)])]
+    got = mark_representatives(rows("doc_id bigint, text string", list(enumerate(texts)))).collect()
+    want = [i for i in range(80) if i % 2 == 0 or i // 2 % 3 == 2]
+    assert sorted(r.doc_id for r in got if r.representative) == want
