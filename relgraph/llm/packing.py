@@ -38,6 +38,8 @@ CAPACITY = 2048
 #: Length classes; a piece wastes less than CAPACITY / CLASSES tokens by rounding.
 CLASSES = 256
 END_ID = 1
+#: Added tokens of ``byte_bpe_50k``, which its rank file does not list.
+SPECIAL_TOKENS = {"<|endoftext|>": 50256}
 #: What cutting a piece in two counts for, in sequences.
 CUT_COST = 0.01
 #: The master program stops when its bound shows less than this share left to gain.
@@ -243,11 +245,12 @@ def plan_sequences(histogram: dict[int, int], classes: int = CLASSES, gap: float
 # ---- tokens and pieces ------------------------------------------------------------------------------------------
 
 
-def byte_bpe(ranks_path: str, pattern: str):
+def byte_bpe(ranks_path: str, pattern: str, special_tokens: dict[str, int] | None = None):
     """The byte-level BPE of a rank file as a function from text to ids.
 
     Gives the ids of the ``tokenizers`` library for the same vocabulary at a
-    fraction of the time; a test holds the two against each other.
+    fraction of the time; a test holds the two against each other.  Marks of
+    ``special_tokens`` in a text become their one id; without them they are text.
     """
     import base64
 
@@ -255,8 +258,8 @@ def byte_bpe(ranks_path: str, pattern: str):
 
     with open(ranks_path, "rb") as lines:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-    encoding = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-    return lambda text: encoding.encode_to_numpy(text, disallowed_special=())
+    encoding = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens=special_tokens or {})
+    return lambda text: encoding.encode_to_numpy(text, allowed_special="all")
 
 
 def default_tokenizer() -> Callable[[], Callable[[str], np.ndarray]]:
@@ -265,7 +268,7 @@ def default_tokenizer() -> Callable[[], Callable[[str], np.ndarray]]:
     def make():
         import public_tokenizers
 
-        return byte_bpe(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+        return byte_bpe(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, SPECIAL_TOKENS)
 
     return make
 

@@ -8,7 +8,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from relgraph.llm.packing import (
-    best_pattern, byte_bpe, column_generation, pack_documents, plan_sequences, sequences_of,
+    best_pattern, byte_bpe, column_generation, default_tokenizer, pack_documents, plan_sequences, sequences_of,
 )
 from relgraph.llm.queries import op8_packing
 
@@ -33,6 +33,18 @@ def test_ids_equal_those_of_tokenizers(tokenizer, fast):
         assert fast(text).tolist() == tokenizer(text), repr(text)
 
 
+def test_added_tokens_have_their_own_id(rows):
+    own, fast = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")), default_tokenizer()()
+    assert fast("a <|endoftext|> b").tolist() == [64, 220, 50256, 275]
+    draw = random.Random(5)
+    pieces = ["<|endoftext|>", "<|endoftext", "|>", "<|", " ", "  ", "\n", "a", "The", "é", "12", "'s", "<|im_end|>", "<|endofprompt|>"]
+    for _ in range(2000):
+        text = "".join(draw.choices(pieces, k=draw.randint(0, 20)))
+        assert fast(text).tolist() == own.encode(text, add_special_tokens=False).ids, repr(text)
+    (r,) = pack_documents(rows("doc_id bigint, text string", [(1, "a <|endoftext|> b")])).collect()
+    assert r.doc_tokens == 5 and r.ids_crc32 == zlib.crc32(np.array([64, 220, 50256, 275, 1], "<u4").tobytes())
+
+
 def test_query_is_an_exact_cut(spark, small_docs, tokenizer):
     got = op8_packing(spark, "/root/testdata/sf0.001").collect()
     texts = {r.doc_id: r.text for r in small_docs[1]}
