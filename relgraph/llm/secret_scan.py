@@ -16,6 +16,7 @@ everything, also what no rule knows.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
@@ -32,8 +33,8 @@ BEFORE, AFTER = 48, 16
 FORMATS = "^((AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|glpat-[A-Za-z0-9_-]{20}|xox[abprs]-[A-Za-z0-9-]{10,}|AIza[A-Za-z0-9_-]{35}|sk-[A-Za-z0-9]{32,})$"
 NAMES = "password|passwd|pwd|secret|token|api_?key|apikey|access_?key|auth|credential|bearer"
 EXAMPLE_PATHS, SETTING_PATHS = "(?i)test|example|sample|mock|doc", "(?i)[.]env|conf|settings|secret|deploy"
-#: Labelled findings learned from, of each kind; documents the dictionary is counted in; words in it.
-SAMPLE_EACH, DICTIONARY_DOCS, DICTIONARY_WORDS = 10_000, 2000, 300
+#: Labelled findings learned from, of each kind; words of the dictionary, which bounds its regular expression.
+SAMPLE_EACH, DICTIONARY_WORDS = 10_000, 2000
 TREES, DEPTH, THRESHOLD = 20, 6, 0.5
 MASK = "[SECRET]"
 
@@ -43,6 +44,18 @@ FEATURES = (
 )
 
 
+def trie_pattern(words: Sequence[str]) -> str:
+    """A pattern for the longest of the words at a place, branching letter by letter."""
+    out, by_first = [], {}
+    for word in sorted(set(words) - {""}):
+        by_first.setdefault(word[0], []).append(word)
+    for group in by_first.values():
+        start = os.path.commonprefix(group)
+        rest = [w[len(start) :] for w in group if w != start]
+        out.append(start + (f"(?:{trie_pattern(rest)})" + "?" * (start in group) if rest else ""))
+    return "|".join(out)
+
+
 def features_of(value: Column, before: Column, after: Column, path: Column, words: Sequence[str]) -> dict[str, Column]:
     """The features of a candidate as double columns."""
     size = F.length(value).cast("double")
@@ -54,7 +67,7 @@ def features_of(value: Column, before: Column, after: Column, path: Column, word
     def flag(of: Column, pattern: str) -> Column:
         return F.coalesce(of.rlike(pattern), F.lit(False)).cast("double")
 
-    covered = 1 - F.length(F.regexp_replace(low, "|".join(words), "")) / size if words else F.lit(0.0)
+    covered = 1 - F.length(F.regexp_replace(low, trie_pattern(words), "")) / size if words else F.lit(0.0)
     columns = {
         "length": size,
         "digits": share(value, "[0-9]"),
@@ -158,11 +171,9 @@ def train_forest(findings: DataFrame, trees: int = TREES, depth: int = DEPTH, se
     return Forest(tuple(walk(t._call_java("rootNode")) for t in model.trees))
 
 
-def dictionary_of(docs: DataFrame, id_col: str, text_col: str, documents: int, size: int) -> list[str]:
-    """The most frequent words of at least 3 letters in a sample of about ``documents`` documents."""
-    total = docs.count()
-    chosen = docs.where(F.pmod(F.xxhash64(f"`{id_col}`", f"`{text_col}`"), F.lit(total // documents + 1)) == 0)
-    words = chosen.select(F.explode(F.regexp_extract_all(F.lower(F.col(f"`{text_col}`")), F.lit("[a-z]{3,}"), F.lit(0))).alias("w"))
+def dictionary_of(docs: DataFrame, text_col: str, size: int) -> list[str]:
+    """The most frequent words of at least 3 letters in all documents."""
+    words = docs.select(F.explode(F.regexp_extract_all(F.lower(F.col(f"`{text_col}`")), F.lit("[a-z]{3,}"), F.lit(0))).alias("w"))
     rows = words.groupBy("w").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "w").limit(size).collect()
     return sorted((r["w"] for r in rows), key=lambda w: (-len(w), w))
 
@@ -204,7 +215,7 @@ def scan_secrets(
     carried = kept_columns(docs, ["findings", "redacted"], keep)
     staging = Staging(docs.sparkSession)
     where = F.col(f"`{path}`") if isinstance(path, str) else path
-    words = dictionary_of(docs, id_col, text_col, DICTIONARY_DOCS, DICTIONARY_WORDS)
+    words = dictionary_of(docs, text_col, DICTIONARY_WORDS)
     if labelled is None:
         known = labelled_findings(docs, text_col, where, words, pattern, sample_each, staging)
     else:

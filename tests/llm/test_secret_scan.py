@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from relgraph.llm.queries import op7_secrets
-from relgraph.llm.secret_scan import CANDIDATE, FEATURES, features_of, labelled_findings, scan_secrets, train_forest
+from relgraph.llm.secret_scan import CANDIDATE, FEATURES, dictionary_of, features_of, labelled_findings, scan_secrets, train_forest, trie_pattern
 from relgraph.plans.staging import Staging
 
 FOLDER = "/root/testdata/sf0.1"
@@ -79,3 +79,14 @@ def test_odd_rows(odd_docs, rows):
         if not any(f.is_secret for f in r.findings):
             assert r.redacted == r.text
     assert scan_secrets(rows("doc_id bigint, text string, source string", [])).collect() == []
+
+
+def test_the_dictionary_counts_all_documents(rows):
+    docs = rows("doc_id bigint, text string", [(i, "often " * 3 + ("rareword" if i % 50 == 0 else "")) for i in range(6000)])
+    assert dictionary_of(docs, "text", 2) == ["rareword", "often"]
+    (n,) = dictionary_of(docs.where("doc_id < 100").union(rows("doc_id bigint, text string", [(9, "zzz " * 1000)])), "text", 1)
+    assert n == "zzz"
+    words = ["the", "there", "then", "a", "ab", "abc", "abd", "xyz"]
+    plain = "|".join(sorted(words, key=lambda w: (-len(w), w)))
+    for text in ("thereabdxyzthe", "thabcthenab", "zzz"):
+        assert re.findall(trie_pattern(words), text) == re.findall(plain, text)
