@@ -26,12 +26,38 @@ from pyspark.sql import functions as F
 from relgraph.llm.scan import kept_columns
 from relgraph.plans.staging import Staging
 
-CANDIDATE = "[A-Za-z0-9_/+-]{16,}={0,2}"
 #: Characters of the neighbourhood that are looked at.
 BEFORE, AFTER = 48, 16
 #: Token formats, names in front of secrets, and paths of examples or of settings.
 FORMATS = "^((AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|glpat-[A-Za-z0-9_-]{20}|xox[abprs]-[A-Za-z0-9-]{10,}|AIza[A-Za-z0-9_-]{35}|sk-[A-Za-z0-9]{32,})$"
 NAMES = "password|passwd|pwd|secret|token|api_?key|apikey|access_?key|auth|credential|bearer"
+
+
+def _named_values(names: str = NAMES) -> str:
+    """Values of 6 or more non-blank characters right after a name and = or :, as a pattern of Java and Python.
+
+    Python wants lookbehinds of one width each, so there is one for each width.
+    Unquoted values do not end with the punctuation of a sentence.
+    """
+    words = [w for n in names.split("|") for w in ([n.replace("_?", "_"), n.replace("_?", "")] if "_?" in n else [n])]
+    by_width: dict[int, list[str]] = {}
+    for word in words:
+        for quote in ("", "[\"']"):
+            for blank in ("", "[ \t]"):
+                for gap in ("", "[ \t]"):
+                    width = len(word) + bool(quote) + bool(blank) + 1 + bool(gap)
+                    by_width.setdefault(width, []).append(f"{word}{quote}{blank}[:=]{gap}")
+
+    def behind(mark: str) -> str:
+        near = f"(?:(?<=[:=]{mark})|(?<=[:=][ \t]{mark}))"  # soon says no to most places
+        return near + "(?:" + "|".join(f"(?<=(?i:{'|'.join(w)}){mark})" for w in by_width.values()) + ")"
+
+    bare = behind("") + "[^\\s\"'<>]{5,}[^\\s\"'<>.,;:)}\\]]"
+    return "|".join([bare, *[behind(q) + f"[^\\s{q}]{{6,}}" for q in "\"'"]])
+
+
+#: Key-like runs, and whatever is assigned to a name of a secret.
+CANDIDATE = f"(?:{_named_values()}|[A-Za-z0-9_/+-]{{16,}}={{0,2}})"
 EXAMPLE_PATHS, SETTING_PATHS = "(?i)test|example|sample|mock|doc", "(?i)[.]env|conf|settings|secret|deploy"
 #: Labelled findings learned from, of each kind; words of the dictionary, which bounds its regular expression.
 SAMPLE_EACH, DICTIONARY_WORDS = 10_000, 2000
@@ -90,12 +116,13 @@ def features_of(value: Column, before: Column, after: Column, path: Column, word
     return {n: columns[n].cast("double") for n in FEATURES}
 
 
-def sure_label(value: Column, before: Column) -> Column:
+def sure_label(value: Column, before: Column, dictionary: Column | None = None) -> Column:
     """1.0 for secrets and 0.0 for others that rules are sure of, else null."""
     named = before.rlike(f"(?i)({NAMES})[\"']?\\s*[:=]\\s*[\"']?$")
     return (
         F.when(value.rlike(FORMATS), 1.0)
         .when(named & value.rlike("[0-9]"), 1.0)
+        .when(named & value.rlike("^[A-Za-z]+$") & (F.lit(0.0) if dictionary is None else dictionary).__ge__(1.0), 0.0)
         .when(~before.rlike(f"(?i)({NAMES})") & value.rlike("^([0-9]+|[^0-9]+)$"), 0.0)
     )
 
@@ -108,13 +135,13 @@ def with_candidates(docs: DataFrame, text_col: str, path: Column, words: Sequenc
     values = F.coalesce(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), none)
     # Lambdas below use their own element only: a column of the row would be computed anew for each element.
     parts = F.struct(values.alias("values"), gaps.alias("gaps"))
-    parts = F.transform(F.array(parts), lambda p: F.arrays_zip(p["values"], p["gaps"], F.slice(p["gaps"], 2, F.greatest(F.size(p["gaps"]), F.lit(1)))))
+    parts = F.transform(F.array(parts), lambda p: F.arrays_zip(p["values"], p["gaps"], F.slice(p["gaps"], 2, F.greatest(F.size(p["gaps"]), F.lit(1))), F.concat(F.array(F.lit("")), p["values"])))
     parts = F.get(parts, F.lit(0))
     found = F.transform(
         parts,
         lambda c: F.struct(
             c["values"].alias("value"),
-            F.right(c["gaps"], F.lit(BEFORE)).alias("before"),
+            F.right(F.concat(F.coalesce(c["3"], F.lit("")), c["gaps"]), F.lit(BEFORE)).alias("before"),
             F.left(F.coalesce(c["2"], F.lit("")), F.lit(AFTER)).alias("after"),
             c["gaps"].alias("gap"),
         ),
@@ -184,7 +211,7 @@ def labelled_findings(
     """Features and labels of at most ``each`` findings of a kind that rules are sure of, chosen by hash."""
     found = with_candidates(docs, text_col, path, words, pattern).select(F.explode("__found").alias("c")).select("c.*")
     found = found.where("value is not null").drop("gap")
-    found = found.withColumn("label", sure_label(F.col("value"), F.col("before"))).where("label is not null")
+    found = found.withColumn("label", sure_label(F.col("value"), F.col("before"), F.col("dictionary"))).where("label is not null")
     found = found.dropDuplicates(["value", "before"])
     order = [F.xxhash64("value", "before"), "value", "before"]
     parts = [found.where(F.col("label") == k).orderBy(*order).limit(each) for k in (0.0, 1.0)]

@@ -90,3 +90,15 @@ def test_the_dictionary_counts_all_documents(rows):
     plain = "|".join(sorted(words, key=lambda w: (-len(w), w)))
     for text in ("thereabdxyzthe", "thabcthenab", "zzz"):
         assert re.findall(trie_pattern(words), text) == re.findall(plain, text)
+
+
+def test_short_and_odd_values_after_a_name_are_judged(rows):
+    known = [(i, f"password={i:04d}ab{i * 7919 % 9973:04d}xy and the id number{'abcdefghijklmnop'} here", "a") for i in range(60)]
+    asked = ["password=hunter2", "pwd: Tr0ub4dor&3", 'api_key = "k3y-9Qz.12ab"', "PASSWD='p@ss.w0rd!longer'", '{"token": "ab12cd"}', "my_long_database_password=hunter2"]
+    values = ["hunter2", "Tr0ub4dor&3", "k3y-9Qz.12ab", "p@ss.w0rd!longer", "ab12cd", "hunter2"]
+    docs = rows("doc_id bigint, text string, source string", [*known, *[(1000 + i, f"so {t} it is.", "a") for i, t in enumerate(asked)]])
+    got = {r.doc_id: r for r in scan_secrets(docs).collect()}
+    for i, (text, value) in enumerate(zip(asked, values, strict=True)):
+        r = got[1000 + i]
+        assert [f.value for f in r.findings if f.is_secret] == [value], (text, r.findings)
+        assert r.redacted == f"so {text} it is.".replace(value, "[SECRET]")
