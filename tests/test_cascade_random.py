@@ -3,7 +3,7 @@
 import random
 
 import pytest
-from conftest import values
+from helpers import values
 
 from relgraph.operators.cascade import cascade_delete
 from relgraph.plans.spec import AGGREGATION, COMPOSITION, Link, Reference, RelationSpec, SharedKey

@@ -1,7 +1,7 @@
 """Delete semantics on literal rows."""
 
 import pytest
-from conftest import values
+from helpers import values
 
 from relgraph.operators import cascade, cleanup, deletion
 from relgraph.plans.spec import (

@@ -4,7 +4,7 @@ import math
 import random
 
 import pytest
-from conftest import values
+from helpers import values
 from pyspark.sql import functions as F
 
 from relgraph.functions import boxes as B

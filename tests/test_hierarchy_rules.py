@@ -3,7 +3,7 @@
 import random
 
 import pytest
-from conftest import values
+from helpers import values
 
 from relgraph.operators import hierarchy as H
 from relgraph.operators import references as K

@@ -1,6 +1,6 @@
 """One class model from nested rows to tables, deletes and boxes."""
 
-from conftest import values
+from helpers import values
 
 from relgraph.operators.cascade import cascade_delete
 from relgraph.operators.object_boxes import object_boxes

@@ -1,7 +1,7 @@
 """Storage decisions of the class model, and shredding on small rows."""
 
 import pytest
-from conftest import values
+from helpers import values
 
 from relgraph.functions import simple_types
 from relgraph.operators.shred import shred
