@@ -32,14 +32,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from relgraph.llm.scan import kept_columns, scan_texts
+from relgraph.llm.tokens import default_tokenizer
 from relgraph.plans.staging import Staging
 
 CAPACITY = 2048
 #: Length classes; a piece wastes less than CAPACITY / CLASSES tokens by rounding.
 CLASSES = 256
 END_ID = 1
-#: Added tokens of ``byte_bpe_50k``, which its rank file does not list.
-SPECIAL_TOKENS = {"<|endoftext|>": 50256}
 #: What cutting a piece in two counts for, in sequences.
 CUT_COST = 0.01
 #: The master program stops when its bound shows less than this share left to gain.
@@ -245,34 +244,6 @@ def plan_sequences(histogram: dict[int, int], classes: int = CLASSES, gap: float
 # ---- tokens and pieces ------------------------------------------------------------------------------------------
 
 
-def byte_bpe(ranks_path: str, pattern: str, special_tokens: dict[str, int] | None = None):
-    """The byte-level BPE of a rank file as a function from text to ids.
-
-    Gives the ids of the ``tokenizers`` library for the same vocabulary at a
-    fraction of the time; a test holds the two against each other.  Marks of
-    ``special_tokens`` in a text become their one id; without them they are text.
-    """
-    import base64
-
-    import tiktoken
-
-    with open(ranks_path, "rb") as lines:
-        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-    encoding = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens=special_tokens or {})
-    return lambda text: encoding.encode_to_numpy(text, allowed_special="all")
-
-
-def default_tokenizer() -> Callable[[], Callable[[str], np.ndarray]]:
-    """A maker of the tokenizer ``byte_bpe_50k``, called once in each task."""
-
-    def make():
-        import public_tokenizers
-
-        return byte_bpe(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, SPECIAL_TOKENS)
-
-    return make
-
-
 def cut_documents(
     docs: DataFrame,
     text_col: str,
@@ -324,16 +295,16 @@ def cut_documents(
 
     found = scan_texts(docs, fields, make, text_col, keep)
     carried = [c for c in found.columns if c != "__pieces"]
-    return found.select(*[F.col(f"`{c}`") for c in carried], F.explode("__pieces").alias("p")).select(
+    return found.select(*[F.col(f"`{c}`") for c in carried], F.explode("__pieces").alias("__piece")).select(
         *[F.col(f"`{c}`") for c in carried],
-        "p.start",
-        "p.length",
-        "p.ids_crc32",
-        *["p.ids"] * keep_ids,
-        F.col("p.head_crc32").alias("__head"),
-        F.col("p.rest_crc32").alias("__rest"),
-        F.col("p.class").alias("__class"),
-        F.col("p.rank").alias("__rank"),
+        "__piece.start",
+        "__piece.length",
+        "__piece.ids_crc32",
+        *["__piece.ids"] * keep_ids,
+        F.col("__piece.head_crc32").alias("__head"),
+        F.col("__piece.rest_crc32").alias("__rest"),
+        F.col("__piece.class").alias("__class"),
+        F.col("__piece.rank").alias("__rank"),
     )
 
 

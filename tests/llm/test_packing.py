@@ -8,9 +8,10 @@ import pytest
 from tokenizers import Tokenizer
 
 from relgraph.llm.packing import (
-    best_pattern, byte_bpe, column_generation, default_tokenizer, pack_documents, plan_sequences, sequences_of,
+    best_pattern, column_generation, pack_documents, plan_sequences, sequences_of,
 )
 from relgraph.llm.queries import op8_packing
+from relgraph.llm.tokens import byte_bpe, default_tokenizer
 
 
 @pytest.fixture(scope="module")
