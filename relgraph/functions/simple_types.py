@@ -78,23 +78,22 @@ def text_column(value: Column, data_type: T.DataType, name: str) -> Column:
     return (F.to_json(value) if nested else value.cast("string")).alias(name.lower())
 
 
-def value_columns(value: Column, value_type: str, name: str) -> list[Column]:
-    """A value with unit as one column per part: ``width`` and ``width_uom``.
+def value_parts(value: Column, value_type: str, name: str) -> list[tuple[str, Column, str]]:
+    """(column, raw value, simple type) of each part of a value with unit: ``width`` and ``width_uom``.
 
     ``value`` is a struct with a field ``value`` and one per further part.
     """
-    return [
-        simple_column(value[part or "value"], simple, f"{name}_{part}" if part else name)
-        for part, simple in VALUE_PARTS[value_type]
-    ]
+    return [(f"{name}_{part}" if part else name, value[part or "value"], simple) for part, simple in VALUE_PARTS[value_type]]
 
 
-def period_columns(value: Column, name: str) -> list[Column]:
-    """A time period as two timestamps."""
-    return [
-        simple_column(value[end], "dateTime", f"{name}_{column}")
-        for end, column in (("begin", "beginposition"), ("end", "endposition"))
-    ]
+def period_parts(value: Column, name: str) -> list[tuple[str, Column, str]]:
+    """(column, raw value, simple type) of both ends of a time period."""
+    return [(f"{name}_{column}", value[end], "dateTime") for end, column in (("begin", "beginposition"), ("end", "endposition"))]
+
+
+def bad_value(value: Column, simple_type: str) -> Column:
+    """Whether a given value does not parse, so that its column is null."""
+    return value.isNotNull() & value.try_cast(spark_type(simple_type)).isNull()
 
 
 def measure_list_columns(value: Column, name: str) -> list[Column]:

@@ -10,7 +10,7 @@ behind them is scanned.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -20,8 +20,10 @@ from pyspark.sql.types import DataType, IntegralType
 
 from relgraph.operators.deletion import (
     ID,
+    key_hits,
     key_set,
     key_union,
+    needs_shuffle,
     select_by_lineage,
     set_null,
     unreferenced_of,
@@ -43,6 +45,9 @@ from relgraph.plans.spec import (
 from relgraph.plans.staging import Staging
 from relgraph.sources.tables import literal_rows
 
+#: Levels of a self composition that are always followed from the deleted rows down before pointers are doubled.
+WAVES = 3
+
 
 def _union(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
@@ -59,10 +64,21 @@ class CascadeResult:
     spec: RelationSpec
     tables: Mapping[str, DataFrame]
     deleted_by_table: dict[str, DataFrame] = field(default_factory=dict)
+    #: What a cascade that this one goes on from had deleted already.
+    earlier: dict[str, DataFrame] = field(default_factory=dict)
+    _whole: dict[str, DataFrame] = field(default_factory=dict)
 
     def _gone(self, table: str) -> DataFrame | None:
         return self.deleted_by_table.get(table)
 
+    def _all_gone(self, table: str) -> DataFrame | None:
+        """Keys deleted here or before, always as the same frame."""
+        if table not in self._whole:
+            found = [s[table] for s in (self.deleted_by_table, self.earlier) if table in s]
+            if found:
+                self._whole[table] = _union(found)
+        return self._whole.get(table)
+
     def _empty(self, columns: str) -> DataFrame:
         spark = next(iter(self.tables.values())).sparkSession
         return literal_rows(spark, columns, [])
@@ -85,41 +101,49 @@ class CascadeResult:
     def _detach(self, ref: Reference) -> bool:
         return ref.on_delete == SET_NULL or (ref.owned == "row" and ref.kind == AGGREGATION and ref.multi_owner)
 
-    def _orphan_refs(self, ref: Reference) -> DataFrame:
-        """Surviving rows of ``ref.table`` that point at a deleted target."""
-        key = self.spec.keys[ref.table]
-        rows = self.tables[ref.table].select(F.col(key).alias(ID), F.col(ref.column).alias("_fk"))
-        rows = with_keys(rows, "_fk", self._gone(ref.target)).select(ID)
-        own = self._gone(ref.table)
-        rows = without_keys(rows, ID, own) if own is not None else rows
-        return rows.select(F.lit(ref.table).alias("table"), self._key(ref.table).alias(ID), F.lit(ref.column).alias("column"))
+    def _orphans(self, chosen: Callable[[Reference], bool]) -> DataFrame:
+        """(table, id, column): surviving rows that point at a target deleted here."""
+        frames, by_table = [], {}
+        for ref in self.spec.references:
+            if self._gone(ref.target) is not None and chosen(ref):
+                by_table.setdefault(ref.table, []).append(ref)
+        for table, refs in by_table.items():
+            # one scan of the table for all of its keys: their values in long form
+            links = F.explode(F.array(*[
+                F.struct(F.lit(ref.column).alias("column"), self._key(ref.target, ref.column).alias("fk")) for ref in refs
+            ]))
+            rows = self.tables[table].select(F.col(self.spec.keys[table]).alias(ID), links.alias("_p")).select(
+                ID, F.col("_p.column").alias("column"), F.col("_p.fk").alias("_fk")
+            )
+            rows = rows.where(F.col("_fk").isNotNull())
+            keys = _union([
+                self._gone(ref.target).select(F.lit(ref.column).alias("column"), self._key(ref.target).alias("_fk")) for ref in refs
+            ])
+            rows = rows.join(keys, ["column", "_fk"], "left_semi")
+            own = self._all_gone(table)
+            rows = without_keys(rows, ID, own) if own is not None else rows
+            frames.append(rows.select(F.lit(table).alias("table"), self._key(table).alias(ID), "column"))
+        return _union(frames) if frames else self._empty("table string, id bigint, column string")
 
     @property
     def detached(self) -> DataFrame:
         """(table, id, column): surviving rows whose foreign key was nulled."""
-        frames = [
-            self._orphan_refs(r)
-            for r in self.spec.references
-            if self._gone(r.target) is not None and self._detach(r)
-        ]
-        return _union(frames) if frames else self._empty("table string, id bigint, column string")
+        return self._orphans(self._detach)
 
     @property
     def blocked(self) -> DataFrame:
         """(table, id, column): surviving rows that still point at a deleted row
         although no policy nulls them.  A database would refuse this delete."""
-        frames = [
-            self._orphan_refs(r)
-            for r in self.spec.references
-            if self._gone(r.target) is not None and not self._detach(r)
-        ]
-        return _union(frames) if frames else self._empty("table string, id bigint, column string")
+        return self._orphans(lambda ref: not self._detach(ref))
 
     def _removed_links(self, link: Link) -> DataFrame | None:
         by_owner, by_member = self._gone(link.owner), self._gone(link.member)
         if by_owner is None and by_member is None:
             return None
         rows = self.tables[link.table].select(link.owner_column, link.member_column)
+        for end, column in ((link.owner, link.owner_column), (link.member, link.member_column)):
+            if end in self.earlier:
+                rows = without_keys(rows, column, self.earlier[end])
         if by_owner is None:
             return with_keys(rows, link.member_column, by_member)
         removed = with_keys(rows, link.owner_column, by_owner)
@@ -145,29 +169,48 @@ class CascadeResult:
         return _union(frames) if frames else self._empty("link string, id1 bigint, id2 bigint")
 
     def survivors(self, table: str) -> DataFrame:
-        """What is left of one table, foreign keys nulled where policy says so."""
-        df = self.tables[table]
-        for link in self.spec.links:
-            if link.table == table:
-                for end, column in ((link.owner, link.owner_column), (link.member, link.member_column)):
-                    if self._gone(end) is not None:
-                        df = without_keys(df, column, self._gone(end))
-        own = self._gone(table)
-        if own is not None:
-            df = without_keys(df, self.spec.keys[table], own)
-        for ref in self.spec.references:
-            if ref.table == table and self._gone(ref.target) is not None and self._detach(ref):
-                df = set_null(df, ref.column, self._gone(ref.target))
+        """What is left of one table, foreign keys nulled where policy says so.
+
+        Small key sets are broadcast to the rows; large ones meet them together
+        (:func:`key_hits`), so the rows are exchanged once.
+        """
+        df, spec = self.tables[table], self.spec
+        ends = [(link.owner_column, link.owner) for link in spec.links if link.table == table]
+        ends += [(link.member_column, link.member) for link in spec.links if link.table == table]
+        ends += [(spec.keys[table], table)] if table in spec.keys else []
+        refs = [(ref.column, ref.target) for ref in spec.references if ref.table == table and self._detach(ref)]
+        ends = [(c, keys) for c, t in ends if (keys := self._all_gone(t)) is not None]
+        refs = [(c, keys) for c, t in refs if (keys := self._all_gone(t)) is not None]
+        large = [probe for probe in ends + refs if needs_shuffle(probe[1])]
+        if len(large) > 1:
+            df = key_hits(df, large, "_hits")
+            hit = lambda probe: F.col("_hits").bitwiseAND(F.lit(1 << large.index(probe)).cast("bigint")) != 0
+            for probe in large:
+                if any(probe is e for e in ends):
+                    df = df.where(~hit(probe))
+            for probe in large:
+                if any(probe is r for r in refs):
+                    df = df.withColumn(probe[0], F.when(~hit(probe), F.col(probe[0])))
+        done = large if len(large) > 1 else []
+        for column, keys in [e for e in ends if not any(e is d for d in done)]:
+            df = without_keys(df, column, keys)
+        for column, keys in [r for r in refs if not any(r is d for d in done)]:
+            df = set_null(df, column, keys)
         return df.select(*self.tables[table].columns)
 
 
-class _Cascade:
+class Cascade:
+    """A cascade that can go on: :meth:`delete` may be called again with further
+    keys, and starts from the key sets that are written already."""
+
     def __init__(self, tables: Mapping[str, DataFrame], spec: RelationSpec):
         self.tables = tables
         self.spec = spec
         self.step = 0
         self.last_step: dict[str, int] = {}
         self.echoes: dict[str, set[str]] = {}
+        self.taken: dict[tuple[str, str], int] = {}
+        self.counts: dict[str, int] = {}
         self.stage = Staging(next(iter(tables.values())).sparkSession)
 
     def rows(self, table: str, *columns: str) -> DataFrame:
@@ -276,15 +319,17 @@ class _Cascade:
         free = candidates
         owner_columns = self.spec.owner_columns(table)
         if len(owner_columns) > 1:
-            held = []
-            for ref in self.spec.references:
-                if ref.table == table and ref.owned == "row" and ref.column in owner_columns:
-                    rows = self.tables[table].select(
-                        F.col(self.spec.keys[table]).alias(ID), F.col(ref.column).alias("_fk")
-                    )
-                    rows = with_keys(rows.where(F.col("_fk").isNotNull()), ID, candidates)
-                    gone = self.gone(ref.target)
-                    held.append((without_keys(rows, "_fk", gone) if gone is not None else rows).select(ID))
+            # the candidates' rows are read once; their owner keys meet all deleted keys in long form
+            refs = [r for r in self.spec.references if r.table == table and r.owned == "row" and r.column in owner_columns]
+            rows = self.tables[table].select(F.col(self.spec.keys[table]).alias(ID), *[F.col(r.column).alias(f"_f{i}") for i, r in enumerate(refs)])
+            rows = with_keys(rows, ID, candidates)
+            kinds = {self.key_type(r.target) for r in refs}
+            kind = kinds.pop() if len(kinds) == 1 else "string"
+            links = F.explode(F.array(*[F.struct(F.lit(r.target).alias("t"), F.col(f"_f{i}").cast(kind).alias("k")) for i, r in enumerate(refs)]))
+            rows = rows.select(ID, links.alias("_p")).select(ID, F.col("_p.t").alias("_target"), F.col("_p.k").alias("_fk"))
+            rows = rows.where(F.col("_fk").isNotNull())
+            gone = [g.select(F.lit(t).alias("_target"), F.col(ID).cast(kind).alias("_fk")) for t in sorted({r.target for r in refs}) if (g := self.gone(t)) is not None]
+            held = [(rows.join(_union(gone), ["_target", "_fk"], "left_anti") if gone else rows).select(ID)]
             free = without_keys(free, ID, key_union(held))
         referrers = []
         for source, column in self.spec.owners_of(table):
@@ -307,10 +352,12 @@ class _Cascade:
         by_type: dict[str, dict[str, DataFrame]] = {}
         for table, keys in sets.items():
             kind = self.key_type(table)
-            by_type.setdefault(kind.simpleString(), {})[table] = keys.select(F.col(ID).cast(kind).alias(ID))
+            keys = keys.where(F.col(ID).isNotNull()).select(F.col(ID).cast(kind).alias(ID))
+            by_type.setdefault(kind.simpleString(), {})[table] = keys
         counts: dict[str, int] = {}
         for kind, group in by_type.items():
             counts.update(self.stage.append_keys(self.step, group, f"{label}-{kind}"))
+        self.counts.update(counts)
         return [table for table, n in counts.items() if n]
 
     def lost_an_owner(self, table: str) -> DataFrame:
@@ -337,12 +384,20 @@ class _Cascade:
         changed = self.keep(doomed, "deleted") if doomed else []
         self.last_step.update(dict.fromkeys(changed, self.step))
         self.echoes = {t: self.came_down(t, news[t]) for t in changed if t not in seeds and t not in tested}
+        before = self.step - 1
         for table in changed:
-            for ref in self.spec.references:
-                if ref.table == table and ref.is_self and ref.owned == "row" and ref.kind == COMPOSITION:
-                    self.close(table, ref.column)
+            own = [r.column for r in self.spec.references if r.table == table and r.is_self and r.owned == "row" and r.kind == COMPOSITION]
+            if own and self.close(table, own, before) and self.only_contains_itself(table):
+                self.echoes.setdefault(table, set()).add(table)
         return changed
 
+    def only_contains_itself(self, table: str) -> bool:
+        """Whether self composition is the only way in which deletes in a table reach the same table."""
+        refs = [r for r in self.spec.references if r.is_self and r.table == table]
+        return all(r.owned == "row" and r.kind == COMPOSITION for r in refs) and not any(
+            k.owner == k.member == table for k in self.spec.links
+        )
+
     def came_down(self, table: str, sources: Mapping[str, DataFrame]) -> set[str]:
         """Base tables that need not hear of the new deletes of a sub table, as
         all of these came down from there and nothing else leads back."""
@@ -361,18 +416,43 @@ class _Cascade:
         )
         return set() if leads_back or from_base or any(k.member == table and k.owner == base for k in spec.links) else {base}
 
-    def close(self, table: str, parent: str) -> None:
-        """Delete all parts below the deleted rows of a table that contains
-        itself, on every level: pointers double, so the rounds are logarithmic."""
+    def close(self, table: str, parents: list[str], before: int) -> bool:
+        """Delete all parts below the rows deleted after the step ``before`` in a
+        table that contains itself, on every level.
+
+        The first levels are waves: the children of the last level's keys are
+        looked up and written, so a delete in a large table costs what lies
+        below it.  Waves go on while a level is twice or half as large as the
+        one before, which a broad tree ends soon.  Else, after ``WAVES`` levels,
+        the tree is taken to be deep and closed by doubling pointers, whose
+        rounds are logarithmic but write the table.  Returns whether nothing
+        below is left, as far as these columns go.
+        """
         from relgraph.operators.hierarchy import ancestor_flag  # which needs this module
 
-        gone = self.gone(table)
-        marked = gone.select(F.col(ID), F.lit(True).alias("_gone"))
-        tree = self.rows(table, parent).where(F.col(ID).isNotNull()).distinct()
-        flags = ancestor_flag(tree.join(marked, ID, "left"), "_gone", key=ID, parent=parent)
-        self.step += 1
-        if self.keep({table: without_keys(flags.where("flagged").select(ID), ID, gone)}, "deleted"):
+        key = self.spec.keys[table]
+        levels = [self.counts[table]]
+        while len(levels) <= WAVES or not levels[-2] < 2 * levels[-1] < 4 * levels[-2]:
+            last, below = self.gone(table, before), []
+            for parent in parents:
+                rows = self.tables[table].select(F.col(key).alias(ID), F.col(parent).alias("_up")).where(F.col("_up") != F.col(ID))
+                below.append(with_keys(rows, "_up", last).select(ID))
+            keys = without_keys(key_union(below), ID, self.gone(table))
+            before = self.step
+            self.step += 1
+            if not self.keep({table: keys}, "deleted"):
+                return True
             self.last_step[table] = self.step
+            levels.append(self.counts[table])
+        for parent in parents:
+            gone = self.gone(table)
+            marked = gone.select(F.col(ID), F.lit(True).alias("_gone"))
+            tree = self.rows(table, parent).where(F.col(ID).isNotNull()).distinct()
+            flags = ancestor_flag(tree.join(marked, ID, "left"), "_gone", key=ID, parent=parent)
+            self.step += 1
+            if self.keep({table: without_keys(flags.where("flagged").select(ID), ID, gone)}, "deleted"):
+                self.last_step[table] = self.step
+        return len(parents) == 1
 
     def run(self, roots: Mapping[str, DataFrame]) -> None:
         """Go through the tables in waves, causes first.
@@ -385,7 +465,7 @@ class _Cascade:
         group_of = {t: tuple(g) for g in self.spec.order() for t in g}
         reach = reachable(effects)
         seeds = {t: with_keys(self.rows(t), ID, key_set(ids)) for t, ids in roots.items()}
-        taken: dict[tuple[str, str], int] = {}
+        taken = self.taken
         waiting = set(seeds)
         while waiting:
             wave = sorted(
@@ -407,7 +487,16 @@ class _Cascade:
             for table in changed:
                 quiet = self.echoes.get(table, set())
                 waiting |= effects[table] - quiet
-                taken.update({(table, base): self.last_step[table] for base in quiet})
+                taken.update({(table, other): self.last_step[table] for other in quiet})
+
+
+    def delete(self, roots: Mapping[str, DataFrame]) -> CascadeResult:
+        """Delete further keys and all that depends on them; the result is what this call has deleted."""
+        begun = self.step
+        earlier = {t: self.gone(t) for t in self.last_step}
+        self.run(roots)
+        news = {t: found for t in self.last_step if (found := self.gone(t, begun)) is not None}
+        return CascadeResult(self.spec, self.tables, news, earlier)
 
 
 def cascade_delete(
@@ -415,9 +504,7 @@ def cascade_delete(
 ) -> CascadeResult:
     """Delete the given keys (``table -> frame with a column id``) and all that
     depends on them.  Null ids and ids without a row delete nothing."""
-    run = _Cascade(tables, spec)
-    run.run(roots)
-    return CascadeResult(spec, tables, {t: run.gone(t) for t in run.last_step})
+    return Cascade(tables, spec).delete(roots)
 
 
 def part_closure(df: DataFrame, roots: DataFrame, fk: str, key: str = ID) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from relgraph.operators.cascade import CascadeResult, cascade_delete
+from relgraph.operators.cascade import Cascade, CascadeResult, cascade_delete
 from relgraph.operators.deletion import ID, key_set, key_union, without_keys
 from relgraph.plans.spec import RelationSpec
 
@@ -61,9 +61,11 @@ def cleanup_bridge(
     ``cascade=False`` removes only the owner rows themselves.
     """
     unused = bridge_orphans(tables[payload], tables[parameter[0]], parameter[1], spec.keys[payload])
-    first = cascade_delete(tables, spec, {payload: unused})
+    run = Cascade(tables, spec)
+    first = run.delete({payload: unused})
+    owners, bridges = first.survivors(owner), first.survivors(bridge[0])
+    empty = bridge_orphans(owners, bridges, bridge[1], spec.keys[owner], parent)
+    if cascade:
+        return first, run.delete({owner: empty})
     left = {name: first.survivors(name) for name in tables}
-    empty = bridge_orphans(left[owner], left[bridge[0]], bridge[1], spec.keys[owner], parent)
-    local = RelationSpec({owner: spec.keys[owner]})
-    second = cascade_delete(left, spec, {owner: empty}) if cascade else cascade_delete(left, local, {owner: empty})
-    return first, second
+    return first, cascade_delete(left, RelationSpec({owner: spec.keys[owner]}), {owner: empty})

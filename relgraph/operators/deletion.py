@@ -13,6 +13,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
 from relgraph.plans.spec import AGGREGATION, ASSOCIATION, COMPOSITION
 
@@ -39,6 +40,44 @@ def without_keys(df: DataFrame, column: str, keys: DataFrame) -> DataFrame:
     return df.join(keys.select(F.col(ID).alias(column)), column, "left_anti")
 
 
+def needs_shuffle(keys: DataFrame) -> bool:
+    """Whether a key set is too large, as far as its files tell, to be broadcast to the rows it meets."""
+    state = keys.sparkSession._jsparkSession.sessionState()
+    size = keys._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(size) > state.conf().autoBroadcastJoinThreshold()
+
+
+def tagged_keys(sets: Sequence[DataFrame], kind: DataType | str) -> DataFrame:
+    """(tag, key): several key sets as one, the tag being the place of the set."""
+    return reduce(DataFrame.union, [keys.select(F.lit(i).alias("_tag"), F.col(ID).cast(kind).alias("_key")) for i, keys in enumerate(sets)])
+
+
+def key_hits(df: DataFrame, probes: Sequence[tuple[str, DataFrame]], name: str) -> DataFrame:
+    """``df`` with a bit mask: bit i says that the column of probe i is in its key set.
+
+    All probes are one join: the columns in long form meet the tagged union of
+    the sets, hits are regrouped by the values of the columns, and the rows
+    meet them once.  So wide rows are exchanged once however many keys they
+    have.  A null is in no set.
+    """
+    sets: list[DataFrame] = []
+    for _, keys in probes:
+        if not any(keys is other for other in sets):
+            sets.append(keys)
+    tags = [next(i for i, other in enumerate(sets) if other is keys) for _, keys in probes]
+    kinds = {df.schema[c].dataType for c, _ in probes} | {keys.schema[ID].dataType for keys in sets}
+    kind = kinds.pop() if len(kinds) == 1 else "string"
+    row = F.struct(*[F.col(c).alias(f"k{i}") for i, (c, _) in enumerate(probes)])
+    long = df.select(row.alias("_row"), F.explode(F.array(*[
+        F.struct(F.lit(1 << i).cast("bigint").alias("bit"), F.lit(tag).alias("tag"), F.col(c).cast(kind).alias("key"))
+        for i, ((c, _), tag) in enumerate(zip(probes, tags, strict=True))
+    ])).alias("_p")).select("_row", "_p.bit", F.col("_p.tag").alias("_tag"), F.col("_p.key").alias("_key"))
+    long = long.where(F.col("_key").isNotNull())
+    hits = long.join(tagged_keys(sets, kind), ["_tag", "_key"], "left_semi").groupBy("_row").agg(F.bit_or("bit").alias(name))
+    joined = df.withColumn("_row", row).join(hits, "_row", "left")
+    return joined.select(*[df[c] for c in df.columns], F.coalesce(name, F.lit(0).cast("bigint")).alias(name))
+
+
 def delete_rows(df: DataFrame, ids: DataFrame, key: str = ID) -> tuple[DataFrame, DataFrame]:
     """(survivors, keys of the removed rows).  Null ids delete nothing."""
     keys = key_set(ids)

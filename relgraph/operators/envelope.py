@@ -11,7 +11,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from relgraph.functions.boxes import (
@@ -22,7 +22,7 @@ from relgraph.functions.boxes import (
     merge_box,
     place,
 )
-from relgraph.operators.deletion import ID, key_set, with_keys
+from relgraph.operators.deletion import ID, key_set, with_keys, without_keys
 from relgraph.plans.spec import dependency_groups
 from relgraph.plans.staging import Staging
 
@@ -162,7 +162,7 @@ def roll_up(
     Tables are taken bottom-up, one aggregation each; boxes that several
     parents need are written once, and with ``keep`` those of every table, for
     callers that use several levels.  Tables that contain each other, or
-    themselves, are relaxed in rounds until no box grows.
+    themselves, are closed together (:func:`close_boxes`).
     """
     parts = list(dict.fromkeys(parts))
     below: dict[str, set[str]] = {t: set() for t in keys}
@@ -185,7 +185,7 @@ def roll_up(
             elif below_it or own:
                 boxes[table] = combine(*below_it, *own)
         if inner:
-            boxes.update(_relax(tables, keys, inner, {t: boxes[t] for t in group if t in boxes}, stage))
+            boxes.update(_settle(tables, keys, inner, {t: boxes[t] for t in group if t in boxes}, stage))
         else:
             table = group[0]
             if table in boxes and (keep or sum(p.child == table for p in parts) > 1):
@@ -203,63 +203,106 @@ def _contribution(tables, keys, part: Part, child_boxes: DataFrame) -> DataFrame
     raise ValueError(f"unknown way {part.via!r} from {part.child} to {part.parent}")
 
 
-def _relax(tables, keys, parts: Sequence[Part], boxes: dict[str, DataFrame], stage: Staging) -> dict[str, DataFrame]:
-    """Push grown boxes one level up per round; only grown boxes travel on.
+def _settle(tables, keys, parts: Sequence[Part], boxes: dict[str, DataFrame], stage: Staging) -> dict[str, DataFrame]:
+    """Boxes of tables that contain each other, or themselves: their rows are the nodes of one graph."""
+    names = sorted({t for part in parts for t in (part.parent, part.child)})
+    kinds = {t: tables[t].schema[keys[t]].dataType for t in names}
+    same = len(set(kinds.values())) == 1
 
-    Rounds are levels of nesting, of which feature models have few.
+    def node(table: str, column: str) -> Column:
+        value = F.col(column) if same else F.col(column).cast("string")
+        return F.when(F.col(column).isNotNull(), F.struct(F.lit(names.index(table)).alias("t"), value.alias("key")))
+
+    edges = []
+    for part in parts:
+        if part.via == "parent":
+            rows, child, parent = tables[part.parent], part.column, keys[part.parent]
+        elif part.via == "child":
+            rows, child, parent = tables[part.child], keys[part.child], part.column
+        elif part.via == "link":
+            rows, child, parent = tables[part.link], part.far, part.column
+        else:
+            raise ValueError(f"unknown way {part.via!r} from {part.child} to {part.parent}")
+        edges.append(rows.select(node(part.child, child).alias(ID), node(part.parent, parent).alias("up")))
+    own = [frame.select(node(t, ID).alias(ID), BOX) for t, frame in boxes.items()]
+    if not own:
+        return {}
+    settled = close_boxes(reduce(DataFrame.union, edges), reduce(DataFrame.union, own), stage)
+    settled, _ = stage.keep(settled.select(F.col(f"{ID}.t").alias("t"), F.col(f"{ID}.key").alias(ID), BOX), "settled")
+    return {t: settled.where(F.col("t") == i).select(F.col(ID).cast(kinds[t]).alias(ID), BOX) for i, t in enumerate(names)}
+
+
+def close_boxes(edges: DataFrame, boxes: DataFrame, stage: Staging) -> DataFrame:
+    """(id, box) around each row and all rows below it, for any graph of ``edges`` (id, up).
+
+    Rows with one parent, the usual case, are closed by doubling pointers:
+    chains, trees and rings of n rows take about log2(n) rounds, and a round
+    reads only rows whose chain still goes on.  A row with several parents is
+    the end of the chains below it.  Between such rows the chains are links of
+    a smaller graph, on which boxes that have grown travel until none grows;
+    what they come to is then sent up their chains, again by doubling.
     """
-    log: dict[str, list[DataFrame]] = {}
-    grown: dict[str, DataFrame] = {}
-    for table, frame in boxes.items():
-        kept, n = stage.keep(frame, f"{table}-boxes")
-        log[table] = [kept]
-        if n:
-            grown[table] = kept
-    while grown:
-        arrived: dict[str, list[DataFrame]] = {}
-        for part in parts:
-            if part.child in grown:
-                up = _contribution(tables, keys, part, grown[part.child])
-                arrived.setdefault(part.parent, []).append(up)
-        grown = {}
-        for table, ups in arrived.items():
-            up = combine(*ups).where(F.col(BOX).isNotNull())
-            if table in log:
-                known = combine(*log[table]).select(ID, F.col(BOX).alias("_known"))
-                merged = up.join(known, ID, "left").select(ID, "_known", merge_box(BOX, "_known").alias(BOX))
-                up = merged.where(~F.col(BOX).eqNullSafe(F.col("_known"))).select(ID, BOX)
-            kept, n = stage.keep(up, f"{table}-grown")
-            if n:
-                log.setdefault(table, []).append(kept)
-                grown[table] = kept
-    return {table: combine(*frames) for table, frames in log.items()}
+    edges = edges.where(F.col(ID).isNotNull() & F.col("up").isNotNull() & (F.col(ID) != F.col("up")))
+    parents = edges.groupBy(ID).agg(F.min("up").alias("up"), (F.min("up") != F.max("up")).alias("_fork"))
+    parents, _, any_fork = stage.keep_counting(parents, F.col("_fork"), "parents")
+    steps = parents.where(~F.col("_fork")).select(ID, "up")
+    base, _ = stage.keep(combine(boxes.where(F.col(ID).isNotNull())), "boxes")
+    current = combine(base, *_doubled(steps, base, stage))
+    if not any_fork:
+        return current
+
+    from relgraph.operators.hierarchy import resolve_root  # which needs the cascade
+
+    current, _ = stage.keep(current, "chains")
+    forks, _ = stage.keep(parents.where("_fork").select(ID), "forks")
+    fork_edges, _ = stage.keep(with_keys(edges, ID, forks).distinct(), "fork-edges")
+    nodes = steps.select(ID).union(steps.select("up")).union(fork_edges.select("up")).distinct()
+    ends = resolve_root(nodes.join(steps, ID, "left"), ID, "up").select(F.col(ID).alias("up"), F.col("root"))
+    # rows on or below a ring have no end, and no fork above them
+    skeleton = with_keys(fork_edges.join(ends, "up").select(ID, F.col("root")), "root", forks)
+    skeleton, _ = stage.keep(skeleton.where(F.col(ID) != F.col("root")).distinct(), "skeleton")
+    state, _ = stage.keep(with_keys(current, ID, forks), "state")
+    grown = state
+    while True:
+        arrived = skeleton.join(grown, ID).groupBy(F.col("root").alias(ID)).agg(merge_agg(BOX).alias("_up"))
+        met = arrived.join(state, ID, "left").select(ID, F.col(BOX).alias("_old"), merge_box(BOX, "_up").alias(BOX))
+        grown, n = stage.keep(met.where(~F.col(BOX).eqNullSafe(F.col("_old"))).select(ID, BOX), "grown")
+        if not n:
+            break
+        state, _ = stage.keep(without_keys(state, ID, grown).union(grown), "state")
+    sent = fork_edges.join(state, ID).groupBy(F.col("up").alias(ID)).agg(merge_agg(BOX).alias(BOX))
+    base, _ = stage.keep(combine(current, sent), "boxes")
+    return combine(base, *_doubled(steps, base, stage))
 
 
-def roll_up_tree(tree: DataFrame, boxes: DataFrame, key: str = ID, parent: str = "parent_id") -> DataFrame:
-    """Boxes of a self-referencing table around all levels below.
+def _doubled(steps: DataFrame, boxes: DataFrame, stage: Staging) -> list[DataFrame]:
+    """What pointers (id, up) bring: frames (id, box) with the boxes of all rows below.
 
-    Pointers double in each round, so a chain of n levels takes about log2(n)
-    rounds; cycles end when no box grows.  Best for deep trees; ``roll_up``
-    needs one round per level but moves only grown boxes.
+    Round k sends the box of each row, and of all less than 2**k below it, to
+    the row 2**k above.  Rows whose chain ends sooner drop out.
     """
-    stage = Staging(tree.sparkSession)
-    steps = tree.select(F.col(key).alias(ID), F.col(parent).alias("up")).where(F.col("up").isNotNull())
-    steps, left = stage.keep(steps.where(F.col(ID) != F.col("up")), "steps")
-    log = [stage.keep(combine(boxes), "boxes")[0]]
+    rows, left = stage.keep(steps.join(boxes, ID, "left"), "steps")
+    brought: list[DataFrame] = []
     while left:
-        current = combine(*log)
-        lifted = steps.join(current, ID).groupBy(F.col("up").alias(ID)).agg(merge_agg(BOX).alias("_up"))
-        both = lifted.join(current, ID, "left").select(
-            ID, merge_box(BOX, "_up").alias("_new"), F.col(BOX).alias("_old")
-        )
-        grown = both.where(~F.col("_new").eqNullSafe(F.col("_old"))).select(ID, F.col("_new").alias(BOX))
-        grown, n = stage.keep(grown, "grown")
-        if not n:
-            break
-        log.append(grown)
-        onward = steps.select(F.col(ID).alias("up"), F.col("up").alias("_next"))
-        steps, left = stage.keep(steps.join(onward, "up").select(ID, F.col("_next").alias("up")), "steps")
-    return combine(*log)
+        lifted = rows.where(F.col(BOX).isNotNull()).groupBy(F.col("up").alias(ID)).agg(merge_agg(BOX).alias(BOX))
+        lifted, _ = stage.keep(lifted, "lifted")
+        brought.append(lifted)
+        onward = rows.select(F.col(ID).alias("up"), F.col("up").alias("_next"))
+        met = rows.join(lifted.select(ID, F.col(BOX).alias("_up")), ID, "left").join(onward, "up")
+        met = met.select(ID, F.col("_next").alias("up"), merge_box(BOX, "_up").alias(BOX), F.col(BOX).alias("_old"))
+        met = met.withColumn("_grown", ~F.col(BOX).eqNullSafe(F.col("_old"))).drop("_old")
+        before = rows
+        rows, left, grown = stage.keep_counting(met, F.col("_grown"), "steps")
+        if left and not grown and rows.count() == before.count():
+            break  # no chain ends any more and nothing grows: these are rings and what hangs below them
+        rows = rows.drop("_grown")
+    return brought
+
+
+def roll_up_tree(tree: DataFrame, boxes: DataFrame, key: str = ID, parent: str = "parent_id") -> DataFrame:
+    """Boxes of a self-referencing table around all levels below, rings included."""
+    edges = tree.select(F.col(key).alias(ID), F.col(parent).alias("up"))
+    return close_boxes(edges, boxes, Staging(tree.sparkSession))
 
 
 def collection_envelope(

@@ -6,11 +6,12 @@ star of any size stays linear.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from relgraph.functions.canonical import digest
 from relgraph.operators.cascade import _union, part_closure
 from relgraph.operators.deletion import ID, key_set, with_keys
 from relgraph.plans.spec import AGGREGATION, ASSOCIATION, COMPOSITION
@@ -205,6 +206,45 @@ def surrogate_keys(df: DataFrame, order_by: Sequence[str] = (), after: int = 0,
     return joined.select(*df.columns, (F.col("_start") + row + F.lit(after + 1)).cast("long").alias(name))
 
 
+def _in_order(df: DataFrame, order_by: Sequence[str]) -> DataFrame:
+    """Range partitioned and sorted, ties by the whole row; equal rows are dealt out in any order."""
+    if not order_by:
+        return df
+    rest = [c for c in df.columns if c not in order_by]
+    content = [F.xxhash64(digest(F.struct(*rest), df.select(F.struct(*rest)).schema[0].dataType))] if rest else []
+    keys = [*order_by, *[f"_o{i}" for i in range(len(content))], "_equal"]
+    for i, c in enumerate(content):
+        df = df.withColumn(f"_o{i}", c)
+    df = df.withColumn("_equal", F.monotonically_increasing_id())
+    return df.repartitionByRange(*keys).sortWithinPartitions(*keys).drop(*keys[len(order_by) :])
+
+
+def counted_flags(df: DataFrame, flags: Mapping[str, Column], order_by: Sequence[str] = ()) -> tuple[DataFrame, list[int]]:
+    """``df`` with, for each flag, a dense count 1, 2, ... of the rows that meet it (null for others), and the totals.
+
+    All flags are counted in one pass over rows in one order, which are written
+    once; the counts of earlier partitions, one row a partition, are broadcast.
+    """
+    stage = Staging(df.sparkSession)
+    columns, names = df.columns, list(flags)
+    marked = df.select("*", *[F.coalesce(c, F.lit(False)).cast("bigint").alias(n) for n, c in flags.items()])
+    rows = _in_order(marked, order_by).withColumn("_n", F.monotonically_increasing_id())
+    rows = rows.withColumn("_part", F.shiftright("_n", _ROW_BITS))
+    local = Window.partitionBy("_part").orderBy("_n").rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.select("*", *[F.sum(n).over(local).alias(f"_c{i}") for i, n in enumerate(names)])
+    rows, _ = stage.keep(rows, "counted")
+    sums = rows.groupBy("_part").agg(*[F.max(f"_c{i}").alias(f"_s{i}") for i in range(len(names))])
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sums.select(F.col("_part").alias("_p"), *[f"_s{i}" for i in range(len(names))], *[
+        F.coalesce(F.sum(f"_s{i}").over(before), F.lit(0)).alias(f"_b{i}") for i in range(len(names))
+    ])
+    starts, _ = stage.keep(starts, "starts")
+    totals = starts.agg(*[F.coalesce(F.sum(f"_s{i}"), F.lit(0)) for i in range(len(names))]).first()
+    joined = rows.join(F.broadcast(starts), F.col("_part") == F.col("_p"))
+    counts = [F.when(F.col(n) == 1, F.col(f"_b{i}") + F.col(f"_c{i}")).cast("bigint").alias(n) for i, n in enumerate(names)]
+    return joined.select(*columns, *counts), list(totals)
+
+
 def highest_key(df: DataFrame, key: str = ID) -> int:
     """The largest key in use, 0 for an empty table."""
     return df.agg(F.coalesce(F.max(key), F.lit(0))).first()[0]

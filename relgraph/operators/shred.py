@@ -16,15 +16,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from relgraph.functions.simple_types import (
-    measure_list_columns,
-    period_columns,
-    simple_column,
-    text_column,
-    value_columns,
-)
+from relgraph.functions.canonical import digest
+from relgraph.functions.simple_types import bad_value, measure_list_columns, period_parts, simple_column, text_column, value_parts
 from relgraph.operators.deletion import ID
-from relgraph.operators.hierarchy import highest_key, resolve_root, surrogate_keys
+from relgraph.operators.hierarchy import counted_flags, highest_key, resolve_root, surrogate_keys
 from relgraph.plans import classes as C
 from relgraph.plans.classes import Attribute, ClassModel, ClassType, Property, Storage
 from relgraph.plans.staging import Staging
@@ -127,6 +122,18 @@ def fold_struct(column: str, cls: ClassType, schema: T.StructType, prefix: str |
     ]
 
 
+def folded_parts(column: str, cls: ClassType, schema: T.StructType, prefix: str | None = None) -> list[tuple[str, Column, str]]:
+    """(column, raw value, simple type) of what is parsed of an inlined value type."""
+    prefix = prefix or cls.name.lower()
+    fields = {name.lower(): name for name in schema.names}
+    return [
+        part
+        for a in cls.attributes
+        if a.name.lower() in fields
+        for part in parsed_parts(F.col(column)[fields[a.name.lower()]], a, f"{prefix}_{a.name}")
+    ]
+
+
 def _matched(given: Sequence[str], known: Sequence[str], where: str) -> dict[str, str]:
     """Known name -> given name, in any case; names that nothing knows are an error."""
     by_name: dict[str, str] = {}
@@ -140,18 +147,23 @@ def _matched(given: Sequence[str], known: Sequence[str], where: str) -> dict[str
     return {k: by_name[k.lower()] for k in known if k.lower() in by_name}
 
 
+def parsed_parts(value: Column, attribute: Attribute, name: str) -> list[tuple[str, Column, str]]:
+    """(column, raw value, simple type) of what is parsed of an attribute."""
+    if attribute.kind == C.SIMPLE:
+        return [(name, value, attribute.type)]
+    if attribute.kind == C.VALUE:
+        return value_parts(value, attribute.type, name)
+    return period_parts(value, name) if attribute.kind == C.PERIOD else []
+
+
 def attribute_columns(value: Column, attribute: Attribute, data_type: T.DataType, name: str) -> list[Column]:
     """Columns of one attribute that stays with its object."""
-    if attribute.kind == C.SIMPLE:
-        return [simple_column(value, attribute.type, name)]
+    if attribute.kind in (C.SIMPLE, C.VALUE, C.PERIOD):
+        return [simple_column(raw, simple, column) for column, raw, simple in parsed_parts(value, attribute, name)]
     if attribute.kind == C.ENUM:
         return [value.cast("string").alias(name.lower())]
     if attribute.kind == C.UNKNOWN:
         return [text_column(value, data_type, name)]
-    if attribute.kind == C.VALUE:
-        return value_columns(value, attribute.type, name)
-    if attribute.kind == C.PERIOD:
-        return period_columns(value, name)
     if attribute.kind == C.MEASURE_LIST:
         return measure_list_columns(value, name)
     if attribute.kind == C.LINE:
@@ -159,6 +171,23 @@ def attribute_columns(value: Column, attribute: Attribute, data_type: T.DataType
     raise ValueError(f"attribute kind {attribute.kind!r} is not stored with its object")
 
 
+def bad_values(df: DataFrame, table: str, parts: Sequence[tuple[str, Column, str]]) -> DataFrame:
+    """(table, column, failed, example): how many values do not parse, one pass for all columns.
+
+    The example is the smallest of them, as text.
+    """
+    counts = [
+        F.struct(
+            F.lit(table).alias("table"),
+            F.lit(column.lower()).alias("column"),
+            F.count_if(bad_value(raw, simple)).alias("failed"),
+            F.min(F.when(bad_value(raw, simple), raw.cast("string"))).alias("example"),
+        )
+        for column, raw, simple in parts
+    ]
+    return df.agg(F.array(*counts).alias("_all")).select(F.explode("_all").alias("_one")).select("_one.*").where("failed > 0")
+
+
 def merge_classes(frames: Mapping[int, DataFrame]) -> DataFrame:
     """Classes that share a table: their rows, with the class id, nulls where a
     class lacks a column."""
@@ -171,43 +200,40 @@ def split_inheritance(df: DataFrame, levels: Mapping[str, Sequence[str]], key: s
     return {table: df.select(key, *columns) for table, columns in levels.items()}
 
 
-def surface_rows(
-    df: DataFrame, column: str, key: str = ID, after: int = 0, ordered: bool = False
-) -> tuple[DataFrame, DataFrame, int]:
-    """(owner_id -> root_id pairs, surface rows, number of roots) of a column
-    with an array of surfaces.
+def surface_keys(df: DataFrame, columns: Mapping[str, Column], after: int = 0, order_by: Sequence[str] = ()) -> tuple[DataFrame, int]:
+    """``df`` with a root key for each column with an array of surfaces, and the last key given.
 
-    Every object with at least one surface gets one root; its surfaces refer to
-    that root.
+    ``columns`` maps the names of the keys to the arrays.  An object with at
+    least one surface gets a root, whose key is its place among the rows plus
+    the number of roots before: all attributes are numbered in one pass, and
+    the table is not joined with itself.
     """
-    stage = Staging(df.sparkSession)
-    owned = df.where(F.size(column) > 0).select(F.col(key).alias(OWNER), F.col(column).alias("_surfaces"))
-    roots, n = stage.keep(surrogate_keys(owned, [OWNER] if ordered else [], after, "root_id"), "roots")
-    rows = roots.select("root_id", F.posexplode("_surfaces").alias(POSITION, "geometry")).where(
-        F.col("geometry").isNotNull()
-    )
-    return roots.select(OWNER, F.col("root_id").alias(TARGET)), rows, n
+    numbered, totals = counted_flags(df, {name: F.size(surfaces) > 0 for name, surfaces in columns.items()}, order_by)
+    for name, n in zip(columns, totals, strict=True):
+        numbered = numbered.withColumn(name, F.col(name) + F.lit(after))
+        after += n
+    return numbered, after
+
+
+def surface_rows(df: DataFrame, root: str, surfaces: Column) -> DataFrame:
+    """(root_id, position, geometry) of the surfaces of the rows with a root."""
+    rows = df.where(F.col(root).isNotNull()).select(F.col(root).alias("root_id"), F.posexplode(surfaces).alias(POSITION, "geometry"))
+    return rows.where(F.col("geometry").isNotNull())
 
 
-def template_rows(
-    df: DataFrame, column: str, key: str = ID, after: int = 0, ordered: bool = False
-) -> tuple[DataFrame, DataFrame, int]:
-    """(owner_id -> template key pairs, templates, their number) of a column.
+def template_rows(df: DataFrame, column: str, name: str, after: int = 0, ordered: bool = False) -> tuple[DataFrame, DataFrame, int]:
+    """(``df`` with the key of each row's template as ``name``, templates, their number).
 
-    Equal templates are one row, however many objects use them.
+    Equal templates are one row, however many objects use them: they meet by
+    their digest, so whole geometries go no further than the first aggregation.
     """
     stage = Staging(df.sparkSession)
-    geometry = F.col(column)
-    used = df.where(geometry.isNotNull()).select(
-        F.col(key).alias(OWNER), geometry.alias("relative_other_geom"), F.sha2(F.to_json(F.struct(geometry)), 256).alias("_digest")
-    )
-    # whole geometries go no further than the first aggregation: equal ones meet by their digest
-    distinct = used.groupBy("_digest").agg(F.first("relative_other_geom").alias("relative_other_geom"))
-    order = ["relative_other_geom"] if ordered else []
-    numbered, n = stage.keep(surrogate_keys(distinct, order, after), "templates")
-    pairs = used.select(OWNER, "_digest").join(numbered.select("_digest", ID), "_digest").select(OWNER, F.col(ID).alias(TARGET))
-    templates = numbered.select("relative_other_geom", ID)
-    return pairs, templates, n
+    kind = df.select(column).schema[0].dataType
+    marked = df.withColumn("_digest", F.when(F.col(column).isNotNull(), digest(F.col(column), kind)))
+    used = marked.where(F.col("_digest").isNotNull()).groupBy("_digest").agg(F.first(column).alias("relative_other_geom"))
+    numbered, n = stage.keep(surrogate_keys(used, ["relative_other_geom"] if ordered else [], after), "templates")
+    keyed = marked.join(numbered.select("_digest", F.col(ID).alias(name)), "_digest", "left").drop("_digest")
+    return keyed, numbered.select("relative_other_geom", ID), n
 
 
 class _Shred:
@@ -222,6 +248,7 @@ class _Shred:
         self.extra: dict[str, list[DataFrame]] = {}
         self.last_key: dict[str, int] = {}
         self.violations: list[DataFrame] = []
+        self.casts: list[tuple[DataFrame, str, list[tuple[str, Column, str]]]] = []
         self.frames = {name: self.named(name, df) for name, df in frames.items()}
         for name, df in self.frames.items():
             self.take(name, df)
@@ -275,6 +302,7 @@ class _Shred:
         row = [F.col(ID), *[F.col(c) for c in carried]]
         self.store(name, table, carried)
         geometry = []
+        casts: dict[str, list[tuple[str, Column, str]]] = {}
         for cls in self.model.lineage(name):
             here = self.model.table(cls.name)
             self.store(name, here, [])
@@ -286,6 +314,7 @@ class _Shred:
                     row.append(F.col(a.name).alias(f"_{a.name}"))
                 else:
                     made = attribute_columns(F.col(a.name), a, df.schema[a.name].dataType, a.name)
+                    casts.setdefault(here, []).extend(parsed_parts(F.col(a.name), a, a.name))
                     self.store(name, here, df.select(*made).columns)
                     row += made
             for p in cls.properties:
@@ -293,7 +322,9 @@ class _Shred:
                     continue
                 data_type = df.schema[p.name].dataType
                 if self.model.folds(p):
-                    made = fold_struct(p.name, self.model[p.target], data_type, self.model.inline_prefix(cls.name, p))
+                    prefix = self.model.inline_prefix(cls.name, p)
+                    made = fold_struct(p.name, self.model[p.target], data_type, prefix)
+                    casts.setdefault(here, []).extend(folded_parts(p.name, self.model[p.target], data_type, prefix))
                     self.store(name, here, df.select(*made).columns)
                     row += made
                     continue
@@ -305,11 +336,10 @@ class _Shred:
                 found = self.targets(cls, p, df)
                 if found is not None:
                     self.pairs.setdefault((cls.name, p.name), []).append(found)
+        self.casts += [(df, here, parts) for here, parts in casts.items() if parts]
         flat = df.select(*row)
-        for a, here in geometry:
-            before = flat.columns
-            flat = self.geometry(flat, a)
-            self.store(name, here, [c for c in flat.columns if c not in before])
+        if geometry:
+            flat = self.geometry(flat, name, geometry)
         self.objects.setdefault(name, []).append(flat)
 
     def targets(self, cls: ClassType, prop: Property, df: DataFrame) -> DataFrame | None:
@@ -374,37 +404,42 @@ class _Shred:
         if not fields:
             return rows.groupBy(ID).agg(*owners) if owners else rows.select(ID).distinct()
         whole = F.struct(*fields)
-        marked = rows.withColumn("_digest", F.sha2(F.to_json(whole), 256))
+        marked = rows.withColumn("_digest", digest(whole, rows.select(whole).schema[0].dataType))
         contents = marked.groupBy(ID).agg((F.min("_digest") != F.max("_digest")).alias("_differ"))
         self.violations.append(contents.where("_differ").select(*_violation(table, "(content)", F.lit(None))))
         one = marked.groupBy(ID).agg(F.min_by(whole, "_digest").alias("_row"), *owners)
         return one.select(ID, "_row.*", *carried)
 
-    def geometry(self, df: DataFrame, attribute: Attribute) -> DataFrame:
-        """Replace a geometry column by the columns it is stored in."""
-        source, name = f"_{attribute.name}", attribute.name.lower()
-        others = [c for c in df.columns if c != source]
-        if attribute.kind == C.IMPLICIT:
-            lod = f"lod{attribute.name[3]}_implicit"
-            last = self.last_key.get(TEMPLATES, 0)
-            pairs, rows, n = template_rows(df.withColumn("_t", F.col(source)["template"]), "_t", after=last, ordered=self.ordered_keys)
-            self.last_key[TEMPLATES] = last + n
-            self.extra.setdefault(TEMPLATES, []).append(rows)
-            return own_key(df, pairs, f"{lod}_rep_id").select(
-                *others,
-                f"{lod}_rep_id",
-                F.col(source)["ref_point"].alias(f"{lod}_ref_point"),
-                F.col(source)["transformation"].alias(f"{lod}_transformation"),
-            )
-        surfaces, column, kept = F.col(source), f"{name}_id", []
-        if attribute.kind == C.HYBRID:
-            surfaces, column = F.col(source)["surfaces"], f"{name}_brep_id"
-            kept = [F.col(source)["points"].alias(f"{name}_other_geom")]
-        last = self.last_key.get(SURFACES, 0)
-        pairs, rows, n = surface_rows(df.withColumn("_s", surfaces), "_s", after=last, ordered=self.ordered_keys)
-        self.last_key[SURFACES] = last + n
-        self.extra.setdefault(SURFACES, []).append(rows)
-        return own_key(df, pairs, column).select(*others, column, *kept)
+    def geometry(self, df: DataFrame, name: str, attributes: Sequence[tuple[Attribute, str]]) -> DataFrame:
+        """Replace the geometry columns of a class by the columns they are stored in."""
+        surfaces: dict[str, Column] = {}
+        for a, _ in attributes:
+            source = F.col(f"_{a.name}")
+            if a.kind == C.SURFACE:
+                surfaces[f"{a.name.lower()}_id"] = source
+            elif a.kind == C.HYBRID:
+                surfaces[f"{a.name.lower()}_brep_id"] = source["surfaces"]
+        if surfaces:
+            df, self.last_key[SURFACES] = surface_keys(df, surfaces, self.last_key.get(SURFACES, 0), [ID] if self.ordered_keys else [])
+            self.extra.setdefault(SURFACES, []).extend(surface_rows(df, root, column) for root, column in surfaces.items())
+        elif any(a.kind == C.IMPLICIT for a, _ in attributes):
+            df, _ = self.stage.keep(df, "geometry")
+        for a, here in attributes:
+            source, column = F.col(f"_{a.name}"), a.name.lower()
+            if a.kind == C.IMPLICIT:
+                lod, last = f"lod{a.name[3]}_implicit", self.last_key.get(TEMPLATES, 0)
+                df, rows, n = template_rows(df.withColumn("_t", source["template"]), "_t", f"{lod}_rep_id", last, self.ordered_keys)
+                self.last_key[TEMPLATES] = last + n
+                self.extra.setdefault(TEMPLATES, []).append(rows)
+                df = df.withColumn(f"{lod}_ref_point", source["ref_point"]).withColumn(f"{lod}_transformation", source["transformation"]).drop("_t")
+                made = [f"{lod}_rep_id", f"{lod}_ref_point", f"{lod}_transformation"]
+            elif a.kind == C.HYBRID:
+                df = df.withColumn(f"{column}_other_geom", source["points"])
+                made = [f"{column}_brep_id", f"{column}_other_geom"]
+            else:
+                made = [f"{column}_id"]
+            self.store(name, here, made)
+        return df.drop(*[f"_{a.name}" for a, _ in attributes])
 
     def finish(self) -> dict[str, DataFrame]:
         model, merged = self.model, self.model.class_tables()
@@ -462,8 +497,9 @@ def _union_by_name(parts: Sequence[DataFrame]) -> DataFrame:
 
 
 class Tables(dict):
-    """Table name -> frame, and ``violations``: (table, id, column, lost_key) of
-    everything the model leaves no room for.
+    """Table name -> frame, ``violations``: (table, id, column, lost_key) of
+    everything the model leaves no room for, and ``bad_values``: (table, column,
+    failed, example) of values that do not parse and are null therefore.
 
     ``lost_key`` is an owner or target beyond the one that is stored; for
     column ``(content)`` it is null, and the id was given with different
@@ -471,6 +507,7 @@ class Tables(dict):
     """
 
     violations: DataFrame
+    bad_values: DataFrame
 
 
 def shred(frames: Mapping[str, DataFrame], model: ClassModel, ordered_keys: bool = False) -> Tables:
@@ -487,4 +524,7 @@ def shred(frames: Mapping[str, DataFrame], model: ClassModel, ordered_keys: bool
     spark = next(iter(frames.values())).sparkSession
     none = spark.range(0).select(*_violation("", "", F.lit(None)))
     tables.violations = reduce(DataFrame.unionByName, run.violations, none).distinct()
+    none = spark.range(0).selectExpr("'' as table", "'' as column", "id as failed", "'' as example")
+    counts = reduce(DataFrame.unionByName, [bad_values(*cast) for cast in run.casts], none)
+    tables.bad_values = counts.groupBy("table", "column").agg(F.sum("failed").cast("bigint").alias("failed"), F.min("example").alias("example"))
     return tables

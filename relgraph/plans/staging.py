@@ -11,7 +11,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -34,6 +35,28 @@ def checkpoint_folder(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
+_scopes: list[list[Staging]] = []
+
+
+@contextmanager
+def scratch() -> Iterator[None]:
+    """Delete, at the end of the block, what operators called inside have written for themselves.
+
+    Their results read these tables, so write the results inside the block::
+
+        with scratch():
+            cascade_delete(tables, spec, roots).deleted.write.parquet(path)
+    """
+    made: list[Staging] = []
+    _scopes.append(made)
+    try:
+        yield
+    finally:
+        _scopes.remove(made)
+        for staging in made:
+            staging.remove()
+
+
 class Staging:
     """Writes intermediate tables of one operator call below one folder."""
 
@@ -42,6 +65,9 @@ class Staging:
         self.folder = f"{checkpoint_folder(spark)}/relgraph-{uuid.uuid4().hex}"
         self._count = 0
         self._written: dict[tuple[str, str], list[int]] = {}
+        self._paths: dict[str, list[str]] = {}
+        for made in _scopes:
+            made.append(self)
 
     def remove(self) -> None:
         """Delete what this call has written; frames that still read it fail afterwards."""
@@ -49,6 +75,14 @@ class Staging:
         path = hadoop.Path(self.folder)
         path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
+    def drop(self, *labels: str) -> None:
+        """Delete the tables of these labels: steps that later ones, written since, have taken the place of."""
+        hadoop = self.spark._jvm.org.apache.hadoop.fs
+        system = hadoop.Path(self.folder).getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
+        for label in labels:
+            for path in self._paths.pop(label, []):
+                system.delete(hadoop.Path(path), True)
+
     def keep(self, df: DataFrame, label: str = "step") -> tuple[DataFrame, int]:
         """Write ``df`` and return (frame over the written table, row count).
 
@@ -63,6 +97,7 @@ class Staging:
         """Like :meth:`keep`, with the number of rows that meet a condition."""
         self._count += 1
         path = f"{self.folder}/{self._count:04d}-{label}"
+        self._paths.setdefault(label, []).append(path)
         seen = Observation()
         counted = df.observe(
             seen, F.count(F.lit(1)).alias("rows"), F.coalesce(F.count_if(condition), F.lit(0)).alias("met")

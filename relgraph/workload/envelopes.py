@@ -204,6 +204,17 @@ def recursive_boxes(spark, folder):
     return _flat(rolled["part"])
 
 
+def cyclic_boxes(spark, folder):
+    """Rings of 40 parts that hold each other; every seventh part also lies in another part."""
+    parts = table(spark, folder, "part").select(F.col("p_partkey").alias("id"), "p_size")
+    last = F.col("id") - F.col("id") % 40
+    rings = parts.select("id", (last + (F.col("id") + 1) % 40).alias("ring_id"))
+    also = parts.where("id % 7 = 0").select(F.col("id").alias("member_id"), F.expr("id div 2").alias("owner_id"))
+    own = parts.where("id % 3 = 0").select("id", B.box_of_point(B.point("p_size", F.lit(0), F.col("id"))).alias("box"))
+    ways = [E.Part("part", "part", "ring_id"), E.Part("part", "part", "owner_id", "link", "also", "member_id")]
+    return _flat(E.roll_up({"part": rings, "also": also}, {"part": "id"}, {"part": own}, ways)["part"])
+
+
 QUERIES = {
     f.__name__: f
     for f in [
@@ -224,6 +235,7 @@ QUERIES = {
         write_back,
         tree_boxes,
         recursive_boxes,
+        cyclic_boxes,
     ]
 }
 
@@ -309,4 +321,12 @@ ORACLES = {
     + " from customer left join b on c_custkey = k",
     "tree_boxes": _TREE_SQL,
     "recursive_boxes": _TREE_SQL,
+    "cyclic_boxes": f"""
+        with recursive edges as (
+            select p_partkey as id, p_partkey - p_partkey % 40 + (p_partkey + 1) % 40 as up from part
+            union select p_partkey, p_partkey // 2 from part where p_partkey % 7 = 0),
+        above as (
+            select p_partkey as id, p_partkey as top from part where p_partkey % 3 = 0
+            union select a.id, e.up from above a join edges e on e.id = a.top)
+        select a.top as id, {_minmax('t.p_size', '0', 't.p_partkey')} from above a join part t on t.p_partkey = a.id group by a.top""",
 }

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from relgraph.functions.boxes import point, sides
 from relgraph.operators import shred as S
+from relgraph.operators.assemble import assemble
 from relgraph.operators.cascade import cascade_delete
 from relgraph.operators.object_boxes import object_boxes
 from relgraph.plans import classes as C
@@ -57,6 +58,13 @@ def shred_roundtrip(spark, folder):
     return texts.select("id", F.array_join(F.transform("rows", lambda r: r["text"]), "\n").alias("text"))
 
 
+def shred_assemble(spark, folder):
+    """The documents with their lines, put together again by the model."""
+    back = assemble(_document_tables(spark, folder), DOCUMENT_MODEL, "AbstractDocument")
+    text = F.array_join(F.transform("line", lambda v: v["text"]), "\n")
+    return back.select("id", "lang", "source", F.size("line").alias("n_lines"), text.alias("text"))
+
+
 # --- self references -------------------------------------------------------
 
 
@@ -182,6 +190,31 @@ def shred_violations(spark, folder):
     return lost.select(F.col("table").alias("tbl"), "id", F.col("column").alias("col"), "lost_key")
 
 
+def shred_content_violations(spark, folder):
+    """Customers that their orders give with different contents: a microsecond
+    more, or a null for an empty note; a map in another order is no difference."""
+    model = ClassModel(
+        [
+            ClassType("Order", (), (Property("buyer", "Customer", 0, 1),)),
+            ClassType("Customer", (Attribute("seen", type="dateTime"), Attribute("tags", C.UNKNOWN), Attribute("note"))),
+        ]
+    )
+    odd, key = F.col("o_orderkey") % 2, F.col("o_custkey")
+    begin, step = F.lit("2020-01-01 00:00:00").cast("timestamp_ntz"), F.expr("interval 1 microsecond")
+    one, two = F.lit("a"), F.lit("b")
+    orders = table(spark, folder, "orders").select(
+        F.col("o_orderkey").alias("id"),
+        F.struct(
+            key.alias("id"),
+            F.when((key % 3 == 0) & (odd == 1), begin + step).otherwise(begin).alias("seen"),
+            F.when(odd == 1, F.create_map(one, key, two, F.lit(1).cast("long"))).otherwise(F.create_map(two, F.lit(1).cast("long"), one, key)).alias("tags"),
+            F.when((key % 5 != 0) | (odd == 1), F.lit("")).alias("note"),
+        ).alias("buyer"),
+    )
+    lost = S.shred({"Order": orders}, model).violations
+    return lost.select(F.col("table").alias("tbl"), "id", F.col("column").alias("col"), "lost_key")
+
+
 # --- columns ---------------------------------------------------------------
 
 
@@ -321,8 +354,7 @@ def shred_choice(spark, folder):
     return tables["order"]
 
 
-def shred_text(spark, folder):
-    """Typed and unknown values: text that does not parse becomes null."""
+def _text_tables(spark: SparkSession, folder: str) -> S.Tables:
     model = ClassModel(
         [
             ClassType(
@@ -347,7 +379,18 @@ def shred_text(spark, folder):
         F.struct(F.col("user_id").alias("u"), F.col("event_type").alias("t")).alias("rest"),
         F.col("props").alias("raw"),
     )
-    return S.shred({"Event": events}, model)["event"]
+    return S.shred({"Event": events}, model)
+
+
+def shred_text(spark, folder):
+    """Typed and unknown values: text that does not parse becomes null."""
+    return _text_tables(spark, folder)["event"]
+
+
+def shred_bad_values(spark, folder):
+    """How many values of which column did not parse."""
+    bad = _text_tables(spark, folder).bad_values
+    return bad.select(F.col("table").alias("tbl"), F.col("column").alias("col"), "failed", "example")
 
 
 # --- inheritance -----------------------------------------------------------
@@ -615,6 +658,9 @@ QUERIES = {
         shred_text,
         shred_merge,
         shred_join,
+        shred_content_violations,
+        shred_bad_values,
+        shred_assemble,
         shred_geometry,
         shred_surfaces,
         shred_templates,
@@ -683,6 +729,16 @@ ORACLES = {
                case when value > 20 then null else (props->>'$.k')::bigint end as number, value as share,
                case when event_type = 'error' then true end as flag,
                '{"u":' || user_id || ',"t":"' || event_type || '"}' as rest, props as raw from events""",
+    "shred_assemble": """
+        select doc_id as id, lang, source, len(string_split(text, chr(10)))::int as n_lines, text from documents""",
+    "shred_bad_values": """
+        select 'event' as tbl, 'number' as col, count(*) as failed, 'n/a' as example from events where value > 20 having count(*) > 0
+        union all select 'event', 'flag', count(*), 'maybe' from events where event_type is distinct from 'error' having count(*) > 0""",
+    "shred_content_violations": """
+        select 'customer' as tbl, o_custkey::varchar as id, '(content)' as col, null::varchar as lost_key from orders
+        group by o_custkey
+        having count(distinct (case when o_custkey % 3 = 0 then o_orderkey % 2 else 0 end,
+                               case when o_custkey % 5 = 0 and o_orderkey % 2 = 0 then 'no note' else 'empty' end)) > 1""",
     "shred_two_foreign_links": """
         select distinct 'part' as link, l_orderkey as order_id, l_partkey as part_id from lineitem
         union all select distinct 'spare', l_orderkey, l_suppkey from lineitem""",

@@ -24,3 +24,21 @@ def rows(spark):
         return literal_rows(spark, schema, data)
 
     return make
+
+
+@pytest.fixture
+def settings(spark):
+    changed = {}
+
+    def change(**values):
+        for key, value in values.items():
+            key = "spark.sql." + key.replace("__", ".")
+            changed.setdefault(key, spark.conf.get(key, None))
+            spark.conf.set(key, value)
+
+    yield change
+    for key, value in changed.items():
+        if value is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, value)

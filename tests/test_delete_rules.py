@@ -307,4 +307,75 @@ def test_a_long_chain_takes_few_steps(rows, monkeypatch):
     assert sorted(i for (i,) in got) == [*range(3, n), 2000, 2001, 3000]
     assert len(steps) <= 16
     # every read opens only folders that hold its own set
-    assert opened and all("_set=part" in p for found in opened for p in found) and max(map(len, opened)) <= 3
+    assert opened and all("_set=part" in p for found in opened for p in found) and max(map(len, opened)) <= 2 + cascade.WAVES
+
+
+def test_a_delete_in_a_large_shallow_table_writes_what_lies_below(rows, spark, monkeypatch):
+    from relgraph.plans.staging import Staging
+
+    written = []
+    keep, append = Staging.keep_counting, Staging.append_keys
+    monkeypatch.setattr(Staging, "keep_counting", lambda self, *a, **b: (out := keep(self, *a, **b), written.append(out[1]))[0])
+    monkeypatch.setattr(Staging, "append_keys", lambda self, *a, **b: (out := append(self, *a, **b), written.append(sum(out.values())))[0])
+    tree = spark.range(20_000).selectExpr("id", "case when id > 0 then id div 27 end as up")  # 4 levels below the root
+    got = values(cascade.part_closure(tree, ids(rows, 7), "up"))
+    assert sorted(i for (i,) in got) == [7, *range(189, 216), *range(5103, 5832)]
+    assert sum(written) == 1 + 27 + 729
+    written.clear()
+    assert cascade.part_closure(tree, ids(rows, 0), "up").count() == 20_000
+    assert sum(written) == 20_000
+
+
+@pytest.mark.parametrize("broadcast", [False, True])
+def test_several_keys_of_a_row_meet_their_sets_together(rows, settings, broadcast):
+    settings(autoBroadcastJoinThreshold="10485760" if broadcast else "-1")
+    n = 60
+    tables = {
+        "a": rows("id bigint", [(i,) for i in range(n)]),
+        "b": rows("id string", [(f"b{i}",) for i in range(n)]),
+        "t": rows(
+            "id bigint, a1 bigint, a2 bigint, b1 string, w string",
+            [(i, i, (i * 7) % n if i % 3 else None, f"b{(i * 11) % n}" if i % 4 else None, f"w{i}") for i in range(n)] + [(None, 1, 2, "b3", "no id"), (5, 1, 1, "b1", "again")],
+        ),
+    }
+    refs = [Reference("t", c, t, AGGREGATION, multi_owner=True) for c, t in (("a1", "a"), ("a2", "a"), ("b1", "b"))]
+    spec = RelationSpec({"a": "id", "b": "id", "t": "id"}, refs)
+    gone_a, gone_b = {0, 1, 5, 14, 21, 35, 49}, {"b0", "b1", "b3", "b11", "b55"}
+    result = cascade.cascade_delete(tables, spec, {"a": ids(rows, *gone_a), "b": rows("id string", [(b,) for b in gone_b])})
+    data = [tuple(r) for r in tables["t"].collect()]
+    left = lambda r: [k for k, gone in ((r[1], gone_a), (r[2], gone_a), (r[3], gone_b)) if k is not None and k not in gone]
+    touched = lambda r: r[1] in gone_a or r[2] in gone_a or r[3] in gone_b
+    owned = {r[0] for r in data if r[0] is not None and left(r)}
+    dead = {r[0] for r in data if r[0] is not None and touched(r) and r[0] not in owned}
+    assert {i for t, i in values(result.deleted) if t == "t"} == {str(i) for i in dead}
+    null = lambda k, gone: None if k in gone else k
+    want = [(r[0], null(r[1], gone_a), null(r[2], gone_a), null(r[3], gone_b), r[4]) for r in data if r[0] not in dead]
+    assert values(result.survivors("t")) == sorted(want, key=lambda t: tuple((v is None, str(v)) for v in t))
+    lost = [("t", str(r[0]), c) for r in data if r[0] is not None and r[0] not in dead for c, k, gone in (("a1", r[1], gone_a), ("a2", r[2], gone_a), ("b1", r[3], gone_b)) if k in gone]
+    assert [r for r in values(result.detached) if r[1] is not None] == sorted(lost)
+    assert values(result.blocked) == []
+
+
+def test_a_cascade_goes_on_from_what_it_has_written(rows):
+    tables = {
+        "p": rows("id bigint", [(1,), (2,), (3,)]),
+        "c": rows("id bigint, p_id bigint, q_id bigint", [(10, 1, 7), (11, 2, 7), (12, 3, 8), (13, None, 8)]),
+        "q": rows("id bigint", [(7,), (8,)]),
+        "l": rows("p_id bigint, q_id bigint", [(1, 7), (2, 7), (3, 8), (2, 8)]),
+    }
+    spec = RelationSpec(
+        {"p": "id", "c": "id", "q": "id"},
+        [Reference("c", "p_id", "p", AGGREGATION, multi_owner=True), Reference("c", "q_id", "q", AGGREGATION, multi_owner=True)],
+        [Link("l", "p", "p_id", "q", "q_id")],
+    )
+    run = cascade.Cascade(tables, spec)
+    first = run.delete({"p": ids(rows, 1)})
+    assert values(first.deleted) == [("p", 1)] and values(first.unlinked) == [("l", 1, 7)]
+    second = run.delete({"q": ids(rows, 7), "p": ids(rows, 1)})
+    assert values(second.deleted) == [("c", 10), ("q", 7)]  # 10 has lost both owners, one in each call
+    assert values(second.unlinked) == [("l", 2, 7)]
+    assert values(second.survivors("c")) == [(11, 2, None), (12, 3, 8), (13, None, 8)]
+    assert values(second.survivors("p")) == [(2,), (3,)] and values(second.survivors("l")) == [(2, 8), (3, 8)]
+    assert values(second.detached) == [("c", 11, "q_id")]
+    whole = cascade.cascade_delete(tables, spec, {"q": ids(rows, 7), "p": ids(rows, 1)})
+    assert values(whole.deleted) == values(first.deleted.union(second.deleted))

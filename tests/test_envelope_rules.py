@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from relgraph.functions import boxes as B
 from relgraph.operators import envelope as E
+from relgraph.plans.staging import Staging
 
 
 def boxed(rows, data):
@@ -166,6 +167,83 @@ def test_recursive_roll_up_of_trees_links_and_cycles(rows, seed):
     assert sorted(cubes(by_link), key=lambda t: str(t[0])) == want
 
 
+def counted_steps(monkeypatch):
+    from relgraph.plans.staging import Staging
+
+    steps = []
+    keep = Staging.keep_counting
+    monkeypatch.setattr(Staging, "keep_counting", lambda self, *a, **b: (steps.append(1), keep(self, *a, **b))[1])
+    return steps
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_any_graph_of_rows(spark, rows, seed):
+    """Rows with no, one or several parents, in rings and out of them, also over two tables."""
+    r = random.Random(100 + seed)
+    n = 40
+    edges = [(i, r.randrange(n)) for i in range(n) for _ in range(r.choice([0, 1, 1, 1, 2, 3] if seed % 2 else [0, 1, 1, 1, 1]))]
+    own = {i: (float(r.randrange(50)), float(r.randrange(50, 99))) for i in range(n) if r.random() < 0.6}
+    want = sorted((i, *b) for i, b in brute_boxes(own, [(p, c) for c, p in edges]).items())
+    frame = E.close_boxes(rows("id bigint, up bigint", [*edges, (None, 3), (3, None)]), boxed(rows, [(i, *b) for i, b in own.items()]), Staging(spark))
+    assert sorted(cubes(frame)) == want
+    # the same rows dealt over two tables with keys of different types, the edges over all three ways
+    odd = lambda i: i % 2 == 1
+    a = rows("id bigint, box_up string", [(i, None) for i in range(n) if not odd(i)])
+    b = rows("id string, a_id bigint", [(f"x{i}", None) for i in range(n) if odd(i)])
+    tables, parts = {"a": a, "b": b}, []
+    for oc, op in sorted({(odd(c), odd(p)) for c, p in edges}):
+        name = f"l{oc:d}{op:d}"
+        mine = [(c if not oc else f"x{c}", p if not op else f"x{p}") for c, p in edges if (odd(c), odd(p)) == (oc, op)]
+        kinds = ["string" if o else "bigint" for o in (oc, op)]
+        tables[name] = rows(f"c {kinds[0]}, p {kinds[1]}", mine)
+        parts.append(E.Part("b" if op else "a", "b" if oc else "a", "p", "link", name, "c"))
+    geometry = {
+        "a": boxed(rows, [(i, *x) for i, x in own.items() if not odd(i)]),
+        "b": boxed(rows, [(i, *x) for i, x in own.items() if odd(i)]).selectExpr("concat('x', id) as id", "box"),
+    }
+    out = E.roll_up(tables, {"a": "id", "b": "id"}, geometry, parts)
+    got = [(i, lo, hi) for t in ("a", "b") if t in out for i, lo, hi in cubes(out[t])]
+    assert sorted((int(str(i).lstrip("x")), lo, hi) for i, lo, hi in got) == want
+
+
+def test_a_ring_and_a_deep_nesting_take_few_rounds(rows, monkeypatch):
+    n = 1000
+    ring = rows("id bigint, up bigint", [*[(i, (i + 1) % n) for i in range(n)], (n, 0), (n + 1, n)])
+    boxes = boxed(rows, [(0, 5, 6), (500, 1, 2), (n + 1, 7, 8)])
+    steps = counted_steps(monkeypatch)
+    got = sorted(cubes(E.roll_up_tree(ring, boxes, parent="up")))
+    assert got == [*[(i, 1.0, 8.0) for i in range(n)], (n, 7.0, 8.0), (n + 1, 7.0, 8.0)]
+    assert len(steps) <= 28
+    # a holds b holds a ..., 2 * n levels
+    tables = {"a": rows("id bigint, b_id bigint", [(i, i - 1 if i else None) for i in range(n)]), "b": rows("id bigint, a_id bigint", [(i, i) for i in range(n)])}
+    parts = [E.Part("b", "a", "b_id"), E.Part("a", "b", "a_id")]
+    steps.clear()
+    out = E.roll_up(tables, {"a": "id", "b": "id"}, {"b": boxed(rows, [(n - 1, 3, 4), (10, 1, 2)])}, parts)
+    want = [(i, 1.0 if i <= 10 else 3.0, 4.0) for i in range(n)]
+    assert sorted(cubes(out["a"])) == want == sorted(cubes(out["b"]))
+    assert len(steps) <= 32
+
+
+def test_rounds_read_only_what_still_moves(rows, monkeypatch):
+    """One long chain beside many short ones: later rounds hold the rows of the long one only."""
+    from relgraph.plans.staging import Staging
+
+    sizes = []
+    keep = Staging.keep_counting
+
+    def noted(self, df, condition, label="step"):
+        out = keep(self, df, condition, label)
+        if label == "steps":
+            sizes.append(out[1])
+        return out
+
+    monkeypatch.setattr(Staging, "keep_counting", noted)
+    chain = [(i, i + 1) for i in range(64)]
+    short = [(10_000 + 2 * i, 10_001 + 2 * i) for i in range(2000)]
+    E.roll_up_tree(rows("id bigint, up bigint", chain + short), boxed(rows, [(0, 1, 2)]), parent="up")
+    assert sizes[0] == 2064 and sizes[1:] == [63, 61, 57, 49, 33, 1, 0]
+
+
 def test_parents_contain_their_children_and_repeated_parts_count_once(rows):
     tables = {"p": rows("id bigint, c_id bigint", [(1, 10), (2, None)]), "c": rows("id bigint, p_id bigint", [(10, 2), (11, 2)])}
     parts = [E.Part("p", "c", "p_id"), E.Part("p", "c", "p_id"), E.Part("p", "c", "c_id", "parent")]

@@ -4,6 +4,7 @@ import random
 
 import pytest
 from helpers import values
+from pyspark.sql import functions as F
 
 from relgraph.operators import hierarchy as H
 from relgraph.operators import references as K
@@ -124,3 +125,25 @@ def test_shared_key_pairs(rows):
     child, parent = rows("id bigint", [(1,), (2,)]), rows("id bigint", [(1,), (3,)])
     assert values(K.shared_key(child, parent)) == [(1, True), (2, False)]
     assert values(K.missing_parent(child, parent)) == [(2,)]
+
+
+def test_keys_do_not_depend_on_the_split_of_the_input(spark, settings):
+    """Rows alike in the order go by their contents; a value that most rows share is spread over the ranges."""
+    df = spark.range(3000).selectExpr("case when id % 3 < 2 then 5 else id end as owner", "id % 700 as content", "map('a', id % 700) as more")
+    got = [H.surrogate_keys(df.repartition(n), ["owner"]) for n in (1, 7)]
+    assert values(got[0].drop("more")) == values(got[1].drop("more"))
+    numbered = got[1].select("id", "owner").orderBy("id").collect()
+    assert [r.id for r in numbered] == list(range(1, 3001)) and [r.owner for r in numbered] == sorted(r.owner for r in numbered)
+    settings(adaptive__coalescePartitions__enabled="false")
+    sizes = df.repartition(7).transform(lambda d: H._in_order(d, ["owner"])).groupBy(F.spark_partition_id()).count().collect()
+    assert len(sizes) > 1 and max(r["count"] for r in sizes) < 1500
+
+
+def test_flags_are_counted_in_one_pass(spark):
+    df = spark.range(1000).repartition(5)
+    out, totals = H.counted_flags(df, {"even": F.col("id") % 2 == 0, "tens": F.col("id") % 10 == 0, "none": F.lit(None).cast("boolean")}, ["id"])
+    assert totals == [500, 100, 0]
+    assert values(out) == sorted(((i, i // 2 + 1 if i % 2 == 0 else None, i // 10 + 1 if i % 10 == 0 else None, None) for i in range(1000)), key=lambda t: str(t[0]))
+    out, totals = H.counted_flags(df, {"even": F.col("id") % 2 == 0})
+    assert sorted(r.even for r in out.collect() if r.even) == list(range(1, 501)) and totals == [500]
+    assert H.counted_flags(df.where("id < 0"), {"x": F.lit(True)})[1] == [0]

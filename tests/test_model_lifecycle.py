@@ -138,10 +138,10 @@ def test_deletes_that_came_down_do_not_echo(spark):
     ])
     row = "'a' as a, 'b' as b, 'c' as c, 'd' as d, 'e' as e, 'f' as f"
     tables = shred({"Leaf": spark.sql(f"select id, {row} from range(5)"), "Base": spark.sql("select id + 10 as id, 'a' as a, 'b' as b from range(5)")}, model)
-    run = cascade._Cascade(tables, relation_spec(model))
+    run = cascade.Cascade(tables, relation_spec(model))
     run.run({"base": spark.createDataFrame([(1,), (11,)], "id bigint")})
     assert {t: sorted(r.id for r in run.gone(t).collect()) for t in run.last_step} == {"base": [1, 11], "sub": [1], "leaf": [1]}
     assert run.step == 3
-    run = cascade._Cascade(tables, relation_spec(model))
+    run = cascade.Cascade(tables, relation_spec(model))
     run.run({"leaf": spark.createDataFrame([(2,)], "id bigint")})
     assert {t: [r.id for r in run.gone(t).collect()] for t in run.last_step} == {"base": [2], "sub": [2], "leaf": [2]}

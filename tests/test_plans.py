@@ -17,24 +17,6 @@ FOLDER = "/root/testdata/sf0.001"
 QUERIES = entry_module.queries()
 
 
-@pytest.fixture
-def settings(spark):
-    changed = {}
-
-    def change(**values):
-        for key, value in values.items():
-            key = "spark.sql." + key.replace("__", ".")
-            changed.setdefault(key, spark.conf.get(key, None))
-            spark.conf.set(key, value)
-
-    yield change
-    for key, value in changed.items():
-        if value is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, value)
-
-
 @pytest.fixture
 def small_skew(settings):
     """Partitions of a few kilobytes count as skewed; nothing is broadcast."""
@@ -154,3 +136,32 @@ def test_many_steps_of_a_key_set_are_one_scan(spark):
     plan = plan_of(stage.keys("a", "id", kind, after=3))
     # one scan that opens exactly the folders of the wanted steps
     assert plan.count("FileScan") == 1 and [p.split("_step=")[1][0] for p in stage.key_paths("a", after=3)] == ["4", "5"]
+
+
+def test_wide_rows_with_three_large_keys_are_exchanged_once(rows, settings):
+    from relgraph.operators.deletion import key_hits
+
+    settings(autoBroadcastJoinThreshold="-1", adaptive__enabled="false")
+    df = rows("id bigint, a bigint, b bigint, c bigint, payload string", [(i, i, i + 1, None, "x") for i in range(50)])
+    sets = [rows("id bigint", [(i,) for i in range(k, 50, 7)]) for k in (0, 1)]
+    hit = key_hits(df, [("a", sets[0]), ("b", sets[1]), ("c", sets[0])], "mask")
+    text = hit._jdf.queryExecution().executedPlan().toString()
+    with_payload = [line for line in text.splitlines() if "Exchange" in line]
+    plan = hit._jdf.queryExecution().executedPlan()
+    wide = 0
+    todo = [plan]
+    while todo:
+        node = todo.pop()
+        wide += "Exchange" in node.nodeName() and "payload" in node.output().toString()
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+    assert wide == 1 and with_payload
+    assert {r.id: r.mask for r in hit.collect()} == {i: (i % 7 == 0) + 2 * ((i + 1) % 7 == 1 and i + 1 < 50) for i in range(50)}
+
+
+def test_geometry_keys_need_no_join_of_the_table_with_itself(spark, settings):
+    settings(autoBroadcastJoinThreshold="-1")
+    df = QUERIES["shred_surfaces"](spark, FOLDER)
+    assert "SortMergeJoin" not in plan_of(df) and "customer.parquet" not in plan_of(df)
+    plan = plan_of(QUERIES["shred_geometry"](spark, FOLDER))
+    # the one shuffled join is with the distinct templates
+    assert plan.count("SortMergeJoin") <= 1 and plan.count("_digest") > 0 and "customer.parquet" not in plan

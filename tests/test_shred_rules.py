@@ -252,3 +252,49 @@ def test_random_models_share_no_column_between_targets():
                 else:
                     continue
                 assert seen.setdefault(key, target) == target
+
+
+def test_the_canonical_text_tells_all_contents_apart(spark):
+    from relgraph.functions.canonical import canonical
+
+    cases = {
+        "timestamp": ["timestamp'2020-01-01 00:00:00.000001'", "timestamp'2020-01-01 00:00:00.000002'", "timestamp'2020-01-01'"],
+        "timestamp_ntz": ["timestamp_ntz'2020-01-01 00:00:00.000001'", "timestamp_ntz'2020-01-01'"],
+        "double": ["0d", "-0d", "double('nan')", "double('inf')", "0.1d", "0.1d + 1e-16", "0.30000000000000004d", "0.3d"],
+        "string": ["''", "'~'", "'null'", "'a;1:b'", "'a'"],
+        "array<string>": ["array()", "array('')", "array('', '')", "array(null)", "array('a,1:b')", "array('a', 'b')", "array('~')"],
+        "map<string,int>": ["map('a', 1)", "map('a', null)", "map()", "map('a', 1, 'b', 2)"],
+        "struct<a:string,b:string>": ["struct('', null)", "struct(null, '')", "struct('a', 'b')", "struct('a;1:b', null)"],
+        "binary": ["x''", "x'00'", "cast('0' as binary)"],
+        "date": ["date'2020-01-01'", "date'0001-01-01'"],
+        "decimal(10,2)": ["1.00", "1.10"],
+        "boolean": ["true", "false"],
+    }
+    for kind, values_ in cases.items():
+        df = spark.sql(" union all ".join(f"select cast({v} as {kind}) as v" for v in [*values_, "null"]))
+        texts = [r[0] for r in df.select(canonical(df["v"], df.schema["v"].dataType)).collect()]
+        assert None not in texts and len(set(texts)) == len(values_) + 1, (kind, texts)
+    same = spark.sql("select map('a', 1, 'b', 2) as v union all select map('b', 2, 'a', 1)")
+    assert len({r[0] for r in same.select(canonical(same["v"], same.schema["v"].dataType)).collect()}) == 1
+
+
+def test_bad_values_of_all_levels_are_counted(spark, rows):
+    model = ClassModel([
+        ClassType("Order", (Attribute("n", type="int"), Attribute("w", C.VALUE, "LengthType"), Attribute("t", C.PERIOD)), (
+            Property("line", "Line", kind=COMPOSITION), Property("note", "Note", 1, 1, COMPOSITION),
+        )),
+        ClassType("Line", (Attribute("share", type="double"),)),
+        ClassType("Note", (Attribute("day", type="gDay"),), value=True),
+    ])
+    schema = "id bigint, n string, w struct<value:string,uom:string>, t struct<begin:string,end:string>, line array<struct<share:string>>, note struct<day:string>"
+    data = [
+        (1, "1", ("2.5", "m"), ("2020-01-01", "soon"), [("0.5",), ("half",)], ("2020-01-01",)),
+        (2, "one", ("wide", None), (None, None), [("all",), (None,)], ("never",)),
+        (3, None, None, None, None, None),
+    ]
+    tables = shred({"Order": spark.createDataFrame(data, schema)}, model)
+    assert values(tables.bad_values) == [
+        ("line", "share", 2, "all"), ("order", "n", 1, "one"), ("order", "note_day", 1, "never"),
+        ("order", "t_endposition", 1, "soon"), ("order", "w", 1, "wide"),
+    ]
+    assert shred({"Order": rows("id bigint, n string", [(1, "5")])}, model).bad_values.count() == 0

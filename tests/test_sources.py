@@ -30,3 +30,21 @@ def test_literal_rows_keep_types_and_quotes(spark):
     assert [tuple(r) for r in df.collect()] == [(1, "o'k \\ x"), (None, None)]
     assert df.dtypes == [("id", "int"), ("name", "string")]
     assert literal_rows(spark, "id int", []).count() == 0
+
+
+def test_scratch_removes_what_operators_have_written(spark, rows, tmp_path):
+    import os
+
+    from relgraph.operators.cascade import part_closure
+    from relgraph.plans.staging import Staging, checkpoint_folder, scratch
+
+    folder = checkpoint_folder(spark).removeprefix("file:")
+    before, kept = set(os.listdir(folder)), Staging(spark)
+    with scratch():
+        gone = part_closure(rows("id bigint, up bigint", [(1, None), (2, 1), (3, 2)]), rows("id bigint", [(2,)]), "up")
+        out, _ = kept.keep(gone)
+        assert len(set(os.listdir(folder)) - before) > 1
+    assert sorted(r.id for r in out.collect()) == [2, 3]
+    assert set(os.listdir(folder)) - before == {os.path.basename(kept.folder)}
+    kept.drop("step")
+    assert not any(files for _, _, files in os.walk(kept.folder.removeprefix("file:")))
