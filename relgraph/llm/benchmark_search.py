@@ -16,7 +16,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from relgraph.llm.scan import kept_columns, plain_words, scan_texts
+from relgraph.llm.scan import hidden, kept_columns, plain_words, scan_texts
 from relgraph.plans.staging import Staging
 
 WINDOW = 10
@@ -122,24 +122,24 @@ def find_benchmark(
     """
     texts = benchmark.select(F.col(f"`{item_col}`").cast("string").alias("item"), F.col(f"`{item_text_col}`").alias("t"))
     texts = texts.where(F.col("t").isNotNull()).distinct()
-    size = texts.select(F.coalesce(F.sum(F.regexp_count("t", F.lit("\\S+"))), F.lit(0)).alias("n")).first()["n"]
+    size = texts.select(F.coalesce(F.sum(F.regexp_count("t", F.lit(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"))), F.lit(0)).alias("n")).first()["n"]
     passes = max(1, -(-size // words_per_pass))
     staging = Staging(docs.sparkSession) if passes > 1 else None
     carried = kept_columns(docs, ["n_words", "runs", "items"], keep)
-    out = docs
+    names, own, back = hidden(carried)
+    out = docs.select(*own, F.col(f"`{text_col}`").alias("__text"))
     for number in range(passes):
         part = texts if passes == 1 else texts.where(F.pmod(F.xxhash64("item", "t"), F.lit(passes)) == number)
         items = [(r["item"], r["t"].encode()) for r in part.collect()]
         last = number == passes - 1
         held = [c for c in out.columns if c.startswith(("__runs", "__items")) or c == "n_words"] if number else []
-        again = [] if last or text_col in carried else [text_col]
-        columns = [*carried, *held, *again]
-        out = _pass(out, items, text_col, columns, number, window, block)
+        columns = [*names, *held, *["__text"] * (not last)]
+        out = _pass(out, items, "__text", columns, number, window, block)
         if not last:
             out, _ = staging.keep(out, "benchmark")
     runs = F.array_sort(F.flatten(F.array(*[F.col(f"__runs{i}") for i in range(passes)])))
     found = F.array_sort(F.array_distinct(F.flatten(F.array(*[F.col(f"__items{i}") for i in range(passes)]))))
-    return out.select(*[F.col(f"`{c}`") for c in carried], "n_words", runs.alias("runs"), found.alias("items"))
+    return out.select(*back, "n_words", runs.alias("runs"), found.alias("items"))
 
 
 def words_hit(runs: Column | str = "runs") -> Column:

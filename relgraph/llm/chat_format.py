@@ -34,8 +34,15 @@ SYSTEM, ASSISTANT = "system", "assistant"
 
 
 def estimated_tokens(text: Column) -> Column:
-    """Runs of ASCII letters and digits, and every other character that is no white space."""
-    return F.regexp_count(text, F.lit("\\w+|[^\\w\\s]")).cast("bigint")
+    """A cautious count: two ASCII letters or digits, any other visible character, a byte beyond
+    the first of a character, and a blank beside another make one token each.
+
+    Byte-level vocabularies need fewer on texts in words; only runs of letters
+    that stand in no vocabulary can take more, one a letter.  So the count grows
+    with the length of a run, however long it is.
+    """
+    parts = F.regexp_count(text, F.lit("[A-Za-z0-9]{1,2}|[^A-Za-z0-9 ]| (?= )"))
+    return (parts + F.octet_length(text) - F.length(text)).cast("bigint")
 
 
 def escape(text: Column) -> Column:
@@ -110,7 +117,7 @@ def format_chats(
     history: int = HISTORY,
     tokens: Callable[[Column], Column] = estimated_tokens,
 ) -> DataFrame:
-    """One row per window: conv_id, window, n_turns, n_repeated, tokens, formatted, loss.
+    """One row per window: conv_id, window, n_turns, n_repeated, tokens, over_budget, formatted, loss.
 
     ``window`` rises along the conversation (with gaps).  The first
     ``n_repeated`` turns of a window are repeats; ``loss`` are the (start, end)
@@ -118,7 +125,9 @@ def format_chats(
     Rows go by turn, nulls first, ties by role and a hash of the text; repeated
     rows are turns like any other.  Null roles and texts are empty; rows with a
     null id are one conversation.  A single turn longer than the budget is a
-    window of its own, uncut.
+    window of its own, uncut.  ``over_budget`` marks windows with more tokens
+    than the budget: those of such a turn, and those that a long system turn
+    leaves too little room.
     """
     if history * 2 > budget or history < 0:
         raise ValueError("history must be at most half of the budget")
@@ -189,6 +198,7 @@ def format_chats(
         F.size("turns").cast("bigint").alias("n_turns"),
         F.size(F.filter("turns", lambda t: ~t["new"])).cast("bigint").alias("n_repeated"),
         "tokens",
+        (F.col("tokens") > budget).alias("over_budget"),
         formatted.alias("formatted"),
         F.aggregate(sized, state, span, lambda s: s["spans"]).alias("loss"),
     )

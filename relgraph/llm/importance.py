@@ -24,7 +24,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from relgraph.llm.scan import _PLAIN, kept_columns, scan_texts
+from relgraph.llm.scan import _PLAIN, hidden, kept_columns, scan_texts
 from relgraph.plans.staging import Staging
 
 BUCKETS, SHORTEST, LONGEST = 10_000, 1, 1
@@ -134,11 +134,14 @@ def importance_resample(
     """
     if not 1 <= shortest <= longest:
         raise ValueError("needs 1 <= shortest <= longest")
-    carried = kept_columns(docs, ["n_features", "weight", "score", "rank", "__words", "__buckets"], keep)
+    carried = kept_columns(docs, ["n_features", "weight", "score", "rank"], keep)
     if id_col not in carried:
         raise ValueError("the id column must be among the kept ones")
     staging = Staging(docs.sparkSession)
-    features, _ = staging.keep(add_features(docs, text_col, carried, shortest, longest, buckets), "features")
+    names, own, back = hidden(carried)
+    row_id = F.col(names[carried.index(id_col)])
+    inner = docs.select(*own, F.col(f"`{text_col}`").alias("__text"))
+    features, _ = staging.keep(add_features(inner, "__text", names, shortest, longest, buckets), "features")
     wanted = add_features(target, target_text_col, [], shortest, longest, buckets)
     gains = bucket_gains(bucket_counts(features, buckets), bucket_counts(wanted, buckets))
     kind = bucket_type(buckets)
@@ -151,10 +154,9 @@ def importance_resample(
             weights = [s // n if n else 0 for s, n in zip(sums, sizes, strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns[: at + 2], pa.array(weights, pa.int64())], names=weighed.names)
 
-    own = [F.col(f"`{c}`") for c in carried]
-    kept = features.select(*own, "__words", "n_features", "__buckets")
+    kept = features.select(*names, "__words", "n_features", "__buckets")
     weighed = kept.drop("__buckets").schema.add("weight", "long")
-    scored = kept.mapInArrow(weigh, weighed).withColumn("score", F.col("weight") + noise(F.col(f"`{id_col}`"), seed))
+    scored = kept.mapInArrow(weigh, weighed).withColumn("score", F.col("weight") + noise(row_id, seed))
     scored, _ = staging.keep(scored, "scored")
 
     # whole-number scores: some ten thousand different ones however many rows there are
@@ -167,8 +169,8 @@ def importance_resample(
             break
         limit, above = row["score"], above + row["n"]
     near = (able & (F.col("score") >= limit)) if limit is not None else F.lit(False)
-    result = [*own, "n_features", "weight", "score"]
-    order = [F.desc("score"), F.col(f"`{id_col}`").asc_nulls_last(), F.col("__tie")]
+    result = [*names, "n_features", "weight", "score"]
+    order = [F.desc("score"), row_id.asc_nulls_last(), F.col("__tie")]
     high = scored.where(near).withColumn("__tie", F.monotonically_increasing_id())
     high = high.repartitionByRange(*order).sortWithinPartitions(*order).select(*result)
     high, _ = staging.keep(high.withColumn("__at", F.monotonically_increasing_id()), "high")
@@ -182,4 +184,5 @@ def importance_resample(
     ranked = high.withColumn("__part", part).join(starts, "__part").select(
         *result, F.when(rank <= drawn, rank).cast("bigint").alias("rank")
     )
-    return ranked.union(scored.where(~near).select(*result, F.lit(None).cast("bigint").alias("rank")))
+    both = ranked.union(scored.where(~near).select(*result, F.lit(None).cast("bigint").alias("rank")))
+    return both.select(*back, "n_features", "weight", "score", "rank")

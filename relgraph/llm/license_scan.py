@@ -1,16 +1,19 @@
 """License scan: exact set-similarity join of text blocks with notice templates.
 
-A block is one line, or up to ``max_lines`` lines in a row for wrapped notices.
-Block and template are sets of words; a pair matches if the block contains at
-least ``threshold`` of the template's words.  Words are put in one global
-order, rarest in the whole corpus first, and three filters keep the join exact
-and small:
-
-* prefix: a match shares a word with the first ``|T| - o + 1`` words of the
-  template and the first ``|B| - o + 1`` of the block, ``o`` being the overlap
-  needed, so blocks without any such rare word are never looked at;
-* length: a block of fewer than ``o`` words cannot match;
-* position: words behind the first common one bound what can still overlap.
+A block is a run of words, wherever its lines break, that begins and ends with
+words of a template and is at most ``spread`` times as long as the template.
+Block and template are compared as sets of words; a pair matches if the block
+contains at least ``threshold`` of the template's words.  Words are put in one
+global order, rarest in the whole corpus first, and three filters keep the join
+exact and small:
+
+* prefix: a match holds one of the first ``|T| - o + 1`` words of the template,
+  ``o`` being the overlap needed, so texts without any such rare word are never
+  looked at and a template only in texts that hold one of its own;
+* length: a text with fewer than ``o`` different words of the template cannot
+  match it, nor can a block of fewer than ``o`` places of them;
+* position: words of the template before the rarest one that the text holds
+  are missing, so the rest of the template must reach ``o``.
 
 The order comes from a first pass over all documents, in which Spark adds up
 the partial counts of the tasks.  Only words of the templates are counted, as
@@ -20,9 +23,11 @@ no other can add to an overlap, so the counts have the size of the templates.
 from __future__ import annotations
 
 import math
+from bisect import bisect_right
 from collections import Counter, defaultdict
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -52,7 +57,8 @@ TEMPLATES = (
     ("proprietary", "All rights reserved. No part of this work may be reproduced without permission"),
 )
 THRESHOLD = 0.8
-MAX_LINES = 3
+#: Longest block, as a multiple of the number of different words of its template.
+SPREAD = 2
 
 
 @dataclass(frozen=True)
@@ -83,25 +89,66 @@ class TemplateIndex:
             for place, word in enumerate(template.prefix):
                 self.postings[word].append((t, place))
 
-    def matches(self, block: list[bytes]) -> Iterator[tuple[int, float]]:
-        """(template, containment) of all templates that the block holds enough of."""
-        own = sorted({w for w in block if w in self.rank}, key=self.rank.__getitem__)
-        held = set(own)
-        seen: set[int] = set()
-        for at, word in enumerate(own):
+    def blocks(self, words: list[bytes], spread: int = SPREAD) -> list[tuple[int, int, int, float]]:
+        """(template, first word, last word, containment) of the matching blocks, one after the other for each template.
+
+        Of blocks that begin inside the first one that matches, the one that
+        contains most counts, and of equal ones the shortest.
+        """
+        places: dict[bytes, list[int]] = defaultdict(list)
+        for i, word in enumerate(words):
+            if word in self.rank:
+                places[word].append(i)
+        chosen: dict[int, int] = {}  # template -> place of its rarest word here
+        for word in places:
             for t, place in self.postings.get(word, ()):
-                if t in seen:
-                    continue
-                template = self.templates[t]
-                size, needed = len(template.words), template.needed
-                if len(own) < needed:  # length
-                    continue
-                seen.add(t)  # the first common word: later ones only allow less
-                if 1 + min(size - place - 1, len(own) - at - 1) < needed:  # position
-                    continue
-                overlap = sum(w in held for w in template.words)
-                if overlap >= needed:
-                    yield t, overlap / size
+                chosen[t] = min(place, chosen.get(t, place))
+        found = []
+        for t, place in chosen.items():
+            template = self.templates[t]
+            size, needed = len(template.words), template.needed
+            held = [w for w in template.words[place:] if w in places]
+            if size - place < needed or len(held) < needed:  # position, length
+                continue
+            own = sorted((i, k) for k, w in enumerate(held) for i in places[w])
+            found += [(t, *block) for block in _windows(own, spread * size, needed, size)]
+        return found
+
+
+def _windows(own: list[tuple[int, int]], width: int, needed: int, size: int) -> Iterator[tuple[int, int, float]]:
+    """Matching blocks in order, (first place, last place, containment), from the sorted (place, word) pairs of a template."""
+    distinct, counts, right = [], Counter(), 0  # different words in the window that begins at each place
+    for first, word in own:
+        while right < len(own) and own[right][0] < first + width:
+            counts[own[right][1]] += 1
+            right += 1
+        distinct.append(len(counts))
+        counts[word] -= 1
+        if not counts[word]:
+            del counts[word]
+
+    def end(i: int) -> int:
+        """Where the block that begins at the i-th place has all of its different words."""
+        seen: set[int] = set()
+        while len(seen) < distinct[begin]:
+            seen.add(own[i][1])
+            i += 1
+        return own[i - 1][0]
+
+    begin = i = 0
+    while i < len(own):
+        begin = i
+        if distinct[i] < needed:
+            i += 1
+            continue
+        reach, best = end(i), (-distinct[i], end(i) - own[i][0], own[i][0], end(i))
+        while i < len(own) and own[i][0] <= reach:
+            begin = i
+            best = min(best, (-distinct[i], end(i) - own[i][0], own[i][0], end(i)))
+            i += 1
+        n, _, first, last = best
+        yield first, last, -n / size
+        i = next((k for k in range(i, len(own)) if own[k][0] > last), len(own))
 
 
 def word_counts(docs: DataFrame, universe: set[bytes], text_col: str = "text") -> dict[bytes, int]:
@@ -139,27 +186,6 @@ def phrase_starts(words: list[bytes], phrases: Mapping[bytes, str]) -> list[tupl
     return out
 
 
-def block_matches(text: bytes, index: TemplateIndex, max_lines: int) -> list[tuple[int, int, int, float]]:
-    """(template, first line, lines, containment) of blocks; a longer block counts only if no block inside it does."""
-    lines = [plain_words(line) for line in text.split(b"\n")]
-    rare = [any(w in index.postings for w in line) for line in lines]
-    found: list[tuple[int, int, int, float]] = []
-    taken: set[tuple[int, int]] = set()  # (template, line) of the blocks found so far
-    for count in range(1, max_lines + 1):
-        fresh = []
-        for first in range(len(lines) - count + 1):
-            span = range(first, first + count)
-            if not any(rare[i] for i in span) or not lines[first] or not lines[first + count - 1]:
-                continue
-            block = [w for i in span for w in lines[i]]
-            for t, share in index.matches(block):
-                if not any((t, i) in taken for i in span):
-                    found.append((t, first, count, share))
-                    fresh += [(t, i) for i in span]
-        taken.update(fresh)
-    return found
-
-
 def scan_licenses(
     docs: DataFrame,
     text_col: str = "text",
@@ -167,13 +193,13 @@ def scan_licenses(
     templates: Sequence[tuple[str, str]] = TEMPLATES,
     phrases: Mapping[str, str] = PHRASES,
     threshold: float = THRESHOLD,
-    max_lines: int = MAX_LINES,
+    spread: int = SPREAD,
 ) -> DataFrame:
     """Append license findings of whole texts.
 
     ``n_words``; ``places``, an array of (word, label) of the phrases by word;
-    ``blocks``, an array of (label, line, lines, containment) of the matching
-    text blocks, lines from 0.  A null text has no words and no findings.
+    ``blocks``, an array of (label, line, lines, word, words, containment) of
+    the matching text blocks, lines and words from 0.  A null text has no words and no findings.
     Two passes over the texts, no shuffle of documents.  ``templates`` is a
     fixed list of the caller and goes to every task.
     """
@@ -182,7 +208,7 @@ def scan_licenses(
     coded = {b" ".join(plain_words(p.encode())): label for p, label in phrases.items()}
     fields = (
         "n_words bigint, places array<struct<word:bigint,label:string>>, "
-        "blocks array<struct<label:string,line:bigint,lines:bigint,containment:double>>"
+        "blocks array<struct<label:string,line:bigint,lines:bigint,word:bigint,words:bigint,containment:double>>"
     )
 
     def make() -> Callable:
@@ -193,15 +219,20 @@ def scan_licenses(
         def one(text: bytes | None) -> tuple:
             words = plain_words(text or b"")
             places = [] if last_words.isdisjoint(words) else sorted(phrase_starts(words, coded))
-            blocks = [] if rare.isdisjoint(words) else block_matches(text, index, max_lines)
+            blocks = [] if rare.isdisjoint(words) else index.blocks(words, spread)
+            ends = list(accumulate(len(plain_words(line)) for line in text.split(b"\n"))) if blocks else []
             return (
                 len(words),
                 [{"word": w, "label": label} for w, label in places],
                 [
-                    {"label": index.templates[t].label, "line": line, "lines": n, "containment": share}
-                    for t, line, n, share in sorted(blocks, key=lambda b: (b[1], b[2], b[0]))
+                    {
+                        "label": index.templates[t].label, "line": bisect_right(ends, first),
+                        "lines": bisect_right(ends, last) - bisect_right(ends, first) + 1,
+                        "word": first, "words": last - first + 1, "containment": share,
+                    }
+                    for t, first, last, share in sorted(blocks, key=lambda b: (b[1], b[2], b[0]))
                 ],
-            )
+            )
 
         return lambda texts: columns_of([one(t) for t in texts], 3)
 

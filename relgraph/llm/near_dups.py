@@ -22,7 +22,6 @@ pairs of blocks being searched, so no task needs a whole hot bucket.
 from __future__ import annotations
 
 import math
-import zlib
 from collections.abc import Callable, Iterator, Sequence
 from itertools import combinations, islice
 
@@ -32,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from relgraph.llm.components import connected_components
-from relgraph.llm.scan import columns_of, kept_columns, scan_texts, sliced, spaced_words
+from relgraph.llm.scan import columns_of, fresh, kept_columns, scan_texts, sliced, spaced_words
 from relgraph.plans.staging import Staging
 
 SHINGLE = 4
@@ -289,32 +288,14 @@ def fingerprint_hex(fp: Column) -> Column:
 # ---- groups by similarity ---------------------------------------------------------------------------------------
 
 #: Shingles that a sample shows in very many texts come last in the order of the prefixes; at most this many are known.
-COMMON_SHINGLES = 20_000
-#: Buckets up to this size give all their pairs; larger ones are linked in rounds of verified stars.
-SMALL_BUCKET = 64
+COMMON_SHINGLES = 200_000
+#: Rounds in which the members of a bucket are compared with one of them before all that are still open are compared.
 STARS = 2
 #: Bits of the parities that bound how much two sets differ before the sets themselves are read.
 PARITY_BITS = 2048
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
 
-def sketch(words: list[bytes], shingle: int, size: int) -> bytes:
-    """The ``size`` smallest different hashes of the word shingles, sorted."""
-    width = min(shingle, len(words))
-    if not width:
-        return b""
-    hashes = {zlib.crc32(b" ".join(s)) for s in zip(*[words[i:] for i in range(width)], strict=False)}
-    return np.sort(np.fromiter(hashes, np.uint32, len(hashes)))[:size].astype("<u4").tobytes()
-
-
-def sketch_similarity(one: bytes, other: bytes, size: int) -> float:
-    """Jaccard similarity of two shingle sets; exact if both fit the sketch."""
-    a, b = np.frombuffer(one, "<u4"), np.frombuffer(other, "<u4")
-    union = np.union1d(a, b)[:size]
-    both = np.intersect1d(a, b, assume_unique=True)
-    return float(np.isin(union, both).sum() / len(union)) if len(union) else 1.0
-
-
 def shingle_set(words: list[bytes], shingle: int) -> np.ndarray:
     """The different 64-bit hashes of all word shingles, sorted; a shorter text is one shingle."""
     import xxhash
@@ -330,6 +311,13 @@ def shingle_set(words: list[bytes], shingle: int) -> np.ndarray:
     return np.unique(total ^ (total >> np.uint64(32)))
 
 
+def content_key(words: list[bytes]) -> int:
+    """A hash of the words in their order, as a signed 64-bit number."""
+    import xxhash
+
+    return xxhash.xxh64_intdigest(b" ".join(words)) - 2**63
+
+
 def set_similarity(one: np.ndarray, other: np.ndarray) -> float:
     """Jaccard similarity of two sets of hashes."""
     both = len(np.intersect1d(one, other, assume_unique=True))
@@ -366,59 +354,38 @@ def may_be_similar(size: Column, pos: Column, size2: Column, pos2: Column, simil
     )
 
 
-def bucket_pairs(
-    batches: Iterator[pa.RecordBatch], similarity: float, small: int
-) -> Iterator[pa.RecordBatch]:
-    """Pairs of small buckets, as (h null, a, b); members of large ones as they come.
+def bucket_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Members of the buckets that have more than one in a task, with the first of their bucket there.
 
-    Rows are (h, key, size, pos), sorted by h.  No more than a batch and one
-    small bucket are held.
+    Rows are (h, key, size, pos), sorted by h and key; (center, csize, cpos) are
+    added.  Nothing is held but the last row and the first of its bucket.
     """
-    names = ["h", "a", "b", "size", "pos"]
-    at, held, large = None, [np.zeros((4, 0), np.int64)], False
+    names = ["h", "key", "size", "pos", "center", "csize", "cpos"]
+    last, center, alone = None, None, False  # the row before, the first of its bucket, whether it is that one itself
 
-    def close(rows: np.ndarray) -> list[np.ndarray]:
-        i, j = np.triu_indices(rows.shape[1], 1)
-        a, b = rows[:, i], rows[:, j]
-        room = np.minimum(a[2] - a[3], b[2] - b[3])
-        good = np.minimum(a[2], b[2]) >= similarity * np.maximum(a[2], b[2]) - 1e-6
-        good &= room * (1 + similarity) >= similarity * (a[2] + b[2]) - 1e-6
-        return [np.stack([np.minimum(a[1], b[1]), np.maximum(a[1], b[1])])[:, good & (a[1] != b[1])]]
+    def batch_of(rows: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in rows], names=names)
 
     for batch in batches:
         if not batch.num_rows:
             continue
-        rows = np.stack([c.to_numpy(zero_copy_only=False) for c in batch.columns]).astype(np.int64)
-        same = rows[0, 1:] == rows[0, :-1]
-        ends = np.arange(rows.shape[1]) % max(1, rows.shape[1] - 1) == 0  # a bucket may go on in the next batch
-        rows = rows[:, np.append(same, False) | np.append(False, same) | ends]
-        edge = np.flatnonzero(rows[0, 1:] != rows[0, :-1]) + 1
-        pairs, members = [np.zeros((2, 0), np.int64)], [np.zeros((4, 0), np.int64)]
-        for part in np.split(rows, edge, axis=1):
-            if part[0, 0] != at:
-                if not large and (whole := np.concatenate(held, axis=1)).shape[1] > 1:
-                    pairs += close(whole)
-                at, held, large = part[0, 0], [], False
-            if large:
-                members.append(part)
-                continue
-            held.append(part)
-            if sum(h.shape[1] for h in held) > small:
-                members += held
-                held, large = [], True
-        yield from _rows_of(pairs, members, names)
-    if not large and (whole := np.concatenate(held, axis=1)).shape[1] > 1:
-        yield from _rows_of(close(whole), [np.zeros((4, 0), np.int64)], names)
-
-
-def _rows_of(pairs: list[np.ndarray], members: list[np.ndarray], names: list[str]) -> Iterator[pa.RecordBatch]:
-    two, four = np.unique(np.concatenate(pairs, axis=1), axis=1), np.concatenate(members, axis=1)
-    none = pa.nulls(two.shape[1], pa.int64())
-    if two.shape[1]:
-        yield pa.RecordBatch.from_arrays([none, pa.array(two[0]), pa.array(two[1]), none, none], names=names)
-    if four.shape[1]:
-        none = pa.nulls(four.shape[1], pa.int64())
-        yield pa.RecordBatch.from_arrays([pa.array(four[0]), pa.array(four[1]), none, pa.array(four[2]), pa.array(four[3])], names=names)
+        rows = np.stack([c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns])
+        follows = last is not None and last[0] == rows[0, 0]
+        if alone and follows:
+            yield batch_of(np.concatenate([last, last[1:]])[:, None])
+        starts = np.append(True, rows[0, 1:] != rows[0, :-1])
+        first = np.maximum.accumulate(np.where(starts, np.arange(rows.shape[1]), 0))
+        centers = rows[1:, first]
+        if follows:
+            centers[:, first == 0] = center[:, None]
+        single = starts & np.append(starts[1:], True)
+        single[0] &= not follows
+        # the last row may go on in the next batch: it is held back if it is the only one so far
+        alone = bool(starts[-1]) and not (len(starts) == 1 and follows)
+        last, center = rows[:, -1].copy(), centers[:, -1].copy()
+        good = ~single
+        good[-1] &= not alone
+        yield batch_of(np.concatenate([rows, centers])[:, good])
 
 
 def mark_representatives(
@@ -428,7 +395,7 @@ def mark_representatives(
     keep: Sequence[str] | None = None,
     shingle: int = 5,
     similarity: float = 0.8,
-    small: int = SMALL_BUCKET,
+    stars: int = STARS,
 ) -> DataFrame:
     """Append ``representative``: true for one document of each group of near-duplicates.
 
@@ -436,20 +403,28 @@ def mark_representatives(
     the given Jaccard similarity; groups are what such links connect.
     Candidates share one of the first shingles of a fixed order
     (:func:`prefix_of`), which no pair of the similarity fails to do; those
-    whose :func:`parities` do not rule it out are verified on the full sets of shingles.  Buckets of more than ``small``
-    texts are linked by stars: the members are verified against one, those that
-    fail against the next, and at last whatever is still unconnected against
-    all; only verified links connect.  The smallest id is kept, nulls last; of
-    repeated rows one.  Texts without words are copies of each other.
+    whose :func:`parities` do not rule it out are verified on the full sets of
+    shingles.  A bucket of texts with a common shingle is linked by stars
+    first: its members are verified against one, and only while they are not
+    connected against a next one, in ``stars`` rounds, and at last whatever is
+    not connected against all others.  Only verified links connect, so a group
+    of many copies costs a few links each and no pair goes untried unless it is
+    connected already.  The smallest id is kept, nulls last; of repeated rows
+    one.  Texts without words are copies of each other.
+
+    Texts are not written: they are read again where their sets are needed,
+    and rows are known by a hash of id and text.
     """
     carried = kept_columns(docs, ["representative"], keep)
     staging = Staging(docs.sparkSession)
+    own = F.xxhash64(f"`{id_col}`", f"`{text_col}`")
 
     def sets() -> Callable:
         def one(text: bytes | None) -> tuple:
-            return (shingle_set(spaced_words((text or b"").lower()), shingle).tobytes(),)
+            words = spaced_words((text or b"").lower())
+            return content_key(words), shingle_set(words, shingle).tobytes()
 
-        return lambda texts: columns_of([one(t) for t in texts], 1)
+        return lambda texts: columns_of([one(t) for t in texts], 2)
 
     sample = docs.where(F.pmod(F.xxhash64(f"`{text_col}`"), F.lit(SAMPLE)) == 0).select(f"`{text_col}`").distinct()
 
@@ -459,39 +434,38 @@ def mark_representatives(
                 [pa.array(np.concatenate([np.zeros(0, np.int64), *[np.frombuffer(s, np.int64) for s in batch.column(0).to_pylist()]]))], names=["h"]
             )
 
-    seen = scan_texts(sample, "__set binary", sets, text_col, []).mapInArrow(counted, "h bigint")
+    seen = scan_texts(sample, "__key bigint, __set binary", sets, text_col, []).select("__set").mapInArrow(counted, "h bigint")
     # Which shingles are common is an estimate; that all pairs share one of a prefix is not.
     seen = seen.groupBy("h").count().where("count > 2").orderBy(F.desc("count"), "h").limit(COMMON_SHINGLES)
     common = np.sort(np.array([r["h"] for r in seen.collect()], np.int64).view(np.uint64))
 
     def make() -> Callable:
-        import xxhash
-
         def one(text: bytes | None) -> tuple:
             words = spaced_words((text or b"").lower())
-            key = xxhash.xxh64_intdigest(b" ".join(words)) - 2**63
-            own = shingle_set(words, shingle)
-            return key, len(own), parities(own), prefix_of(own, common, similarity).view(np.int64)
+            found = shingle_set(words, shingle)
+            return content_key(words), len(found), parities(found), prefix_of(found, common, similarity).view(np.int64)
 
         return lambda texts: columns_of([one(t) for t in texts], 4)
 
-    numbered = docs.withColumn("__row", F.monotonically_increasing_id())
-    fields = "__key bigint, __size bigint, __parity binary, __prefix array<bigint>"
-    held = [*carried, "__row", *[text_col] * (text_col not in carried)]
-    marked, _ = staging.keep(scan_texts(numbered, fields, make, text_col, held), "marked")
-    place = F.struct(F.col(f"`{id_col}`").isNull().alias("no_id"), F.col(f"`{id_col}`").alias("id"), F.col("__row").alias("row"))
-    nodes = marked.groupBy("__key").agg(F.min(place).alias("keeper"), F.first("__size").alias("size"), F.first("__parity").alias("parity"))
+    slim = docs.select(own.alias("row"), F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
+    fields = "key bigint, size bigint, parity binary, prefix array<bigint>"
+    numbered = scan_texts(slim, fields, make, "text", ["row", "id"]).withColumn("number", F.monotonically_increasing_id())
+    marked, _ = staging.keep(numbered, "marked")
+    repeated = marked.groupBy("row").count().where("count > 1").select("row")
+    repeated, any_repeated = staging.keep(repeated, "repeated")
+    place = F.struct(F.col("id").isNull().alias("no_id"), "id", "number", "row")
+    nodes = marked.groupBy("key").agg(F.min(place).alias("keeper"), F.first("size").alias("size"), F.first("parity").alias("parity"))
     nodes, _ = staging.keep(nodes, "nodes")
-    prefixes = marked.join(nodes.select(F.col("keeper.row").alias("__row")), "__row", "left_semi")
-    prefixes = prefixes.select(F.col("__key").alias("key"), F.col("__size").alias("size"), F.posexplode("__prefix").alias("pos", "h"))
-    dealt = prefixes.select("h", "key", "size", F.col("pos").cast("bigint")).repartition("h").sortWithinPartitions("h")
-    found = dealt.mapInArrow(lambda b: bucket_pairs(b, similarity, small), "h bigint, a bigint, b bigint, size bigint, pos bigint")
-    found, _ = staging.keep(found, "buckets")
+    prefixes = marked.join(nodes.select(F.col("keeper.number").alias("number")), "number", "left_semi")
+    prefixes = prefixes.select("key", "size", F.posexplode("prefix").alias("pos", "h"))
+    dealt = prefixes.select("h", "key", "size", F.col("pos").cast("bigint")).repartitionByRange("h", "key").sortWithinPartitions("h", "key")
+    fields = ", ".join(f"{n} bigint" for n in ("h", "key", "size", "pos", "center", "csize", "cpos"))
+    members, _ = staging.keep(dealt.mapInArrow(bucket_members, fields), "members")
 
     def verified(pairs: DataFrame, label: str) -> DataFrame:
         pairs, _ = staging.keep(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), f"{label}-pairs")
         for c in "ab":
-            pairs = pairs.join(nodes.select(F.col("__key").alias(c), F.struct("size", "parity").alias(f"p{c}")), c)
+            pairs = pairs.join(nodes.select(F.col("key").alias(c), F.struct("size", "parity").alias(f"p{c}")), c)
         pairs = pairs.select("a", "b", (F.col("pa.size") + F.col("pb.size")).alias("sizes"), "pa.parity", F.col("pb.parity").alias("other"))
 
         def bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -501,13 +475,18 @@ def mark_representatives(
                 most = batch.column(2).to_numpy() * (1 - similarity) / (1 + similarity) + 1e-6
                 yield batch.select([0, 1]).filter(pa.array(differ <= most))
 
-        pairs, _ = staging.keep(pairs.mapInArrow(bounded, "a bigint, b bigint"), f"{label}-bounded")
-        ends = pairs.select(F.col("a").alias("__key")).union(pairs.select(F.col("b").alias("__key"))).distinct()
-        rows = nodes.join(ends, "__key").select(F.col("keeper.row").alias("__row"))
-        chosen = marked.select("__row", "__key", f"`{text_col}`").join(rows, "__row", "left_semi")
-        full, _ = staging.keep(scan_texts(chosen, "__set binary", sets, text_col, ["__key"]), f"{label}-sets")
+        pairs, some = staging.keep(pairs.mapInArrow(bounded, "a bigint, b bigint"), f"{label}-bounded")
+        if not some:
+            return pairs
+        ends = pairs.select(F.col("a").alias("key")).union(pairs.select(F.col("b").alias("key"))).distinct()
+        rows, _ = staging.keep(nodes.join(ends, "key").select(F.col("keeper.row").alias("row")), f"{label}-rows")
+        chosen = docs.select(own.alias("row"), F.col(f"`{text_col}`").alias("text")).join(rows, "row", "left_semi")
+        full = scan_texts(chosen, "key bigint, full binary", sets, "text", [])
+        if any_repeated:
+            full = full.groupBy("key").agg(F.first("full").alias("full"))
+        full, _ = staging.keep(full, f"{label}-sets")
         for c in "ab":
-            pairs = pairs.join(full.select(F.col("__key").alias(c), F.col("__set").alias(f"s{c}")), c)
+            pairs = pairs.join(full.select(F.col("key").alias(c), F.col("full").alias(f"s{c}")), c)
 
         def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for whole in batches:
@@ -517,33 +496,54 @@ def mark_representatives(
                     yield batch.select([0, 1]).filter(pa.array(good, pa.bool_()))
 
         good, _ = staging.keep(pairs.select("a", "b", "sa", "sb").mapInArrow(compare, "a bigint, b bigint"), f"{label}-links")
+        staging.drop(f"{label}-pairs", f"{label}-bounded", f"{label}-rows", f"{label}-sets")
         return good
 
-    links = verified(found.where("h is null").select("a", "b"), "small")
-    members = found.where("h is not null").select("h", F.col("a").alias("key"), "size", "pos")
+    def close_enough(size: str, pos: str) -> Column:
+        return may_be_similar(F.col("size"), F.col("pos"), F.col(size), F.col(pos), similarity)
+
+    first = members.where((F.col("key") != F.col("center")) & close_enough("csize", "cpos"))
+    links = verified(first.select(F.col("key").alias("a"), F.col("center").alias("b")), "star0")
     roots = connected_components(links, staging)
-    for turn in range(STARS + 1):
-        placed = members.join(roots, F.col("key") == F.col("node"), "left").select("h", "key", "size", "pos", F.coalesce("root", "key").alias("root"))
-        placed, _ = staging.keep(placed, "placed")
-        first = F.min(F.struct(F.xxhash64("key", F.lit(turn)).alias("order"), "root"))["root"].alias("main")
-        main = placed.groupBy("h").agg(first, F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
+    held = members.select("h", "key", "size", "pos")
+    for turn in range(1, stars + 2):
+        placed = held.join(roots, F.col("key") == F.col("node"), "left").select("h", "key", "size", "pos", F.coalesce("root", "key").alias("root"))
+        placed, _ = staging.keep(placed, f"placed{turn}")
+        order = F.min(F.struct(F.xxhash64("key", F.lit(turn)).alias("order"), "root"))["root"].alias("main")
+        main = placed.groupBy("h").agg(order, F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
         main, any_open = staging.keep(main.select("h", "main"), "open")
         if not any_open:
             break
-        rest = placed.join(main, "h")
-        if turn < STARS:  # one of what is not with the rest of the bucket, and at first any
-            center = rest if turn == 0 else rest.where("root <> main")
-            center = center.groupBy("h").agg(F.min(F.struct(F.xxhash64("key", F.lit(turn)).alias("order"), "key", "size", "pos", "root")).alias("c"))
+        # buckets whose members are all connected are done
+        held, _ = staging.keep(placed.join(main, "h"), f"held{turn}")
+        staging.drop(f"placed{turn}", f"held{turn - 1}", *["members"] * (turn == 1))
+        rest = held.where("root <> main")
+        if turn <= stars:
+            rest = rest.groupBy("h").agg(F.min(F.struct(F.xxhash64("key", F.lit(turn)).alias("order"), "key", "size", "pos", "root")).alias("c"))
         else:
-            center = rest.where("root <> main").select("h", F.struct("key", "size", "pos", "root").alias("c"))
-        tried = placed.join(center, "h").where("root <> c.root")
-        tried = tried.where(may_be_similar(F.col("size"), F.col("pos"), F.col("c.size"), F.col("c.pos"), similarity))
+            rest = rest.select("h", F.struct("key", "size", "pos", "root").alias("c"))
+        tried = held.join(rest, "h").where("root <> c.root").where(close_enough("c.size", "c.pos"))
         links = links.union(verified(tried.select(F.col("key").alias("a"), F.col("c.key").alias("b")), f"star{turn}"))
         roots = connected_components(links, staging)
-    named = nodes.join(roots, F.col("__key") == F.col("node"), "left")
-    kept = named.groupBy(F.coalesce("root", "__key")).agg(F.min("keeper").alias("keeper")).select(
-        F.col("keeper.row").alias("__row"), F.lit(True).alias("__kept")
-    )
-    return marked.join(kept, "__row", "left").select(
-        *[F.col(f"`{c}`") for c in carried], F.coalesce("__kept", F.lit(False)).alias("representative")
-    )
+        held = held.select("h", "key", "size", "pos")
+    named = nodes.join(roots, F.col("key") == F.col("node"), "left")
+    kept = named.groupBy(F.coalesce("root", "key")).agg(F.min("keeper").alias("keeper")).select(F.col("keeper.row").alias("row"))
+    kept, _ = staging.keep(kept, "kept")
+    # those that go are fewer than those that stay, so the texts often need no shuffle to meet them
+    gone, _ = staging.keep(marked.select("row").distinct().join(kept, "row", "left_anti"), "gone")
+    staging.drop("marked", "members", *[f"held{turn}" for turn in range(1, stars + 2)])
+
+    row, other, place = (fresh(n, docs) for n in ("__row", "__other", "__place"))
+    shown = [F.col(f"`{c}`") for c in carried]
+    whole = docs.withColumn(row, own)
+    again = repeated.join(kept, "row", "left_semi").select(F.col("row").alias(other))
+    once = whole.join(again, F.col(row) == F.col(other), "left_anti") if any_repeated else whole
+    flagged = once.join(gone.select(F.col("row").alias(other)), F.col(row) == F.col(other), "left")
+    out = flagged.select(*shown, F.col(other).isNull().alias("representative"))
+    if any_repeated:  # of equal rows one is kept: they are written with their numbers, which are facts then
+        equal = whole.join(again, F.col(row) == F.col(other), "left_semi").withColumn(place, F.monotonically_increasing_id())
+        equal, _ = staging.keep(equal, "equal")
+        least = equal.groupBy(row).agg(F.min(place).alias(other)).select(other)
+        both = equal.join(least, F.col(place) == F.col(other), "left")
+        out = out.union(both.select(*shown, F.col(other).isNotNull().alias("representative")))
+    return out

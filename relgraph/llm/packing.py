@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from relgraph.llm.scan import kept_columns, scan_texts
+from relgraph.llm.scan import hidden, kept_columns, scan_texts
 from relgraph.llm.tokens import default_tokenizer
 from relgraph.plans.staging import Staging
 
@@ -324,16 +324,18 @@ def pack_documents(
     ``length``, ``ids_crc32``, ``sequence_id``, ``offset`` and on request
     ``ids`` (little-endian 32-bit).  A null or empty text is the end id alone.
     ``capacity`` must be a multiple of ``classes``.  Pieces are written once,
-    without texts or, unless asked for, ids.
+    without texts (unless ``keep`` names them: a long one would be in each of
+    its many pieces) or, unless asked for, ids.
     """
     if capacity % classes:
         raise ValueError("capacity must be a multiple of classes")
     new = ("doc_tokens", "start", "length", "ids_crc32", "sequence_id", "offset", "ids")
+    keep = [c for c in docs.columns if c != text_col] if keep is None else keep
     carried = kept_columns(docs, new, keep)
     staging = Staging(docs.sparkSession)
-    cut = cut_documents(
-        docs, text_col, carried, tokenizer or default_tokenizer(), capacity, classes, end_id, keep_ids
-    )
+    names, own, back = hidden(carried)
+    inner = docs.select(*own, F.col(f"`{text_col}`").alias("__text"))
+    cut = cut_documents(inner, "__text", names, tokenizer or default_tokenizer(), capacity, classes, end_id, keep_ids)
     pieces, _ = staging.keep(cut, "pieces")
     counts = pieces.groupBy("__class", "__part").agg(F.count("*").alias("n"))
     counts, _ = staging.keep(counts, "counts")
@@ -342,7 +344,7 @@ def pack_documents(
     histogram = {r["__class"]: r["n"] for r in counts.groupBy("__class").agg(F.sum("n").alias("n")).collect()}
     plan = plan_sequences(histogram, classes)
 
-    payload = [*carried, "doc_tokens", *["ids"] * keep_ids]
+    payload = [*names, "doc_tokens", *["ids"] * keep_ids]
     ranked = pieces.join(offsets, ["__class", "__part"]).select(
         *[F.col(f"`{c}`") for c in payload],
         "start", "length", "ids_crc32", "__head", "__rest",
@@ -380,7 +382,8 @@ def pack_documents(
     out = out.add("sequence_id", "long").add("__slot", "long")
     placed = ranked.mapInArrow(assign, out)
     ahead = Window.partitionBy("sequence_id").orderBy("__slot").rowsBetween(Window.unboundedPreceding, -1)
-    return placed.withColumn("offset", F.coalesce(F.sum("length").over(ahead), F.lit(0))).drop("__slot")
+    placed = placed.withColumn("offset", F.coalesce(F.sum("length").over(ahead), F.lit(0)))
+    return placed.select(*back, *[c for c in placed.columns if c not in (*names, "__slot")])
 
 
 def sequences_of(pieces: DataFrame) -> DataFrame:

@@ -28,6 +28,8 @@ PHONE = frozenset(string.digits + " ().-")
 #: URL schemes and cues in front of identifiers.
 SCHEMES = ("http://", "https://", "ftp://", "mailto:", "www.")
 CUES = ("iban", "ssn", "passport", "account", "acct", "tax id", "konto", "compte", "cuenta")
+#: Words that may stand between a cue and its identifier.
+JOINING = frozenset("number numbers num nummer numero numéro número nr no id is code est ist es".split())
 URL_END = frozenset(string.whitespace + "\"'<>`{}|\\^")
 URL_TAIL = ".,;:!?)]*"
 
@@ -131,11 +133,27 @@ def url_at(text: str, start: int, body: int) -> tuple[int, int] | None:
     return (start, end) if end - body >= 3 else None
 
 
+def behind_cue(text: str, at: int, cue: str) -> int:
+    """Where an identifier may begin: a few separators and joining words are passed over."""
+    limit = min(len(text), at + 32)
+    while at < limit:
+        if text[at] in " :#=.":
+            at += 1
+            continue
+        end = at
+        while end < limit and text[end].isalpha():
+            end += 1
+        # the letters of an IBAN may look like a joining word
+        if text[at:end].lower() not in JOINING or cue == "iban" and end < len(text) and text[end] in DIGITS:
+            break
+        at = end
+    return at
+
+
 def account_after(text: str, at: int, cue: str) -> tuple[int, int] | None:
-    """An identifier right behind a cue: an IBAN with valid check digits, or 6 to 17 digits."""
-    start, size = at, len(text)
-    while start < size and start < at + 12 and text[start] in " :#=.nNoO":
-        start += 1
+    """An identifier behind a cue: an IBAN with valid check digits, or 6 to 17
+    digits, which in a passport up to two letters may come before."""
+    start, size = behind_cue(text, at, cue), len(text)
     end = start
     while end < size and end < start + 42 and (text[end] in LABEL or text[end] == " " and text[end - 1] != " "):
         end += 1
@@ -147,6 +165,8 @@ def account_after(text: str, at: int, cue: str) -> tuple[int, int] | None:
                     return start, stop
         return None
     end = start
+    while cue == "passport" and end < min(size, start + 2) and text[end] in string.ascii_letters:
+        end += 1
     while end < size and (text[end] in DIGITS or text[end] == "-" and end + 1 < size and text[end + 1] in DIGITS):
         end += 1
     n = sum(c in DIGITS for c in text[start:end])

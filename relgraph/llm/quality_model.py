@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from relgraph.llm.scan import kept_columns, plain_words, scan_texts, sliced
+from relgraph.llm.scan import hidden, kept_columns, plain_words, scan_texts, sliced
 from relgraph.plans.staging import Staging
 
 #: Labelled documents learned from, good and bad each (in expectation); bounds the broadcast below too.
@@ -165,7 +165,7 @@ def learn_quality(
         return QualityModel(rate, curve=(0.0, 0.0, math.log(rate / (1 - rate))))
     share = {True: min(1.0, sample_each / bad), False: min(1.0, sample_each / (total - bad))}
     million = 1_000_000
-    limit = F.when(F.col("__bad"), int(share[True] * million)).otherwise(int(share[False] * million) + 1)
+    limit = F.when(F.col("__bad"), int(share[True] * million) + 1).otherwise(int(share[False] * million) + 1)
     sample = known.where(F.pmod(F.xxhash64("__id"), F.lit(million)) < limit).select(
         "*",
         F.when(F.col("__bad"), 1 / share[True]).otherwise(1 / share[False]).alias("__weight"),
@@ -283,9 +283,10 @@ def classify_quality(
     carried = kept_columns(docs, ["text_log_odds", "host_rate", "path_rate", "p_bad", "rejected"], keep)
     staging = Staging(docs.sparkSession)
     model = learn_quality(docs, labels, staging, id_col, text_col, sample_each)
-    levels = {"__host": host, "__path": path}
-    sites = docs.withColumns({n: F.col(f"`{c}`") if isinstance(c, str) else c for n, c in levels.items()})
-    marked = text_evidence(sites, model, text_col, [*carried, "__host", "__path"])
+    names, given, back = hidden(carried)
+    levels = {"__host": host, "__path": path, "__text": text_col}
+    sites = docs.select(*given, *[(F.col(f"`{c}`") if isinstance(c, str) else c).alias(n) for n, c in levels.items()])
+    marked = text_evidence(sites, model, "__text", [*names, "__host", "__path"])
     marked, _ = staging.keep(marked, "evidence")
 
     p_text = 1 / (1 + F.exp(-F.col("text_log_odds")))
@@ -314,6 +315,4 @@ def classify_quality(
     rate = F.greatest(F.lit(LEAST_RATE), F.least(F.lit(1 - LEAST_RATE), F.col("path_rate")))
     odds = F.col("text_log_odds") + F.log(rate / (1 - rate)) - math.log(mean / (1 - mean))
     out = out.withColumn("p_bad", 1 / (1 + F.exp(-odds))).withColumn("rejected", F.col("p_bad") > threshold)
-    return out.select(
-        *[F.col(f"`{c}`") for c in carried], "text_log_odds", "host_rate", "path_rate", "p_bad", "rejected"
-    )
+    return out.select(*back, "text_log_odds", "host_rate", "path_rate", "p_bad", "rejected")

@@ -17,7 +17,8 @@ import math
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 #: Words of licence, PII and benchmark matching: A-Z lower-cased, every other
@@ -55,6 +56,20 @@ def kept_columns(df: DataFrame, new: Iterable[str], keep: Sequence[str] | None)
     return [c for c in (df.columns if keep is None else keep) if c.lower() not in taken]
 
 
+def hidden(carried: Sequence[str]) -> tuple[list[str], list[Column], list[Column]]:
+    """(names, columns under these names, and back): carried columns that no working column can clash with."""
+    names = [f"__c{i}" for i in range(len(carried))]
+    return names, [F.col(f"`{c}`").alias(n) for c, n in zip(carried, names, strict=True)], [F.col(n).alias(c) for c, n in zip(carried, names, strict=True)]
+
+
+def fresh(name: str, df: DataFrame) -> str:
+    """The name with as many underscores behind it as no column of ``df`` has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def scan_texts(
     docs: DataFrame,
     fields: str,
@@ -70,7 +85,7 @@ def scan_texts(
     """
     new = StructType.fromDDL(fields)
     carried = kept_columns(docs, new.names, keep)
-    source = docs.select(*[docs[f"`{c}`"] for c in carried], docs[f"`{text_col}`"].alias("__scan_text"))
+    source = docs.select(*[docs[f"`{c}`"] for c in carried], docs[f"`{text_col}`"].alias(fresh("__scan_text", docs)))
     schema = StructType([docs.schema[c] for c in carried] + list(new))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -23,7 +23,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from relgraph.llm.scan import kept_columns
+from relgraph.llm.scan import hidden, kept_columns
 from relgraph.plans.staging import Staging
 
 #: Characters of the neighbourhood that are looked at.
@@ -49,15 +49,15 @@ def _named_values(names: str = NAMES) -> str:
                     by_width.setdefault(width, []).append(f"{word}{quote}{blank}[:=]{gap}")
 
     def behind(mark: str) -> str:
-        near = f"(?:(?<=[:=]{mark})|(?<=[:=][ \t]{mark}))"  # soon says no to most places
-        return near + "(?:" + "|".join(f"(?<=(?i:{'|'.join(w)}){mark})" for w in by_width.values()) + ")"
+        return "(?:" + "|".join(f"(?<=(?i:{'|'.join(w)}){mark})" for w in by_width.values()) + ")"
 
     bare = behind("") + "[^\\s\"'<>]{5,}[^\\s\"'<>.,;:)}\\]]"
-    return "|".join([bare, *[behind(q) + f"[^\\s{q}]{{6,}}" for q in "\"'"]])
+    near = "(?:(?<=[:=])|(?<=[:=][ \\t\"'])|(?<=[:=][ \\t][\"']))"  # soon says no to most places
+    return f"{near}(?:" + "|".join([bare, *[behind(q) + f"[^\\s{q}]{{6,}}" for q in "\"'"]]) + ")"
 
 
-#: Key-like runs, and whatever is assigned to a name of a secret.
-CANDIDATE = f"(?:{_named_values()}|[A-Za-z0-9_/+-]{{16,}}={{0,2}})"
+#: Key-like runs, from their first character on, and whatever is assigned to a name of a secret.
+CANDIDATE = f"(?:{_named_values()}|(?<![A-Za-z0-9_/+-])[A-Za-z0-9_/+-]{{16,}}+={{0,2}})"
 EXAMPLE_PATHS, SETTING_PATHS = "(?i)test|example|sample|mock|doc", "(?i)[.]env|conf|settings|secret|deploy"
 #: Labelled findings learned from, of each kind; words of the dictionary, which bounds its regular expression.
 SAMPLE_EACH, DICTIONARY_WORDS = 10_000, 2000
@@ -127,15 +127,26 @@ def sure_label(value: Column, before: Column, dictionary: Column | None = None)
     )
 
 
-def with_candidates(docs: DataFrame, text_col: str, path: Column, words: Sequence[str], pattern: str) -> DataFrame:
-    """Append ``__found``: the text before each candidate, the candidate and its features; last, the text behind all."""
+#: Set around candidates while a text is cut; a text that holds it is cut in two scans instead of one.
+_MARK = "\ue000"
+
+
+def with_candidates(docs: DataFrame, text_col: str, pattern: str) -> DataFrame:
+    """Append ``__found``: (value, before, after, gap), the gap being the text since the candidate before.
+
+    The last entry has no value and holds the text behind all candidates; a
+    null text has no entries.
+    """
     text = F.col(f"`{text_col}`")
     none = F.array().cast("array<string>")
-    gaps = F.coalesce(F.split(text, pattern, -1), none)
-    values = F.coalesce(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), none)
+    # one scan marks the candidates, the marks then cut the text: gap, value, gap, ..., gap
+    cut = F.split(F.regexp_replace(text, f"({pattern})", f"{_MARK}$1{_MARK}"), _MARK, -1)
+    marked = F.array(F.struct(F.filter(cut, lambda x, i: i % 2 == 1).alias("values"), F.filter(cut, lambda x, i: i % 2 == 0).alias("gaps")))
+    scanned = F.array(F.struct(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("values"), F.split(text, pattern, -1).alias("gaps")))
+    parts = F.when(F.contains(text, F.lit(_MARK)), scanned).otherwise(marked)
     # Lambdas below use their own element only: a column of the row would be computed anew for each element.
-    parts = F.struct(values.alias("values"), gaps.alias("gaps"))
-    parts = F.transform(F.array(parts), lambda p: F.arrays_zip(p["values"], p["gaps"], F.slice(p["gaps"], 2, F.greatest(F.size(p["gaps"]), F.lit(1))), F.concat(F.array(F.lit("")), p["values"])))
+    parts = F.transform(parts, lambda p: F.struct(F.coalesce(p["values"], none).alias("values"), F.coalesce(p["gaps"], none).alias("gaps")))
+    parts = F.transform(parts, lambda p: F.arrays_zip(p["values"], p["gaps"], F.slice(p["gaps"], 2, F.greatest(F.size(p["gaps"]), F.lit(1))), F.concat(F.array(F.lit("")), p["values"])))
     parts = F.get(parts, F.lit(0))
     found = F.transform(
         parts,
@@ -146,16 +157,6 @@ def with_candidates(docs: DataFrame, text_col: str, path: Column, words: Sequenc
             c["gaps"].alias("gap"),
         ),
     )
-    found = F.transform(
-        found,
-        lambda c: F.struct(
-            c["value"].alias("value"),
-            c["before"].alias("before"),
-            c["after"].alias("after"),
-            c["gap"].alias("gap"),
-            *[x.alias(n) for n, x in features_of(c["value"], c["before"], c["after"], path.cast("string"), words).items()],
-        ),
-    )
     return docs.withColumn("__found", found)
 
 
@@ -205,16 +206,19 @@ def dictionary_of(docs: DataFrame, text_col: str, size: int) -> list[str]:
     return sorted((r["w"] for r in rows), key=lambda w: (-len(w), w))
 
 
-def labelled_findings(
-    docs: DataFrame, text_col: str, path: Column, words: Sequence[str], pattern: str, each: int, staging: Staging
-) -> DataFrame:
-    """Features and labels of at most ``each`` findings of a kind that rules are sure of, chosen by hash."""
-    found = with_candidates(docs, text_col, path, words, pattern).select(F.explode("__found").alias("c")).select("c.*")
-    found = found.where("value is not null").drop("gap")
-    found = found.withColumn("label", sure_label(F.col("value"), F.col("before"), F.col("dictionary"))).where("label is not null")
-    found = found.dropDuplicates(["value", "before"])
+def labelled_findings(found: DataFrame, path: Column, words: Sequence[str], each: int, staging: Staging) -> DataFrame:
+    """Features and labels of at most ``each`` findings of a kind that rules are sure of, chosen by hash.
+
+    ``found`` comes from :func:`with_candidates`, best written before.
+    """
+    rows = found.select(path.cast("string").alias("path"), F.explode_outer("__found").alias("c")).select("path", "c.value", "c.before", "c.after")
+    rows = rows.where("value is not null").groupBy("value", "before").agg(F.min(F.struct("after", "path")).alias("c"))
+    rows = rows.select("value", "before", "c.after", "c.path")
+    features = features_of(F.col("value"), F.col("before"), F.col("after"), F.col("path"), words)
+    rows = rows.select("value", "before", *[x.alias(n) for n, x in features.items()])
+    rows = rows.withColumn("label", sure_label(F.col("value"), F.col("before"), F.col("dictionary"))).where("label is not null")
     order = [F.xxhash64("value", "before"), "value", "before"]
-    parts = [found.where(F.col("label") == k).orderBy(*order).limit(each) for k in (0.0, 1.0)]
+    parts = [rows.where(F.col("label") == k).orderBy(*order).limit(each) for k in (0.0, 1.0)]
     kept, _ = staging.keep(parts[0].unionByName(parts[1]).select(*FEATURES, "label"), "findings")
     return kept
 
@@ -235,7 +239,8 @@ def scan_secrets(
 
     ``findings`` are all candidates of the text in order, as (n, value, before,
     score, is_secret), n from 0; ``redacted`` is the text with the secrets
-    replaced.  ``labelled`` may hold findings to learn from, as (value, before,
+    replaced.  Candidates and the text between them are written once, with the
+    carried columns.  ``labelled`` may hold findings to learn from, as (value, before,
     after, path, label 0.0/1.0).  A null text has no findings and stays null.
     If there is nothing to learn from, rules alone decide.
     """
@@ -243,23 +248,34 @@ def scan_secrets(
     staging = Staging(docs.sparkSession)
     where = F.col(f"`{path}`") if isinstance(path, str) else path
     words = dictionary_of(docs, text_col, DICTIONARY_WORDS)
+    # candidates are looked for once; their gaps are the text, which is not read again
+    names, own, back = hidden([c for c in carried if c != text_col])
+    inner = docs.select(*own, F.col(f"`{text_col}`").alias("__text"), where.cast("string").alias("__path"))
+    found = with_candidates(inner, "__text", pattern).withColumn("__null", F.col("__text").isNull()).drop("__text")
+    found, _ = staging.keep(found, "candidates")
+    if text_col in carried:
+        whole = F.array_join(F.transform("__found", lambda c: F.concat(c["gap"], F.coalesce(c["value"], F.lit("")))), "")
+        back.insert(carried.index(text_col), F.when(~F.col("__null"), whole).alias(text_col))
     if labelled is None:
-        known = labelled_findings(docs, text_col, where, words, pattern, sample_each, staging)
+        known = labelled_findings(found, F.col("__path"), words, sample_each, staging)
     else:
         columns = features_of(*[F.col(c) for c in ("value", "before", "after", "path")], words)
         known = labelled.select(*[c.alias(n) for n, c in columns.items()], F.col("label").cast("double").alias("label"))
     forest = train_forest(known)
-    found = with_candidates(docs, text_col, where, words, pattern)
 
     def scored(c: Column) -> Column:
         if forest is None:
             return F.coalesce(sure_label(c["value"], c["before"]), F.lit(0.0))
         return forest.score(lambda name: c[name])
 
+    def described(c: Column) -> Column:
+        features = features_of(c["value"], c["before"], c["after"], F.col("__path"), words)
+        return F.struct(*[c[n].alias(n) for n in ("value", "before", "gap")], *[x.alias(n) for n, x in features.items()])
+
     def judged(c: Column) -> Column:
-        return F.struct(c["value"].alias("value"), c["before"].alias("before"), c["gap"].alias("gap"), scored(c).alias("score"))
+        return F.struct(*[c[n].alias(n) for n in ("value", "before", "gap")], scored(c).alias("score"))
 
-    out = found.withColumn("__scores", F.transform("__found", judged))
+    out = found.withColumn("__found", F.transform("__found", described)).withColumn("__scores", F.transform("__found", judged))
     findings = F.transform(
         F.filter("__scores", lambda c: c["value"].isNotNull()),
         lambda c, i: F.struct(
@@ -274,5 +290,5 @@ def scan_secrets(
         "__scores",
         lambda c: F.concat(c["gap"], F.when(c["value"].isNull(), "").when(c["score"] > threshold, MASK).otherwise(c["value"])),
     )
-    clean = F.when(F.col(f"`{text_col}`").isNotNull(), F.array_join(pieces, "")).alias("redacted")
-    return out.select(*[F.col(f"`{c}`") for c in carried], findings.alias("findings"), *[clean] * redact)
+    clean = F.when(~F.col("__null"), F.array_join(pieces, "")).alias("redacted")
+    return out.select(*back, findings.alias("findings"), *[clean] * redact)

@@ -42,8 +42,9 @@ def odd_docs(rows):
         "doc_id bigint, text string, lang string, source string, n_chars bigint, KEPT string, fp string, ids string, "
         "n_words string, score string, fingerprint string, length string"
     )
+    internal = ["p", "key", "row", "__row", "__host", "__runs0", "__c0", "__text", "__found", "__words", "__key", "__part", "__scan_text"]
     data = [(i, t, "en", "src0", 1, "x", "x", "x", "x", "x", "x", "x") for i, t in enumerate(ODD_TEXTS)]
     nothing = (None,) * 11
     data += [(None, "null id " * 9, *(None,) * 10), (None, None, *(None,) * 10), (3, "a", *(None,) * 10)]
     assert len(nothing) == 11
-    return rows(schema, data)
+    return rows(schema, data).selectExpr("*", *[f"{i} as `{name}`" for i, name in enumerate(internal)])

@@ -6,7 +6,7 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from relgraph.llm.chat_format import END, START, escape, escape_role, format_chats, read_loss, read_turns, unescape
+from relgraph.llm.chat_format import END, START, escape, estimated_tokens, escape_role, format_chats, read_loss, read_turns, unescape
 from relgraph.llm.queries import op2_chats
 
 
@@ -67,7 +67,7 @@ def test_windows(rows, budget, history):
     windows = defaultdict(list)
     for r in df.collect():
         windows[r.conv_id].append(r)
-    size = lambda t: 4 + len(re.findall(r"\w+|[^\w\s]", t))
+    size = lambda t: 4 + len(re.findall(r"[A-Za-z0-9]{1,2}|[^A-Za-z0-9 ]| (?= )", t)) + len(t.encode()) - len(t)
     for c in range(12):
         turns = [(r, t) for i, _, r, t in data if i == c]
         system = turns[:1] if turns[0][0] == "system" else []
@@ -75,7 +75,7 @@ def test_windows(rows, budget, history):
         for n, w in enumerate(sorted(windows[c], key=lambda w: w.window)):
             got = [tuple(t) for t in w["all"]]
             old, new = got[: w.n_repeated], got[w.n_repeated :]
-            assert len(got) == w.n_turns and w.tokens == sum(size(t) for _, t in got)
+            assert len(got) == w.n_turns and w.tokens == sum(size(t) for _, t in got) and w.over_budget == (w.tokens > budget)
             assert w.under == "".join(t for r, t in new if r == "assistant")
             for s in w.loss:
                 assert w.formatted[: s.start].endswith(f"{START}assistant\n") and w.formatted[s.end :].startswith(END)
@@ -111,3 +111,22 @@ def test_odd_rows(rows):
     assert format_chats(df.where("conv_id > 99")).collect() == []
     with pytest.raises(ValueError):
         format_chats(df, budget=10, history=6)
+
+
+def test_the_token_count_is_cautious(spark, rows):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = [(r.text,) for r in spark.read.parquet("/root/testdata/sf0.01/conversations.parquet").collect()]
+    texts += [("x" * 200_000,), ("lorem ipsum " * 5000,), ("\n\n\n",), ("日本語" * 300,), ("    code = {1: 2}\n" * 50,), ("😀" * 50,), ("3.14159 " * 40,), ("",)]
+    df = rows("t string", [t for t in texts if t[0] is not None])
+    for r in df.select("t", estimated_tokens(F.col("t")).alias("n")).collect():
+        assert r.n >= len(library.encode(r.t, add_special_tokens=False).ids), r.t[:80]
+
+
+def test_long_runs_and_long_system_turns_are_over_budget(rows):
+    data = [(1, i, "user", "x" * n) for i, n in enumerate((200_000, 50_000, 9_000))]
+    data += [(2, 0, "system", "rule " * 2000), (2, 1, "user", "hi"), (3, 0, "user", "hi")]
+    got = format_chats(rows("conv_id bigint, turn int, role string, text string", data)).collect()
+    assert sorted((r.conv_id, r.over_budget) for r in got) == [(1, True)] * 3 + [(2, True), (3, False)]

@@ -2,6 +2,8 @@ import hashlib
 import random
 import re
 
+import pytest
+
 from relgraph.llm.personal_data import KINDS, anchors, find_personal_data, luhn, spans_of
 from relgraph.llm.queries import op6_personal_data
 
@@ -65,6 +67,16 @@ def test_added_kinds_and_redaction(rows):
     assert all(s.kind in KINDS for s in one.spans)
 
 
+@pytest.mark.parametrize(("text", "found"), [
+    ("account number: 12345678.", "12345678"), ("Passport number is C01X00T47", None), ("passport no. AB1234567", "AB1234567"),
+    ("tax id number 12-345-678", "12-345-678"), ("Konto Nr. 1234567", "1234567"), ("IBAN is NO93 8601 1117 947", "NO93 8601 1117 947"),
+    ("accounting 12345678", None), ("account holder 12345678", None), ("account no1234567", "1234567"), ("passport 123456789", "123456789"),
+])
+def test_words_between_a_cue_and_its_identifier(rows, text, found):
+    (r,) = find_personal_data(rows("doc_id bigint, text string", [(1, text)])).collect()
+    assert [text[s.start : s.end] for s in r.spans if s.kind == "account"] == ([found] if found else [])
+
+
 def test_odd_rows(odd_docs, rows):
     got = find_personal_data(odd_docs).collect()
     assert len(got) == odd_docs.count()

@@ -1,10 +1,12 @@
 import math
+from collections import defaultdict
 
 import pytest
 from pyspark.sql import functions as F
 
 from relgraph.llm.queries import op5_quality
-from relgraph.llm.quality_model import QualityModel, classify_quality, copy_key, document_features, fit_curve, prior_weight
+from relgraph.llm.quality_model import QualityModel, classify_quality, copy_key, document_features, fit_curve, learn_quality, prior_weight
+from relgraph.plans.staging import Staging
 
 
 def test_query_separates_good_from_bad(spark):
@@ -19,6 +21,57 @@ def test_query_separates_good_from_bad(spark):
     assert sum(toxic) >= 0.95 * len(toxic) and sum(low) >= 0.9 * len(low)
 
 
+def posteriors(got, threshold=0.5):
+    """(host rate, path rate, probability) of each row, from the text evidence of all rows."""
+    p = [1 / (1 + math.exp(-r.text_log_odds)) for r in got]
+    host, path = defaultdict(lambda: [0, 0.0]), defaultdict(lambda: [0, 0.0])
+    for r, x in zip(got, p, strict=True):
+        for group, key in ((host, r.source), (path, (r.source, r.lang))):
+            group[key][0] += 1
+            group[key][1] += x
+    mean = min(1 - 1e-4, max(1e-4, sum(p) / len(p)))
+
+    def weight(groups, center):
+        sizes = {k: n for k, (n, _) in groups.items()}
+        total = sum(sizes.values())
+        spread = sum(n * (bad / n - center(k)) ** 2 for k, (n, bad) in groups.items())
+        v = sum(n * center(k) * (1 - center(k)) for k, n in sizes.items()) / total
+        if len(groups) < 2 or not v:
+            return 1e4
+        between = (spread - (len(groups) - 1) * v) / max(1e-9, total - sum(n * n for n in sizes.values()) / total)
+        return min(1e4, max(1.0, v / max(between, 1e-9) - 1))
+
+    k_host = weight(host, lambda k: mean)
+    k_path = weight(path, lambda k: (host[k[0]][1] + k_host * mean) / (host[k[0]][0] + k_host))
+    out = []
+    for r, x in zip(got, p, strict=True):
+        (hn, hbad), (n, bad) = host[r.source], path[r.source, r.lang]
+        h = (min(hn - 1, max(0.0, hbad - x)) + k_host * mean) / (hn - 1 + k_host)
+        q = (min(n - 1, max(0.0, bad - x)) + k_path * h) / (n - 1 + k_path)
+        odds = r.text_log_odds + math.log(max(1e-4, min(1 - 1e-4, q)) / (1 - max(1e-4, min(1 - 1e-4, q)))) - math.log(mean / (1 - mean))
+        out.append((h, q, 1 / (1 + math.exp(-odds))))
+    return out
+
+
+def test_query_against_brute_force(spark):
+    """Text evidence by the features of each text, posteriors by plain sums over all rows."""
+    folder = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{folder}/{n}.parquet") for n in ("documents", "labels"))
+    places = {r.doc_id: r for r in docs.collect()}
+    got = op5_quality(spark, folder).join(docs.select("doc_id", "source", "lang"), "doc_id").collect()
+    assert len(got) == len(places)
+    model = learn_quality(docs, labels, Staging(spark))
+    for r, (h, q, p_bad) in zip(got, posteriors(got), strict=True):
+        scores = []
+        for kind in (0, 1):
+            hits = sorted((model.evidence[f][kind] for f in document_features(places[r.doc_id].text.encode()) if f in model.evidence), reverse=True)
+            scores.append(sum(x for x in hits[:4] if x > 0))
+        a, b, c = model.curve
+        assert r.text_log_odds == pytest.approx(max(-20, min(20, a * scores[0] + b * scores[1] + c)), abs=1e-6)
+        assert (r.host_rate, r.path_rate, r.p_bad) == pytest.approx((h, q, p_bad), rel=1e-6)
+        assert r.rejected == (r.p_bad > 0.5)
+
+
 def sites(rows, sparse_text):
     """Host a is bad, host b is good, host c has one page; texts say nothing but for marked ones."""
     data, labels, i = [], [], 0
@@ -66,7 +119,8 @@ def test_odd_rows(rows, odd_docs):
     ids = [r.doc_id for r in odd_docs.select("doc_id").collect()]
     labels = rows("doc_id bigint, quality int, toxic int", [(i, k % 2, None if k % 3 else 1) for k, i in enumerate(ids)] + [(1, None, None)])
     for given in (labels, labels.where("false"), labels.where("quality = 1 and toxic is null")):
-        got = classify_quality(odd_docs.withColumn("P_BAD", F.lit("x")), given).collect()
+        got = classify_quality(odd_docs.withColumns({"P_BAD": F.lit("x"), "__host": F.lit("y"), "__n": F.lit(1)}), given).collect()
+        assert {r["__host"] for r in got} == {"y"}
         assert len(got) == odd_docs.count()
         assert all(0 <= r.p_bad <= 1 and math.isfinite(r.text_log_odds) for r in got)
     assert not any(r.rejected for r in got)

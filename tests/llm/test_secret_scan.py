@@ -1,10 +1,11 @@
+import hashlib
 import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from relgraph.llm.queries import op7_secrets
-from relgraph.llm.secret_scan import CANDIDATE, FEATURES, dictionary_of, features_of, labelled_findings, scan_secrets, train_forest, trie_pattern
+from relgraph.llm.secret_scan import CANDIDATE, EXAMPLE_PATHS, FEATURES, NAMES, SETTING_PATHS, dictionary_of, features_of, labelled_findings, scan_secrets, train_forest, trie_pattern, with_candidates
 from relgraph.plans.staging import Staging
 
 FOLDER = "/root/testdata/sf0.1"
@@ -27,10 +28,89 @@ def test_planted_secrets_are_found_and_others_left_alone(spark):
     assert hits > 100
 
 
+def features_by_hand(value, before, after, path, words):
+    n, low = len(value), value.lower()
+    count = lambda pattern, text: sum(1 for _ in re.finditer(pattern, text)) / n
+    flag = lambda pattern, text: float(bool(re.search(pattern, text or "")))
+    longest = "|".join(sorted(map(re.escape, words), key=lambda w: (-len(w), w)))
+    return {
+        "length": n, "digits": count("[0-9]", value), "upper": count("[A-Z]", value), "lower": count("[a-z]", value),
+        "hex": count("[0-9a-f]", low), "different": len(set(value)) / n,
+        "kind_changes": count("[0-9](?=[A-Za-z])|[A-Za-z](?=[0-9])|[a-z](?=[A-Z])", value),
+        "vowel_changes": count("[aeiouy](?=[bcdfghjklmnpqrstvwxz])|[bcdfghjklmnpqrstvwxz](?=[aeiouy])", low),
+        "doubles": count("(.)(?=\\1)", value), "dictionary": 1 - len(re.sub(longest, "", low)) / n,
+        "name_before": flag(f"(?i)({NAMES})", before), "assigned": flag("[:=]\\s*[\"']?$", before), "quoted": flag("[\"']$", before),
+        "word_before": flag("[a-z]{2,}[.,;]?\\s+$", before), "word_after": flag("^[.,;]?\\s+[A-Za-z]{2,}", after),
+        "example_path": flag(EXAMPLE_PATHS, path), "setting_path": flag(SETTING_PATHS, path),
+    }
+
+
+def tree_score(node, features):
+    while isinstance(node, tuple):
+        index, limit, left, right = node
+        node = left if features[FEATURES[index]] <= limit else right
+    return node
+
+
+def test_query_against_brute_force(spark, monkeypatch):
+    """Candidates, features and scores of whole texts by hand, with the forest and dictionary of the run."""
+    import relgraph.llm.secret_scan as module
+
+    folder, seen = "/root/testdata/sf0.01", {}
+    for name in ("train_forest", "dictionary_of"):
+        monkeypatch.setattr(module, name, lambda *a, f=getattr(module, name), n=name, **b: seen.setdefault(n, f(*a, **b)))
+    got = {r.doc_id: r for r in op7_secrets(spark, folder).collect()}
+    docs = spark.read.parquet(f"{folder}/documents.parquet").collect()
+    forest, words, found = seen["train_forest"], seen["dictionary_of"], 0
+    for r in docs:
+        clean, at, scores, secrets = [], 0, [], []
+        places = list(re.finditer(CANDIDATE, r.text))
+        for i, m in enumerate(places):
+            before = ((places[i - 1].group() if i else "") + r.text[at : m.start()])[-48:]
+            after = r.text[m.end() : places[i + 1].start() if i + 1 < len(places) else len(r.text)][:16]
+            features = features_by_hand(m.group(), before, after, r.source, words)
+            score = sum(tree_score(t, features) for t in forest.trees) / len(forest.trees)
+            scores.append(score)
+            secrets += [m.group()] * (score > 0.5)
+            clean += [r.text[at : m.start()], "[SECRET]" if score > 0.5 else m.group()]
+            at = m.end()
+        clean.append(r.text[at:])
+        row = got[r.doc_id]
+        assert (row.n_candidates, row.n_secrets) == (len(places), len(secrets))
+        assert row.top_score == pytest.approx(max(scores, default=None)) if scores else row.top_score is None
+        assert row.secrets_sha256 == hashlib.sha256(",".join(secrets).encode()).hexdigest()
+        assert row.redacted_sha256 == hashlib.sha256("".join(clean).encode()).hexdigest() and row.redacted_chars == len("".join(clean))
+        found += len(secrets)
+    assert len(got) == len(docs) and found > 10
+
+
 def test_only_sql_on_the_main_path(spark):
     df = op7_secrets(spark, "/root/testdata/sf0.001")
     plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "Python" not in plan and "Exchange" not in plan
+    assert "Python" not in plan and "Exchange" not in plan and "documents.parquet" not in plan  # candidates come from their table
+
+
+def test_one_scan_finds_the_candidates(spark, rows):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").union(
+        rows("text string", [(None,), ("",), ("a \ue000 password=hunter2 \ue000b " + "x" * 20,), ("password=hunter2",), ("y" * 16 + " " + "z" * 99,)])
+    )
+    df = with_candidates(docs, "text", CANDIDATE)
+    plan = df.select(F.explode_outer("__found"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_replace(") == 1
+    for r in df.collect():
+        values = [f.value for f in r["__found"] if f.value is not None]
+        assert values == re.findall(CANDIDATE, r.text or "")
+        assert "".join(f.gap + (f.value or "") for f in r["__found"]) == (r.text or "")
+        for i, f in enumerate(r["__found"]):
+            earlier = (r["__found"][i - 1].value if i else "") + f.gap
+            assert f.before == earlier[-48:] and f.after == (r["__found"][i + 1].gap[:16] if i + 1 < len(r["__found"]) else "")
+
+
+def test_short_runs_and_runs_after_names_match_as_before():
+    old = "(?:[A-Za-z0-9_/+-]{16,}={0,2})"
+    for text in ("a" * 15, "a" * 16 + "==", "x=" + "b" * 20, "é" + "c" * 17 + "==='", "/".join(["d" * 9] * 3), "e" * 40 + "." + "f" * 16):
+        assert re.findall(CANDIDATE, text) == re.findall(old, text), text
+
     assert df.count() == spark.read.parquet("/root/testdata/sf0.001/documents.parquet").count()
 
 
@@ -50,7 +130,7 @@ def test_the_expression_equals_the_model(spark):
     from pyspark.ml.feature import VectorAssembler
 
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
-    known = labelled_findings(docs, "text", F.col("source"), ["the"], CANDIDATE, 500, Staging(spark))
+    known = labelled_findings(with_candidates(docs, "text", CANDIDATE), F.col("source"), ["the"], 500, Staging(spark))
     forest = train_forest(known, trees=5, depth=4)
     vectors = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(known)
     model = RandomForestClassifier(numTrees=5, maxDepth=4, seed=7, featureSubsetStrategy="sqrt").fit(vectors)
