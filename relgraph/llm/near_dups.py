@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from relgraph.llm.components import connected_components
-from relgraph.llm.scan import columns_of, fresh, kept_columns, scan_texts, sliced, spaced_words
+from relgraph.llm.scan import columns_of, fresh, kept_columns, scan_texts, spaced_words
 from relgraph.plans.staging import Staging
 
 SHINGLE = 4
@@ -318,12 +318,6 @@ def content_key(words: list[bytes]) -> int:
     return xxhash.xxh64_intdigest(b" ".join(words)) - 2**63
 
 
-def set_similarity(one: np.ndarray, other: np.ndarray) -> float:
-    """Jaccard similarity of two sets of hashes."""
-    both = len(np.intersect1d(one, other, assume_unique=True))
-    return both / (len(one) + len(other) - both) if len(one) + len(other) else 1.0
-
-
 def prefix_of(hashes: np.ndarray, common: np.ndarray, similarity: float) -> np.ndarray:
     """The first shingles in a fixed order, of which two sets of the similarity share at least one.
 
@@ -422,19 +416,13 @@ def mark_representatives(
     def sets() -> Callable:
         def one(text: bytes | None) -> tuple:
             words = spaced_words((text or b"").lower())
-            return content_key(words), shingle_set(words, shingle).tobytes()
+            return content_key(words), shingle_set(words, shingle).view(np.int64)
 
         return lambda texts: columns_of([one(t) for t in texts], 2)
 
     sample = docs.where(F.pmod(F.xxhash64(f"`{text_col}`"), F.lit(SAMPLE)) == 0).select(f"`{text_col}`").distinct()
 
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate([np.zeros(0, np.int64), *[np.frombuffer(s, np.int64) for s in batch.column(0).to_pylist()]]))], names=["h"]
-            )
-
-    seen = scan_texts(sample, "__key bigint, __set binary", sets, text_col, []).select("__set").mapInArrow(counted, "h bigint")
+    seen = scan_texts(sample, "key bigint, full array<bigint>", sets, text_col, []).select(F.explode("full").alias("h"))
     # Which shingles are common is an estimate; that all pairs share one of a prefix is not.
     seen = seen.groupBy("h").count().where("count > 2").orderBy(F.desc("count"), "h").limit(COMMON_SHINGLES)
     common = np.sort(np.array([r["h"] for r in seen.collect()], np.int64).view(np.uint64))
@@ -461,6 +449,8 @@ def mark_representatives(
     dealt = prefixes.select("h", "key", "size", F.col("pos").cast("bigint")).repartitionByRange("h", "key").sortWithinPartitions("h", "key")
     fields = ", ".join(f"{n} bigint" for n in ("h", "key", "size", "pos", "center", "csize", "cpos"))
     members, _ = staging.keep(dealt.mapInArrow(bucket_members, fields), "members")
+    known, _ = staging.keep(marked.select("row").distinct(), "known")
+    staging.drop("marked")  # the prefixes are in their buckets now
 
     def verified(pairs: DataFrame, label: str) -> DataFrame:
         pairs, _ = staging.keep(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), f"{label}-pairs")
@@ -481,21 +471,16 @@ def mark_representatives(
         ends = pairs.select(F.col("a").alias("key")).union(pairs.select(F.col("b").alias("key"))).distinct()
         rows, _ = staging.keep(nodes.join(ends, "key").select(F.col("keeper.row").alias("row")), f"{label}-rows")
         chosen = docs.select(own.alias("row"), F.col(f"`{text_col}`").alias("text")).join(rows, "row", "left_semi")
-        full = scan_texts(chosen, "key bigint, full binary", sets, "text", [])
+        full = scan_texts(chosen, "key bigint, full array<bigint>", sets, "text", [])
         if any_repeated:
             full = full.groupBy("key").agg(F.first("full").alias("full"))
         full, _ = staging.keep(full, f"{label}-sets")
         for c in "ab":
             pairs = pairs.join(full.select(F.col("key").alias(c), F.col("full").alias(f"s{c}")), c)
 
-        def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for whole in batches:
-                for batch in sliced(whole):
-                    both = zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)
-                    good = [set_similarity(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)) >= similarity for x, y in both]
-                    yield batch.select([0, 1]).filter(pa.array(good, pa.bool_()))
-
-        good, _ = staging.keep(pairs.select("a", "b", "sa", "sb").mapInArrow(compare, "a bigint, b bigint"), f"{label}-links")
+        both, sizes = F.size(F.array_intersect("sa", "sb")), F.size("sa") + F.size("sb")
+        good = pairs.where(both >= similarity * (sizes - both) - 1e-9).select("a", "b")
+        good, _ = staging.keep(good, f"{label}-links")
         staging.drop(f"{label}-pairs", f"{label}-bounded", f"{label}-rows", f"{label}-sets")
         return good
 
@@ -530,8 +515,8 @@ def mark_representatives(
     kept = named.groupBy(F.coalesce("root", "key")).agg(F.min("keeper").alias("keeper")).select(F.col("keeper.row").alias("row"))
     kept, _ = staging.keep(kept, "kept")
     # those that go are fewer than those that stay, so the texts often need no shuffle to meet them
-    gone, _ = staging.keep(marked.select("row").distinct().join(kept, "row", "left_anti"), "gone")
-    staging.drop("marked", "members", *[f"held{turn}" for turn in range(1, stars + 2)])
+    gone, _ = staging.keep(known.join(kept, "row", "left_anti"), "gone")
+    staging.drop("members", *[f"held{turn}" for turn in range(1, stars + 2)])
 
     row, other, place = (fresh(n, docs) for n in ("__row", "__other", "__place"))
     shown = [F.col(f"`{c}`") for c in carried]
