@@ -88,7 +88,7 @@ def test_filters_lose_nothing():
 def test_wrapped_notice_and_odd_rows(rows, odd_docs):
     text = "first line\nLicensed under\nthe Apache License,\nVersion 2.0\nlast"
     (r,) = scan_licenses(rows("doc_id bigint, text string", [(1, text)])).collect()
-    assert [(b.label, b.line, b.lines, b.word, b.words) for b in r.blocks] == [("apache", 1, 3, 2, 7)]
+    assert [(b.label, b.line, b.lines, b.word, b.words) for b in r.blocks] == [("apache", 1, 3, 2, 8)]
     apart = "Redistribution and use in source and\n\nbinary forms, with or without\n\n # modification,\n are permitted"
     scattered = "released " + "x " * 1000 + "under " + "y " * 1000 + "the " + "z " * 1000 + "license"
     got = scan_licenses(rows("doc_id bigint, text string", [(1, apart), (2, scattered)])).collect()
