@@ -88,16 +88,17 @@ def test_only_sql_on_the_main_path(spark):
     df = op7_secrets(spark, "/root/testdata/sf0.001")
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Exchange" not in plan and "documents.parquet" not in plan  # candidates come from their table
+    assert df.count() == spark.read.parquet("/root/testdata/sf0.001/documents.parquet").count()
 
 
-def test_one_scan_finds_the_candidates(spark, rows):
-    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").union(
+def test_candidates_and_gaps(spark, rows):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text")
+    plan = with_candidates(docs, "text", CANDIDATE).select(F.explode_outer("__found"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_replace(") == 2  # of one text: for the candidates and for the gaps
+    docs = docs.union(
         rows("text string", [(None,), ("",), ("a \ue000 password=hunter2 \ue000b " + "x" * 20,), ("password=hunter2",), ("y" * 16 + " " + "z" * 99,)])
     )
-    df = with_candidates(docs, "text", CANDIDATE)
-    plan = df.select(F.explode_outer("__found"))._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("regexp_replace(") == 1
-    for r in df.collect():
+    for r in with_candidates(docs, "text", CANDIDATE).collect():
         values = [f.value for f in r["__found"] if f.value is not None]
         assert values == re.findall(CANDIDATE, r.text or "")
         assert "".join(f.gap + (f.value or "") for f in r["__found"]) == (r.text or "")
@@ -111,8 +112,6 @@ def test_short_runs_and_runs_after_names_match_as_before():
     for text in ("a" * 15, "a" * 16 + "==", "x=" + "b" * 20, "é" + "c" * 17 + "==='", "/".join(["d" * 9] * 3), "e" * 40 + "." + "f" * 16):
         assert re.findall(CANDIDATE, text) == re.findall(old, text), text
 
-    assert df.count() == spark.read.parquet("/root/testdata/sf0.001/documents.parquet").count()
-
 
 def test_features(rows):
     df = rows("v string, b string, a string, p string", [("AKIAthe1234ooXYZ", 'my token = "', '" and so', "tests/x.env")])
