@@ -24,7 +24,7 @@ from relgraph.functions.boxes import (
 )
 from relgraph.operators.deletion import ID, key_set, with_keys, without_keys
 from relgraph.plans.spec import dependency_groups
-from relgraph.plans.staging import Staging
+from relgraph.plans.staging import Staging, bounded
 
 BOX = "box"
 
@@ -244,35 +244,39 @@ def close_boxes(edges: DataFrame, boxes: DataFrame, stage: Staging) -> DataFrame
     """
     edges = edges.where(F.col(ID).isNotNull() & F.col("up").isNotNull() & (F.col(ID) != F.col("up")))
     parents = edges.groupBy(ID).agg(F.min("up").alias("up"), (F.min("up") != F.max("up")).alias("_fork"))
-    parents, _, any_fork = stage.keep_counting(parents, F.col("_fork"), "parents")
-    steps = parents.where(~F.col("_fork")).select(ID, "up")
-    base, _ = stage.keep(combine(boxes.where(F.col(ID).isNotNull())), "boxes")
-    current = combine(base, *_doubled(steps, base, stage))
+    parents, n_parents, any_fork = stage.keep_counting(parents, F.col("_fork"), "parents")
+    steps = bounded(parents.where(~F.col("_fork")).select(ID, "up"), n_parents)
+    base, n = stage.keep(combine(boxes.where(F.col(ID).isNotNull())), "boxes")
+    current = combine(base, *_doubled(steps, bounded(base, n), stage))
     if not any_fork:
         return current
 
     from relgraph.operators.hierarchy import resolve_root  # which needs the cascade
 
     current, _ = stage.keep(current, "chains")
-    forks, _ = stage.keep(parents.where("_fork").select(ID), "forks")
-    fork_edges, _ = stage.keep(with_keys(edges, ID, forks).distinct(), "fork-edges")
+    forks, n = stage.keep(parents.where("_fork").select(ID), "forks")
+    forks = bounded(forks, n)
+    fork_edges, n = stage.keep(with_keys(edges, ID, forks).distinct(), "fork-edges")
+    fork_edges = bounded(fork_edges, n)
     nodes = steps.select(ID).union(steps.select("up")).union(fork_edges.select("up")).distinct()
     ends = resolve_root(nodes.join(steps, ID, "left"), ID, "up").select(F.col(ID).alias("up"), F.col("root"))
     # rows on or below a ring have no end, and no fork above them
     skeleton = with_keys(fork_edges.join(ends, "up").select(ID, F.col("root")), "root", forks)
     skeleton, _ = stage.keep(skeleton.where(F.col(ID) != F.col("root")).distinct(), "skeleton")
-    state, _ = stage.keep(with_keys(current, ID, forks), "state")
-    grown = state
+    state, n = stage.keep(with_keys(current, ID, forks), "state")
+    state = grown = bounded(state, n)
     while True:
         arrived = skeleton.join(grown, ID).groupBy(F.col("root").alias(ID)).agg(merge_agg(BOX).alias("_up"))
         met = arrived.join(state, ID, "left").select(ID, F.col(BOX).alias("_old"), merge_box(BOX, "_up").alias(BOX))
         grown, n = stage.keep(met.where(~F.col(BOX).eqNullSafe(F.col("_old"))).select(ID, BOX), "grown")
         if not n:
             break
-        state, _ = stage.keep(without_keys(state, ID, grown).union(grown), "state")
+        grown = bounded(grown, n)
+        state, n = stage.keep(without_keys(state, ID, grown).union(grown), "state")
+        state = bounded(state, n)
     sent = fork_edges.join(state, ID).groupBy(F.col("up").alias(ID)).agg(merge_agg(BOX).alias(BOX))
-    base, _ = stage.keep(combine(current, sent), "boxes")
-    return combine(base, *_doubled(steps, base, stage))
+    base, n = stage.keep(combine(current, sent), "boxes")
+    return combine(base, *_doubled(steps, bounded(base, n), stage))
 
 
 def _doubled(steps: DataFrame, boxes: DataFrame, stage: Staging) -> list[DataFrame]:
@@ -285,10 +289,11 @@ def _doubled(steps: DataFrame, boxes: DataFrame, stage: Staging) -> list[DataFra
     brought: list[DataFrame] = []
     while left:
         lifted = rows.where(F.col(BOX).isNotNull()).groupBy(F.col("up").alias(ID)).agg(merge_agg(BOX).alias(BOX))
-        lifted, _ = stage.keep(lifted, "lifted")
+        lifted, n = stage.keep(lifted, "lifted")
         brought.append(lifted)
-        onward = rows.select(F.col(ID).alias("up"), F.col("up").alias("_next"))
-        met = rows.join(lifted.select(ID, F.col(BOX).alias("_up")), ID, "left").join(onward, "up")
+        onward = bounded(rows.select(F.col(ID).alias("up"), F.col("up").alias("_next")), left)
+        ups = bounded(lifted.select(ID, F.col(BOX).alias("_up")), n)
+        met = rows.join(ups, ID, "left").join(onward, "up")
         met = met.select(ID, F.col("_next").alias("up"), merge_box(BOX, "_up").alias(BOX), F.col(BOX).alias("_old"))
         met = met.withColumn("_grown", ~F.col(BOX).eqNullSafe(F.col("_old"))).drop("_old")
         before = rows

@@ -15,7 +15,7 @@ from relgraph.functions.canonical import digest
 from relgraph.operators.cascade import _union, part_closure
 from relgraph.operators.deletion import ID, key_set, with_keys
 from relgraph.plans.spec import AGGREGATION, ASSOCIATION, COMPOSITION
-from relgraph.plans.staging import Staging
+from relgraph.plans.staging import Staging, bounded
 
 
 def descendants(df: DataFrame, roots: DataFrame, key: str = ID, parent: str = "parent_id") -> DataFrame:
@@ -51,7 +51,8 @@ def resolve_root(df: DataFrame, key: str = ID, parent: str = "parent_id", stop:
         onward = _union(resolved + [pending]).select(
             F.col(ID).alias("up"), F.col("up").alias("_next"), F.col("done").alias("_done")
         )
-        moved = pending.join(onward, "up").select(ID, F.col("_next").alias("up"), F.col("_done").alias("done"))
+        # all pending rows are in either side, so their number bounds what may be broadcast
+        moved = bounded(pending, left).join(onward, "up").select(ID, F.col("_next").alias("up"), F.col("_done").alias("done"))
         current, total, done = stage.keep_counting(moved, F.col("done"), "moved")
         resolved.append(current.where("done"))
         left = total - done

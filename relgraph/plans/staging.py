@@ -35,6 +35,15 @@ def checkpoint_folder(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
+#: Frames of more rows are not broadcast in rounds, so what a round sends to the driver does not grow with the tables.
+BROADCAST_ROWS = 20_000
+
+
+def bounded(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` as a side of a join that goes through the driver, as a broadcast, only if it has few rows."""
+    return df.hint("shuffle_merge") if rows > BROADCAST_ROWS else df
+
+
 _scopes: list[list[Staging]] = []
 
 

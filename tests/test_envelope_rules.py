@@ -244,6 +244,31 @@ def test_rounds_read_only_what_still_moves(rows, monkeypatch):
     assert sizes[0] == 2064 and sizes[1:] == [63, 61, 57, 49, 33, 1, 0]
 
 
+def test_rounds_broadcast_small_frames_only(spark, rows, monkeypatch):
+    """Frames of more rows than the bound meet in shuffles: what goes to the driver does not grow with the table."""
+    n, plans, keep = 120, [], Staging.keep_counting
+
+    def noted(self, df, condition, label="step"):
+        plans.append((label, df._jdf.queryExecution().executedPlan().toString()))
+        return keep(self, df, condition, label)
+
+    monkeypatch.setattr(Staging, "keep_counting", noted)
+    edges = [(i, i - i % 8 + (i + 1) % 8) for i in range(n)] + [(i, i // 2) for i in range(0, n, 7)]
+    own = {i: (i, i) for i in range(0, n, 3)}
+
+    def closed():
+        plans.clear()
+        frame = E.close_boxes(rows("id bigint, up bigint", edges), boxed(rows, [(i, *b) for i, b in own.items()]), Staging(spark))
+        return sorted(cubes(frame)), {label for label, plan in plans if "BroadcastHashJoin" in plan}
+
+    got, some = closed()
+    assert some >= {"grown", "state", "steps", "moved"}
+    monkeypatch.setattr("relgraph.plans.staging.BROADCAST_ROWS", 0, raising=False)
+    again, some = closed()
+    assert some <= {"start"}  # one join before the rounds
+    assert again == got == sorted((i, *map(float, b)) for i, b in brute_boxes(own, [(up, i) for i, up in edges]).items())
+
+
 def test_parents_contain_their_children_and_repeated_parts_count_once(rows):
     tables = {"p": rows("id bigint, c_id bigint", [(1, 10), (2, None)]), "c": rows("id bigint, p_id bigint", [(10, 2), (11, 2)])}
     parts = [E.Part("p", "c", "p_id"), E.Part("p", "c", "p_id"), E.Part("p", "c", "c_id", "parent")]
