@@ -146,7 +146,7 @@ def with_candidates(docs: DataFrame, text_col: str, pattern: str) -> DataFrame:
     parts = F.when(F.contains(text, F.lit(_MARK)), scanned).otherwise(marked)
     # Lambdas below use their own element only: a column of the row would be computed anew for each element.
     parts = F.transform(parts, lambda p: F.struct(F.coalesce(p["values"], none).alias("values"), F.coalesce(p["gaps"], none).alias("gaps")))
-    parts = F.transform(parts, lambda p: F.arrays_zip(p["values"], p["gaps"], F.slice(p["gaps"], 2, F.greatest(F.size(p["gaps"]), F.lit(1))), F.concat(F.array(F.lit("")), p["values"])))
+    parts = F.transform(parts, lambda p: F.arrays_zip(p["values"], p["gaps"], F.slice(p["gaps"], 2, F.greatest(F.size(p["gaps"]), F.lit(1))), F.slice(F.concat(F.array(F.lit("")), p["values"]), 1, F.size(p["gaps"]))))
     parts = F.get(parts, F.lit(0))
     found = F.transform(
         parts,
