@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterator, Sequence
+from functools import partial
 from itertools import combinations, islice
 
 import numpy as np
@@ -348,14 +349,17 @@ def may_be_similar(size: Column, pos: Column, size2: Column, pos2: Column, simil
     )
 
 
-def bucket_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def bucket_members(batches: Iterator[pa.RecordBatch], edges: bool = False) -> Iterator[pa.RecordBatch]:
     """Members of the buckets that have more than one in a task, with the first of their bucket there.
 
     Rows are (h, key, size, pos), sorted by h and key; (center, csize, cpos) are
-    added.  Nothing is held but the last row and the first of its bucket.
+    added.  Nothing is held but the last row and the first of its bucket.  With
+    ``edges`` the first and the last bucket are given whatever they have: their
+    other members may be in the tasks before and after.
     """
     names = ["h", "key", "size", "pos", "center", "csize", "cpos"]
     last, center, alone = None, None, False  # the row before, the first of its bucket, whether it is that one itself
+    opening = False  # whether the row before is the only one so far
 
     def batch_of(rows: np.ndarray) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(c) for c in rows], names=names)
@@ -365,7 +369,7 @@ def bucket_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             continue
         rows = np.stack([c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns])
         follows = last is not None and last[0] == rows[0, 0]
-        if alone and follows:
+        if alone and (follows or edges and opening):
             yield batch_of(np.concatenate([last, last[1:]])[:, None])
         starts = np.append(True, rows[0, 1:] != rows[0, :-1])
         first = np.maximum.accumulate(np.where(starts, np.arange(rows.shape[1]), 0))
@@ -373,13 +377,16 @@ def bucket_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         if follows:
             centers[:, first == 0] = center[:, None]
         single = starts & np.append(starts[1:], True)
-        single[0] &= not follows
+        single[0] &= not follows and not (edges and last is None)
         # the last row may go on in the next batch: it is held back if it is the only one so far
         alone = bool(starts[-1]) and not (len(starts) == 1 and follows)
+        opening = last is None and rows.shape[1] == 1
         last, center = rows[:, -1].copy(), centers[:, -1].copy()
         good = ~single
         good[-1] &= not alone
         yield batch_of(np.concatenate([rows, centers])[:, good])
+    if edges and alone:
+        yield batch_of(np.concatenate([last, last[1:]])[:, None])
 
 
 def mark_representatives(
@@ -390,21 +397,26 @@ def mark_representatives(
     shingle: int = 5,
     similarity: float = 0.8,
     stars: int = STARS,
+    max_distance: int = MAX_DISTANCE,
 ) -> DataFrame:
     """Append ``representative``: true for one document of each group of near-duplicates.
 
     Documents are near-duplicates if their sets of word shingles have at least
     the given Jaccard similarity; groups are what such links connect.
-    Candidates share one of the first shingles of a fixed order
-    (:func:`prefix_of`), which no pair of the similarity fails to do; those
-    whose :func:`parities` do not rule it out are verified on the full sets of
+    The first candidates are those of :func:`near_duplicate_groups`: texts whose
+    SimHash is the same or, by pigeonring chains, within ``max_distance`` bits.
+    Pairs of the similarity can be further apart than that, so what these leave
+    apart goes on: candidates share one of the first shingles of a fixed order
+    (:func:`prefix_of`), which no pair of the similarity fails to do.  All whose
+    :func:`parities` do not rule it out are verified on the full sets of
     shingles.  A bucket of texts with a common shingle is linked by stars
     first: its members are verified against one, and only while they are not
-    connected against a next one, in ``stars`` rounds, and at last whatever is
-    not connected against all others.  Only verified links connect, so a group
-    of many copies costs a few links each and no pair goes untried unless it is
-    connected already.  The smallest id is kept, nulls last; of repeated rows
-    one.  Texts without words are copies of each other.
+    connected against a next one, in ``stars`` rounds, beginning with the one
+    that has fewest rare shingles, and at last whatever is not connected
+    against all others.  Only verified links connect, so a group of many copies
+    costs a few links each and no pair goes untried unless it is connected
+    already.  The smallest id is kept, nulls last; of repeated rows one.  Texts
+    without words are copies of each other.
 
     Texts are not written: they are read again where their sets are needed,
     and rows are known by a hash of id and text.
@@ -431,24 +443,32 @@ def mark_representatives(
         def one(text: bytes | None) -> tuple:
             words = spaced_words((text or b"").lower())
             found = shingle_set(words, shingle)
-            return content_key(words), len(found), parities(found), prefix_of(found, common, similarity).view(np.int64)
+            prefix = prefix_of(found, common, similarity).view(np.int64)
+            return content_key(words), fingerprint(text), len(found), parities(found), prefix
 
-        return lambda texts: columns_of([one(t) for t in texts], 4)
+        return lambda texts: columns_of([one(t) for t in texts], 5)
 
     slim = docs.select(own.alias("row"), F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
-    fields = "key bigint, size bigint, parity binary, prefix array<bigint>"
+    fields = "key bigint, fingerprint bigint, size bigint, parity binary, prefix array<bigint>"
     numbered = scan_texts(slim, fields, make, "text", ["row", "id"]).withColumn("number", F.monotonically_increasing_id())
     marked, _ = staging.keep(numbered, "marked")
     repeated = marked.groupBy("row").count().where("count > 1").select("row")
     repeated, any_repeated = staging.keep(repeated, "repeated")
     place = F.struct(F.col("id").isNull().alias("no_id"), "id", "number", "row")
-    nodes = marked.groupBy("key").agg(F.min(place).alias("keeper"), F.first("size").alias("size"), F.first("parity").alias("parity"))
-    nodes, _ = staging.keep(nodes, "nodes")
+    facts = [F.first(c).alias(c) for c in ("fingerprint", "size", "parity")]
+    nodes, _ = staging.keep(marked.groupBy("key").agg(F.min(place).alias("keeper"), *facts), "nodes")
+    owners, _ = staging.keep(nodes.groupBy("fingerprint").agg(F.min("key").alias("owner")), "owners")
+    alike = link_fingerprints(owners.select("fingerprint", F.lit(0).alias("salt")), staging, max_distance)
+    for c in "ab":
+        alike = alike.join(owners.select(F.col("fingerprint").alias(c), F.col("owner").alias(f"owner_{c}")), c)
+    equal = nodes.join(owners, "fingerprint").where("key <> owner")
+    alike = alike.select(F.col("owner_a").alias("a"), F.col("owner_b").alias("b")).union(equal.select("key", "owner"))
+    alike, _ = staging.keep(alike.distinct(), "alike")
     prefixes = marked.join(nodes.select(F.col("keeper.number").alias("number")), "number", "left_semi")
     prefixes = prefixes.select("key", "size", F.posexplode("prefix").alias("pos", "h"))
     dealt = prefixes.select("h", "key", "size", F.col("pos").cast("bigint")).repartitionByRange("h", "key").sortWithinPartitions("h", "key")
     fields = ", ".join(f"{n} bigint" for n in ("h", "key", "size", "pos", "center", "csize", "cpos"))
-    members, _ = staging.keep(dealt.mapInArrow(bucket_members, fields), "members")
+    members, _ = staging.keep(dealt.mapInArrow(partial(bucket_members, edges=True), fields), "members")
     known, _ = staging.keep(marked.select("row").distinct(), "known")
     staging.drop("marked")  # the prefixes are in their buckets now
 
@@ -488,26 +508,27 @@ def mark_representatives(
         return may_be_similar(F.col("size"), F.col("pos"), F.col(size), F.col(pos), similarity)
 
     first = members.where((F.col("key") != F.col("center")) & close_enough("csize", "cpos"))
-    links = verified(first.select(F.col("key").alias("a"), F.col("center").alias("b")), "star0")
+    links = verified(alike.union(first.select("key", "center")), "star0")
     roots = connected_components(links, staging)
     held = members.select("h", "key", "size", "pos")
     for turn in range(1, stars + 2):
         placed = held.join(roots, F.col("key") == F.col("node"), "left").select("h", "key", "size", "pos", F.coalesce("root", "key").alias("root"))
         placed, _ = staging.keep(placed, f"placed{turn}")
-        order = F.min(F.struct(F.xxhash64("key", F.lit(turn)).alias("order"), "root"))["root"].alias("main")
-        main = placed.groupBy("h").agg(order, F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
-        main, any_open = staging.keep(main.select("h", "main"), "open")
+        # the one with fewest rare shingles before the common one is alike the most others in the bucket
+        place = F.struct("pos", F.xxhash64("key", F.lit(turn)).alias("order"), "key", "size", "root")
+        main = placed.groupBy("h").agg(F.min(place).alias("c"), F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
+        main, any_open = staging.keep(main.select("h", "c"), "open")
         if not any_open:
             break
         # buckets whose members are all connected are done
         held, _ = staging.keep(placed.join(main, "h"), f"held{turn}")
         staging.drop(f"placed{turn}", f"held{turn - 1}", *["members"] * (turn == 1))
-        rest = held.where("root <> main")
-        if turn <= stars:
-            rest = rest.groupBy("h").agg(F.min(F.struct(F.xxhash64("key", F.lit(turn)).alias("order"), "key", "size", "pos", "root")).alias("c"))
-        else:
-            rest = rest.select("h", F.struct("key", "size", "pos", "root").alias("c"))
-        tried = held.join(rest, "h").where("root <> c.root").where(close_enough("c.size", "c.pos"))
+        rest, tried = held.where("root <> c.root"), held
+        if turn > stars:
+            tried = held.drop("c").join(rest.select("h", F.struct("key", "size", "pos", "root").alias("c")), "h")
+        elif turn > 1:
+            tried = held.drop("c").join(rest.groupBy("h").agg(F.min(place).alias("c")), "h")
+        tried = tried.where("root <> c.root").where(close_enough("c.size", "c.pos"))
         links = links.union(verified(tried.select(F.col("key").alias("a"), F.col("c.key").alias("b")), f"star{turn}"))
         roots = connected_components(links, staging)
         held = held.select("h", "key", "size", "pos")

@@ -276,3 +276,49 @@ def test_long_texts_are_decided_exactly(rows):
     got = mark_representatives(rows("doc_id bigint, text string", list(enumerate(texts)))).collect()
     want = [i for i in range(80) if i % 2 == 0 or i // 2 % 3 == 2]
     assert sorted(r.doc_id for r in got if r.representative) == want
+
+
+def test_members_of_buckets_that_go_over_the_edge_of_a_task():
+    draw = random.Random(16)
+    for _ in range(200):
+        rows = sorted((draw.randint(0, 6), draw.randint(0, 99), 5, 1) for _ in range(draw.randint(1, 25)))
+        got, at = [], sorted(draw.sample(range(len(rows) + 1), min(len(rows), draw.randint(0, 4))))
+        edges = [0, *at, len(rows)]
+        for task in [rows[a:b] for a, b in zip(edges, edges[1:], strict=False)]:
+            cuts = [0, *sorted(draw.sample(range(len(task) + 1), min(len(task), draw.randint(0, 3)))), len(task)]
+            parts = [task[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+            batches = [pa.RecordBatch.from_arrays([pa.array([r[i] for r in p], pa.int64()) for i in range(4)], names=list("hksp")) for p in parts]
+            found = [tuple(r.values())[:4] for b in bucket_members(iter(batches), edges=True) for r in b.to_pylist()]
+            inner = [r for r in found if task[0][0] != r[0] != task[-1][0]]
+            assert all(sum(x[0] == r[0] for x in task) > 1 for r in inner)
+            got += found
+        assert len(got) == len(set(got)) or len(rows) > len(set(rows))
+        many = [r for r in rows if sum(x[0] == r[0] for x in rows) > 1]
+        assert all(got.count(r) == rows.count(r) for r in many)
+
+
+def test_fingerprints_link_first_and_a_hub_costs_few_pairs(rows, monkeypatch):
+    """Copies of one text that are alike it, but often not each other, are not all tried with each other."""
+    draw = random.Random(17)
+    base, n = [f"w{i}" for i in range(146)], 240
+    texts = [" ".join(base)]
+    for i in range(1, n):
+        own = list(base)
+        for at in draw.sample(range(4, 142), 3 if i % 3 else 1):
+            own[at] = f"x{i}y{at}"
+        texts.append(" ".join(own))
+    draw.shuffle(texts)
+    made, keep = {}, Staging.keep
+
+    def counting(self, df, label="step"):
+        out, rows = keep(self, df, label)
+        made[label] = made.get(label, 0) + rows
+        return out, rows
+
+    monkeypatch.setattr(Staging, "keep", counting)
+    monkeypatch.setattr("relgraph.llm.near_dups.SAMPLE", 1)  # for so few texts
+    got = mark_representatives(rows("doc_id bigint, text string", list(enumerate(texts)))).collect()
+    assert sorted(r.doc_id for r in got if r.representative) == kept_by_brute_force(texts)
+    assert sum(m for label, m in made.items() if label.endswith("-pairs")) < 12 * n
+    assert made["alike"] > 0  # links of SimHash and pigeonring chains
+    assert sum(jaccard(texts[i], texts[j]) < 0.8 for i in range(n) for j in range(i)) > n * n / 8
